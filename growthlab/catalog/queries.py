@@ -24,7 +24,7 @@ from growthlab.plans import cohort_roas as CR
 from growthlab.plans import marketing_report as MR
 from growthlab.plans import projection as PJ
 from growthlab.plans import vip as V
-from growthlab.session import fresh_folder, tune
+from growthlab.session import durable, fresh_folder, tune
 from growthlab.sources import readers, sinks, staging, views
 from growthlab.streaming import payments
 
@@ -594,15 +594,15 @@ def _classified(spark, folder, ages=staging.AGES):
 
 
 def _cohorts(spark, folder):
-    """One row per cohort with value and cumulative-user arrays."""
+    """One row per cohort with value and cumulative-user arrays, checkpointed (calendar-sized)."""
     ages = staging.AGES
     cum = [f"users_cum_{a}d" for a in ages]
     rows = PJ._regroup(_classified(spark, folder), A.sum_zero, ["total_costs"] + cum, ages)
-    return R.pack(R.pack(rows, "interval_", ages, "values"), "users_cum_", ages, "users_cum")
+    return durable(R.pack(R.pack(rows, "interval_", ages, "values"), "users_cum_", ages, "users_cum"))
 
 
-def _rates(spark, folder):
-    rows = R.mask_relative(_cohorts(spark, folder))
+def _rates(spark, folder, cohorts=None):
+    rows = R.mask_relative(_cohorts(spark, folder) if cohorts is None else cohorts)
     return rows.withColumn("values", R.growth(F.col("values")))
 
 
@@ -664,10 +664,10 @@ def triangle_dedupe(spark, folder):
 
 @query
 def triangle_exposure(spark, folder):
-    rows = R.mask_relative(_cohorts(spark, folder), "users_cum")
-    cells = R.omitted_cells(
-        _rates(spark, folder).drop("users_cum"), R.exposure(rows), staging.AGES, EXPOSED
-    )
+    cohorts = _cohorts(spark, folder)
+    exposed = R.exposure(R.mask_relative(cohorts, "users_cum"))
+    rates = _rates(spark, folder, cohorts).drop("users_cum")
+    cells = R.omitted_cells(rates, exposed, staging.AGES, EXPOSED)
     return rounded(cells, "original_value", "users_count")
 
 
@@ -728,27 +728,27 @@ def chain_ladder(spark, folder):
     table = R.with_overall(
         R.recency_last(rates, PJ.depth_for(len(staging.AGES), PJ.PROD_DEPTH)), len(staging.AGES)
     ).withColumn("values", R.to_multiplier(F.col("values")))
-    out = rows.withColumn(
-        "values", R.chain_ladder(F.col("values"), R.pick(R.as_map(table), F.col("group")))
+    out = rows.withColumn("_mult", R.pick(R.as_map(table), F.col("group"))).withColumn(
+        "values", R.chain_ladder(F.col("values"), F.col("_mult"))
     )
-    return unpack_rounded(out.drop("total_costs"), "values", "interval_", staging.AGES)
+    return unpack_rounded(out.drop("total_costs", "_mult"), "values", "interval_", staging.AGES)
 
 
 @query
 def breakeven_targets(spark, folder):
-    rows = _cohorts(spark, folder).drop("users_cum", "values")
-    rates = _rates(spark, folder)
+    cohorts = _cohorts(spark, folder)
+    rows = cohorts.drop("users_cum", "values")
+    rates = _rates(spark, folder, cohorts)
     table = R.as_map(
         R.with_overall(
             R.recency_last(rates, PJ.depth_for(len(staging.AGES), PJ.PROD_DEPTH)),
             len(staging.AGES),
         ).withColumn("values", R.to_multiplier(F.col("values")))
     )
-    targets = R.breakeven_targets(
-        F.col("total_costs"), R.pick(table, F.col("group")), staging.AGES
-    )
+    rows = rows.withColumn("_mult", R.pick(table, F.col("group")))
+    targets = R.breakeven_targets(F.col("total_costs"), F.col("_mult"), staging.AGES)
     names = {a: f"target_{a}d" for a in targets}
-    wide = rows.withColumns({names[a]: c for a, c in targets.items()})
+    wide = rows.withColumns({names[a]: c for a, c in targets.items()}).drop("_mult")
     return rounded(wide, "total_costs", *names.values(), digits=4)
 
 
@@ -897,7 +897,7 @@ def time_split(spark, folder):
 @query
 def vip_window_scores(spark, folder):
     """Five window models; window 5 has none and scores 0."""
-    rows = _labelled(spark, folder)
+    rows = durable(_labelled(spark, folder))
     models = {
         w: M.fit_logistic(rows.where(F.col("window_number") == w), _FEATURES, iterations=50)
         for w in range(5)
@@ -908,7 +908,7 @@ def vip_window_scores(spark, folder):
 
 @query
 def model_threshold_sweep(spark, folder):
-    rows = X.stratified_split(_labelled(spark, folder), "flag", "user_id", SEED)
+    rows = durable(X.stratified_split(_labelled(spark, folder), "flag", "user_id", SEED))
     fit_rows, test = rows.where(F.col("part") != "test"), rows.where(F.col("part") == "test")
     boosted = M.fit_boosted(
         fit_rows, _FEATURES, validation=F.col("part") == "val", iterations=10, rate=0.1, depth=3
@@ -923,7 +923,7 @@ def model_threshold_sweep(spark, folder):
 
 @query
 def feature_importance(spark, folder):
-    model = M.fit_boosted(_labelled(spark, folder), _FEATURES, iterations=10, rate=0.1, depth=3)
+    model = M.fit_boosted(durable(_labelled(spark, folder)), _FEATURES, iterations=10, rate=0.1, depth=3)
     return M.importance_table(spark, model, _FEATURES)
 
 

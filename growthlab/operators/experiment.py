@@ -39,13 +39,14 @@ def percentile_band(df: DataFrame, value: str, levels: list[float] = LEVELS) ->
         .select("quantiles")
         .scalar()
     )
-    pairs = F.arrays_zip(
-        F.array(*[F.lit(float(p)) for p in levels]).alias("p"), cuts.alias("q")
+    steps = F.array(*[F.lit(float(p)) for p in levels])
+    place = F.array_position(F.transform("_cuts", lambda q: F.col(value) <= q), True)
+    return (
+        df.withColumn("_cuts", cuts)
+        .withColumn("percentile", F.coalesce(F.get(steps, (place - 1).cast("int")), F.lit(100.0)))
+        .withColumn("category", category(F.col("percentile")))
+        .drop("_cuts")
     )
-    covering = F.filter(pairs, lambda s: F.col(value) <= s["q"])
-    return df.withColumn(
-        "percentile", F.coalesce(F.get(covering, F.lit(0))["p"], F.lit(100.0))
-    ).withColumn("category", category(F.col("percentile")))
 
 
 def value_band(col: Column) -> Column:

@@ -8,9 +8,11 @@ slices of that platform's rows, so no task holds a whole platform.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,6 +20,9 @@ from pyspark.sql import types as T
 
 from growthlab.functions import scalars as S
 
+# executors need not have this package installed: ship its few functions with the task
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SAMPLE = 256
 TREES = 100
 POOL = 4096
@@ -142,10 +147,10 @@ def raw_scores(
         norm = path_norm(float(model["sample_rows"].iloc[0])) or 1.0
         return rows.assign(score=-np.exp2(-total / len(trees) / norm))
 
-    slices = df.select("platform", slice_col).distinct()
-    spread = slices.join(forest, "platform")
+    slices = df.select(F.col("platform").alias("_p"), F.col(slice_col).alias("_s")).distinct()
+    spread = slices.join(forest.withColumnRenamed("platform", "_p"), "_p")
     return (
         df.groupBy("platform", slice_col)
-        .cogroup(spread.groupBy("platform", slice_col))
+        .cogroup(spread.groupBy("_p", "_s"))
         .applyInPandas(run, schema)
     )

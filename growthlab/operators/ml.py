@@ -115,7 +115,6 @@ def _assembler(df: DataFrame, features: list[str]) -> VectorAssembler:
 def fit_logistic(df: DataFrame, features: list[str], label: str = "flag", iterations: int = 500) -> PipelineModel:
     learner = LogisticRegression(
         featuresCol="_features", labelCol=label, weightCol="weight", maxIter=iterations,
-        probabilityCol="_prob", rawPredictionCol="_raw", predictionCol="_pred",
     )
     return Pipeline(stages=[_assembler(df, features), learner]).fit(_with_weights(df, label))
 
@@ -132,8 +131,7 @@ def fit_boosted(
     """Gradient-boosted trees; with a validation flag the rounds stop when it no longer improves."""
     learner = GBTClassifier(
         featuresCol="_features", labelCol=label, weightCol="weight", maxIter=iterations,
-        stepSize=rate, maxDepth=depth, seed=42, probabilityCol="_prob", rawPredictionCol="_raw",
-        predictionCol="_pred",
+        stepSize=rate, maxDepth=depth, seed=42,
     )
     rows = _with_weights(df, label)
     if validation is not None:
@@ -143,8 +141,8 @@ def fit_boosted(
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "probability_positive_class") -> DataFrame:
-    scored = model.transform(df).withColumn(out, vector_to_array("_prob")[1])
-    return scored.drop("_features", "_raw", "_prob", "_pred")
+    scored = model.transform(df).withColumn(out, vector_to_array("probability")[1])
+    return scored.drop("_features", "rawPrediction", "probability", "prediction")
 
 
 def score_by_window(

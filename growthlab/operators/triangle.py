@@ -59,9 +59,14 @@ def kept_by_run_date(weeks: Column) -> Column:
 
 def mask_relative(df: DataFrame, arr: str = "values", week: str = "su_week") -> DataFrame:
     """Maturity mask against the newest week in the data."""
-    newest = df.agg(F.max(week).alias("w")).scalar()
+    # a cohort table has one row per week and channel, small enough for one window
+    newest = F.max(week).over(W.partitionBy())
     keep = kept_relative(weeks_behind(F.col(week), newest))
-    return df.withColumn(arr, keep_first(F.col(arr), keep))
+    return (
+        df.withColumn("_keep", keep)
+        .withColumn(arr, keep_first(F.col(arr), F.col("_keep")))
+        .drop("_keep")
+    )
 
 
 def mask_by_run_date(df: DataFrame, as_of: str, arr: str = "values", week: str = "su_week") -> DataFrame:
@@ -85,21 +90,16 @@ def null_zeros(arr: Column) -> Column:
 # ---------------------------------------------------------------- growth and shape
 
 
-def fill_forward(arr: Column) -> Column:
-    return F.aggregate(
-        arr,
-        _empty(),
-        lambda acc, x: F.concat(acc, F.array(F.coalesce(x, F.try_element_at(acc, F.lit(-1))))),
-    )
-
-
 def growth(arr: Column) -> Column:
     """Change against the age before; gaps are carried forward and zero growth becomes NULL."""
-    filled = fill_forward(arr)
-    return F.transform(
-        filled,
-        lambda x, i: F.nullif(F.try_divide(x, _at(filled, i - 1)) - 1, F.lit(0.0)),
-    )
+    start = F.struct(F.lit(None).cast("double").alias("prev"), _empty().alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        now = F.coalesce(x, acc["prev"])
+        rate = F.nullif(F.try_divide(now, acc["prev"]) - 1, F.lit(0.0))
+        return F.struct(now.alias("prev"), F.concat(acc["out"], F.array(rate)).alias("out"))
+
+    return F.aggregate(arr, start, step, lambda acc: acc["out"])
 
 
 def drop_plateaus(arr: Column) -> Column:
@@ -385,7 +385,7 @@ OVERALL = "mean_overall"
 
 def as_map(multipliers: DataFrame, arr: str = "values") -> Column:
     """The multiplier table as one map value: channel groups are a fixed short list."""
-    entry = F.struct(F.coalesce("group", F.lit(OVERALL)), F.col(arr))
+    entry = F.struct(F.coalesce("group", F.lit(OVERALL)).alias("k"), F.col(arr).alias("v"))
     return multipliers.agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
 
 

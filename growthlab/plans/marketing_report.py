@@ -9,6 +9,7 @@ from growthlab.functions import scalars as S
 from growthlab.operators import joins as J
 from growthlab.operators.cleaning import trailing
 from growthlab.operators.ordered import top_per_group
+from growthlab.session import durable
 
 CHANNEL_KEYS = ["su_date", "platform", "channel", "channel_type", "channel_agg"]
 METRICS = [
@@ -259,13 +260,15 @@ def ordered_report(report: DataFrame) -> DataFrame:
 def daily_marketing_report(
     profile: DataFrame, purchase_days: DataFrame, touches: DataFrame, costs: DataFrame, as_of: str
 ) -> DataFrame:
-    """The whole report. Every branch starts from the same summary expression, so the engine's
-    exchange reuse computes the aggregates once."""
-    spend = daily_costs(costs, as_of)
-    summary = combined_daily_summary(
-        signup_conversion(profile, touches, as_of),
-        day0_roas(profile, purchase_days, touches, as_of),
-        spend,
+    """The whole report. The summary and the spend have one row per day and channel and feed every
+    part, so they are checkpointed once and the facts are read once."""
+    spend = durable(daily_costs(costs, as_of))
+    summary = durable(
+        combined_daily_summary(
+            signup_conversion(profile, touches, as_of),
+            day0_roas(profile, purchase_days, touches, as_of),
+            spend,
+        )
     )
     parts = (
         overall_platform_report(summary, spend, as_of)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from growthlab.functions import sums as A
@@ -12,6 +13,7 @@ from growthlab.functions.channels import CORE_CHANNELS, WIDE_CHANNELS, channel_g
 from growthlab.operators import cleaning as C
 from growthlab.operators import ordered as O
 from growthlab.operators import triangle as R
+from growthlab.session import durable
 
 KEYS = ["su_week", "group", "platform", "traffic_type"]
 
@@ -71,20 +73,23 @@ def _measures(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in keys]
 
 
+def _kinds(*keys: str) -> Column:
+    """Distinct traffic types per key. The input has one row per cohort, so a key's window holds
+    weeks x platforms x traffic types."""
+    return F.size(F.collect_set("traffic_type").over(W.partitionBy(*keys)))
+
+
 def merge_traffic(df: DataFrame) -> DataFrame:
     """Channels seen with both traffic types become paid; their rows are summed (NULL keys drop)."""
-    kinds = (
-        df.where(F.col("channel_type_con").isNotNull())
-        .groupBy("channel_type_con")
-        .agg(F.count_distinct("traffic_type").alias("_kinds"))
-    )
     keys = ["su_week", "channel_type_con", "platform", "traffic_type"]
+    both = _kinds("channel_type_con") == 2
     return (
-        df.join(kinds, "channel_type_con", "left")
+        df.where(F.col("channel_type_con").isNotNull())
+        .withColumn("_both", both)
         .withColumn(
-            "traffic_type",
-            F.when(F.col("_kinds") == 2, F.lit("paid")).otherwise(F.col("traffic_type")),
+            "traffic_type", F.when(F.col("_both"), F.lit("paid")).otherwise(F.col("traffic_type"))
         )
+        .drop("_both")
         .dropna(subset=keys)
         .groupBy(*keys)
         .agg(*[A.sum_zero(F.col(c)).alias(c) for c in _measures(df)])
@@ -105,13 +110,9 @@ def classify(df: DataFrame, channels: list[str]) -> DataFrame:
             "platform", F.when(F.col("group").contains("_app"), "app").otherwise(F.col("platform"))
         )
     )
-    # counts per (week, group): a calendar-sized table
-    kinds = named.groupBy("su_week", "group").agg(
-        F.count_distinct("traffic_type").alias("_kinds")
-    )
     mixed = (F.col("_kinds") > 1) & (F.col("group") != "other")
     return (
-        named.join(kinds, ["su_week", "group"], "left")
+        named.withColumn("_kinds", _kinds("su_week", "group"))
         .withColumn(
             "traffic_type", F.when(mixed, F.lit("paid")).otherwise(F.col("traffic_type"))
         )
@@ -159,12 +160,15 @@ def multiplier_table(rates: DataFrame, variant: Variant) -> DataFrame:
 def cohort_values(
     source: DataFrame, variant: Variant, as_of: str
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows to project, growth rates) as arrays per cohort."""
+    """(rows to project, growth rates) as arrays per cohort.
+
+    The classified cohort table is checkpointed: it is calendar-sized, and both results start
+    from it, so the facts are read once."""
     ages = variant.ages
     df = source.withColumn("su_week", F.to_date("su_week"))
     if variant.merge_traffic:
         df = merge_traffic(df)
-    df = classify(C.completed_weeks(df, as_of), variant.channels)
+    df = durable(classify(C.completed_weeks(df, as_of), variant.channels))
 
     if not variant.large_rows_only:
         cum = [f"users_cum_{a}d" for a in ages]
@@ -199,16 +203,17 @@ def project(source: DataFrame, variant: Variant, as_of: str) -> DataFrame:
     ages = variant.ages
     rows, rates = cohort_values(source, variant, as_of)
     table = R.as_map(multiplier_table(rates, variant))
-    mult = R.pick(table, F.col("group"))
-    own = R.pick(table, F.col("group"), fallback=variant.fill_targets)
-    if variant.fill_targets:
-        own = R.fill_slots(own, F.try_element_at(table, F.lit(R.OVERALL)))
     published = ages[:-1]
+    group = F.col("group")
     projected = (
-        rows.withColumn("_mult", mult)
-        .withColumn("_own", own)
+        rows.withColumn("_table", table)
+        .withColumn("_mult", R.pick(F.col("_table"), group))
+        .withColumn("_own", R.pick(F.col("_table"), group, fallback=variant.fill_targets))
         .withColumn("values", R.chain_ladder(F.col("values"), F.col("_mult")))
     )
+    if variant.fill_targets:
+        overall = F.try_element_at(F.col("_table"), F.lit(R.OVERALL))
+        projected = projected.withColumn("_own", R.fill_slots(F.col("_own"), overall))
     targets = R.breakeven_targets(F.col("total_costs"), F.col("_own"), ages)
     kept = projected.where(F.get("values", F.lit(0)) != 0).where(
         F.col("total_costs").isNotNull()

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from growthlab.functions import scalars as S
 
@@ -17,8 +18,15 @@ SIGNUP_LIMIT = "1995-06-20"
 AS_OF = "1995-06-05"
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A shared table; its schema is read from the footer once per path."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def compressed_day(ts: Column) -> Column:
@@ -63,51 +71,59 @@ def purchase_days(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def users(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers with a signup day."""
-    early = (
+def user_days(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per customer with a signup day and the ordered purchase days.
+
+    The day list comes from the (user, day) roll-up, so its length is bounded by the calendar."""
+    days = (
         purchase_days(spark, folder)
-        .where(F.col("purchase_date") < F.lit(SIGNUP_LIMIT).cast("date"))
         .groupBy("user_id")
-        .agg(F.max("purchase_date").alias("last_early"))
+        .agg(
+            F.array_sort(
+                F.collect_list(F.struct("purchase_date", "amount", "purchases", "first_time"))
+            ).alias("days")
+        )
+    )
+    limit = F.lit(SIGNUP_LIMIT).cast("date")
+    last_early = F.array_max(
+        F.transform(
+            F.filter("days", lambda d: d["purchase_date"] < limit), lambda d: d["purchase_date"]
+        )
     )
     spread = F.date_add(
         F.lit(EPOCH).cast("date"), ((F.col("user_id") * 11) % 168).cast("int")
     )
-    signup = F.when(F.col("user_id") % 3 == 0, F.col("last_early"))
     return (
         table(spark, folder, "customer")
         .withColumnRenamed("c_custkey", "user_id")
-        .join(early, "user_id", "left")
-        .withColumn("signup_date", F.coalesce(signup, spread))
-        .drop("last_early")
+        .join(days, "user_id", "left")
+        .withColumn(
+            "signup_date", F.coalesce(F.when(F.col("user_id") % 3 == 0, last_early), spread)
+        )
     )
 
 
+def users(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with a signup day."""
+    return user_days(spark, folder).drop("days")
+
+
 def user_profile(spark: SparkSession, folder: str) -> DataFrame:
     """user_id, signup_date, first_purchase_date (first one on or after signup), enp."""
-    u = users(spark, folder)
-    days = purchase_days(spark, folder)
-    first = (
-        u.select("user_id", "signup_date")
-        .join(days, "user_id")
-        .where(F.col("purchase_date") >= F.col("signup_date"))
-        .groupBy("user_id")
-        .agg(F.min("first_time").alias("first_purchase_date"))
-    )
-    return u.join(first, "user_id", "left").select(
+    later = F.filter("days", lambda d: d["purchase_date"] >= F.col("signup_date"))
+    return user_days(spark, folder).select(
         "user_id",
         "signup_date",
-        "first_purchase_date",
+        F.array_min(F.transform(later, lambda d: d["first_time"])).alias("first_purchase_date"),
         (F.col("c_acctbal") / 50).alias("enp"),
     )
 
 
 def signed_purchase_days(spark: SparkSession, folder: str) -> DataFrame:
-    """purchase_days with the user's signup day and the day offset from it."""
+    """Purchase days with the user's signup day and the day offset from it."""
     return (
-        purchase_days(spark, folder)
-        .join(users(spark, folder).select("user_id", "signup_date"), "user_id")
+        user_days(spark, folder)
+        .select("user_id", "signup_date", F.inline("days"))
         .withColumn("days_since_signup", F.datediff("purchase_date", "signup_date"))
     )
 
@@ -320,52 +336,73 @@ def redeem_grades(spark: SparkSession, folder: str) -> DataFrame:
 
 AGES = list(range(7, 92, 7))
 LONG_AGES = list(range(7, 141, 7))
+COHORT_KEYS = ["su_week", "channel_type_con", "platform", "traffic_type"]
 
 
-def cohort_triangle(spark: SparkSession, folder: str, ages: list[int] = AGES) -> DataFrame:
-    """Weekly signup cohorts by channel, platform and traffic with cumulative revenue per age.
-
-    Purchases are first reduced to one row per user, then to one row per cohort, so the second
-    shuffle carries users and not purchases.
-    """
-    day = F.col("days_since_signup")
-    per_user = (
-        signed_purchase_days(spark, folder)
-        .where(day.between(0, ages[-1] - 1))
-        .groupBy("user_id")
-        .agg(
-            F.min(day).alias("_first_age"),
-            *[F.sum(F.when(day < a, F.col("amount"))).alias(f"_rev_{a}") for a in ages],
-            *[
-                F.max(F.when((day < a) & (day >= a - 7), 1).otherwise(0)).alias(f"_in_{a}")
-                for a in ages
-            ],
-        )
+def _age_rows(days: Column, signup: Column, weeks: int) -> Column:
+    """Ordered purchase days -> (age in weeks, amount) for the first ages."""
+    inside = F.filter(
+        days, lambda d: F.datediff(d["purchase_date"], signup).between(0, 7 * weeks - 1)
     )
-    base = users(spark, folder).select("user_id", "signup_date").join(
-        attribution(spark, folder), "user_id"
+    return F.transform(
+        inside,
+        lambda d: F.struct(
+            F.floor(F.datediff(d["purchase_date"], signup) / 7).cast("int").alias("age"),
+            d["amount"].alias("amount"),
+        ),
     )
-    keys = ["su_week", "channel_type_con", "platform", "traffic_type"]
-    cohorts = (
-        base.withColumn("su_week", S.week_monday(F.col("signup_date")))
-        .withColumn(
-            "channel_type_con",
+
+
+def cohort_ages(spark: SparkSession, folder: str, weeks: int) -> DataFrame:
+    """(cohort, age in weeks) sums: revenue, users buying at that age, users buying first then.
+
+    Each user's ordered days are cut into ages on the user row, so the only fact-sized shuffles
+    are those of user_days. Users without purchases keep one row with a NULL age."""
+    touches = attribution(spark, folder)
+    rows = (
+        user_days(spark, folder)
+        .select(
+            "user_id", "signup_date", _age_rows(F.col("days"), F.col("signup_date"), weeks).alias("_d")
+        )
+        .join(touches, "user_id")
+        .select(
+            S.week_monday(F.col("signup_date")).alias("su_week"),
             S.merge_restricted(
                 S.spend_key(F.col("platform"), F.col("channel"), F.col("channel_type"))
-            ),
-        )
-        .withColumn("platform", F.lower("platform"))
-        .withColumn("traffic_type", F.lower("traffic_type"))
-        .join(per_user, "user_id", "left")
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("total_users"),
-            F.count("_first_age").alias("total_paid"),
-            *[F.coalesce(F.sum(f"_rev_{a}"), F.lit(0.0)).alias(f"interval_{a}d") for a in ages],
-            *[F.coalesce(F.sum(f"_in_{a}"), F.lit(0)).alias(f"users_{a}d") for a in ages],
-            *[F.count_if(F.col("_first_age") < a).alias(f"users_cum_{a}d") for a in ages],
+            ).alias("channel_type_con"),
+            F.lower("platform").alias("platform"),
+            F.lower("traffic_type").alias("traffic_type"),
+            "_d",
+            F.posexplode_outer("_d").alias("_pos", "_one"),
         )
     )
+    before = F.get(F.col("_d"), F.col("_pos") - 1)["age"]
+    first = F.col("_pos") == 0
+    return rows.groupBy(*COHORT_KEYS, F.col("_one.age").alias("age")).agg(
+        F.coalesce(F.sum("_one.amount"), F.lit(0.0)).alias("revenue"),
+        F.count_if(first | (before != F.col("_one.age"))).alias("buyers"),
+        F.count_if(first).alias("first_buyers"),
+        F.count_if(first | F.col("_pos").isNull()).alias("users"),
+    )
+
+
+def cohort_triangle(spark: SparkSession, folder: str, ages: list[int] = AGES) -> DataFrame:
+    """Weekly signup cohorts by channel, platform and traffic with cumulative revenue per age, in
+    the published wide shape."""
+    per_age = F.struct("age", "revenue", "buyers", "first_buyers")
+    cohorts = cohort_ages(spark, folder, len(ages)).groupBy(*COHORT_KEYS).agg(
+        F.sum("users").alias("total_users"),
+        F.sum("first_buyers").alias("total_paid"),
+        F.collect_list(F.when(F.col("age").isNotNull(), per_age)).alias("_ages"),
+    )
+
+    def total(field: str, wanted) -> Column:
+        return F.aggregate(
+            F.filter("_ages", lambda s: wanted(s["age"])),
+            F.lit(0).cast("double" if field == "revenue" else "bigint"),
+            lambda acc, s: acc + s[field],
+        )
+
     costs = (
         channel_costs(spark, folder)
         .groupBy(
@@ -378,13 +415,16 @@ def cohort_triangle(spark: SparkSession, folder: str, ages: list[int] = AGES) ->
         .agg(F.sum("cost").alias("total_costs"))
     )
     return cohorts.join(costs, ["su_week", "channel_type_con", "platform"], "left").select(
-        *keys,
+        *COHORT_KEYS,
         F.when(F.col("traffic_type") == "organic", F.lit(0.0))
         .otherwise(F.coalesce(F.col("total_costs"), F.lit(0.0)))
         .alias("total_costs"),
         "total_users",
         "total_paid",
-        *[f"interval_{a}d" for a in ages],
-        *[f"users_{a}d" for a in ages],
-        *[f"users_cum_{a}d" for a in ages],
+        *[total("revenue", lambda x, i=i: x <= i).alias(f"interval_{a}d") for i, a in enumerate(ages)],
+        *[total("buyers", lambda x, i=i: x == i).alias(f"users_{a}d") for i, a in enumerate(ages)],
+        *[
+            total("first_buyers", lambda x, i=i: x <= i).alias(f"users_cum_{a}d")
+            for i, a in enumerate(ages)
+        ],
     )
