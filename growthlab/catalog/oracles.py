@@ -29,6 +29,10 @@ def r(expr: str, alias: str, digits: int = 6) -> str:
     return f"round(CAST({expr} AS DOUBLE), {digits}) + 0.0 AS {alias}"
 
 
+def half_up(expr: str, digits: int = 0) -> str:
+    return f"round(round({expr}, {digits + 7}), {digits})"
+
+
 def div(a: str, b: str) -> str:
     return f"(({a}) / nullif(CAST({b} AS DOUBLE), 0))"
 
@@ -45,7 +49,7 @@ FIRST_PARTS = dict(
         FROM fact_purchase) WHERE rn = 1 AND purchase_time > TIMESTAMP '{FIRST}' AND purchase_time < TIMESTAMP '{LAST}'""",
     day_totals="""SELECT f.user_id, first_purchase_time, first_purchase_amt,
         CAST(round(date_sub('hour', first_purchase_time, purchase_time) / 24.0) AS BIGINT) AS days_since_first_purchase,
-        round(sum(purchase_amount)) AS daily_total
+        round(round(sum(purchase_amount), 7)) AS daily_total
         FROM first_of_user f JOIN fact_purchase p ON p.user_id = f.user_id
         WHERE date_sub('hour', first_purchase_time, purchase_time) < 740 GROUP BY 1, 2, 3, 4""",
     first_cumsum="""SELECT *, round(sum(daily_total) OVER (PARTITION BY user_id ORDER BY days_since_first_purchase)) AS cum_sum
@@ -87,7 +91,7 @@ add(
 )
 add(
     "curated_view_chargebacks",
-    f"""SELECT g.segment, b.provider, count(*) AS chargebacks, {r('sum(b.amount)', 'amount', 4)}
+    f"""SELECT g.segment, b.provider, count(*) AS chargebacks, {r('sum(b.amount)', 'amount')}
     FROM chargebacks b JOIN purchase_transaction p ON p.transaction_id = b.transaction_id
     JOIN redeem_grades g ON g.user_id = p.user_id GROUP BY 1, 2""",
 )
@@ -95,14 +99,14 @@ add(
     "basic_joins",
     f"""SELECT r_name AS name_y, CASE c_mktsegment WHEN 'BUILDING' THEN 'house' WHEN 'MACHINERY' THEN 'tools' ELSE 'rest' END AS segment_label,
     count(*) AS users, count(s.amount) AS buyers, CAST(sum(s.purchases) AS BIGINT) AS purchases,
-    {r('sum(s.amount)', 'amount', 4)}, {r('sum(s.amount * 1.5)', 'target', 4)}
+    {r('sum(s.amount)', 'amount')}, {r('sum(s.amount * 1.5)', 'target')}
     FROM customer c LEFT JOIN (SELECT user_id, sum(amount) AS amount, sum(purchases) AS purchases
     FROM purchase_days GROUP BY 1) s ON s.user_id = c.c_custkey
     JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1, 2""",
 )
 add(
     "limit_hours",
-    f"""SELECT CAST(h AS INTEGER) AS limit_h, count(*) AS rows, count(DISTINCT user_id) AS users, {r('sum(amount)', 'amount', 4)}
+    f"""SELECT CAST(h AS INTEGER) AS limit_h, count(*) AS rows, count(DISTINCT user_id) AS users, {r('sum(amount)', 'amount')}
     FROM signed_purchase_days, (VALUES (24), (48), (96)) AS l(h)
     WHERE days_since_signup >= 0 AND (first_time - CAST(signup_date AS TIMESTAMP) <= to_hours(h)
     OR CAST(purchase_date AS TIMESTAMP) + INTERVAL 6 HOUR - CAST(signup_date AS TIMESTAMP) <= to_hours(h)) GROUP BY 1""",
@@ -125,17 +129,17 @@ KPI = dict(
     kpi_anchor="""SELECT h_user_id, max(signup_date) AS a_signup, max(first_purchase_date) AS a_first FROM main_kpi
         WHERE first_purchase_date IS NOT NULL GROUP BY 1""",
     kpi96=f"""SELECT d.h_user_id AS user_id, a_signup AS signup_date, a_first AS first_purchase_date, d.signup_platform, d.first_geo_region,
-        round(sum(sc_total_bet_amount)) AS total_bet_amt, round(sum(sc_total_win_amount)) AS total_win_amt_sc,
-        round(sum(cc_total_win_amount)) AS total_win_amt_cc,
-        round({div('sum(sc_total_bet_amount)', 'sum(sc_total_bet_transactions)')}, 3) AS avg_spin_amt,
-        round({div('sum(sc_total_win_amount)', 'sum(sc_total_bet_amount)')}, 3) AS rtp_ratio,
-        round(sum(sc_total_win_amount) - sum(sc_total_bet_amount)) + 0.0 AS ggr_amt, min(channel) AS channel,
+        {half_up('sum(sc_total_bet_amount)')} AS total_bet_amt, {half_up('sum(sc_total_win_amount)')} AS total_win_amt_sc,
+        {half_up('sum(cc_total_win_amount)')} AS total_win_amt_cc,
+        {half_up(div('sum(sc_total_bet_amount)', 'sum(sc_total_bet_transactions)'), 3)} AS avg_spin_amt,
+        {half_up(div('sum(sc_total_win_amount)', 'sum(sc_total_bet_amount)'), 3)} AS rtp_ratio,
+        {half_up('sum(sc_total_win_amount) - sum(sc_total_bet_amount)')} + 0.0 AS ggr_amt, min(channel) AS channel,
         min(substr(email, strpos(email, '@') + 1)) AS signup_email_domain, count(d.h_user_id) AS logins_first_96h,
         CAST(sum(sc_total_bet_transactions) AS BIGINT) AS total_bet_txn,
-        {r('max(purchase_amount)', 'max_purchase_amt_horly', 4)}, {r('max(redeem_amount)', 'max_redeem_amt_hourly', 4)},
-        {r('sum(redeem_amount)', 'sum_redeem_amt', 4)}, CAST(sum(redeem_transactions) AS BIGINT) AS sum_redeem_txn,
-        {r('sum(purchase_amount)', 'sum_amt_total', 4)}, CAST(sum(total_transactions) AS BIGINT) AS cnt_txn_total,
-        {r('max(eod_sc_balance)', 'max_eod_sc_balance', 4)}
+        {r('max(purchase_amount)', 'max_purchase_amt_horly')}, {r('max(redeem_amount)', 'max_redeem_amt_hourly')},
+        {r('sum(redeem_amount)', 'sum_redeem_amt')}, CAST(sum(redeem_transactions) AS BIGINT) AS sum_redeem_txn,
+        {r('sum(purchase_amount)', 'sum_amt_total')}, CAST(sum(total_transactions) AS BIGINT) AS cnt_txn_total,
+        {r('max(eod_sc_balance)', 'max_eod_sc_balance')}
         FROM main_kpi d JOIN kpi_anchor m ON d.h_user_id = m.h_user_id
         WHERE date_sub('hour', a_first, hour) BETWEEN 0 AND 96 AND a_first > TIMESTAMP '2023-11-01' AND a_first < TIMESTAMP '2024-08-20'
         GROUP BY ALL""",
@@ -148,9 +152,9 @@ add(
 add(
     "missing_flags",
     f"""SELECT u.h_user_id AS user_id, coalesce(u.channel, 'other') AS channel,
-    {r('coalesce(k.avg_spin_amt, 0)', 'avg_spin_amt', 4)}, {r('coalesce(k.rtp_ratio, 0)', 'rtp_ratio', 4)},
+    {r('coalesce(k.avg_spin_amt, 0)', 'avg_spin_amt')}, {r('coalesce(k.rtp_ratio, 0)', 'rtp_ratio')},
     CAST(k.avg_spin_amt IS NULL AS INTEGER) AS avg_spin_amt_is_missing, CAST(k.rtp_ratio IS NULL AS INTEGER) AS rtp_ratio_is_missing,
-    {r("coalesce(date_sub('second', u.signup_date, u.first_purchase_date) / 3600.0, max(date_sub('second', u.signup_date, u.first_purchase_date) / 3600.0) OVER ())", 'hours_to_first_purchase', 4)}
+    {r("coalesce(date_sub('second', u.signup_date, u.first_purchase_date) / 3600.0, max(date_sub('second', u.signup_date, u.first_purchase_date) / 3600.0) OVER ())", 'hours_to_first_purchase')}
     FROM event_users u LEFT JOIN kpi96 k ON k.user_id = u.h_user_id""",
     **KPI,
 )
@@ -180,8 +184,8 @@ add(
 
 add(
     "null_sum_variants",
-    f"""SELECT channel, platform, {r('coalesce(sum(c), 0)', 'zero_sum', 4)}, {r('sum(c)', 'null_sum', 4)},
-    {r('CASE WHEN count(c) = count(*) THEN sum(c) END', 'strict_sum', 4)}, max(c) AS top, min(c) AS low, count(c) AS n
+    f"""SELECT channel, platform, {r('coalesce(sum(c), 0)', 'zero_sum')}, {r('sum(c)', 'null_sum')},
+    {r('CASE WHEN count(c) = count(*) THEN sum(c) END', 'strict_sum')}, max(c) AS top, min(c) AS low, count(c) AS n
     FROM (SELECT *, CASE WHEN channel_type IS NOT NULL THEN cpa_cost END AS c FROM attribution) GROUP BY 1, 2""",
 )
 add(
@@ -197,8 +201,8 @@ add(
     "bets_first_4d",
     f"""SELECT b.user_id, max(days_of_activity) AS days_of_activity, {ts_text('max(first_purchase_date)')} AS first_purchase_date,
     max(max_bet_amount) AS max_bet_amt, min(min_bet_amount) AS min_bet_amount, max(max_win_amount) AS max_win_amt,
-    {r('avg(rounds_bet)', 'avg_rounds_bet', 4)}, {r('avg(bet_amount)', 'avg_bet_amt', 4)},
-    max(unique_games_day) AS max_daily_games_unique, {r('sum(bonus_promotion_win_amount)', 'sum_bonus_promotion_bet_amount', 4)}
+    {r('avg(rounds_bet)', 'avg_rounds_bet')}, {r('avg(bet_amount)', 'avg_bet_amt')},
+    max(unique_games_day) AS max_daily_games_unique, {r('sum(bonus_promotion_win_amount)', 'sum_bonus_promotion_bet_amount')}
     FROM daily_bets b JOIN (SELECT h_user_id, max(first_purchase_date) AS first_purchase_date,
     count(DISTINCT CAST(hour AS DATE)) AS days_of_activity FROM main_kpi
     WHERE hour >= first_purchase_date AND hour < first_purchase_date + INTERVAL 96 HOUR GROUP BY 1) k ON k.h_user_id = b.user_id
@@ -207,7 +211,7 @@ add(
 )
 GRID = dict(
     FIRST_PARTS,
-    day_grid="""SELECT u.user_id, CAST(d AS BIGINT) AS days_since_first_purchase, t.cum_sum, t.daily_total
+    day_grid="""SELECT u.user_id, CAST(d AS INTEGER) AS days_since_first_purchase, t.cum_sum, t.daily_total
         FROM (SELECT DISTINCT user_id FROM first_cumsum) u CROSS JOIN range(0, 51) AS g(d)
         LEFT JOIN first_cumsum t ON t.user_id = u.user_id AND t.days_since_first_purchase = d""",
     day_filled="""SELECT user_id, days_since_first_purchase,
@@ -319,7 +323,7 @@ add(
     "order_value_quantiles",
     "SELECT o_orderpriority, "
     + ", ".join(
-        r(f"quantile_cont(o_totalprice, {p})", n, 4)
+        r(f"quantile_cont(o_totalprice, {p})", n)
         for p, n in ((0.01, "q01"), (0.25, "q25"), (0.5, "q50"), (0.75, "q75"), (0.99, "q99"))
     )
     + " FROM orders GROUP BY 1",
@@ -343,7 +347,7 @@ REPORT = dict(
     signups=f"""SELECT signup_date AS su_date, lower(coalesce(platform, 'unknown')) AS platform, channel, channel_type,
         {_LABEL} AS channel_agg, count(p.user_id) AS total_signups,
         count(CASE WHEN signup_date = CAST(first_purchase_date AS DATE) THEN 1 END) AS day0_conversions,
-        round({div('count(CASE WHEN signup_date = CAST(first_purchase_date AS DATE) THEN 1 END)', 'count(p.user_id)')} * 100, 2) AS conversion_rate
+        {half_up(div('count(CASE WHEN signup_date = CAST(first_purchase_date AS DATE) THEN 1 END)', 'count(p.user_id)') + ' * 100', 2)} AS conversion_rate
         FROM user_profile p LEFT JOIN attribution a ON a.user_id = p.user_id WHERE signup_date {_RECENT} GROUP BY 1, 2, 3, 4, 5""",
     day0=f"""SELECT signup_date AS su_date, lower(coalesce(platform, 'unknown')) AS platform, channel, channel_type,
         {_LABEL} AS channel_agg, count(p.user_id) AS total_users, count(f.user_id) AS paid_users,
@@ -403,19 +407,19 @@ def _segment(name: str, keys: str) -> str:
 
 def _averages(source: str, keys: str) -> str:
     whole = COUNTS + ["d0_total_amount", "total_cost"]
-    return f"""SELECT {keys}, {', '.join(f'round(avg({c}), 0) AS {c}' for c in whole)},
-        round(avg(rate), 2) AS conversion_rate, round(avg(roas_d0), 3) AS roas_d0 FROM {source} GROUP BY {keys}"""
+    return f"""SELECT {keys}, {', '.join(f'{half_up(f"avg({c})")} AS {c}' for c in whole)},
+        {half_up('avg(rate)', 2)} AS conversion_rate, {half_up('avg(roas_d0)', 3)} AS roas_d0 FROM {source} GROUP BY {keys}"""
 
 
 def _report(source: str, period: str, segment: str) -> str:
-    cols = ", ".join(r(f"coalesce({m}, 0)", m, 4) for m in METRICS)
+    cols = ", ".join(r(f"coalesce({m}, 0)", m) for m in METRICS)
     return f"SELECT '{period}' AS period, {segment} AS segment, platform, channel_agg, {cols} FROM {source}"
 
 
 REPORT_ALL = dict(
     REPORT,
     segment_days=_segment("Overall", "") + " UNION ALL " + _segment("Platform", "platform"),
-    segment_yesterday=f"SELECT *, round(rate, 2) AS conversion_rate FROM segment_days WHERE su_date = DATE '{AS_OF}' - 1",
+    segment_yesterday=f"SELECT *, round(round(rate, 9), 2) AS conversion_rate FROM segment_days WHERE su_date = DATE '{AS_OF}' - 1",
     segment_past=f"SELECT * FROM segment_days WHERE su_date BETWEEN DATE '{AS_OF}' - 8 AND DATE '{AS_OF}' - 2",
     segment_week=_averages("segment_past", "segment, platform, channel_agg"),
     top_twelve=f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY platform ORDER BY total_signups DESC, channel_agg,
@@ -473,13 +477,13 @@ add(
 def _roas(day: str) -> str:
     rev = ", ".join(f"c.revenue_d{d}" for d in REVENUE_DAYS)
     roas = ", ".join(
-        f"CASE WHEN coalesce(k.cost, 0) > 0 THEN round(c.revenue_d{d} / k.cost, 3) ELSE 0 END AS roas_d{d}"
+        f"CASE WHEN coalesce(k.cost, 0) > 0 THEN {half_up(f"c.revenue_d{d} / k.cost", 3)} ELSE 0 END AS roas_d{d}"
         for d in REVENUE_DAYS
     )
     return f"""SELECT c.cohort_date, coalesce(c.channel_type_con, 'organic') AS channel_type_con, c.platform, c.traffic_type,
         c.total_users, c.total_paid, round(coalesce(k.cost, 0)) AS daily_cost, {roas}, {rev}
         FROM day_cohorts c LEFT JOIN (SELECT {day} AS day, CASE WHEN lower(platform) LIKE '%app%' THEN lower(channel || '_app')
-        ELSE lower(channel || '_' || channel_type) END AS key, lower(platform) AS platform, round(sum(cost)) AS cost
+        ELSE lower(channel || '_' || channel_type) END AS key, lower(platform) AS platform, round(round(sum(cost), 7)) AS cost
         FROM channel_costs GROUP BY ALL) k
         ON k.day = c.cohort_date AND k.key = c.channel_type_con AND k.platform = c.platform AND c.traffic_type = 'paid'"""
 
@@ -489,7 +493,7 @@ COHORT = dict(
     day_cohorts="""SELECT p.signup_date AS cohort_date, CASE WHEN a.key = 'restricted_app' THEN 'facebook_app' ELSE a.key END AS channel_type_con,
         a.platform, a.traffic_type, count(DISTINCT a.user_id) AS total_users,
         count(DISTINCT CASE WHEN p.first_purchase_date IS NOT NULL THEN p.user_id END) AS total_paid, """
-    + ", ".join(f"round(sum(revenue_d{d})) AS revenue_d{d}" for d in REVENUE_DAYS)
+    + ", ".join(f"round(round(sum(revenue_d{d}), 7)) AS revenue_d{d}" for d in REVENUE_DAYS)
     + """ FROM (SELECT DISTINCT user_id, lower(channel || '_' || channel_type) AS key,
         CASE WHEN channel = 'organic' THEN 'organic' ELSE lower(traffic_type) END AS traffic_type, lower(platform) AS platform FROM attribution) a
         LEFT JOIN user_profile p ON p.user_id = a.user_id LEFT JOIN day_revenue d ON d.user_id = p.user_id GROUP BY 1, 2, 3, 4""",
@@ -786,8 +790,8 @@ def _target(i: int) -> str:
 
 add(
     "breakeven_targets",
-    f"SELECT {OUT_KEY}, {r('total_costs', 'total_costs', 4)}, "
-    + ", ".join(r(_target(i), f"target_{AGES[i]}d", 4) for i in range(8))
+    f"SELECT {OUT_KEY}, {r('total_costs', 'total_costs')}, "
+    + ", ".join(r(_target(i), f"target_{AGES[i]}d") for i in range(8))
     + f" FROM ({_with_multiplier('(SELECT ' + KEY + ', total_costs FROM cohorts)', 'simple_table')})",
     **SIMPLE,
 )
@@ -1032,7 +1036,7 @@ add(
     + ", ".join(f"quantile_cont(purchase_amount, {p / 100}) AS q{i}" for i, p in enumerate(_LEVELS))
     + " FROM amounts))",
     **LABELLED,
-    amounts="SELECT user_id, round(sum_amt_total, 4) AS purchase_amount FROM labelled",
+    amounts="SELECT user_id, round(sum_amt_total, 6) AS purchase_amount FROM labelled",
 )
 ARMS = dict(
     LABELLED,
@@ -1065,15 +1069,15 @@ def _kpis(keys: str) -> str:
 
 add(
     "payment_kpis",
-    f"""SELECT * REPLACE ({r('revenue', 'revenue', 4)}, {r('avg_amount', 'avg_amount', 4)}, {r('success_rate', 'success_rate', 4)})
+    f"""SELECT * REPLACE ({r('revenue', 'revenue')}, {r('avg_amount', 'avg_amount')}, {r('success_rate', 'success_rate')})
     FROM ({_kpis('provider, period')} FROM (SELECT *, CAST(date_trunc('month', day) AS DATE) AS period FROM purchase_transaction) GROUP BY 1, 2)""",
 )
 add(
     "chargeback_ratio",
-    f"""SELECT provider, band, transactions, {r('volume', 'volume', 4)}, chargebacks, {r('chargeback_value', 'chargeback_value', 4)},
-    {r(div('chargebacks', 'transactions') + ' * 100', 'chargeback_ratio', 4)},
+    f"""SELECT provider, band, transactions, {r('volume', 'volume')}, chargebacks, {r('chargeback_value', 'chargeback_value')},
+    {r(div('chargebacks', 'transactions') + ' * 100', 'chargeback_ratio')},
     CASE WHEN {div('chargebacks', 'transactions')} * 100 < 1 THEN 'good' WHEN {div('chargebacks', 'transactions')} * 100 <= 2 THEN 'concerning' ELSE 'critical' END AS alert,
-    {r(div('chargeback_value', 'volume') + ' * 100', 'value_share', 4)}
+    {r(div('chargeback_value', 'volume') + ' * 100', 'value_share')}
     FROM (SELECT p.*, coalesce(b.n, 0) AS chargebacks, coalesce(b.value, 0) AS chargeback_value
     FROM (SELECT provider, {_BAND} AS band, count(*) AS transactions, sum(amount) AS volume FROM purchase_transaction GROUP BY 1, 2) p
     LEFT JOIN (SELECT provider, {_BAND} AS band, count(*) AS n, sum(amount) AS value FROM chargebacks GROUP BY 1, 2) b
@@ -1087,8 +1091,8 @@ add(
 )
 add(
     "kpi_period_change",
-    f"""SELECT period, attempts, {r('success_rate', 'success_rate', 4)}, {r('revenue', 'revenue', 4)}, low_sample, {r('rate_change', 'rate_change', 4)},
-    {r(div('revenue - rev_before', 'rev_before') + ' * 100', 'revenue_change_pct', 4)},
+    f"""SELECT period, attempts, {r('success_rate', 'success_rate')}, {r('revenue', 'revenue')}, low_sample, {r('rate_change', 'rate_change')},
+    {r(div('revenue - rev_before', 'rev_before') + ' * 100', 'revenue_change_pct')},
     CASE WHEN rate_change < -5 THEN 'PERFORMANCE INVESTIGATION NEEDED' END AS investigation
     FROM (SELECT *, success_rate - lag(success_rate) OVER (ORDER BY period) AS rate_change, lag(revenue) OVER (ORDER BY period) AS rev_before
     FROM ({_kpis('period')} FROM (SELECT *, CAST(date_trunc('week', day) AS DATE) AS period FROM purchase_transaction) GROUP BY 1))""",

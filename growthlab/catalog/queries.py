@@ -182,7 +182,7 @@ def curated_view_chargebacks(spark, folder):
     out = joined.groupBy("segment", "provider").agg(
         F.count(F.lit(1)).alias("chargebacks"), F.sum("amount").alias("amount")
     )
-    return rounded(out, "amount", digits=4)
+    return rounded(out, "amount")
 
 
 @query
@@ -209,7 +209,7 @@ def basic_joins(spark, folder):
         F.sum("amount").alias("amount"),
         F.sum(F.col("amount") * F.lit(1.5)).alias("target"),
     )
-    return rounded(out, "amount", "target", digits=4)
+    return rounded(out, "amount", "target")
 
 
 @query
@@ -231,7 +231,7 @@ def limit_hours(spark, folder):
         F.count_distinct("user_id").alias("users"),
         F.sum("amount").alias("amount"),
     )
-    return rounded(out, "amount", digits=4)
+    return rounded(out, "amount")
 
 
 @query
@@ -267,7 +267,7 @@ def missing_flags(spark, folder):
     out = filled.withColumn("channel", F.coalesce("channel", F.lit("other"))).drop(
         "signup_date", "first_purchase_date"
     )
-    return rounded(out, "hours_to_first_purchase", "avg_spin_amt", "rtp_ratio", digits=4)
+    return rounded(out, "hours_to_first_purchase", "avg_spin_amt", "rtp_ratio")
 
 
 @query
@@ -324,7 +324,7 @@ def null_sum_variants(spark, folder):
         F.min("c").alias("low"),
         F.count("c").alias("n"),
     )
-    return rounded(out, "zero_sum", "null_sum", "strict_sum", digits=4)
+    return rounded(out, "zero_sum", "null_sum", "strict_sum")
 
 
 @query
@@ -360,7 +360,7 @@ def kpi_first_96h(spark, folder):
     text = {c: as_text(F.col(c)) for c in ("signup_date", "first_purchase_date")}
     return rounded(
         out.withColumns(text), "max_purchase_amt_horly", "max_redeem_amt_hourly",
-        "sum_redeem_amt", "sum_amt_total", "max_eod_sc_balance", digits=4,
+        "sum_redeem_amt", "sum_amt_total", "max_eod_sc_balance"
     )
 
 
@@ -371,7 +371,7 @@ def bets_first_4d(spark, folder):
     )
     return rounded(
         out.withColumn("first_purchase_date", as_text(F.col("first_purchase_date"))),
-        "avg_rounds_bet", "avg_bet_amt", "sum_bonus_promotion_bet_amount", digits=4,
+        "avg_rounds_bet", "avg_bet_amt", "sum_bonus_promotion_bet_amount"
     )
 
 
@@ -482,7 +482,7 @@ def order_value_quantiles(spark, folder):
     wide = out.select(
         "o_orderpriority", *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(names)]
     )
-    return rounded(wide, *names, digits=4)
+    return rounded(wide, *names)
 
 
 @query
@@ -545,7 +545,7 @@ def combined_daily_summary(spark, folder):
 @query
 def report_overall_platform(spark, folder):
     summary, spend = _summary(spark, folder)
-    return rounded(MR.overall_platform_report(summary, spend, AS_OF), *MR.METRICS, digits=4)
+    return rounded(MR.overall_platform_report(summary, spend, AS_OF), *MR.METRICS)
 
 
 @query
@@ -557,7 +557,7 @@ def top_channels_by_platform(spark, folder):
 @query
 def daily_marketing_report(spark, folder):
     report = MR.daily_marketing_report(*_report_inputs(spark, folder), AS_OF)
-    return rounded(report, *MR.METRICS, digits=4)
+    return rounded(report, *MR.METRICS)
 
 
 @query
@@ -749,7 +749,7 @@ def breakeven_targets(spark, folder):
     targets = R.breakeven_targets(F.col("total_costs"), F.col("_mult"), staging.AGES)
     names = {a: f"target_{a}d" for a in targets}
     wide = rows.withColumns({names[a]: c for a, c in targets.items()}).drop("_mult")
-    return rounded(wide, "total_costs", *names.values(), digits=4)
+    return rounded(wide, "total_costs", *names.values())
 
 
 _PROD = PJ.Variant(**{**PJ.PROD.__dict__, "exposure_users": EXPOSED})
@@ -1004,7 +1004,7 @@ def random_half(spark, folder):
 @query
 def percentile_band(spark, folder):
     rows = _labelled(spark, folder).select(
-        "user_id", F.round("sum_amt_total", 4).alias("purchase_amount")
+        "user_id", F.round("sum_amt_total", DIGITS).alias("purchase_amount")
     )
     return X.percentile_band(rows, "purchase_amount")
 
@@ -1030,7 +1030,7 @@ def crosstab_arms(spark, folder):
 def payment_kpis(spark, folder):
     pay = staging.purchase_transaction(spark, folder).withColumn("period", F.trunc("day", "month"))
     out = K.payment_kpis(pay, ["provider", "period"])
-    return rounded(out, "revenue", "avg_amount", "success_rate", digits=4)
+    return rounded(out, "revenue", "avg_amount", "success_rate")
 
 
 @query
@@ -1039,7 +1039,7 @@ def chargeback_ratio(spark, folder):
     back = staging.chargebacks(spark, folder).withColumn("band", K.amount_band(F.col("amount")))
     out = K.chargeback_ratio(pay, back, ["provider", "band"])
     return rounded(
-        out, "volume", "chargeback_value", "chargeback_ratio", "value_share", digits=4
+        out, "volume", "chargeback_value", "chargeback_ratio", "value_share", 
     )
 
 
@@ -1053,7 +1053,7 @@ def grade_distribution(spark, folder):
 def kpi_period_change(spark, folder):
     out = K.period_change(staging.purchase_transaction(spark, folder), "week")
     return rounded(
-        out, "success_rate", "revenue", "rate_change", "revenue_change_pct", digits=4
+        out, "success_rate", "revenue", "rate_change", "revenue_change_pct", 
     )
 
 

@@ -91,7 +91,7 @@ VIEWS: dict[str, str] = {
         WHEN 3 THEN 'Affiliate Net' END AS channel,
         CASE l_partkey % 3 WHEN 0 THEN 'Paid Search' WHEN 1 THEN 'Paid Social' ELSE 'Content' END AS channel_type,
         CASE WHEN l_orderkey % 2 = 0 THEN 'App' ELSE 'Web' END AS platform,
-        l_extendedprice / 100000 AS cost FROM lineitem""",
+        l_extendedprice / 10000 AS cost FROM lineitem""",
     "event_hours": """SELECT user_id AS h_user_id, date_trunc('hour', ts) AS hour,
         coalesce(sum(CASE WHEN event_type = 'click' THEN value END), 0) AS sc_total_bet_amount,
         coalesce(sum(CASE WHEN event_type = 'view' THEN value END), 0) AS sc_total_win_amount,

@@ -33,7 +33,15 @@ def nan_to_null(col: Column) -> Column:
 
 
 def half_even(col: Column, digits: int = 0) -> Column:
-    return F.bround(col, digits)
+    """Half-to-even on the scaled binary value, as array libraries round."""
+    scale = float(10**digits)
+    return F.rint(col * scale) / scale if digits else F.rint(col)
+
+
+def half_up(col: Column, digits: int = 0) -> Column:
+    """Half away from zero. The last bits of a float sum depend on the order of addition, so they
+    are dropped first; otherwise exact halves would round at random."""
+    return F.round(F.round(col, digits + 7), digits)
 
 
 def log_eps(col: Column) -> Column:

@@ -64,7 +64,7 @@ def first_purchase_cumsum(
             # the warehouse cast rounds to the nearest day
             F.round(elapsed / 24).cast("bigint").alias("days_since_first_purchase"),
         )
-        .agg(F.round(F.sum("_amount")).alias("daily_total"))
+        .agg(S.half_up(F.sum("_amount")).alias("daily_total"))
     )
     by_day = W.partitionBy("user_id").orderBy("days_since_first_purchase")
     return daily.withColumn("cum_sum", F.round(F.sum("daily_total").over(by_day)))
@@ -107,16 +107,16 @@ def kpi_first_hours(kpi: DataFrame, start: str, end: str, hours: int = 96) -> Da
             "first_geo_region",
         )
         .agg(
-            F.round(bet).alias("total_bet_amt"),
-            F.round(win).alias("total_win_amt_sc"),
-            F.round(F.sum("cc_total_win_amount")).alias("total_win_amt_cc"),
-            F.round(
+            S.half_up(bet).alias("total_bet_amt"),
+            S.half_up(win).alias("total_win_amt_sc"),
+            S.half_up(F.sum("cc_total_win_amount")).alias("total_win_amt_cc"),
+            S.half_up(
                 A.ratio(F.col("sc_total_bet_amount"), F.col("sc_total_bet_transactions")), 3
             ).alias("avg_spin_amt"),
-            F.round(
+            S.half_up(
                 A.ratio(F.col("sc_total_win_amount"), F.col("sc_total_bet_amount")), 3
             ).alias("rtp_ratio"),
-            F.round(win - bet).alias("ggr_amt"),
+            S.half_up(win - bet).alias("ggr_amt"),
             F.min("channel").alias("channel"),
             F.min(S.email_domain(F.col("email"))).alias("signup_email_domain"),
             F.count("h_user_id").alias("logins_first_96h"),

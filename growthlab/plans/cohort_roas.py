@@ -39,7 +39,7 @@ def daily_cohorts(
         .agg(
             F.count_distinct("user_id").alias("total_users"),
             F.count_distinct("user_paid").alias("total_paid"),
-            *[F.round(F.sum(f"revenue_d{d}")).alias(f"revenue_d{d}") for d in days],
+            *[S.half_up(F.sum(f"revenue_d{d}")).alias(f"revenue_d{d}") for d in days],
         )
     )
 
@@ -55,7 +55,7 @@ def cohort_cost(costs: DataFrame, cost_grain: str = "month_start") -> DataFrame:
         ),
         F.lower("platform").alias("platform"),
         F.lit("paid").alias("traffic_type"),
-    ).agg(F.round(F.sum("cost")).alias("daily_cost"))
+    ).agg(S.half_up(F.sum("cost")).alias("daily_cost"))
 
 
 def cohort_roas(
@@ -74,7 +74,7 @@ def cohort_roas(
         F.round(cost).alias("daily_cost"),
         *[
             F.when(
-                cost > 0, F.round(S.safe_div(F.col(f"revenue_d{d}"), F.col("daily_cost")), 3)
+                cost > 0, S.half_up(S.safe_div(F.col(f"revenue_d{d}"), F.col("daily_cost")), 3)
             )
             .otherwise(F.lit(0.0))
             .alias(f"roas_d{d}")

@@ -52,7 +52,7 @@ def signup_conversion(profile: DataFrame, touches: DataFrame, as_of: str) -> Dat
         .agg(F.count("user_id").alias("total_signups"), converted.alias("day0_conversions"))
         .withColumn(
             "conversion_rate",
-            F.round(S.safe_div(F.col("day0_conversions"), F.col("total_signups")) * 100, 2),
+            S.half_up(S.safe_div(F.col("day0_conversions"), F.col("total_signups")) * 100, 2),
         )
     )
 
@@ -147,9 +147,9 @@ def _by_segment(summary: DataFrame, costs: DataFrame) -> DataFrame:
 def _averages(rows: DataFrame, keys: list[str]) -> DataFrame:
     whole = COUNTS + ["d0_total_amount", "total_cost"]
     return rows.groupBy(*keys).agg(
-        *[F.round(F.avg(c), 0).alias(c) for c in whole],
-        F.round(F.avg("_rate"), 2).alias("conversion_rate"),
-        F.round(F.avg("roas_d0"), 3).alias("roas_d0"),
+        *[S.half_up(F.avg(c)).alias(c) for c in whole],
+        S.half_up(F.avg("_rate"), 2).alias("conversion_rate"),
+        S.half_up(F.avg("roas_d0"), 3).alias("roas_d0"),
     )
 
 
@@ -171,7 +171,7 @@ def overall_platform_report(summary: DataFrame, costs: DataFrame, as_of: str) ->
     """Yesterday and the seven days before it, overall and per platform."""
     rows = _by_segment(summary, costs)
     yesterday = rows.where(trailing(F.col("su_date"), as_of, 1, 1)).withColumn(
-        "conversion_rate", F.round("_rate", 2)
+        "conversion_rate", S.half_up(F.col("_rate"), 2)
     )
     week = _averages(
         rows.where(trailing(F.col("su_date"), as_of, 8, 2)),

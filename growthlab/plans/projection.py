@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from growthlab.functions import scalars as S
 from growthlab.functions import sums as A
 from growthlab.functions.channels import CORE_CHANNELS, WIDE_CHANNELS, channel_group, peer_class
 from growthlab.operators import cleaning as C
@@ -193,7 +194,7 @@ def cohort_values(
 
 
 def _whole(col: Column) -> Column:
-    return F.bround(col).cast("bigint")
+    return S.half_even(col).cast("bigint")
 
 
 def project(source: DataFrame, variant: Variant, as_of: str) -> DataFrame:

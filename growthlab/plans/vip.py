@@ -112,10 +112,10 @@ def output_rows(df: DataFrame, as_of: str, version: str = "v2", shadow: bool = F
     """Published columns with rounding (half to even) and the run stamp."""
     shaped = df.select(*[c for c in OUTPUT if c in df.columns]).withColumns(
         {
-            "total_purchase_amt": F.bround(F.coalesce("total_purchase_amt", F.lit(1.0))).cast("int"),
-            "total_redeem_amt": F.bround(F.coalesce("total_redeem_amt", F.lit(0.0))).cast("int"),
-            "probability_positive_class": F.bround("probability_positive_class", 3),
-            "split_metric": F.bround(F.coalesce("split_metric", F.lit(0.0)), 2),
+            "total_purchase_amt": S.half_even(F.coalesce("total_purchase_amt", F.lit(1.0))).cast("int"),
+            "total_redeem_amt": S.half_even(F.coalesce("total_redeem_amt", F.lit(0.0))).cast("int"),
+            "probability_positive_class": S.half_even(F.col("probability_positive_class"), 3),
+            "split_metric": S.half_even(F.coalesce("split_metric", F.lit(0.0)), 2),
         }
     )
     return C.stamp(shaped, as_of, version=version, shadow_mode=shadow)

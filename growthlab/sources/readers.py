@@ -53,9 +53,9 @@ def text_list(spark: SparkSession, path: str) -> list[str]:
     return names
 
 
-def payment_requests(spark: SparkSession, path: str) -> DataFrame:
-    """Request documents -> one row per (platform, hour)."""
-    raw = spark.read.json(path, schema=SERIES_RECORD, multiLine=True)
+def payment_requests(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Request documents (one per line, or one per file) -> one row per (platform, hour)."""
+    raw = spark.read.json(path, schema=SERIES_RECORD, multiLine=multi_line)
     return raw.select(F.col("platform_provider").alias("platform"), F.inline("instances"))
 
 

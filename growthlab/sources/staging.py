@@ -175,7 +175,7 @@ def channel_costs(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("l_orderkey") % 2 == 0, F.lit("App")).otherwise(F.lit("Web")).alias(
             "platform"
         ),
-        (F.col("l_extendedprice") / 100000).alias("cost"),
+        (F.col("l_extendedprice") / 10000).alias("cost"),
     )
 
 
