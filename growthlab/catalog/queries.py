@@ -53,7 +53,12 @@ def all_queries() -> dict[str, Query]:
 
 
 def rounded(df: DataFrame, *cols: str, digits: int = DIGITS) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in cols})
+    return df.selectExpr(
+        *[
+            f"round(CAST(`{c}` AS DOUBLE), {digits}) AS `{c}`" if c in cols else f"`{c}`"
+            for c in df.columns
+        ]
+    )
 
 
 def as_long(df: DataFrame, *cols: str) -> DataFrame:
@@ -597,7 +602,7 @@ def _cohorts(spark, folder):
     """One row per cohort with value and cumulative-user arrays, checkpointed (calendar-sized)."""
     ages = staging.AGES
     cum = [f"users_cum_{a}d" for a in ages]
-    rows = PJ._regroup(_classified(spark, folder), A.sum_zero, ["total_costs"] + cum, ages)
+    rows = PJ.regroup(_classified(spark, folder), "zero", ["total_costs"] + cum, ages)
     return durable(R.pack(R.pack(rows, "interval_", ages, "values"), "users_cum_", ages, "users_cum"))
 
 
@@ -746,7 +751,7 @@ def breakeven_targets(spark, folder):
         ).withColumn("values", R.to_multiplier(F.col("values")))
     )
     rows = rows.withColumn("_mult", R.pick(table, F.col("group")))
-    targets = R.breakeven_targets(F.col("total_costs"), F.col("_mult"), staging.AGES)
+    targets = R.breakeven_targets("total_costs", "_mult", staging.AGES)
     names = {a: f"target_{a}d" for a in targets}
     wide = rows.withColumns({names[a]: c for a, c in targets.items()}).drop("_mult")
     return rounded(wide, "total_costs", *names.values())

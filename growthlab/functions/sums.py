@@ -21,6 +21,18 @@ def sum_strict(col: Column) -> Column:
     return F.when(F.count(col) == F.count(F.lit(1)), F.sum(col))
 
 
+_TEXT = {
+    "zero": "coalesce(sum({c}), 0)",
+    "null": "sum({c})",
+    "strict": "CASE WHEN count({c}) = count(1) THEN sum({c}) END",
+}
+
+
+def sums(cols: list[str], nulls: str) -> list[Column]:
+    """The same sums for a long column list; nulls is 'zero', 'null' or 'strict'."""
+    return [F.expr(_TEXT[nulls].format(c=f"`{c}`")).alias(c) for c in cols]
+
+
 def sum_where(cond: Column, col: Column) -> Column:
     return F.coalesce(F.sum(F.when(cond, col)), F.lit(0.0))
 

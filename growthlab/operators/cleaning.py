@@ -144,11 +144,15 @@ def topk_dummies(df: DataFrame, col: str, vocabulary: list[str]) -> DataFrame:
     ).drop(col)
 
 
-def window_dummies(df: DataFrame, col: str = "window_number", count: int = 5) -> DataFrame:
+def window_dummies(
+    df: DataFrame, col: str = "window_number", count: int = 5, keep: bool = False
+) -> DataFrame:
+    """window_0 ... flags; `keep` leaves the number itself for model routing."""
     flags = {
         f"window_{i}": F.coalesce((F.col(col) == i).cast("int"), F.lit(0)) for i in range(count)
     }
-    return df.withColumns(flags).drop(col)
+    out = df.withColumns(flags)
+    return out if keep else out.drop(col)
 
 
 # ---------------------------------------------------------------- values

@@ -107,16 +107,29 @@ def _with_weights(df: DataFrame, label: str) -> DataFrame:
     return df.join(F.broadcast(weights), label)
 
 
+def _plain(name: str) -> str:
+    """Spark ML reads a dot as a struct field, so 'gmail.com' columns are renamed around it."""
+    return name.replace(".", "_dot_")
+
+
+def _plain_names(df: DataFrame) -> DataFrame:
+    return df.withColumnsRenamed({c: _plain(c) for c in df.columns if "." in c})
+
+
 def _assembler(df: DataFrame, features: list[str]) -> VectorAssembler:
     require_columns(df, features)
-    return VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
+    return VectorAssembler(
+        inputCols=[_plain(c) for c in features], outputCol="_features", handleInvalid="keep"
+    )
 
 
 def fit_logistic(df: DataFrame, features: list[str], label: str = "flag", iterations: int = 500) -> PipelineModel:
     learner = LogisticRegression(
         featuresCol="_features", labelCol=label, weightCol="weight", maxIter=iterations,
     )
-    return Pipeline(stages=[_assembler(df, features), learner]).fit(_with_weights(df, label))
+    return Pipeline(stages=[_assembler(df, features), learner]).fit(
+        _plain_names(_with_weights(df, label))
+    )
 
 
 def fit_boosted(
@@ -137,12 +150,13 @@ def fit_boosted(
     if validation is not None:
         rows = rows.withColumn("_is_val", validation)
         learner = learner.setValidationIndicatorCol("_is_val")
-    return Pipeline(stages=[_assembler(df, features), learner]).fit(rows)
+    return Pipeline(stages=[_assembler(df, features), learner]).fit(_plain_names(rows))
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "probability_positive_class") -> DataFrame:
-    scored = model.transform(df).withColumn(out, vector_to_array("probability")[1])
-    return scored.drop("_features", "rawPrediction", "probability", "prediction")
+    scored = model.transform(_plain_names(df)).withColumn(out, vector_to_array("probability")[1])
+    dotted = {_plain(c): c for c in df.columns if "." in c}
+    return scored.withColumnsRenamed(dotted).drop("_features", "rawPrediction", "probability", "prediction")
 
 
 def score_by_window(

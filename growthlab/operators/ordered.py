@@ -18,18 +18,27 @@ from growthlab.session import durable
 _SLICE = "_slice"
 
 
-def sliced(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def sliced(df: DataFrame, keys: list[str], order: list[str], slices: int | None = None) -> DataFrame:
     """Rows cut into ordered slices of similar size. The order columns must make rows unique
-    (or be pre-aggregated) for a hot key to be split."""
-    ranged = df.repartitionByRange(*[F.col(c) for c in keys + order])
+    (or be pre-aggregated) for a hot key to be split.
+
+    Without a number the cluster's shuffle partition count applies, and adaptive execution merges
+    slices that turn out small."""
+    by = [F.col(c) for c in keys + order]
+    ranged = df.repartitionByRange(slices, *by) if slices else df.repartitionByRange(*by)
     return durable(ranged.withColumn(_SLICE, F.spark_partition_id()))
 
 
 def running_sum(
-    df: DataFrame, keys: list[str], order: list[str], value: str, out: str
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: str,
+    out: str,
+    slices: int | None = None,
 ) -> DataFrame:
     """Cumulative sum of value per key in the given order, current row included. Keys must not be NULL."""
-    rows = sliced(df, keys, order)
+    rows = sliced(df, keys, order, slices)
     totals = rows.groupBy(*keys, _SLICE).agg(F.sum(value).alias("_total"))
     before = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
@@ -48,7 +57,9 @@ def running_sum(
     )
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, levels: list[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, keys: list[str], value: str, levels: list[float], slices: int | None = None
+) -> DataFrame:
     """Exact linearly interpolated quantiles per key: one row per key with an array in level order.
 
     Values are counted first, so copies collapse before the ordered pass; the ordered pass keeps
@@ -60,7 +71,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, levels: list[flo
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias(n))
     )
-    ranked = running_sum(counts, keys, [value], n, cum)
+    ranked = running_sum(counts, keys, [value], n, cum, slices)
     totals = ranked.groupBy(*keys).agg(F.max(cum).alias("_rows"))
     wanted = totals.select(
         *keys,

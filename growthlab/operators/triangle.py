@@ -25,13 +25,13 @@ def _at(arr: Column, i: Column) -> Column:
 
 def pack(df: DataFrame, prefix: str, ages: list[int], out: str) -> DataFrame:
     cols = [f"{prefix}{a}d" for a in ages]
-    return df.withColumn(out, F.array(*[F.col(c).cast("double") for c in cols])).drop(*cols)
+    items = ", ".join(f"CAST({c} AS DOUBLE)" for c in cols)
+    return df.withColumn(out, F.expr(f"array({items})")).drop(*cols)
 
 
 def unpack(df: DataFrame, arr: str, prefix: str, ages: list[int]) -> DataFrame:
-    return df.withColumns(
-        {f"{prefix}{a}d": F.get(F.col(arr), F.lit(i)) for i, a in enumerate(ages)}
-    ).drop(arr)
+    rest = [f"`{c}`" for c in df.columns if c != arr]
+    return df.selectExpr(*rest, *[f"get({arr}, {i}) AS {prefix}{a}d" for i, a in enumerate(ages)])
 
 
 # ---------------------------------------------------------------- masks
@@ -336,21 +336,22 @@ def _back_to_arrays(long: DataFrame, arr: str) -> DataFrame:
 
 def with_overall(df: DataFrame, slots: int, arr: str = "values") -> DataFrame:
     """Add the row of column means; its group is NULL. One pass: a group's own mean is itself."""
-    return df.rollup("group").agg(
-        F.array(*[F.avg(F.get(F.col(arr), F.lit(i))) for i in range(slots)]).alias(arr)
-    )
+    means = ", ".join(f"avg(get({arr}, {i}))" for i in range(slots))
+    return df.rollup("group").agg(F.expr(f"array({means})").alias(arr))
 
 
-def _column_means(slots: int, arr: str, keep) -> Column:
-    """Means over the whole multiplier table: one row per channel group plus the overall row."""
-    everything = W.partitionBy()
-    cells = [F.get(F.col(arr), F.lit(i)) for i in range(slots)]
-    return F.array(*[F.avg(F.when(keep(c), c)).over(everything) for c in cells])
+def _column_means(slots: int, arr: str, least: float | None = None) -> Column:
+    """Means of the values from `least` up over the whole multiplier table: one row per channel
+    group plus the overall row."""
+    kept = [f"get({arr}, {i})" for i in range(slots)]
+    if least is not None:
+        kept = [f"CASE WHEN {c} >= {least} THEN {c} END" for c in kept]
+    return F.expr("array(" + ", ".join(f"avg({c}) OVER ()" for c in kept) + ")")
 
 
 def repair_low(df: DataFrame, slots: int, least: float = 0.03, arr: str = "values") -> DataFrame:
     """Growth under the floor becomes the mean of the column's other values."""
-    means = _column_means(slots, arr, lambda c: c >= least)
+    means = _column_means(slots, arr, least)
     return (
         df.withColumn("_means", means)
         .withColumn(
@@ -366,7 +367,7 @@ def to_multiplier(arr: Column) -> Column:
 
 def fill_column_mean(df: DataFrame, slots: int, start: int = 2, arr: str = "values") -> DataFrame:
     """Fill missing multipliers with the column mean from position `start` on."""
-    means = _column_means(slots, arr, lambda c: c.isNotNull())
+    means = _column_means(slots, arr)
     return (
         df.withColumn("_means", means)
         .withColumn(
@@ -419,14 +420,16 @@ def chain_ladder(values: Column, multipliers: Column) -> Column:
     )
 
 
-def breakeven_targets(cost: Column, multipliers: Column, ages: list[int], last: int = 63) -> dict[int, Column]:
-    """Revenue needed at each age so that growth reaches the cost at `last` days."""
+def breakeven_targets(cost: str, multipliers: str, ages: list[int], last: int = 63) -> dict[int, Column]:
+    """Revenue needed at each age so that growth reaches the cost at `last` days, from the names
+    of the cost and the multiplier-array columns."""
     wanted = [a for a in ages if a < last]
-    product, out = F.lit(1.0), {}
-    for age in sorted(wanted, reverse=True):
-        product = product * F.get(multipliers, F.lit(ages.index(age) + 1))
-        out[age] = F.try_divide(cost, product)
-    return {a: out[a] for a in wanted}
+    final = ages.index(last)
+    out = {}
+    for i, age in enumerate(wanted):
+        product = " * ".join(f"get({multipliers}, {j})" for j in range(final, i, -1))
+        out[age] = F.expr(f"try_divide({cost}, {product})")
+    return out
 
 
 def above_mean_rows(df: DataFrame, volume: str = "total_users") -> DataFrame:

@@ -93,7 +93,7 @@ def merge_traffic(df: DataFrame) -> DataFrame:
         .drop("_both")
         .dropna(subset=keys)
         .groupBy(*keys)
-        .agg(*[A.sum_zero(F.col(c)).alias(c) for c in _measures(df)])
+        .agg(*A.sums(_measures(df), "zero"))
     )
 
 
@@ -121,13 +121,10 @@ def classify(df: DataFrame, channels: list[str]) -> DataFrame:
     )
 
 
-def _regroup(df: DataFrame, how, extra: list[str], ages: list[int]) -> DataFrame:
+def regroup(df: DataFrame, nulls: str, extra: list[str], ages: list[int]) -> DataFrame:
+    """Sums per cohort; nulls says what a NULL cell does to its sum."""
     cols = extra + [f"interval_{a}d" for a in ages]
-    return (
-        df.dropna(subset=KEYS)
-        .groupBy(*KEYS)
-        .agg(*[how(F.col(c)).alias(c) for c in cols])
-    )
+    return df.dropna(subset=KEYS).groupBy(*KEYS).agg(*A.sums(cols, nulls))
 
 
 def _masked(df: DataFrame, variant: Variant, as_of: str, arr: str = "values") -> DataFrame:
@@ -173,7 +170,7 @@ def cohort_values(
 
     if not variant.large_rows_only:
         cum = [f"users_cum_{a}d" for a in ages]
-        rows = _regroup(df, A.sum_zero, ["total_costs"] + cum, ages)
+        rows = regroup(df, "zero", ["total_costs"] + cum, ages)
         rows = R.pack(R.pack(rows, "interval_", ages, "values"), "users_cum_", ages, "users_cum")
         rows = _masked(_masked(rows, variant, as_of), variant, as_of, "users_cum")
         rates = rows.withColumn("values", R.growth(F.col("values")))
@@ -183,10 +180,10 @@ def cohort_values(
 
     large = R.above_mean_rows(df)
     large = large.join(R.frequent_groups(large), "group", "left_semi")
-    basis = R.pack(_regroup(large, A.sum_null, [], ages), "interval_", ages, "values")
+    basis = R.pack(regroup(large, "null", [], ages), "interval_", ages, "values")
     rates = _masked(basis, variant, as_of).withColumn("values", R.growth(F.col("values")))
     rows = R.pack(
-        _regroup(df, A.sum_strict, ["total_costs"], ages), "interval_", ages, "values"
+        regroup(df, "strict", ["total_costs"], ages), "interval_", ages, "values"
     )
     if variant.plateaus:
         rows = rows.withColumn("values", R.drop_plateaus(F.col("values")))
@@ -215,7 +212,7 @@ def project(source: DataFrame, variant: Variant, as_of: str) -> DataFrame:
     if variant.fill_targets:
         overall = F.try_element_at(F.col("_table"), F.lit(R.OVERALL))
         projected = projected.withColumn("_own", R.fill_slots(F.col("_own"), overall))
-    targets = R.breakeven_targets(F.col("total_costs"), F.col("_own"), ages)
+    targets = R.breakeven_targets("total_costs", "_own", ages)
     kept = projected.where(F.get("values", F.lit(0)) != 0).where(
         F.col("total_costs").isNotNull()
         & ~F.exists(F.slice("values", 1, len(published)), lambda x: x.isNull())
@@ -228,7 +225,7 @@ def project(source: DataFrame, variant: Variant, as_of: str) -> DataFrame:
         "total_costs",
         *[_whole(c).alias(f"target_{a}d") for a, c in targets.items()],
         *[
-            _whole(F.get("values", F.lit(i))).alias(f"prediction_{a}d")
+            F.expr(f"CAST(rint(get(values, {i})) AS BIGINT) AS prediction_{a}d")
             for i, a in enumerate(published)
         ],
     )
@@ -247,7 +244,7 @@ def actuals(source: DataFrame, ages: list[int], as_of: str) -> DataFrame:
         "values", R.null_zeros(F.col("values"))
     )
     wide = R.unpack(packed, "values", "interval_", ages)
-    rows = R.pack(_regroup(wide, A.sum_null, ["total_costs"], ages), "interval_", ages, "values")
+    rows = R.pack(regroup(wide, "null", ["total_costs"], ages), "interval_", ages, "values")
     rows = R.mask_by_rank(rows, O.week_table(rows))
     shaped = R.unpack(O.four_week_bucket(rows), "values", "actual_", ages).select(
         F.col("group").alias("channel_group"),

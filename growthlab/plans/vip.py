@@ -56,22 +56,24 @@ OUTPUT = [
 
 
 def prepare(df: DataFrame, cut_dates: bool = True, other: str = "residual") -> DataFrame:
-    """Raw window rows -> model features, ids kept. Column names lose their dots to '_dot_' only
-    inside Spark ML; here they stay as published."""
+    """Raw window rows -> model features with the ids kept.
+
+    Rows with any NULL left after the fills go before the 0/1 columns are added."""
     out = C.lower_text(df, keep=("firebase_user_id",))
     out = out.fillna("other", ["channel", "signup_email_domain", "email"])
     if cut_dates:
         out = out.withColumns({c: F.to_date(c) for c in ("signup_date", "first_purchase_date")})
     out = out.fillna(0, SUM_COLS + EXTREME_COLS)
-    out = C.missing_flags(out, AVERAGE_COLS)
+    out = C.log_features(C.missing_flags(out, AVERAGE_COLS), LOG_COLS)
+    out = (
+        out.withColumn("window_number", F.col("window_number").cast("int"))
+        .withColumn("ggr_amt_log", S.signed_log(F.col("ggr_amt")))
+        .dropna()
+    )
     out = C.fixed_dummies(out, "signup_email_domain", EMAIL_DOMAINS, other)
     out = C.fixed_dummies(out, "channel", CHANNELS, other)
     out = C.fixed_dummies(out, "signup_platform", PLATFORMS, other)
-    out = C.log_features(out, LOG_COLS)
-    out = out.withColumn("window_number", F.col("window_number").cast("int")).withColumn(
-        "ggr_amt_log", S.signed_log(F.col("ggr_amt"))
-    )
-    return C.normalise_names(C.window_dummies(out.dropna().withColumn("_w", F.col("window_number")), "_w"))
+    return C.normalise_names(C.window_dummies(out, keep=True))
 
 
 def new_customers(

@@ -396,13 +396,18 @@ def cohort_triangle(spark: SparkSession, folder: str, ages: list[int] = AGES) ->
         F.collect_list(F.when(F.col("age").isNotNull(), per_age)).alias("_ages"),
     )
 
-    def total(field: str, wanted) -> Column:
-        return F.aggregate(
-            F.filter("_ages", lambda s: wanted(s["age"])),
-            F.lit(0).cast("double" if field == "revenue" else "bigint"),
-            lambda acc, s: acc + s[field],
+    def total(field: str, zero: str, test: str, name: str) -> str:
+        return (
+            f"aggregate(filter(_ages, s -> s.age {test}), {zero}, (acc, s) -> acc + s.{field})"
+            f" AS {name}"
         )
 
+    upto = list(enumerate(ages))
+    measures = (
+        [total("revenue", "0D", f"<= {i}", f"interval_{a}d") for i, a in upto]
+        + [total("buyers", "0L", f"= {i}", f"users_{a}d") for i, a in upto]
+        + [total("first_buyers", "0L", f"<= {i}", f"users_cum_{a}d") for i, a in upto]
+    )
     costs = (
         channel_costs(spark, folder)
         .groupBy(
@@ -414,17 +419,10 @@ def cohort_triangle(spark: SparkSession, folder: str, ages: list[int] = AGES) ->
         )
         .agg(F.sum("cost").alias("total_costs"))
     )
-    return cohorts.join(costs, ["su_week", "channel_type_con", "platform"], "left").select(
+    return cohorts.join(costs, ["su_week", "channel_type_con", "platform"], "left").selectExpr(
         *COHORT_KEYS,
-        F.when(F.col("traffic_type") == "organic", F.lit(0.0))
-        .otherwise(F.coalesce(F.col("total_costs"), F.lit(0.0)))
-        .alias("total_costs"),
+        "CASE WHEN traffic_type = 'organic' THEN 0D ELSE coalesce(total_costs, 0D) END AS total_costs",
         "total_users",
         "total_paid",
-        *[total("revenue", lambda x, i=i: x <= i).alias(f"interval_{a}d") for i, a in enumerate(ages)],
-        *[total("buyers", lambda x, i=i: x == i).alias(f"users_{a}d") for i, a in enumerate(ages)],
-        *[
-            total("first_buyers", lambda x, i=i: x <= i).alias(f"users_cum_{a}d")
-            for i, a in enumerate(ages)
-        ],
+        *measures,
     )
