@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from growthlab.catalog.views import AGES, with_views
+from growthlab.catalog.views import AGES, LONG_AGES, with_views
 
 FIRST, LAST = "1995-01-05", "1995-07-01"
 AS_OF = "1995-06-05"
@@ -517,9 +517,9 @@ _CLASS = {
 KEY = "su_week, grp, platform, traffic_type"
 
 
-def _group_case(col: str) -> str:
-    exact = " ".join(f"WHEN {col} = '{k}' THEN '{k.replace(' ', '_')}'" for k in _CORE)
-    inside = " ".join(f"WHEN contains({col}, '{k}') THEN '{k.replace(' ', '_')}'" for k in _CORE)
+def _group_case(col: str, keys: list[str] = _CORE) -> str:
+    exact = " ".join(f"WHEN {col} = '{k}' THEN '{k.replace(' ', '_')}'" for k in keys)
+    inside = " ".join(f"WHEN contains({col}, '{k}') THEN '{k.replace(' ', '_')}'" for k in keys)
     return f"""CASE {exact} WHEN regexp_matches({col}, 'affiliate|social traffic|content creator', 'i') THEN 'affiliates'
         WHEN regexp_matches({col}, 'invite friend', 'i') THEN 'invite_friend' {inside} ELSE 'other' END"""
 
@@ -530,10 +530,10 @@ _MEASURES = (
 )
 
 
-def _cells(source: str, prefix: str, out: str, where: str = "") -> str:
+def _cells(source: str, prefix: str, out: str, ages: list[int] = AGES) -> str:
     """Wide -> long: one row per cohort and age number."""
-    items = ", ".join(f"{{'i': {i}, 'v': CAST({prefix}{a}d AS DOUBLE)}}" for i, a in enumerate(AGES))
-    return f"""SELECT {KEY}, c.i AS i, c.v AS {out} FROM (SELECT {KEY}, unnest([{items}]) AS c FROM {source}) {where}"""
+    items = ", ".join(f"{{'i': {i}, 'v': CAST({prefix}{a}d AS DOUBLE)}}" for i, a in enumerate(ages))
+    return f"""SELECT {KEY}, c.i AS i, c.v AS {out} FROM (SELECT {KEY}, unnest([{items}]) AS c FROM {source})"""
 
 
 def _wide(source: str, keys: str, value: str, prefix: str, digits: int = 6) -> str:
@@ -617,14 +617,14 @@ add(
 )
 
 
-def _bounds(source: str, value: str) -> str:
-    return f"""SELECT grp, i, q1 - 1.0 * (q3 - q1) AS low, q3 + 1.0 * (q3 - q1) AS high FROM (SELECT grp, i, count({value}) AS n,
-        quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.75) AS q3 FROM {source} GROUP BY 1, 2) WHERE n >= 4"""
+def _bounds(source: str, value: str, k: float = 1.0, least: int = 4) -> str:
+    return f"""SELECT grp, i, q1 - {k} * (q3 - q1) AS low, q3 + {k} * (q3 - q1) AS high FROM (SELECT grp, i, count({value}) AS n,
+        quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.75) AS q3 FROM {source} GROUP BY 1, 2) WHERE n >= {least}"""
 
 
-def _winsor(source: str, value: str) -> str:
+def _winsor(source: str, value: str, k: float = 1.0, least: int = 4) -> str:
     return f"""SELECT {', '.join('s.' + k.strip() for k in KEY.split(','))}, s.i, CASE WHEN {value} < low THEN low
-        WHEN {value} > high THEN high ELSE {value} END AS g FROM {source} s LEFT JOIN ({_bounds(source, value)}) b ON b.grp = s.grp AND b.i = s.i"""
+        WHEN {value} > high THEN high ELSE {value} END AS g FROM {source} s LEFT JOIN ({_bounds(source, value, k, least)}) b ON b.grp = s.grp AND b.i = s.i"""
 
 
 def _class_case(col: str) -> str:
@@ -646,11 +646,12 @@ def _peer(source: str) -> str:
         LEFT JOIN (SELECT su_week, i, avg(g) AS m FROM {source} GROUP BY 1, 2) far ON far.su_week = s.su_week AND far.i = s.i"""
 
 
-_DEPTH = [3, 9, 8, 7, 6, 5, 5, 4, 4] + [3] * 4
+_DEPTH = [3, 9, 8, 7, 6, 5, 5, 4, 4]
+_DEPTH_V2 = [3, 10, 10, 8, 8, 6, 6, 4, 4]
 
 
-def _last_mean(source: str) -> str:
-    depth = "CASE i " + " ".join(f"WHEN {i} THEN {d}" for i, d in enumerate(_DEPTH)) + " END"
+def _last_mean(source: str, depths: list[int] = _DEPTH) -> str:
+    depth = "CASE i " + " ".join(f"WHEN {i} THEN {d}" for i, d in enumerate(depths)) + " ELSE 3 END"
     return f"""SELECT k.grp, k.i, m.g FROM (SELECT DISTINCT grp, i FROM {source}) k LEFT JOIN (
         SELECT grp, i, sum(g * w) / sum(w) AS g FROM (SELECT grp, i, g,
         exp(CASE WHEN n > 1 THEN (n - back) / CAST(n - 1 AS DOUBLE) ELSE 0 END) AS w FROM (
@@ -685,10 +686,10 @@ add(
 )
 
 
-def _cap_cols(source: str, start: int, out: str) -> dict[str, str]:
+def _cap_cols(source: str, start: int, out: str, slots: int = SLOTS) -> dict[str, str]:
     """Running cap over the age columns c0..cN, one sub-query per age."""
     parts, prev = {}, source
-    for i in range(start + 1, SLOTS):
+    for i in range(start + 1, slots):
         name = f"{out}_{i}"
         parts[name] = (
             f"SELECT * REPLACE (CASE WHEN c{i} > c{i - 1} THEN c{i - 1} ELSE c{i} END AS c{i}) FROM {prev}"
@@ -698,26 +699,34 @@ def _cap_cols(source: str, start: int, out: str) -> dict[str, str]:
     return parts
 
 
-def _columns(source: str, value: str = "g") -> str:
+def _columns(source: str, value: str = "g", slots: int = SLOTS) -> str:
     return (
         "SELECT grp, "
-        + ", ".join(f"max(CASE WHEN i = {i} THEN {value} END) AS c{i}" for i in range(SLOTS))
+        + ", ".join(f"max(CASE WHEN i = {i} THEN {value} END) AS c{i}" for i in range(slots))
         + f" FROM {source} GROUP BY 1"
     )
 
 
 def _multipliers(source: str) -> dict[str, str]:
     """Rates in `source` -> sub-query multiplier(grp, c0..), grp NULL for the overall row."""
-    cols = range(SLOTS)
     return dict(
         clipped=_winsor(source, "g"),
         filled=_peer("clipped"),
         group_mean=_last_mean("filled"),
         mean_cols=_columns("group_mean"),
-        **_cap_cols("mean_cols", 2, "capped"),
-        with_all="SELECT * FROM capped UNION ALL SELECT NULL, "
+        **_cap_cols("mean_cols", 2, "shaped"),
+        **_repaired("shaped", SLOTS),
+        **_cap_cols("mean_filled", 1, "multiplier"),
+    )
+
+
+def _repaired(source: str, slots: int) -> dict[str, str]:
+    """Overall row, floor, +1, column-mean fill."""
+    cols = range(slots)
+    return dict(
+        with_all=f"SELECT * FROM {source} UNION ALL SELECT NULL, "
         + ", ".join(f"avg(c{i})" for i in cols)
-        + " FROM capped",
+        + f" FROM {source}",
         repaired="SELECT grp, "
         + ", ".join(
             f"1 + CASE WHEN c{i} < 0.03 THEN avg(CASE WHEN c{i} >= 0.03 THEN c{i} END) OVER () ELSE c{i} END AS c{i}"
@@ -727,7 +736,6 @@ def _multipliers(source: str) -> dict[str, str]:
         mean_filled="SELECT grp, "
         + ", ".join(f"coalesce(c{i}, avg(c{i}) OVER ()) AS c{i}" if i >= 2 else f"c{i}" for i in cols)
         + " FROM repaired",
-        **_cap_cols("mean_filled", 1, "multiplier"),
     )
 
 
@@ -740,10 +748,10 @@ add(
 )
 
 
-def _ladder(source: str, keys: str) -> dict[str, str]:
+def _ladder(source: str, slots: int = SLOTS) -> dict[str, str]:
     """values v0.. and multipliers c0.. -> completed v0.. ."""
     parts, prev = {}, source
-    for i in range(1, SLOTS):
+    for i in range(1, slots):
         name = f"step_{i}"
         parts[name] = f"SELECT * REPLACE (coalesce(v{i}, v{i - 1} * c{i}) AS v{i}) FROM {prev}"
         prev = name
@@ -751,13 +759,21 @@ def _ladder(source: str, keys: str) -> dict[str, str]:
     return parts
 
 
-_VALUES = ", ".join(f"max(CASE WHEN i = {i} THEN v END) AS v{i}" for i in range(SLOTS))
+def _values(slots: int = SLOTS) -> str:
+    return ", ".join(f"max(CASE WHEN i = {i} THEN v END) AS v{i}" for i in range(slots))
 
 
-def _with_multiplier(values: str, table: str, extra: str = "") -> str:
+def _with_multiplier(values: str, table: str, slots: int = SLOTS, own: str | None = None) -> str:
+    """Values beside the group's multipliers, else the overall ones; own adds columns t0.. used
+    for the targets ('none' without fallback, 'fill' with the overall value per age)."""
     picks = ", ".join(
-        f"CASE WHEN m.grp IS NOT NULL THEN m.c{i} ELSE o.c{i} END AS c{i}" for i in range(SLOTS)
+        f"CASE WHEN m.grp IS NOT NULL THEN m.c{i} ELSE o.c{i} END AS c{i}" for i in range(slots)
     )
+    if own:
+        picks += ", " + ", ".join(
+            f"coalesce(m.c{i}, o.c{i}) AS t{i}" if own == "fill" else f"m.c{i} AS t{i}"
+            for i in range(slots)
+        )
     return f"""SELECT v.*, {picks} FROM {values} v LEFT JOIN {table} m ON m.grp = v.grp, (SELECT * FROM {table} WHERE grp IS NULL) o"""
 
 
@@ -771,9 +787,9 @@ SIMPLE = dict(
     + " FROM simple_cols UNION ALL SELECT NULL, "
     + ", ".join(f"avg(c{i}) + 1" for i in range(SLOTS))
     + " FROM simple_rates",
-    value_cols=f"SELECT {KEY}, {_VALUES} FROM masked GROUP BY ALL",
+    value_cols=f"SELECT {KEY}, {_values()} FROM masked GROUP BY ALL",
     start=_with_multiplier("value_cols", "simple_table"),
-    **_ladder("start", KEY),
+    **_ladder("start"),
 )
 add(
     "chain_ladder",
@@ -782,9 +798,9 @@ add(
 )
 
 
-def _target(i: int) -> str:
+def _target(i: int, col: str = "c") -> str:
     """Cost over the product of the multipliers between age number i and 63 days."""
-    product = " * ".join(f"c{j}" for j in range(8, i, -1))
+    product = " * ".join(f"{col}{j}" for j in range(8, i, -1))
     return div("total_costs", product)
 
 
@@ -810,23 +826,18 @@ add(
 )
 _CUT = f"CAST(date_trunc('week', DATE '{PROJECTION_DAY}') AS DATE) - 14"
 _PUBLISHED = AGES[:-1]
-PROD = {
-    k: (
-        v.replace("FROM (SELECT *, CASE liftoff", "FROM (SELECT *, CASE liftoff")
-        if k != "named"
-        else v.replace("FROM merged)", f"FROM merged WHERE su_week <= {_CUT})")
-    )
-    for k, v in TRI.items()
-}
+PROD = dict(
+    TRI, named=TRI["named"].replace("FROM merged)", f"FROM merged WHERE su_week <= {_CUT})")
+)
 PROD.update(
     open_rate="""SELECT r.su_week, r.grp, r.platform, r.traffic_type, r.i, CASE WHEN e.n > 2 THEN r.g END AS g
         FROM rate r JOIN exposed e ON e.su_week = r.su_week AND e.grp = r.grp AND e.i = r.i""",
     **_multipliers("open_rate"),
-    value_cols=f"SELECT {KEY}, {_VALUES} FROM masked GROUP BY ALL",
+    value_cols=f"SELECT {KEY}, {_values()} FROM masked GROUP BY ALL",
     start=_with_multiplier(
         f"(SELECT a.*, b.total_costs FROM value_cols a JOIN cohorts b USING ({KEY}))", "multiplier"
     ),
-    **_ladder("start", KEY),
+    **_ladder("start"),
     complete="SELECT * FROM ladder WHERE v0 <> 0 AND "
     + " AND ".join(f"v{i} IS NOT NULL" for i in range(len(_PUBLISHED))),
     bucket="""SELECT su_week AS w, min(su_week) OVER (PARTITION BY n // 4) AS month_group FROM (SELECT su_week,
@@ -841,6 +852,84 @@ add(
     + f", '{PROJECTION_DAY} 00:00' AS updated_at FROM complete JOIN bucket ON w = su_week",
     **PROD,
 )
+_WIDE_KEYS = _CORE + ["ironsource_int_app", "unityads_int_app"]
+_RUN_WEEKS = f"date_diff('day', su_week, DATE '{PROJECTION_DAY}') // 7"
+_RUN_KEEP = f"CASE WHEN {_RUN_WEEKS} < 3 THEN 2 WHEN {_RUN_WEEKS} < 4 THEN 3 ELSE {_RUN_WEEKS} END - 1"
+
+
+def _older_projection(mean: str, raise_then_cap: bool, own: str) -> dict[str, str]:
+    """The versions that learn growth from large rows only and project de-duplicated values."""
+    ages, slots = LONG_AGES, len(LONG_AGES)
+    iv = [f"interval_{a}d" for a in ages]
+    raised = "SELECT grp, " + ", ".join(
+        f"CASE WHEN c{i + 1} > c{i} THEN c{i + 1} ELSE c{i} END AS c{i}" if i + 1 < slots else f"c{i}"
+        for i in range(slots)
+    )
+    published = range(slots - 1)
+    return dict(
+        named=f"""SELECT * REPLACE (CASE WHEN contains(grp, '_app') THEN 'app' ELSE platform END AS platform),
+            CASE WHEN total_costs = 0 THEN 'organic' WHEN total_costs > 0 THEN 'paid' ELSE traffic_type END AS by_cost
+            FROM (SELECT *, {_group_case('channel_type_con', _WIDE_KEYS)} AS grp FROM long_triangle
+            WHERE channel_type_con IS NOT NULL AND su_week <= {_CUT})""",
+        classed="""SELECT n.* EXCLUDE (traffic_type), CASE WHEN k.n > 1 AND n.grp <> 'other' THEN 'paid' ELSE by_cost END AS traffic_type
+            FROM named n JOIN (SELECT su_week, grp, count(DISTINCT by_cost) AS n FROM named GROUP BY 1, 2) k
+            ON k.su_week = n.su_week AND k.grp = n.grp""",
+        big="SELECT * FROM classed WHERE total_users > (SELECT avg(total_users) FROM classed)",
+        basis=f"SELECT {KEY}, {', '.join(f'sum({c}) AS {c}' for c in iv)} FROM big WHERE platform IS NOT NULL "
+        f"AND grp IN (SELECT grp FROM big GROUP BY 1 ORDER BY count(*) DESC, grp LIMIT 21) GROUP BY ALL",
+        masked=f"SELECT {KEY}, i, CASE WHEN i < {_RUN_KEEP} THEN v END AS v FROM ({_cells('basis', 'interval_', 'v', ages)})",
+        carried=TRI["carried"],
+        rate=TRI["rate"],
+        clipped=_winsor("rate", "g", 1.5, 1),
+        group_mean=mean,
+        mean_cols=_columns("group_mean", slots=slots),
+        raised=raised + " FROM mean_cols",
+        **_repaired("raised", slots),
+        **(
+            _cap_cols("mean_filled", 1, "multiplier", slots)
+            if raise_then_cap
+            else {"multiplier": "SELECT * FROM mean_filled"}
+        ),
+        rows_wide=f"""SELECT {KEY}, CASE WHEN count(total_costs) = count(*) THEN sum(total_costs) END AS total_costs,
+            {', '.join(f'CASE WHEN count({c}) = count(*) THEN sum({c}) END AS {c}' for c in iv)}
+            FROM classed WHERE platform IS NOT NULL GROUP BY {KEY}""",
+        rows_cell=f"""SELECT {KEY}, i, CASE WHEN i < {_RUN_KEEP} AND (i = 0
+            OR row_number() OVER (PARTITION BY {KEY}, i > 0, v ORDER BY i) = 1) THEN v END AS v
+            FROM ({_cells('rows_wide', 'interval_', 'v', ages)})""",
+        value_cols=f"SELECT {KEY}, {_values(slots)} FROM rows_cell GROUP BY ALL",
+        start=_with_multiplier(
+            f"(SELECT a.*, b.total_costs FROM value_cols a JOIN rows_wide b USING ({KEY}))",
+            "multiplier", slots, own,
+        ),
+        **_ladder("start", slots),
+        complete="SELECT * FROM ladder WHERE v0 <> 0 AND total_costs IS NOT NULL AND "
+        + " AND ".join(f"v{i} IS NOT NULL" for i in published),
+        bucket=PROD["bucket"],
+    )
+
+
+def _projected(ages: list[int], col: str) -> str:
+    return (
+        f"""SELECT grp AS channel_group, su_week, month_group, platform, traffic_type, {r('total_costs', 'total_costs')}, """
+        + ", ".join(f"CAST(round_even({_target(i, col)}, 0) AS BIGINT) AS target_{ages[i]}d" for i in range(8))
+        + ", "
+        + ", ".join(
+            f"CAST(round_even(v{i}, 0) AS BIGINT) AS prediction_{a}d" for i, a in enumerate(ages[:-1])
+        )
+        + f", '{PROJECTION_DAY} 00:00' AS updated_at FROM complete JOIN bucket ON w = su_week"
+    )
+
+
+add(
+    "projection_v1",
+    _projected(LONG_AGES, "t"),
+    **_older_projection(_all_mean("clipped"), False, "fill"),
+)
+add(
+    "projection_v2",
+    _projected(LONG_AGES, "t"),
+    **_older_projection(_last_mean("clipped", _DEPTH_V2), True, "none"),
+)
 add(
     "actuals",
     f"""SELECT grp AS channel_group, su_week, month_group, platform, traffic_type, {r('total_costs', 'total_costs')}, """
@@ -963,6 +1052,29 @@ add(
 )
 
 
+add(
+    "vip_features",
+    f"""SELECT k.user_id, 'F' || k.user_id AS firebase_user_id, 'other' AS email, {r('coalesce(avg_spin_amt, 0)', 'avg_spin_amt')},
+    {r('coalesce(rtp_ratio, 0)', 'rtp_ratio')}, {r('coalesce(b.bet, 0)', 'avg_bet_amt')},
+    {r('sign(ggr_amt) * ln(1 + abs(ggr_amt))', 'ggr_amt_log')}, {r('ln(sum_amt_total + 1e-10)', 'ln_sum_amt_total')},
+    {r('ln(total_bet_amt + 1e-10)', 'ln_total_bet_amt')}, {r('ln(coalesce(b.win, 0) + 1e-10)', 'ln_max_win_amt')},
+    {r('ln(1e-10)', 'ln_sum_bonus_amt')}, {r('coalesce(b.low, 0)', 'min_bet_amount')},
+    CAST(avg_spin_amt IS NULL AS INTEGER) AS avg_spin_amt_is_missing, CAST(b.bet IS NULL AS INTEGER) AS avg_bet_amt_is_missing,
+    CAST(lower(signup_email_domain) = 'gmail.com' AS INTEGER) AS domain_gmail, CAST(lower(signup_email_domain) = 'yahoo.com' AS INTEGER) AS domain_yahoo,
+    CAST(lower(signup_email_domain) NOT IN ('gmail.com', 'yahoo.com', 'icloud.com') AS INTEGER) AS domain_other,
+    CAST(coalesce(channel = 'google', false) AS INTEGER) AS channel_google, CAST(coalesce(channel = 'facebook', false) AS INTEGER) AS channel_facebook,
+    CAST(coalesce(channel = 'invite friend', false) AS INTEGER) AS channel_invite_friend,
+    CAST(coalesce(channel, 'other') IN ('other', 'podcast') AS INTEGER) AS channel_other,
+    CAST(lower(signup_platform) = 'web' AS INTEGER) AS signup_platform_web, CAST(lower(signup_platform) = 'app' AS INTEGER) AS signup_platform_app,
+    {', '.join(f'CAST(k.user_id % 5 = {i} AS INTEGER) AS window_{i}' for i in range(5))}
+    FROM kpi96 k LEFT JOIN (SELECT user_id, avg(bet_amount) AS bet, max(max_win_amount) AS win, min(min_bet_amount) AS low FROM daily_bets
+    JOIN event_users ON h_user_id = user_id WHERE day >= CAST(first_purchase_date AS DATE) AND CAST(first_purchase_date AS DATE) >= day - 4
+    AND user_id IN (SELECT h_user_id FROM main_kpi WHERE hour >= first_purchase_date AND hour < first_purchase_date + INTERVAL 96 HOUR)
+    GROUP BY 1) b ON b.user_id = k.user_id""",
+    **KPI,
+)
+
+
 def _draw(key: str) -> str:
     return f"md5('42-' || {key})"
 

@@ -852,9 +852,75 @@ def stream_bucket_counts(spark, folder):
     return table.select("platform", as_text(F.col("hour")).alias("bucket"), "approved", "total")
 
 
+@query
+def stream_latest_scores(spark, folder):
+    """The streaming front end to end: finished buckets, scores of the newest one per platform."""
+    where = fresh_folder(spark, "scores")
+    args = (staging.platform_of(F.col("user_id")), F.col("event_type") != "error", "1 hour")
+    history = payments.bucket_counts(staging.table(spark, folder, "events"), *args)
+    counts = payments.bucket_counts(payments.read_events(spark, folder), *args)
+
+    def sink(records: DataFrame, batch: int) -> None:
+        flat = records.select(
+            "platform", "status", "anomaly_score", "is_anomaly", "records_analyzed",
+            as_text(F.col("prediction_timestamp")).alias("bucket"),
+        )
+        flat.write.mode("overwrite").parquet(f"{where}/out/batch={batch}")
+
+    payments.score_batches(
+        counts, f"{where}/history", AN.fit(history, trees=20), sink, f"{where}/state"
+    ).awaitTermination()
+    return spark.read.parquet(f"{where}/out")
+
+
 # ---------------------------------------------------------------- VIP and experiments
 
 
+def _vip_dataset(spark, folder):
+    """Behaviour of the first 96 hours in the shape of the scorer's input; measures the events do
+    not have stay NULL."""
+    main = staging.main_kpi(spark, folder)
+    kpi = H.kpi_first_hours(main, EVENT_FIRST, EVENT_LAST).drop("first_geo_region")
+    bets = H.bets_first_days(staging.daily_bets(spark, folder), main, "2023-10-01").drop(
+        "first_purchase_date", "days_of_activity"
+    )
+    joined = kpi.withColumnsRenamed(
+        {"logins_first_96h": "logins", "max_purchase_amt_horly": "max_purchase_amt_hourly"}
+    ).join(bets, "user_id", "left")
+    shaped = joined.withColumns(
+        {
+            "firebase_user_id": F.concat(F.lit("F"), F.col("user_id").cast("string")),
+            "email": F.lit(None).cast("string"),
+            "full_name": F.concat(F.lit("User "), F.col("user_id").cast("string")),
+            "window_number": F.col("user_id") % 5,
+            "first_purchase_amt": F.col("max_purchase_amt_hourly"),
+        }
+    )
+    return C.add_missing(shaped, V.SUM_COLS + V.EXTREME_COLS, None).withColumns(
+        {c: F.col(c).cast("double") for c in V.SUM_COLS + V.EXTREME_COLS if c not in shaped.columns}
+    )
+
+
+@query
+def vip_features(spark, folder):
+    out = V.prepare(_vip_dataset(spark, folder)).withColumnsRenamed(
+        {f"signup_email_domain_{d}": "domain_" + d.split(".")[0] for d in V.EMAIL_DOMAINS}
+    )
+    numbers = [
+        "avg_spin_amt", "rtp_ratio", "avg_bet_amt", "ggr_amt_log", "ln_sum_amt_total",
+        "ln_total_bet_amt", "ln_max_win_amt", "ln_sum_bonus_amt", "min_bet_amount",
+    ]
+    flags = [
+        "avg_spin_amt_is_missing", "avg_bet_amt_is_missing", "domain_gmail", "domain_yahoo",
+        "domain_other", "channel_google", "channel_facebook", "channel_invite_friend",
+        "channel_other", "signup_platform_web", "signup_platform_app",
+        *[f"window_{i}" for i in range(5)],
+    ]
+    missing = [c for c in V.MODEL_FEATURES if c not in out.columns and "domain" not in c]
+    C.require_columns(out, missing)
+    return rounded(out.select("user_id", "firebase_user_id", "email", *numbers, *flags), *numbers)
+
+
 def _labelled(spark, folder):
     """Customers with a few numeric features, a spending label and a window number."""
     users = staging.users(spark, folder)
@@ -907,7 +973,9 @@ def vip_window_scores(spark, folder):
         w: M.fit_logistic(rows.where(F.col("window_number") == w), _FEATURES, iterations=50)
         for w in range(5)
     }
-    out = M.score_by_window(rows, models, M.THRESHOLD_SAME_DAY)
+    where = fresh_folder(spark, "models")
+    M.save_models(models, where)
+    out = M.score_by_window(rows, M.load_models(where, list(models)), M.THRESHOLD_SAME_DAY)
     return out.select("user_id", "window", "probability_positive_class", "potential_vip_ind")
 
 
