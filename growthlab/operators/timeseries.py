@@ -123,35 +123,36 @@ def rolling_features(
 
     causal=True builds the hour factors from earlier rows only, for scoring history."""
     base = with_rate(series)
-    order = W.partitionBy("platform").orderBy("hour")
-    same = _rows(W.partitionBy("platform", "hour_of_week").orderBy("hour"), spans.same_hour)
+    platform = W.partitionBy("platform")
+    how = W.partitionBy("platform", "hour_of_week")
+    order = platform.orderBy("hour")
+    same = _rows(how.orderBy("hour"), spans.same_hour)
     week, hour, three = (
         _rows(order, spans.week),
         _rows(order, spans.hour),
         _rows(order, spans.three_hours),
     )
     rate, total = F.col("success_rate"), F.col("total").cast("double")
+    numbered = base.withColumn("_rn", F.row_number().over(order))
     if causal:
-        past = W.partitionBy("platform", "hour_of_week").orderBy("hour").rowsBetween(
-            W.unboundedPreceding, -1
-        )
-        season = order.rowsBetween(-spans.season, -1)
+        by_hour = how.orderBy("hour").rowsBetween(W.unboundedPreceding, -1)
+        overall = order.rowsBetween(-spans.season, -1)
+        recent = F.lit(True)
+    else:
+        by_hour, overall = how, platform
+        recent = F.col("_rn") > F.col("_rows") - spans.season
+        numbered = numbered.withColumn("_rows", F.count(F.lit(1)).over(platform))
 
-        def causal_factor(c: Column) -> Column:
-            ratio = F.try_divide(F.avg(c).over(past), F.avg(c).over(season))
-            return F.coalesce(S.clip(ratio, 0.3, 3.0), F.lit(1.0))
+    def factor(c: Column) -> Column:
+        used = F.when(recent, c)
+        ratio = F.try_divide(F.avg(used).over(by_hour), F.avg(used).over(overall))
+        return F.coalesce(S.clip(ratio, 0.3, 3.0), F.lit(1.0))
 
-        seasonal = base.withColumn("success_factor", causal_factor(rate)).withColumn(
-            "volume_factor", causal_factor(total)
-        )
-    else:
-        seasonal = (
-            base.join(hour_factors(base, spans), ["platform", "hour_of_week"], "left")
-            .fillna(1.0, ["success_factor", "volume_factor"])
-        )
+    seasonal = numbered.withColumn("success_factor", factor(rate)).withColumn(
+        "volume_factor", factor(total)
+    )
     rolled = (
-        seasonal.withColumn("_rn", F.row_number().over(order))
-        .withColumn("rolling_7day_avg_success", _at_least(rate, F.avg, week, spans.week_least))
+        seasonal.withColumn("rolling_7day_avg_success", _at_least(rate, F.avg, week, spans.week_least))
         .withColumn("rolling_7day_avg_volume", _at_least(total, F.avg, week, spans.week_least))
         .withColumn("_same_success", _at_least(rate, F.avg, same, 2))
         .withColumn("_same_volume", _at_least(total, F.avg, same, 2))
@@ -218,24 +219,23 @@ def _momentum(now: Column, before: Column) -> Column:
     )
 
 
+# the only features that can be missing: their baselines need a minimum of history
+_OPEN = FEATURES[:4]
+
+
 def clean_features(df: DataFrame, cols: list[str] = FEATURES) -> DataFrame:
     """NULL becomes the platform's median where that is positive, else 1; infinities become 1.
 
     The exact median runs over one platform's calendar buckets, not over payments."""
-    medians = df.groupBy("platform").agg(
-        *[F.percentile(c, F.lit(0.5)).alias(f"_m_{c}") for c in cols]
-    )
+    platform = W.partitionBy("platform")
 
     def fixed(c: str) -> Column:
-        m = F.col(f"_m_{c}")
-        spare = F.when(m > 0, m).otherwise(F.lit(1.0))
-        return S.finite_or(F.coalesce(F.col(c), spare), 1.0)
+        if c not in _OPEN:
+            return S.finite_or(F.col(c), 1.0)
+        m = F.percentile(c, F.lit(0.5)).over(platform)
+        return S.finite_or(F.coalesce(F.col(c), F.when(m > 0, m), F.lit(1.0)), 1.0)
 
-    return (
-        df.join(medians, "platform")
-        .withColumns({c: fixed(c) for c in cols})
-        .drop(*[f"_m_{c}" for c in cols])
-    )
+    return df.withColumns({c: fixed(c) for c in cols})
 
 
 def latest(features: DataFrame) -> DataFrame:
