@@ -183,9 +183,13 @@ def curated_view_chargebacks(spark, folder):
     tokens = views.curated("finance_token_redeem_grade", source)
     backs = views.curated("finance_chargebacks", staging.chargebacks(spark, folder))
     payers = staging.purchase_transaction(spark, folder).select("transaction_id", "user_id")
-    joined = backs.join(payers, "transaction_id").join(tokens, "user_id")
+    # one row per transaction before the joins
+    per_payment = backs.groupBy("transaction_id", "provider").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_amount")
+    )
+    joined = per_payment.join(payers, "transaction_id").join(tokens, "user_id")
     out = joined.groupBy("segment", "provider").agg(
-        F.count(F.lit(1)).alias("chargebacks"), F.sum("amount").alias("amount")
+        F.sum("_n").alias("chargebacks"), F.sum("_amount").alias("amount")
     )
     return rounded(out, "amount")
 
@@ -334,7 +338,7 @@ def null_sum_variants(spark, folder):
 
 @query
 def dedupe_freq_topn(spark, folder):
-    tri = PJ.classify(staging.cohort_triangle(spark, folder), PJ.CORE_CHANNELS)
+    tri = durable(PJ.classify(staging.cohort_triangle(spark, folder), PJ.CORE_CHANNELS))
     large = R.above_mean_rows(tri)
     kept = J.keep_ids(large, R.frequent_groups(large, 5), "group")
     return kept.groupBy("group").agg(
@@ -434,10 +438,10 @@ def rule_confusion(spark, folder):
 def id_set_ops(spark, folder):
     """Intersection, both differences and the rest of two user sets."""
     cumulative = H.cumulative_days(staging.signed_purchase_days(spark, folder))
-    flags = H.ever_reached(cumulative, [1000, 2000])
+    flags = durable(H.ever_reached(cumulative, [1000, 2000]))
     every = flags.select("user_id")
     a = flags.where(F.col("vip_1000") == 1).select("user_id")
-    b = (
+    b = durable(
         staging.user_profile(spark, folder)
         .where(F.to_date("first_purchase_date") == F.col("signup_date"))
         .select("user_id")
@@ -923,24 +927,18 @@ def vip_features(spark, folder):
 
 def _labelled(spark, folder):
     """Customers with a few numeric features, a spending label and a window number."""
-    users = staging.users(spark, folder)
-    days = staging.purchase_days(spark, folder)
-    spend = days.groupBy("user_id").agg(
-        F.sum("amount").alias("sum_amt_total"),
-        F.sum("purchases").alias("cnt_txn_total"),
-        F.max("amount").alias("max_day"),
-        F.count(F.lit(1)).alias("active_days"),
-    )
-    return users.join(spend, "user_id").select(
+    known = staging.user_days(spark, folder).where(F.col("days").isNotNull())
+    spend = known.selectExpr(
         "user_id",
         "signup_date",
-        (F.col("user_id") % 6).cast("int").alias("window_number"),
-        F.col("c_acctbal").alias("balance"),
-        "cnt_txn_total",
-        "max_day",
-        "active_days",
-        "sum_amt_total",
-        (F.col("sum_amt_total") > 1200).cast("int").alias("flag"),
+        "c_acctbal AS balance",
+        "aggregate(days, 0L, (acc, d) -> acc + d.purchases) AS cnt_txn_total",
+        "array_max(transform(days, d -> d.amount)) AS max_day",
+        "cast(size(days) AS bigint) AS active_days",
+        "aggregate(days, 0D, (acc, d) -> acc + d.amount) AS sum_amt_total",
+    )
+    return spend.withColumn("window_number", (F.col("user_id") % 6).cast("int")).withColumn(
+        "flag", (F.col("sum_amt_total") > 1200).cast("int")
     )
 
 
@@ -1016,7 +1014,7 @@ def score_threshold_sweep(spark, folder):
 
 def _scored(spark, folder):
     """Users with a deterministic score, shaped like the routed scorer's output."""
-    rows = _labelled(spark, folder)
+    rows = durable(_labelled(spark, folder))
     prob = F.round(F.least(F.col("sum_amt_total") / 2500, F.lit(1.0)), 6)
     scored = rows.select(
         "user_id",

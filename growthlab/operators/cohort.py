@@ -54,7 +54,7 @@ def first_purchase_cumsum(
     )
     elapsed = S.whole_hours(F.col("first_purchase_time"), F.col("purchase_time"))
     daily = (
-        J.skew_join(instants, first, "user_id")
+        J.skew_join(instants, first, "user_id", sizes=facts)
         .where(elapsed < max_hours)
         .groupBy(
             "user_id",
@@ -83,22 +83,21 @@ def user_running_sum(facts: DataFrame) -> DataFrame:
 
 def kpi_first_hours(kpi: DataFrame, start: str, end: str, hours: int = 96) -> DataFrame:
     """Behaviour aggregates over the first hours after the first purchase."""
-    anchors = (
-        kpi.where(F.col("first_purchase_date").isNotNull())
-        .groupBy("h_user_id")
-        .agg(
-            F.max("signup_date").alias("a_signup_date"),
-            F.max("first_purchase_date").alias("a_first_purchase"),
-        )
-        .where(
-            (F.col("a_first_purchase") > F.lit(start).cast("timestamp"))
-            & (F.col("a_first_purchase") < F.lit(end).cast("timestamp"))
-        )
+    # the roll-up holds one row per user and hour, so a user's window is bounded by the calendar
+    user = W.partitionBy("h_user_id")
+    anchored = kpi.where(F.col("first_purchase_date").isNotNull()).withColumns(
+        {
+            "a_signup_date": F.max("signup_date").over(user),
+            "a_first_purchase": F.max("first_purchase_date").over(user),
+        }
     )
     bet, win = F.sum("sc_total_bet_amount"), F.sum("sc_total_win_amount")
     return (
-        kpi.join(anchors, "h_user_id")
-        .where(J.in_window(F.col("hour"), F.col("a_first_purchase"), hours))
+        anchored.where(
+            (F.col("a_first_purchase") > F.lit(start).cast("timestamp"))
+            & (F.col("a_first_purchase") < F.lit(end).cast("timestamp"))
+            & J.in_window(F.col("hour"), F.col("a_first_purchase"), hours)
+        )
         .groupBy(
             F.col("h_user_id").alias("user_id"),
             F.col("a_signup_date").alias("signup_date"),
@@ -179,13 +178,29 @@ def densify(
 ) -> DataFrame:
     """Every key on every day 0..last_day, carrying the last seen values forward.
 
-    The input holds at most one row per key and day, so each window has last_day + 1 rows."""
-    grid = df.select(key).distinct().withColumn(
-        day, F.explode(F.sequence(F.lit(0), F.lit(last_day)))
+    The input holds at most one row per key and day (day >= 0). Each row fills the days up to the
+    key's next row and the first row also the empty days before it, so no grid is joined."""
+    order = W.partitionBy(key).orderBy(day)
+    seen = order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    end = last_day + 1
+    spans = df.select(
+        key,
+        day,
+        *[F.last(c, ignorenulls=True).over(seen).alias(c) for c in carry],
+        F.least(F.coalesce(F.lead(day).over(order), F.lit(end)), F.lit(end)).alias("_next"),
+        F.row_number().over(order).alias("_rn"),
+    )
+    none = "cast(array() AS array<int>)"
+    own = f"IF({day} < _next, sequence(cast({day} AS int), cast(_next AS int) - 1), {none})"
+    lead_in = f"IF(_rn = 1 AND {day} > 0, sequence(0, cast(least({day}, {end}) AS int) - 1), {none})"
+    cells = F.expr(
+        f"explode(concat(transform({lead_in}, d -> struct(d AS d, false AS seen)),"
+        f" transform({own}, d -> struct(d AS d, true AS seen))))"
     )
-    seen = W.partitionBy(key).orderBy(day).rowsBetween(W.unboundedPreceding, W.currentRow)
-    dense = grid.join(df.select(key, day, *carry), [key, day], "left").withColumns(
-        {c: F.last(c, ignorenulls=True).over(seen) for c in carry}
+    dense = spans.withColumn("_cell", cells).select(
+        key,
+        F.col("_cell.d").alias(day),
+        *[F.when(F.col("_cell.seen"), F.col(c)).alias(c) for c in carry],
     )
     return dense.fillna(fill) if fill else dense
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from growthlab.functions import scalars as S
+from growthlab.functions import sums as A
 from growthlab.operators.cohort import REVENUE_DAYS, revenue_on_days
 
 
@@ -28,19 +29,19 @@ def daily_cohorts(
         "signup_date",
         F.when(F.col("first_purchase_date").isNotNull(), F.col("user_id")).alias("user_paid"),
     )
-    return (
+    keys = ["cohort_date", "channel_type_con", "platform", "traffic_type"]
+    measures = [f"revenue_d{d}" for d in days]
+    # one row per cohort and user first, so distinct users are plain counts afterwards
+    per_user = (
         users.join(payers.join(rev, "user_id", "left"), "user_id", "left")
-        .groupBy(
-            F.to_date("signup_date").alias("cohort_date"),
-            "channel_type_con",
-            "platform",
-            "traffic_type",
-        )
-        .agg(
-            F.count_distinct("user_id").alias("total_users"),
-            F.count_distinct("user_paid").alias("total_paid"),
-            *[S.half_up(F.sum(f"revenue_d{d}")).alias(f"revenue_d{d}") for d in days],
-        )
+        .withColumn("cohort_date", F.to_date("signup_date"))
+        .groupBy("user_id", *keys)
+        .agg(F.max("user_paid").alias("user_paid"), *A.sums(measures, "null"))
+    )
+    return per_user.groupBy(*keys).agg(
+        F.count("user_id").alias("total_users"),
+        F.count("user_paid").alias("total_paid"),
+        *[S.half_up(F.sum(c)).alias(c) for c in measures],
     )
 
 

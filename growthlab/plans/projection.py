@@ -200,7 +200,8 @@ def project(source: DataFrame, variant: Variant, as_of: str) -> DataFrame:
     The last age only feeds the growth rates and is dropped from the published table."""
     ages = variant.ages
     rows, rates = cohort_values(source, variant, as_of)
-    table = R.as_map(multiplier_table(rates, variant))
+    # a dozen rows; checkpointed so that their lineage is not repeated in every use
+    table = R.as_map(durable(multiplier_table(rates, variant)))
     published = ages[:-1]
     group = F.col("group")
     projected = (
@@ -229,7 +230,7 @@ def project(source: DataFrame, variant: Variant, as_of: str) -> DataFrame:
             for i, a in enumerate(published)
         ],
     )
-    bucketed = O.four_week_bucket(shaped)
+    bucketed = O.four_week_bucket(durable(shaped))
     stamped = C.stamp(
         bucketed.select(*shaped.columns, "month_group"), as_of
     ).withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm"))
@@ -244,7 +245,9 @@ def actuals(source: DataFrame, ages: list[int], as_of: str) -> DataFrame:
         "values", R.null_zeros(F.col("values"))
     )
     wide = R.unpack(packed, "values", "interval_", ages)
-    rows = R.pack(regroup(wide, "null", ["total_costs"], ages), "interval_", ages, "values")
+    rows = durable(
+        R.pack(regroup(wide, "null", ["total_costs"], ages), "interval_", ages, "values")
+    )
     rows = R.mask_by_rank(rows, O.week_table(rows))
     shaped = R.unpack(O.four_week_bucket(rows), "values", "actual_", ages).select(
         F.col("group").alias("channel_group"),

@@ -9,6 +9,7 @@ from growthlab.functions import scalars as S
 from growthlab.operators import cleaning as C
 from growthlab.operators import experiment as X
 from growthlab.operators import joins as J
+from growthlab.session import durable
 
 # Column lists of the feature pipeline, in model order.
 SUM_COLS = [
@@ -107,7 +108,8 @@ def new_customers(
             "enp": "split_metric",
         }
     )
-    return X.half_per_band(valued, "user_id", "split_metric", seed, "vip_mentioned")
+    # only newly flagged users are left; the rank reads them twice
+    return X.half_per_band(durable(valued), "user_id", "split_metric", seed, "vip_mentioned")
 
 
 def output_rows(df: DataFrame, as_of: str, version: str = "v2", shadow: bool = False) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from growthlab.functions import scalars as S
+from growthlab.operators import joins as J
 
 EPOCH = "1995-01-01"
 SIGNUP_LIMIT = "1995-06-20"
@@ -312,6 +313,7 @@ def chargebacks(spark: SparkSession, folder: str) -> DataFrame:
         .where(F.col("l_returnflag") == "R")
         .select(
             F.col("l_orderkey").alias("transaction_id"),
+            F.col("l_linenumber").alias("line"),
             (F.col("l_extendedprice") / 1000).alias("amount"),
             compressed_day(F.col("l_shipdate")).alias("day"),
         )
@@ -319,7 +321,7 @@ def chargebacks(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("transaction_id"), F.col("o_orderpriority").alias("provider")
     )
-    return lines.join(orders, "transaction_id")
+    return J.skew_join(lines, orders, "transaction_id").drop("line")
 
 
 def redeem_grades(spark: SparkSession, folder: str) -> DataFrame:
@@ -396,17 +398,19 @@ def cohort_triangle(spark: SparkSession, folder: str, ages: list[int] = AGES) ->
         F.collect_list(F.when(F.col("age").isNotNull(), per_age)).alias("_ages"),
     )
 
-    def total(field: str, zero: str, test: str, name: str) -> str:
+    def totals(field: str, zero: str, test: str) -> str:
         return (
-            f"aggregate(filter(_ages, s -> s.age {test}), {zero}, (acc, s) -> acc + s.{field})"
-            f" AS {name}"
+            f"transform(sequence(0, {len(ages) - 1}), i -> aggregate("
+            f"filter(_ages, s -> s.age {test} i), {zero}, (acc, s) -> acc + s.{field}))"
         )
 
-    upto = list(enumerate(ages))
-    measures = (
-        [total("revenue", "0D", f"<= {i}", f"interval_{a}d") for i, a in upto]
-        + [total("buyers", "0L", f"= {i}", f"users_{a}d") for i, a in upto]
-        + [total("first_buyers", "0L", f"<= {i}", f"users_cum_{a}d") for i, a in upto]
+    shaped = cohorts.selectExpr(
+        *COHORT_KEYS,
+        "total_users",
+        "total_paid",
+        totals("revenue", "0D", "<=") + " AS interval",
+        totals("buyers", "0L", "=") + " AS users",
+        totals("first_buyers", "0L", "<=") + " AS users_cum",
     )
     costs = (
         channel_costs(spark, folder)
@@ -419,10 +423,14 @@ def cohort_triangle(spark: SparkSession, folder: str, ages: list[int] = AGES) ->
         )
         .agg(F.sum("cost").alias("total_costs"))
     )
-    return cohorts.join(costs, ["su_week", "channel_type_con", "platform"], "left").selectExpr(
+    return shaped.join(costs, ["su_week", "channel_type_con", "platform"], "left").selectExpr(
         *COHORT_KEYS,
         "CASE WHEN traffic_type = 'organic' THEN 0D ELSE coalesce(total_costs, 0D) END AS total_costs",
         "total_users",
         "total_paid",
-        *measures,
+        *[
+            f"get({name}, {i}) AS {name}_{a}d"
+            for name in ("interval", "users", "users_cum")
+            for i, a in enumerate(ages)
+        ],
     )

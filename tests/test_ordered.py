@@ -63,8 +63,10 @@ def test_draw_rank_keeps_null_strata(spark):
 def test_skew_join_equals_plain_join(skewed, spark):
     pdf, df = skewed
     dims = spark.createDataFrame([(k, f"d{k}") for k in range(0, 45, 2)], "k long, d string")
+    assert [r[0] for r in J.hot_keys(df, "k", 200).collect()] == [0]
+    assert J.hot_keys(df, "k", 5000).isEmpty()
     for how in ("inner", "left"):
-        got = J.skew_join(df, dims, "k", how, share=0.1, fan=8).toPandas()
+        got = J.skew_join(df, dims, "k", how, least=200, fan=8).toPandas()
         want = df.join(dims, "k", how).toPandas()
         cols = ["k", "id", "d"]
         pd.testing.assert_frame_equal(
