@@ -126,22 +126,21 @@ add(
     ),
 )
 KPI = dict(
-    kpi_anchor="""SELECT h_user_id, max(signup_date) AS a_signup, max(first_purchase_date) AS a_first FROM main_kpi
-        WHERE first_purchase_date IS NOT NULL GROUP BY 1""",
-    kpi96=f"""SELECT d.h_user_id AS user_id, a_signup AS signup_date, a_first AS first_purchase_date, d.signup_platform, d.first_geo_region,
+    anchor_hours="""SELECT *, max(signup_date) OVER u AS a_signup, max(first_purchase_date) OVER u AS a_first FROM main_kpi
+        WHERE first_purchase_date IS NOT NULL WINDOW u AS (PARTITION BY h_user_id)""",
+    kpi96=f"""SELECT h_user_id AS user_id, a_signup AS signup_date, a_first AS first_purchase_date, signup_platform, first_geo_region,
         {half_up('sum(sc_total_bet_amount)')} AS total_bet_amt, {half_up('sum(sc_total_win_amount)')} AS total_win_amt_sc,
         {half_up('sum(cc_total_win_amount)')} AS total_win_amt_cc,
         {half_up(div('sum(sc_total_bet_amount)', 'sum(sc_total_bet_transactions)'), 3)} AS avg_spin_amt,
         {half_up(div('sum(sc_total_win_amount)', 'sum(sc_total_bet_amount)'), 3)} AS rtp_ratio,
         {half_up('sum(sc_total_win_amount) - sum(sc_total_bet_amount)')} + 0.0 AS ggr_amt, min(channel) AS channel,
-        min(substr(email, strpos(email, '@') + 1)) AS signup_email_domain, count(d.h_user_id) AS logins_first_96h,
+        min(substr(email, strpos(email, '@') + 1)) AS signup_email_domain, count(h_user_id) AS logins_first_96h,
         CAST(sum(sc_total_bet_transactions) AS BIGINT) AS total_bet_txn,
         {r('max(purchase_amount)', 'max_purchase_amt_horly')}, {r('max(redeem_amount)', 'max_redeem_amt_hourly')},
         {r('sum(redeem_amount)', 'sum_redeem_amt')}, CAST(sum(redeem_transactions) AS BIGINT) AS sum_redeem_txn,
         {r('sum(purchase_amount)', 'sum_amt_total')}, CAST(sum(total_transactions) AS BIGINT) AS cnt_txn_total,
         {r('max(eod_sc_balance)', 'max_eod_sc_balance')}
-        FROM main_kpi d JOIN kpi_anchor m ON d.h_user_id = m.h_user_id
-        WHERE date_sub('hour', a_first, hour) BETWEEN 0 AND 96 AND a_first > TIMESTAMP '2023-11-01' AND a_first < TIMESTAMP '2024-08-20'
+        FROM anchor_hours WHERE date_sub('hour', a_first, hour) BETWEEN 0 AND 96 AND a_first > TIMESTAMP '2023-11-01' AND a_first < TIMESTAMP '2024-08-20'
         GROUP BY ALL""",
 )
 add(
@@ -343,35 +342,29 @@ add(
 _LABEL = """CASE WHEN lower(coalesce(platform, '')) = 'app' THEN coalesce(channel, 'unknown')
     ELSE coalesce(channel, 'unknown') || '-' || coalesce(channel_type, 'unknown') END"""
 _RECENT = f"BETWEEN DATE '{AS_OF}' - 8 AND DATE '{AS_OF}' - 1"
+_KEYS = "su_date, platform, channel, channel_type, channel_agg"
+_DAY0 = "count(*) FILTER (first_day = su_date)"
 REPORT = dict(
-    signups=f"""SELECT signup_date AS su_date, lower(coalesce(platform, 'unknown')) AS platform, channel, channel_type,
-        {_LABEL} AS channel_agg, count(p.user_id) AS total_signups,
-        count(CASE WHEN signup_date = CAST(first_purchase_date AS DATE) THEN 1 END) AS day0_conversions,
-        {half_up(div('count(CASE WHEN signup_date = CAST(first_purchase_date AS DATE) THEN 1 END)', 'count(p.user_id)') + ' * 100', 2)} AS conversion_rate
-        FROM user_profile p LEFT JOIN attribution a ON a.user_id = p.user_id WHERE signup_date {_RECENT} GROUP BY 1, 2, 3, 4, 5""",
-    day0=f"""SELECT signup_date AS su_date, lower(coalesce(platform, 'unknown')) AS platform, channel, channel_type,
-        {_LABEL} AS channel_agg, count(p.user_id) AS total_users, count(f.user_id) AS paid_users,
-        count(f.transaction_id) AS d0_purchase_count, sum(f.purchase_amount) AS d0_total_amount
-        FROM user_profile p LEFT JOIN fact_purchase f ON f.user_id = p.user_id AND CAST(f.purchase_time AS DATE) = signup_date
-        LEFT JOIN attribution a ON a.user_id = p.user_id WHERE signup_date {_RECENT} GROUP BY 1, 2, 3, 4, 5""",
-    spend=f"""SELECT day, lower(coalesce(platform, 'unknown')) AS platform, channel, channel_type, {_LABEL} AS channel_agg,
-        sum(cost) AS cost FROM channel_costs WHERE day {_RECENT} GROUP BY 1, 2, 3, 4, 5""",
-    summary=f"""SELECT coalesce(sc.su_date, br.su_date) AS su_date, coalesce(sc.platform, br.platform) AS platform,
-        coalesce(sc.channel, br.channel) AS channel, coalesce(sc.channel_type, br.channel_type) AS channel_type,
-        coalesce(sc.channel_agg, br.channel_agg) AS channel_agg, coalesce(sc.total_signups, 0) AS total_signups,
-        coalesce(sc.day0_conversions, 0) AS day0_conversions, coalesce(sc.conversion_rate, 0) AS conversion_rate,
-        coalesce(br.total_users, 0) AS total_users, coalesce(br.paid_users, 0) AS paid_users,
-        coalesce(br.d0_purchase_count, 0) AS d0_purchase_count, coalesce(br.d0_total_amount, 0) AS d0_total_amount,
-        coalesce(sum(c.cost), 0) AS total_cost,
-        CASE WHEN sum(c.cost) > 0 THEN br.d0_total_amount / sum(c.cost) * 100 ELSE 0 END AS roas_d0
-        FROM signups sc FULL OUTER JOIN day0 br ON sc.su_date = br.su_date AND sc.platform = br.platform
-        AND coalesce(sc.channel, '') = coalesce(br.channel, '') AND coalesce(sc.channel_type, '') = coalesce(br.channel_type, '')
-        AND sc.channel_agg = br.channel_agg
-        LEFT JOIN spend c ON c.day = coalesce(sc.su_date, br.su_date) AND c.platform = coalesce(sc.platform, br.platform)
-        AND c.channel_agg = coalesce(sc.channel_agg, br.channel_agg)
-        GROUP BY sc.su_date, br.su_date, sc.platform, br.platform, sc.channel, br.channel, sc.channel_type, br.channel_type,
-        sc.channel_agg, br.channel_agg, sc.total_signups, sc.day0_conversions, sc.conversion_rate, br.total_users, br.paid_users,
-        br.d0_purchase_count, br.d0_total_amount""",
+    recent=f"""SELECT p.user_id, signup_date AS su_date, CAST(first_purchase_date AS DATE) AS first_day, {_LABEL} AS channel_agg,
+        lower(coalesce(platform, 'unknown')) AS platform, channel, channel_type
+        FROM user_profile p LEFT JOIN attribution a ON a.user_id = p.user_id WHERE signup_date {_RECENT}""",
+    signups=f"""SELECT {_KEYS}, count(*) AS total_signups, {_DAY0} AS day0_conversions,
+        {half_up(div(_DAY0, 'count(*)') + ' * 100', 2)} AS conversion_rate FROM recent GROUP BY ALL""",
+    day0=f"""SELECT {_KEYS}, count(*) AS total_users, count(transaction_id) AS paid_users,
+        count(transaction_id) AS d0_purchase_count, sum(purchase_amount) AS d0_total_amount
+        FROM recent r LEFT JOIN fact_purchase f ON f.user_id = r.user_id AND CAST(purchase_time AS DATE) = su_date GROUP BY ALL""",
+    spend=f"""SELECT day, lower(coalesce(platform, 'unknown')) AS platform, {_LABEL} AS channel_agg,
+        sum(cost) AS cost FROM channel_costs WHERE day {_RECENT} GROUP BY ALL""",
+    # grouping treats NULL channels as equal, so stacking both sides stands in for the outer join
+    stacked=f"""SELECT {_KEYS}, total_signups, day0_conversions, conversion_rate, 0 AS total_users, 0 AS paid_users,
+        0 AS d0_purchase_count, NULL::DOUBLE AS raw_amount FROM signups
+        UNION ALL SELECT {_KEYS}, 0, 0, 0.0, total_users, paid_users, d0_purchase_count, d0_total_amount FROM day0""",
+    funnel=f"""SELECT {_KEYS}, CAST(sum(total_signups) AS BIGINT) AS total_signups, CAST(sum(day0_conversions) AS BIGINT) AS day0_conversions,
+        max(conversion_rate) AS conversion_rate, CAST(sum(total_users) AS BIGINT) AS total_users, CAST(sum(paid_users) AS BIGINT) AS paid_users,
+        CAST(sum(d0_purchase_count) AS BIGINT) AS d0_purchase_count, sum(raw_amount) AS raw_amount FROM stacked GROUP BY ALL""",
+    summary="""SELECT f.* EXCLUDE (raw_amount), coalesce(raw_amount, 0) AS d0_total_amount, coalesce(s.cost, 0) AS total_cost,
+        CASE WHEN s.cost > 0 THEN raw_amount / s.cost * 100 ELSE 0 END AS roas_d0
+        FROM funnel f LEFT JOIN spend s ON s.day = f.su_date AND s.platform = f.platform AND s.channel_agg = f.channel_agg""",
 )
 METRICS = [
     "total_signups", "day0_conversions", "conversion_rate", "total_users", "paid_users",
@@ -1011,7 +1004,7 @@ add(
     f"SELECT platform, CAST(how AS BIGINT) AS hour_of_week, {r('f_s', 'success_factor')}, {r('f_v', 'volume_factor')} FROM factor",
     **SERIES,
 )
-_FEATURE_COLS = ", ".join(r(c, c, 5) for c in FEATURES)
+_FEATURE_COLS = ", ".join(r(c, c, 7) for c in FEATURES)
 add("anomaly_features", f"SELECT platform, {ts_text('hour')} AS hour, {_FEATURE_COLS} FROM features", **SERIES)
 add(
     "anomaly_features_latest",
@@ -1023,7 +1016,7 @@ add(
     "scaled_features",
     f"SELECT platform, {ts_text('hour')} AS hour, "
     + ", ".join(
-        r(f"({c} - avg({c}) OVER p) / CASE WHEN stddev_pop({c}) OVER p = 0 THEN 1 ELSE stddev_pop({c}) OVER p END", c, 5)
+        r(f"({c} - avg({c}) OVER p) / CASE WHEN stddev_pop({c}) OVER p = 0 THEN 1 ELSE stddev_pop({c}) OVER p END", c, 7)
         for c in ("success_ma_3h", "success_volatility_3h")
     )
     + " FROM features WINDOW p AS (PARTITION BY platform)",

@@ -804,7 +804,7 @@ def anomaly_features(spark, folder):
     out = TS.rolling_features(series)
     return rounded(
         out.select("platform", as_text(F.col("hour")).alias("hour"), *TS.FEATURES),
-        *TS.FEATURES, digits=5,
+        *TS.FEATURES, digits=7,
     )
 
 
@@ -814,7 +814,7 @@ def anomaly_features_latest(spark, folder):
     out = TS.latest(TS.rolling_features(series))
     return rounded(
         out.select("platform", as_text(F.col("hour")).alias("hour"), "records_analyzed", *TS.FEATURES),
-        *TS.FEATURES, digits=5,
+        *TS.FEATURES, digits=7,
     )
 
 
@@ -824,7 +824,7 @@ def scaled_features(spark, folder):
     cols = ["success_ma_3h", "success_volatility_3h"]
     features = TS.rolling_features(series).select("platform", "hour", *cols)
     out = TS.standardise(features, cols)
-    return rounded(out.withColumn("hour", as_text(F.col("hour"))), *cols, digits=5)
+    return rounded(out.withColumn("hour", as_text(F.col("hour"))), *cols, digits=7)
 
 
 @query
@@ -967,10 +967,9 @@ def time_split(spark, folder):
 def vip_window_scores(spark, folder):
     """Five window models; window 5 has none and scores 0."""
     rows = durable(_labelled(spark, folder))
-    models = {
-        w: M.fit_logistic(rows.where(F.col("window_number") == w), _FEATURES, iterations=50)
-        for w in range(5)
-    }
+    models = M.fit_per_window(
+        rows, list(range(5)), lambda part: M.fit_logistic(part, _FEATURES, iterations=50)
+    )
     where = fresh_folder(spark, "models")
     M.save_models(models, where)
     out = M.score_by_window(rows, M.load_models(where, list(models)), M.THRESHOLD_SAME_DAY)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -153,6 +156,23 @@ def fit_boosted(
     return Pipeline(stages=[_assembler(df, features), learner]).fit(_plain_names(rows))
 
 
+def fit_per_window(
+    df: DataFrame,
+    windows: list[int],
+    fit: Callable[[DataFrame], PipelineModel],
+    window: str = "window_number",
+    parallel: int = 4,
+) -> dict[int, PipelineModel]:
+    """One model per window; the fits are submitted side by side, as cross-validation does."""
+
+    def one(w: int) -> PipelineModel:
+        return fit(df.where(F.col(window) == w))
+
+    with ThreadPool(min(parallel, len(windows))) as pool:
+        models = pool.map(inheritable_thread_target(df.sparkSession)(one), windows)
+    return dict(zip(windows, models))
+
+
 def score(model: PipelineModel, df: DataFrame, out: str = "probability_positive_class") -> DataFrame:
     scored = model.transform(_plain_names(df)).withColumn(out, vector_to_array("probability")[1])
     dotted = {_plain(c): c for c in df.columns if "." in c}
