@@ -36,13 +36,19 @@ def running_sum(
     value: str,
     out: str,
     slices: int | None = None,
+    total: str | None = None,
 ) -> DataFrame:
-    """Cumulative sum of value per key in the given order, current row included. Keys must not be NULL."""
+    """Cumulative sum of value per key in the given order, current row included, and the key's
+    whole sum if `total` names a column for it. Keys must not be NULL."""
     rows = sliced(df, keys, order, slices)
     totals = rows.groupBy(*keys, _SLICE).agg(F.sum(value).alias("_total"))
     before = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
+    whole = [F.sum("_total").over(W.partitionBy(*keys)).alias(total)] if total else []
     offsets = totals.select(
-        *keys, _SLICE, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before")
+        *keys,
+        _SLICE,
+        F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"),
+        *whole,
     )
     inside = (
         W.partitionBy(*keys, _SLICE)
@@ -71,39 +77,33 @@ def exact_quantiles(
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias(n))
     )
-    ranked = running_sum(counts, keys, [value], n, cum, slices)
-    totals = ranked.groupBy(*keys).agg(F.max(cum).alias("_rows"))
-    wanted = totals.select(
-        *keys,
-        F.posexplode(
-            F.array(*[F.lit(float(p)) * (F.col("_rows") - 1) for p in levels])
-        ).alias("_level", "_at"),
-    ).withColumn("_low", F.floor("_at"))
-    wanted = wanted.withColumn("_share", F.col("_at") - F.col("_low"))
-    per_key = wanted.groupBy(*keys).agg(
-        F.collect_list(F.struct("_level", "_low", "_share")).alias("_targets")
+    ranked = running_sum(counts, keys, [value], n, cum, slices, total="_rows")
+    targets = ", ".join(
+        f"struct({i} AS level, {float(p)!r}D * (_rows - 1) AS at)" for i, p in enumerate(levels)
     )
 
     # each distinct value covers positions [_cum - _n, _cum)
     def covers(position: Column) -> Column:
         return (position >= F.col(cum) - F.col(n)) & (position < F.col(cum))
 
+    low = F.floor("_hit.at")
     hits = (
-        ranked.join(per_key, keys)
+        ranked.withColumn("_targets", F.expr(f"array({targets})"))
         .withColumn(
             "_hit",
             F.explode(
                 F.filter(
-                    "_targets", lambda t: covers(t["_low"]) | covers(t["_low"] + F.lit(1))
+                    "_targets",
+                    lambda t: covers(F.floor(t["at"])) | covers(F.floor(t["at"]) + 1),
                 )
             ),
         )
         .select(
             *keys,
-            F.col("_hit._level").alias("_level"),
-            F.col("_hit._share").alias("_share"),
-            F.when(covers(F.col("_hit._low")), F.col(value)).alias("_lo"),
-            F.when(covers(F.col("_hit._low") + 1), F.col(value)).alias("_hi"),
+            F.col("_hit.level").alias("_level"),
+            (F.col("_hit.at") - low).alias("_share"),
+            F.when(covers(low), F.col(value)).alias("_lo"),
+            F.when(covers(low + 1), F.col(value)).alias("_hi"),
         )
     )
     per_level = hits.groupBy(*keys, "_level").agg(
@@ -125,26 +125,23 @@ def draw_rank(df: DataFrame, strata: list[str], key: str, seed: object, digits:
     shifted by the counts of the smaller prefixes, so one stratum is spread over many tasks.
     """
     rows = df.withColumn("_draw", S.draw(seed, F.col(key))).withColumn(
-        "_prefix", F.substring("_draw", 1, digits)
+        "_cell", F.struct(*strata, F.substring("_draw", 1, digits).alias("_prefix"))
     )
-    counts = rows.groupBy(*strata, "_prefix").agg(F.count(F.lit(1)).alias("_count"))
-    stratum = W.partitionBy(*strata) if strata else W.partitionBy(F.lit(0))
-    before = stratum.orderBy("_prefix").rowsBetween(W.unboundedPreceding, -1)
+    # struct keys compare NULL strata as equal, and window and join share one partitioning
+    counts = rows.groupBy("_cell").agg(F.count(F.lit(1)).alias("_count"))
+    stratum = W.partitionBy(*[F.col(f"_cell.{s}") for s in strata])
+    before = stratum.orderBy("_cell._prefix").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(
-        *[F.col(s).alias(f"_s_{s}") for s in strata],
-        F.col("_prefix").alias("_s_prefix"),
+        "_cell",
         F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_before"),
         F.sum("_count").over(stratum).alias("_size"),
     )
-    cond = F.col("_prefix") == F.col("_s_prefix")
-    for s in strata:
-        cond = cond & F.col(s).eqNullSafe(F.col(f"_s_{s}"))
-    inside = W.partitionBy(*strata, "_prefix").orderBy("_draw", key)
+    inside = W.partitionBy("_cell").orderBy("_draw", key)
     return (
         rows.withColumn("_rank", F.row_number().over(inside) - 1)
-        .join(offsets, cond)
+        .join(offsets, "_cell")
         .withColumn("_rank", F.col("_rank") + F.col("_before"))
-        .drop("_draw", "_prefix", "_before", "_s_prefix", *[f"_s_{s}" for s in strata])
+        .drop("_draw", "_cell", "_before")
     )
 
 
