@@ -847,7 +847,7 @@ def anomaly_records(spark, folder):
 def stream_bucket_counts(spark, folder):
     """Streaming quarter-hour counts, run to completion and read back."""
     where = fresh_folder(spark, "stream")
-    events = payments.read_events(spark, folder)
+    events = payments.read_events(spark, f"{folder}/events.parquet")
     counts = payments.bucket_counts(
         events, staging.platform_of(F.col("user_id")), F.col("event_type") != "error"
     )
@@ -862,7 +862,7 @@ def stream_latest_scores(spark, folder):
     where = fresh_folder(spark, "scores")
     args = (staging.platform_of(F.col("user_id")), F.col("event_type") != "error", "1 hour")
     history = payments.bucket_counts(staging.table(spark, folder, "events"), *args)
-    counts = payments.bucket_counts(payments.read_events(spark, folder), *args)
+    counts = payments.bucket_counts(payments.read_events(spark, f"{folder}/events.parquet"), *args)
 
     def sink(records: DataFrame, batch: int) -> None:
         flat = records.select(

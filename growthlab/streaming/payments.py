@@ -13,10 +13,11 @@ from growthlab.operators.ordered import top_per_group
 from growthlab.plans import anomaly
 
 
-def read_events(spark: SparkSession, folder: str, pattern: str = "events.parquet") -> DataFrame:
-    """Event files as a stream; the schema is taken from what is already there."""
-    schema = spark.read.parquet(f"{folder}/{pattern}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """An event table as a stream, one file or a folder of files; the schema is taken from what is
+    already there. The last letter is written as a pattern because only patterns may name a file."""
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def bucket_counts(

@@ -91,7 +91,7 @@ def event_frame(n=6000, days=9, seed=0):
 def test_stream_counts_equal_batch(spark, tmp_path):
     events = spark.createDataFrame(event_frame())
     events.write.parquet(str(tmp_path / "in" / "events.parquet"))
-    stream = payments.read_events(spark, str(tmp_path / "in" / "events.parquet"), "*.parquet")
+    stream = payments.read_events(spark, str(tmp_path / "in" / "events.parquet"))
     args = (F.col("platform"), F.col("ok"))
     counts = payments.bucket_counts(stream, *args)
     payments.write_counts(counts, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
@@ -102,6 +102,18 @@ def test_stream_counts_equal_batch(spark, tmp_path):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_stream_reads_a_single_file(spark, tmp_path):
+    path = tmp_path / "events.parquet"
+    event_frame(50).to_parquet(path, coerce_timestamps="us")
+    stream = payments.read_events(spark, str(path))
+    query = (
+        stream.writeStream.format("parquet").option("path", str(tmp_path / "o"))
+        .option("checkpointLocation", str(tmp_path / "s")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 50
+
+
 def test_stream_scores_equal_batch(spark, tmp_path):
     events = spark.createDataFrame(event_frame())
     events.write.parquet(str(tmp_path / "in" / "events.parquet"))
@@ -109,7 +121,7 @@ def test_stream_scores_equal_batch(spark, tmp_path):
     batch = payments.bucket_counts(events, *args)
     spans = TS.Spans()
     detector = AN.fit(batch, trees=10)
-    stream = payments.read_events(spark, str(tmp_path / "in" / "events.parquet"), "*.parquet")
+    stream = payments.read_events(spark, str(tmp_path / "in" / "events.parquet"))
     seen = []
     payments.score_batches(
         payments.bucket_counts(stream, *args), str(tmp_path / "hist"), detector,
