@@ -1068,6 +1068,35 @@ add(
 )
 
 
+_V1 = {
+    "signup_email_domain": ["gmail.com", "yahoo.com", "privaterelay.appleid.com", "icloud.com"],
+    "channel": ["google", "app", "facebook", "invite friend", "sidelines"],
+    "first_geo_region": ["california", "texas", "florida", "illinois", "georgia"],
+    "signup_platform": ["web", "app"],
+}
+
+
+def _v1_flags() -> str:
+    out = []
+    for col, known in _V1.items():
+        low = f"coalesce(lower({col}), '')"
+        for v in known:
+            name = f"{col}_{v.split('.')[0].replace(' ', '_')}"
+            out.append(f"CAST({low} = '{v}' AS INTEGER) AS {name}")
+        listed = ", ".join(f"'{v}'" for v in known)
+        out.append(f"CAST({low} NOT IN ({listed}) AS INTEGER) AS {col}_other")
+    return ", ".join(out)
+
+
+add(
+    "vip_v1_features",
+    f"""SELECT user_id, {r("date_sub('second', signup_date, first_purchase_date) / 3600.0", 'time_diff_minutes')},
+    {r('coalesce(avg_spin_amt, 0)', 'avg_spin_amt')}, {r('coalesce(rtp_ratio, 0)', 'rtp_ratio')},
+    {r('ln(total_bet_amt + 1e-10)', 'ln_total_bet_amt')}, {r('ln(sum_amt_total + 1e-10)', 'ln_sum_amt_total')}, {_v1_flags()} FROM kpi96""",
+    **KPI,
+)
+
+
 def _draw(key: str) -> str:
     return f"md5('42-' || {key})"
 
@@ -1096,7 +1125,7 @@ add(
 )
 SCORED = dict(
     LABELLED,
-    scored="""SELECT *, round(least(sum_amt_total / 2500, 1.0), 6) AS prob FROM labelled""",
+    scored="""SELECT *, round(least(sum_amt_total / 2500, 1.0), 9) AS prob FROM labelled""",
     fresh="""SELECT s.user_id, s.signup_date, s.window_number AS window_class, s.sum_amt_total, s.max_day / 2 AS redeem, s.prob, p.enp AS metric,
         CASE WHEN p.enp < 15 THEN 0 WHEN p.enp < 75 THEN 1 WHEN p.enp < 125 THEN 2 WHEN p.enp >= 125 THEN 3 END AS band
         FROM scored s LEFT JOIN user_profile p ON p.user_id = s.user_id
@@ -1128,6 +1157,13 @@ add(
     FROM (SELECT user_id, CASE WHEN prob >= 0.5 THEN 1 ELSE 0 END AS c FROM scored)""",
     **SCORED,
 )
+add(
+    "vip_v1_marks",
+    f"""SELECT user_id, prob AS probability_positive_class, CAST(c = 1 AND row_number() OVER (PARTITION BY c ORDER BY {_draw('user_id')}, user_id)
+    <= count(*) OVER (PARTITION BY c) // 2 AS INTEGER) AS potential_vip_ind
+    FROM (SELECT user_id, prob, CASE WHEN prob >= 0.6 THEN 1 ELSE 0 END AS c FROM scored)""",
+    **SCORED,
+)
 _LEVELS = [
     75, 80, 85, 88, 90, 91, 92, 93, 94, 95, 96, 97, 98, 98.5, 99, 99.5, 99.8, 99.9, 99.99, 99.999, 100,
 ]

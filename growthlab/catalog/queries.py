@@ -905,6 +905,15 @@ def _vip_dataset(spark, folder):
     )
 
 
+@query
+def vip_v1_features(spark, folder):
+    kpi = H.kpi_first_hours(staging.main_kpi(spark, folder), EVENT_FIRST, EVENT_LAST)
+    out = V.prepare_v1(C.add_missing(kpi, ["sum_sc_coin_total"], 0.0))
+    numbers = ["time_diff_minutes", "avg_spin_amt", "rtp_ratio", "ln_total_bet_amt", "ln_sum_amt_total"]
+    flags = [c for c in C.normalise_names(out).columns if c.startswith(tuple(f"{v}_" for v in V.V1_VOCABULARY))]
+    return rounded(C.normalise_names(out).select("user_id", *numbers, *flags), *numbers)
+
+
 @query
 def vip_features(spark, folder):
     out = V.prepare(_vip_dataset(spark, folder)).withColumnsRenamed(
@@ -991,6 +1000,23 @@ def model_threshold_sweep(spark, folder):
     return M.threshold_sweep(scored, "prob", "flag", ["model"])
 
 
+@query
+def oot_predictions(spark, folder):
+    """Model fitted on early signups, labels for the later ones, counted against the outcome."""
+    rows = durable(
+        M.time_split(_labelled(spark, folder), "signup_date", "1995-01-01", "1995-05-01")
+    )
+    model = M.fit_logistic(rows.where(F.col("set_type") == "model_set"), _FEATURES, iterations=50)
+    labels = M.predict_labels(model, rows.where(F.col("set_type") == "oot_set"))
+    return M.outcome_counts(labels, "predicted_label", "flag")
+
+
+@query
+def vip_v1_marks(spark, folder):
+    scored, _ = _scored(spark, folder)
+    return V.mark_v1(scored.select("user_id", "probability_positive_class"), SEED, 0.6)
+
+
 @query
 def feature_importance(spark, folder):
     model = M.fit_boosted(durable(_labelled(spark, folder)), _FEATURES, iterations=10, rate=0.1, depth=3)
@@ -1014,7 +1040,7 @@ def score_threshold_sweep(spark, folder):
 def _scored(spark, folder):
     """Users with a deterministic score, shaped like the routed scorer's output."""
     rows = durable(_labelled(spark, folder))
-    prob = F.round(F.least(F.col("sum_amt_total") / 2500, F.lit(1.0)), 6)
+    prob = F.round(F.least(F.col("sum_amt_total") / 2500, F.lit(1.0)), 9)
     scored = rows.select(
         "user_id",
         "signup_date",

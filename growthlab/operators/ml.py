@@ -179,13 +179,24 @@ def score(model: PipelineModel, df: DataFrame, out: str = "probability_positive_
     return scored.withColumnsRenamed(dotted).drop("_features", "rawPrediction", "probability", "prediction")
 
 
+def predict_labels(
+    model: PipelineModel, df: DataFrame, threshold: float = THRESHOLD_OOT, out: str = "predicted_label"
+) -> DataFrame:
+    """Probability and the 0/1 label at a threshold, for rows the model has not seen."""
+    scored = score(model, df)
+    return scored.withColumn(out, (F.col("probability_positive_class") >= threshold).cast("int"))
+
+
 def score_by_window(
     df: DataFrame,
     models: dict[int, PipelineModel],
     threshold: float = THRESHOLD_V2,
     window: str = "window_number",
 ) -> DataFrame:
-    """Each row goes to the model of its window; rows without one get probability 0, flag 0."""
+    """Each row goes to the model of its window; rows without one get probability 0, flag 0.
+
+    The frame is read once per window: pass a stored or checkpointed one, ideally partitioned by
+    the window so that each branch reads its own part."""
     known = list(models)
     parts = [
         score(models[w], df.where(F.col(window) == w)).withColumn("window", F.lit(w))

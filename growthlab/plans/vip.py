@@ -47,6 +47,17 @@ MODEL_FEATURES = [
     "ln_sum_redeem_amt", "ln_max_eod_sc_balance", "ln_sum_bonus_amt", "ln_sum_offer_amt",
     "ln_sum_bonus_promotion_bet_amount", "ggr_amt_log",
 ]
+# Vocabularies and logged columns of the first version.
+V1_VOCABULARY = {
+    "signup_email_domain": ["gmail.com", "yahoo.com", "privaterelay.appleid.com", "icloud.com"],
+    "channel": ["google", "app", "facebook", "invite friend", "sidelines"],
+    "first_geo_region": ["california", "texas", "florida", "illinois", "georgia"],
+    "signup_platform": ["web", "app"],
+}
+V1_LOG_COLS = [
+    "total_bet_amt", "total_win_amt_sc", "total_win_amt_cc", "sum_redeem_amt", "sum_amt_total",
+    "sum_sc_coin_total",
+]
 PURCHASE_OVERRIDE = 1500
 EXPERIMENT_ID = 1090
 OUTPUT = [
@@ -77,6 +88,26 @@ def prepare(df: DataFrame, cut_dates: bool = True, other: str = "residual") -> D
     return C.normalise_names(C.window_dummies(out, keep=True))
 
 
+def prepare_v1(df: DataFrame) -> DataFrame:
+    """First version: short labels from fixed vocabularies, logs, hours from signup to the first
+    purchase under the feature's published name, zero for everything missing."""
+    out = C.lower_text(df)
+    for col, vocabulary in V1_VOCABULARY.items():
+        out = C.topk_dummies(out, col, vocabulary)
+    out = C.log_features(out, V1_LOG_COLS).withColumn(
+        "time_diff_minutes",
+        S.hours_to_first_purchase(F.col("signup_date"), F.col("first_purchase_date")),
+    )
+    return out.fillna(0)
+
+
+def mark_v1(
+    scored: DataFrame, seed: object, threshold: float = 0.9, prob: str = "probability_positive_class"
+) -> DataFrame:
+    """potential_vip_ind for a random exact half of the users at or above the threshold."""
+    return X.random_half(scored, "user_id", F.col(prob) >= threshold, seed, "potential_vip_ind")
+
+
 def new_customers(
     scored: DataFrame,
     amounts: DataFrame,
