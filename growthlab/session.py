@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,14 +25,13 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder all executors can reach; only a local-mode session may fall back to a temporary one."""
+    """Folder all executors can reach: spark.checkpoint.dir; where that is unset, one beside the tables
+    of the warehouse, which is shared as well."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-            folder = tempfile.mkdtemp(prefix="growthlab-")
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/growthlab-checkpoints"
         sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
