@@ -8,19 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlab.llm import tokens
+from growthlab.llm import neardup, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, shingle=2, percent=80)
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_near_duplicates": op4_near_duplicates,
     "op9_token_counts": op9_token_counts,
 }
 
