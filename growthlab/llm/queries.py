@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlab.llm import neardup, tokens
+from growthlab.llm import neardup, quality, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +20,12 @@ def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(docs, shingle=2, percent=80)
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    trusted = _table(spark, folder, "labels").where("quality = 1 AND toxic = 0")
+    return quality.quality_rules(docs, trusted)
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
@@ -27,6 +33,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
+    "op6_quality_rules": op6_quality_rules,
     "op9_token_counts": op9_token_counts,
 }
 
