@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlab.llm import neardup, quality, tokens
+from growthlab.llm import neardup, quality, substrings, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,12 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(docs, trusted)
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    kept = substrings.remove_repeats(docs, length=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
@@ -34,6 +40,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op6_quality_rules": op6_quality_rules,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
 }
 
