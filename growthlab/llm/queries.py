@@ -8,13 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlab.llm import neardup, quality, substrings, tokens
+from growthlab.llm import neardup, pii, quality, substrings, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_private_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.find_private(docs)
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)],
+        F.sha2(pii.span_text("base"), 256).alias("base_sha256"),
+        pii.span_text("spans").alias("spans"),
+    )
+
+
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs, shingle=2, percent=80)
@@ -38,6 +50,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_private_data": op2_private_data,
     "op4_near_duplicates": op4_near_duplicates,
     "op6_quality_rules": op6_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
