@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlab.llm import neardup, pii, quality, substrings, tokens
+from growthlab.llm import ctw, neardup, pii, quality, substrings, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(docs, shingle=2, percent=80)
 
 
+def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return ctw.score_texts(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     trusted = _table(spark, folder, "labels").where("quality = 1 AND toxic = 0")
@@ -52,6 +57,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_private_data": op2_private_data,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_language_model": op5_language_model,
     "op6_quality_rules": op6_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,

@@ -18,6 +18,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage is cut, lost executors lose nothing."""
     spark = df.sparkSession
     path = fresh_folder(spark, name)
+    spark.sparkContext._jvm.System.gc()  # lets Spark drop shuffle files of finished jobs that nothing refers to
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
