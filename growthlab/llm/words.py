@@ -93,8 +93,8 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         low = high
 
 
-def split(texts: pa.Array) -> Words:
-    """Words of an Arrow string array; NULL is a text without words."""
+def split(texts: pa.Array, gap: np.ndarray = _GAP) -> Words:
+    """Words of an Arrow string array; NULL is a text without words. `gap`: which byte values end a word."""
     texts = pa.compute.fill_null(texts.cast(pa.large_string()), "")
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -103,7 +103,7 @@ def split(texts: pa.Array) -> Words:
     base, stop = int(offsets[0]), int(offsets[-1])
     data = np.frombuffer(buffer, dtype=np.uint8)[base:stop] if stop > base else np.zeros(0, np.uint8)
     offsets = offsets - base
-    inside = ~_GAP[data]
+    inside = ~gap[data]
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
