@@ -3,15 +3,17 @@
 A text longer than a chunk is cut into overlapping chunks, which are encoded apart (and on different
 executors) with offsets. Two neighbours are spliced at a boundary that both encodings have inside their
 overlap and that is proven stable: a token ends after a non-space character and the next character is
-a space. No alternative of the byte-level pre-tokenising pattern runs from a non-space character into a
-space, the pattern never looks behind, and special strings hold no space, so the full encoding has that
-boundary too and both sides are encoded as in the whole text. Where an overlap has no such boundary
+a space. No alternative of the byte-level pre-tokenising pattern runs from a non-space character into
+white space, the pattern never looks behind, and special strings hold no space, so the full encoding has
+that boundary too and both sides are encoded as in the whole text. Where an overlap has no such boundary
 (text without spaces), the text is cut again with chunks and overlaps four times as wide, at last in one.
+Shorter texts are cut at all their stable boundaries, so that a task encodes each distinct piece once.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +29,15 @@ CHUNK = 1 << 15
 OVERLAP = 256
 WIDEN = 4
 
+#: units remembered within a task
+UNITS = 500_000
+#: white space, then other characters: units end where a non-space character meets ASCII white space
+_UNIT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+#: characters that some libraries take for white space and others do not, or that are space but not ASCII
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+
+_SPACE = re.compile(f"[ \\t-\\r]|{_ODD_SPACE.pattern}")
+
 _EDGES = "array<struct<at: long, rank: long>>"
 
 
@@ -42,6 +53,16 @@ def _encoder(path: str):
     return made
 
 
+def _by_unit(texts: list[str], made, known: dict[str, int]) -> list[int]:
+    """Token counts of texts cut at every stable boundary; each distinct unit is encoded once."""
+    if len(known) > UNITS:
+        known.clear()
+    units = [[t] if _ODD_SPACE.search(t) else _UNIT.findall(t) for t in texts]
+    new = list(set().union(*units).difference(known))
+    known.update(zip(new, map(len, made.encode_batch_fast(new, add_special_tokens=False))))
+    return [sum(map(known.__getitem__, u)) for u in units]
+
+
 def _cut(size: int, chunk: int, overlap: int) -> list[tuple[int, int]]:
     """Character ranges: neighbours share 2 * overlap characters around each multiple of the chunk."""
     n = max(1, -(-size // chunk))
@@ -52,7 +73,7 @@ def _edges(text: str, base: int, ends: np.ndarray, low: int, high: int) -> list[
     """Stable boundaries of an encoded chunk in [low, high): position in the whole text, tokens before."""
     out = []
     for at in range(max(low, base + 1), min(high, base + len(text))):
-        if text[at - base] == " " and not text[at - base - 1].isspace():
+        if text[at - base] == " " and not _SPACE.match(text[at - base - 1]):
             rank = int(np.searchsorted(ends, at - base, side="right"))
             if rank and ends[rank - 1] == at - base:
                 out.append({"at": at, "rank": rank})
@@ -80,10 +101,9 @@ def count_tokens(
     rows = rows.withColumn(text_col, text).withColumn("n_bytes", F.octet_length(F.col(text_col)).cast("long"))
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = _encoder(tokenizer_path)
+        made, known = _encoder(tokenizer_path), {}
         for batch in batches:
-            got = made.encode_batch_fast(batch[text_col].to_pylist(), add_special_tokens=False)
-            counts = pa.array([len(x) for x in got], type=pa.int64())
+            counts = pa.array(_by_unit(batch[text_col].to_pylist(), made, known), type=pa.int64())
             yield batch.drop_columns([text_col]).append_column("n_tokens", counts)
 
     is_huge = F.char_length(F.col(text_col)) > chunk
