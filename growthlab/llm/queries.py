@@ -5,16 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlab.llm import ctw, neardup, pii, quality, substrings, tokens
+from growthlab.llm import ctw, mixing, neardup, pii, quality, sql, substrings, tiling, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return tiling.find_leaks(docs, _table(spark, folder, "benchmark"))
+
+
 def op2_private_data(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = pii.find_private(docs)
@@ -27,6 +32,23 @@ def op2_private_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: whole-number weights of the source tree by path; the top level is read off the source
+WEIGHTS = {"web": 5, "forum": 2, "books": 3, "web/en": 4, "forum/en": 3, "books/en": 2, "web/en/src0": 3}
+WEB, FORUM = [f"src{k}" for k in range(5)], [f"src{k}" for k in range(5, 10)]
+
+
+def source_tree() -> dict[str, Column]:
+    source = F.col("source")
+    domain = F.when(source.isin(WEB), "web").when(source.isin(FORUM), "forum").when(source.isNotNull(), "books")
+    return {"domain": domain, "lang": F.col("lang"), "source": source}
+
+
+def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    mixed = mixing.mix_sources(docs, source_tree(), WEIGHTS, share_percent=80, max_epochs=2, seed="7")
+    return mixed.select("doc_id", "epoch", "domain", "lang", "source", "n_tokens", "budget")
+
+
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs, shingle=2, percent=80)
@@ -55,7 +77,9 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_leaks": op1_benchmark_leaks,
     "op2_private_data": op2_private_data,
+    "op3_source_mix": op3_source_mix,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_language_model": op5_language_model,
     "op6_quality_rules": op6_quality_rules,
@@ -63,4 +87,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {**sql.ALL, "op3_source_mix": sql.source_mix(WEIGHTS, WEB, FORUM)}
