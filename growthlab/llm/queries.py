@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlab.llm import ctw, mixing, neardup, pii, quality, sql, substrings, tiling, tokens
+from growthlab.llm import (
+    ctw,
+    licences,
+    mixing,
+    neardup,
+    pii,
+    preferences,
+    quality,
+    sql,
+    substrings,
+    tiling,
+    tokens,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -65,6 +77,19 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(docs, trusted)
 
 
+def op7_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = licences.scan_licences(docs)
+    names = F.array_sort(F.array_distinct(F.transform("licences", lambda x: x["licence"])))
+    places = F.transform("licences", lambda x: F.concat_ws(":", x["licence"], x["start"].cast("string"), x["end"].cast("string")))
+    return found.select(
+        "doc_id",
+        F.size("sentences").cast("long").alias("n_sentences"),
+        F.array_join(names, ",").alias("licences"),
+        F.array_join(places, ",").alias("places"),
+    )
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     kept = substrings.remove_repeats(docs, length=20)
@@ -76,6 +101,16 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op10_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations 2k (chosen) and 2k + 1 (rejected)."""
+    turns = _table(spark, folder, "conversations")
+    side = lambda odd: F.max(F.when(F.col("conv_id").bitwiseAND(1) == odd, F.col("conv_id")))
+    pairs = turns.where("conv_id IS NOT NULL").groupBy(F.shiftright("conv_id", 1).alias("pair_id"))
+    pairs = pairs.agg(side(0).alias("chosen_id"), side(1).alias("rejected_id"))
+    made = preferences.preference_records(turns, pairs)
+    return made.withColumns({c: preferences.span_text(c) for c in ("chosen_train", "rejected_train")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_leaks": op1_benchmark_leaks,
     "op2_private_data": op2_private_data,
@@ -83,8 +118,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_language_model": op5_language_model,
     "op6_quality_rules": op6_quality_rules,
+    "op7_licence_scan": op7_licence_scan,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
+    "op10_preference_pairs": op10_preference_pairs,
 }
 
 ORACLE_SQL: dict[str, str] = {**sql.ALL, "op3_source_mix": sql.source_mix(WEIGHTS, WEB, FORUM)}

@@ -91,4 +91,42 @@ least AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, c AS component_id, doc_id = c AS kept
 FROM sets JOIN least ON least.a = doc_id"""
 
-ALL: dict[str, str] = {"op4_near_duplicates": _NEAR, "op8_substring_dedup": _SUBSTRINGS}
+_PREFERENCES = """
+WITH t AS (SELECT conv_id >> 1 AS pair_id, conv_id & 1 AS odd, conv_id, turn, role, text FROM conversations),
+cut AS (
+    SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, min(coalesce(c.turn, r.turn)) AS cut
+    FROM (SELECT * FROM t WHERE odd = 0) c FULL JOIN (SELECT * FROM t WHERE odd = 1) r
+      ON c.pair_id = r.pair_id AND c.turn = r.turn
+    WHERE c.role IS DISTINCT FROM r.role OR c.text IS DISTINCT FROM r.text GROUP BY 1),
+parts AS (
+    SELECT t.*, CASE WHEN cut IS NULL OR turn < cut THEN 'prompt' WHEN odd = 0 THEN 'chosen' ELSE 'rejected' END AS part
+    FROM t LEFT JOIN cut USING (pair_id)),
+pieces AS (
+    SELECT *, '<|im_start|>' || role || chr(10) AS head,
+           '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS piece
+    FROM parts WHERE part <> 'prompt' OR odd = 0),
+placed AS (
+    SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY pair_id, part ORDER BY turn
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+    FROM pieces),
+spans AS (
+    SELECT *, CASE WHEN part <> 'prompt' AND role = 'assistant'
+                   THEN (before + length(head)) || ':' || (before + length(piece) - 1) END AS span
+    FROM placed)
+SELECT pair_id,
+       max(conv_id) FILTER (odd = 0) AS chosen_id,
+       any_value(other) AS rejected_id,
+       coalesce(string_agg(piece, '' ORDER BY turn) FILTER (part = 'prompt'), '') AS prompt,
+       count(*) FILTER (part = 'prompt') AS prompt_turns,
+       coalesce(string_agg(piece, '' ORDER BY turn) FILTER (part = 'chosen'), '') AS chosen,
+       coalesce(string_agg(piece, '' ORDER BY turn) FILTER (part = 'rejected'), '') AS rejected,
+       coalesce(string_agg(span, ',' ORDER BY turn) FILTER (part = 'chosen'), '') AS chosen_train,
+       coalesce(string_agg(span, ',' ORDER BY turn) FILTER (part = 'rejected'), '') AS rejected_train
+FROM spans LEFT JOIN (SELECT pair_id, max(conv_id) AS other FROM t WHERE odd = 1 GROUP BY 1) USING (pair_id)
+GROUP BY pair_id"""
+
+ALL: dict[str, str] = {
+    "op4_near_duplicates": _NEAR,
+    "op8_substring_dedup": _SUBSTRINGS,
+    "op10_preference_pairs": _PREFERENCES,
+}
