@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthlab.llm.storage import ready, stored, without
+from growthlab.llm.storage import forget, ready, stored, without
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -127,8 +127,8 @@ def _literal(text: str, start: int, end: int) -> str:
     return text[start:end].lower()
 
 
-def _scan(docs: DataFrame, text_col: str, keep_text: bool) -> DataFrame:
-    fields = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes if keep_text or c != text_col)
+def _scan(docs: DataFrame, text_col: str) -> DataFrame:
+    fields = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes if c != text_col)
 
     def read(text: str) -> tuple[list, list, list]:
         base = base_spans(text)
@@ -148,7 +148,7 @@ def _scan(docs: DataFrame, text_col: str, keep_text: bool) -> DataFrame:
             span = [("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]
             seed = [("kind", pa.int32()), ("literal", pa.string()), ("patterns", pa.list_(pa.string()))]
             instance = [*span[1:], *seed[1:]]
-            out = batch if keep_text else batch.drop_columns([text_col])
+            out = batch.drop_columns([text_col])
             for k, (name, kind) in enumerate((("base", span), ("seeds", seed), ("instances", instance))):
                 rows = [[dict(zip((n for n, _ in kind), x)) for x in g[k]] for g in got]
                 out = out.append_column(name, pa.array(rows, type=pa.list_(pa.struct(kind))))
@@ -187,7 +187,7 @@ def discovered(scan: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     size = seeds.select("pattern", "literal").unionByName(others).distinct()
     size = size.groupBy("pattern").agg(F.count(F.lit(1)).alias("size"))
     patterns = stored(share.where(F.col("seeds") >= SUPPORT).join(size, "pattern"), "patterns")
-    belief = None
+    belief, spent = None, [seeds, others, patterns]
     for _ in range(rounds):
         scored = patterns.withColumn("mass", F.col("seeds").cast("double"))
         if belief is not None:
@@ -200,58 +200,74 @@ def discovered(scan: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         voted = others.join(trust.select("pattern", "kind", "trust"), "pattern")
         voted = voted.groupBy("literal", "kind").agg((1 - F.exp(doubt)).alias("belief"))
         belief = stored(voted.where(_shape_allows()), "beliefs")
+        spent.append(belief)
     best = belief.where(F.col("belief") >= SURE).groupBy("literal").agg(
         F.max_by("kind", F.struct("belief", -F.col("kind"))).alias("kind")
     )
+    best = stored(best, "found_identifiers")
+    forget(*spent)
     return best
 
 
-def find_private(
-    docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, keep_text: bool = False
-) -> DataFrame:
-    """The documents' columns (the text only if `keep_text`), and base and spans: arrays of
-    (kind number in KINDS, start, end) in code points, ordered by kind and start. spans holds base and
-    the discovered ones.
+def find_private(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+    """The documents' columns but the text, and base and spans: arrays of (kind number in KINDS, start, end) in
+    code points, ordered by kind and start. spans holds base and the discovered ones.
 
     NULL and empty texts have no spans. Every row is read for itself, so repeated rows, NULL ids and ties
     keep all their rows. Input columns named like a result are replaced."""
     ready(docs.sparkSession)
     rows = without(docs, "base", "spans", "seeds", "instances", "_row")
-    names = [c for c in rows.columns if keep_text or c != text_col]
-    scan = stored(_scan(rows, text_col, keep_text).withColumn("_row", F.monotonically_increasing_id()), "pii_scan")
-    known = discovered(scan, rounds)
-    places = scan.select("_row", F.explode("instances").alias("i"))
-    places = places.select("_row", "i.start", "i.end", F.col("i.literal").alias("literal")).join(known, "literal")
-    extra = places.groupBy("_row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("extra"))
+    names = [c for c in rows.columns if c != text_col]
+    scan = stored(_scan(rows, text_col).withColumn("_row", F.monotonically_increasing_id()), "pii_scan")
+    extra = _places(scan, discovered(scan, rounds), "_row")
     none = F.array().cast(f"array<{_SPAN}>")
     spans = F.array_sort(F.concat("base", F.coalesce("extra", none)))
     return scan.join(extra, "_row", "left").select(*names, F.array_sort("base").alias("base"), spans.alias("spans"))
 
 
-def span_text(spans: str) -> Column:
-    """kind:start:end of each span, comma-joined."""
-    names = F.array(*[F.lit(k) for k in KINDS])
-    one = lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))
-    return F.array_join(F.transform(spans, one), ",")
+def _places(scan: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """key, extra: where the discovered identifiers stand."""
+    places = scan.select(key, F.explode("instances").alias("i"))
+    places = places.select(key, "i.start", "i.end", F.col("i.literal").alias("literal")).distinct()
+    return places.join(known, "literal").groupBy(key).agg(F.collect_list(F.struct("kind", "start", "end")).alias("extra"))
 
 
-def redact(found: DataFrame, text_col: str = "text", spans: str = "spans") -> DataFrame:
-    """Texts with every span, overlapping ones as one, replaced by its kind in brackets."""
+def redact_private(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+    """The documents, all columns, with every span of their texts (overlapping ones as one) replaced by its
+    kind in brackets; see find_private. NULL texts stay NULL.
 
-    def cover(text: str | None, marks: list[dict]) -> str | None:
-        if not marks:
+    Only places of discovered identifiers are joined to the texts, by a hash of the text."""
+    ready(docs.sparkSession)
+    names = docs.columns
+    rows = without(docs, "_print", "extra").withColumn("_print", F.xxhash64(text_col))
+    scan = stored(_scan(rows.select("_print", text_col), text_col), "pii_scan")
+    extra = stored(_places(scan, discovered(scan, rounds), "_print"), "pii_places")
+    forget(scan)
+    joined = rows.join(extra, "_print", "left").drop("_print")
+
+    def cover(text: str | None, marks: list[dict] | None) -> str | None:
+        if not text:
             return text
+        spans = [*base_spans(text), *[(m["kind"], m["start"], m["end"]) for m in marks or ()]]
         out, at = [], 0
-        for m in sorted(marks, key=lambda s: (s["start"], -s["end"])):
-            if m["start"] >= at:
-                out += [text[at : m["start"]], f"[{KINDS[m['kind']].upper()}]"]
-            at = max(at, m["end"])
+        for kind, start, end in sorted(spans, key=lambda s: (s[1], -s[2])):
+            if start >= at:
+                out += [text[at:start], f"[{KINDS[kind].upper()}]"]
+            at = max(at, end)
         return "".join([*out, text[at:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [cover(t, m) for t, m in zip(batch[text_col].to_pylist(), batch[spans].to_pylist())]
+            texts = [cover(t, m) for t, m in zip(batch[text_col].to_pylist(), batch["extra"].to_pylist())]
             at = batch.schema.get_field_index(text_col)
-            yield batch.set_column(at, text_col, pa.array(texts, type=pa.string()))
+            yield batch.set_column(at, text_col, pa.array(texts, type=pa.string())).drop_columns(["extra"])
+
+    plain = joined.drop("extra")
+    return joined.mapInArrow(run, plain.schema).select(*[c for c in names if c in plain.columns])
 
-    return found.mapInArrow(run, found.schema)
+
+def span_text(spans: str) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    names = F.array(*[F.lit(k) for k in KINDS])
+    one = lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))
+    return F.array_join(F.transform(spans, one), ",")

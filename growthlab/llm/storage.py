@@ -23,6 +23,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(*frames: DataFrame) -> None:
+    """Delete stored frames that nothing lazy depends on any more."""
+    for df in frames:
+        spark = df.sparkSession
+        for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns that an operator is about to make itself, so that extra input columns cannot clash."""
     taken = {n.lower() for n in names}

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from growthlab.llm import words as tx
 from growthlab.llm.fmindex import FMIndex
-from growthlab.llm.storage import ready, stored, without
+from growthlab.llm.storage import forget, ready, stored, without
 
 GRAM = 6
 HOT = 10_000
@@ -218,7 +218,9 @@ def remove_repeats(
         "left",
     )
     spans = F.transform("marks", lambda m: F.struct(m["start"].alias("start"), m["windows"].alias("windows")))
-    verdict = stored(verdict.select("m._id", "m._twin", spans.alias("marks"), "firsts"), "window_verdicts").alias("v")
+    verdict = stored(verdict.select("m._id", "m._twin", spans.alias("marks"), "firsts"), "window_verdicts")
+    forget(marks)
+    verdict = verdict.alias("v")
     same = F.col("d._id").eqNullSafe(F.col("v._id")) & (F.col("d._twin") == F.col("v._twin"))
     joined = rows.alias("d").join(verdict, same, "left").select("d.*", "marks", "firsts").drop("_id", "_twin")
     return _kept(joined, names, text_col, length)
