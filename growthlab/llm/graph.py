@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthlab.llm.storage import stored
+from growthlab.llm.storage import forget, stored
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -37,7 +37,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             ),
             "labels",
         )
-        moved = after.where("was <> label")
+        forget(labels)
         labels = after.select("node", "label")
-        if moved.isEmpty():
+        if after.where("was <> label").isEmpty():
+            forget(pairs)
             return labels

@@ -2,22 +2,22 @@
 
 A document's signature is `CHUNKS * WIDTH` symbols of 16 bits, each the low bits of a MinHash over its
 shingles. Two documents of similarity s differ in a symbol with probability about 1 - s. The signature is
-split into CHUNKS chunks; every chunk is looked up with up to ERRORS wrong symbols by leaving out each
-choice of ERRORS symbols in turn. By the pigeonhole principle every pair that differs in at most
-CHUNKS * (ERRORS + 1) - 1 symbols shares a key; a pair at similarity 0.8 lies in no shared key with
+split into CHUNKS chunks; every chunk is looked up with one wrong symbol allowed, by leaving out each of
+its symbols in turn. By the pigeonhole principle every pair that differs in at most
+2 * CHUNKS - 1 symbols shares a key; a pair at similarity 0.8 lies in no shared key with
 probability 0.263 ** 10, about 2 in a million, whatever its distance. Candidates are confirmed on their
 full shingle sets.
 
-No group of a shared key is expanded into pairs. First each member is paired with the group's smallest
-member; confirmed links merge them into components. Then only members of different components are
-compared, signature against signature inside the task, and only pairs close enough to be links leave it.
-Groups that are still large are split by keys of a second chunk.
+No group of a shared key is expanded into pairs. For a few rounds its members are paired with one member
+(another one each round) and confirmed links merge them into components, so a large group of copies soon
+is one component. Then members outside a group's largest component are compared with the rest, signature
+against signature and then set against set inside the task; only confirmed links leave it. Each pair is
+compared in one of the keys it shares. Very large groups are first split by keys of a second chunk.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 
 from growthlab.llm import words as tx
 from growthlab.llm.graph import components
-from growthlab.llm.storage import ready, stored, without
+from growthlab.llm.storage import forget, ready, stored, without
 
-CHUNKS, WIDTH, ERRORS = 10, 5, 1
+CHUNKS, WIDTH = 10, 5
 #: candidates may differ in this share of symbols; a pair at 0.8 exceeds it once in some ten million
 FAR = 0.54
-#: members of different components that one task compares directly; larger groups are split again
-TOGETHER = 512
+#: rounds of links to one member of each group
+ROUNDS = 3
+#: members of a group that one task compares; larger groups are split again
+TOGETHER = 20_000
 _U = np.uint64
 
 
@@ -81,21 +83,26 @@ def _read(docs: DataFrame, text_col: str, n: int, keep_text: bool) -> DataFrame:
     return docs.mapInArrow(run, f"{fields}, _n long, _print binary" + ("" if keep_text else ", _sign binary"))
 
 
-def _masks(chunks: int) -> list[tuple[int, list[int]]]:
-    """(chunk, symbols kept of it) of every key."""
+def _masks() -> list[list[int]]:
+    """Symbols that make up each key: a chunk without one of its symbols."""
     return [
-        (c, [c * WIDTH + k for k in kept])
-        for c in range(chunks)
-        for kept in combinations(range(WIDTH), WIDTH - ERRORS)
+        [c * WIDTH + k for k in range(WIDTH) if k != out] for c in range(CHUNKS) for out in range(WIDTH)
     ]
 
 
+def _first_key(same: np.ndarray) -> np.ndarray:
+    """The number of the first key that two signatures share, from where their symbols agree."""
+    wrong = ~same.reshape(len(same), CHUNKS, WIDTH)
+    chunk = np.argmax(wrong.sum(axis=2) <= 1, axis=1)
+    return chunk * WIDTH + np.argmax(wrong[np.arange(len(same)), chunk], axis=1)
+
+
 def _keys(signs: pa.Array, above: np.ndarray | None = None) -> np.ndarray:
     """64-bit keys (rows x masks) of signatures; `above` prefixes the key of the group they are in."""
     table = np.frombuffer(b"".join(signs.to_pylist()), dtype=np.uint16).reshape(len(signs), CHUNKS * WIDTH)
     table = table.astype(np.uint64)
     out = []
-    for k, (_, kept) in enumerate(_masks(CHUNKS)):
+    for k, kept in enumerate(_masks()):
         packed = np.zeros(len(table), dtype=np.uint64)
         for at in kept:
             packed = (packed << _U(16)) | table[:, at]
@@ -111,30 +118,29 @@ def _index(reps: DataFrame) -> DataFrame:
                 continue
             keys = _keys(batch["_sign"])
             node = np.repeat(np.asarray(batch["node"]), keys.shape[1])
+            number = np.tile(np.arange(keys.shape[1], dtype=np.int32), len(keys))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(node)], names=["key", "node"]
+                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(number), pa.array(node)],
+                names=["key", "number", "node"],
             )
 
-    return reps.select("node", "_sign").mapInArrow(run, "key long, node long")
+    return reps.select("node", "_sign").mapInArrow(run, "key long, number int, node long")
 
 
 def _split_again(rows: DataFrame) -> DataFrame:
-    """Keys of a second chunk inside a large group: its members already agree on one chunk."""
+    """Keys of a second chunk inside a large group, whose members already agree on one chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            above = np.asarray(batch["key"]).view(np.uint64)
-            keys = _keys(batch["_sign"], above)
-            own = _keys(batch["_sign"])
-            chunk = np.array([c for c, _ in _masks(CHUNKS)])
-            mine = chunk[np.argmax(own == above[:, None], axis=1)]
-            keep = chunk[None, :] != mine[:, None]
-            row = np.repeat(np.arange(batch.num_rows), keys.shape[1])[keep.reshape(-1)]
-            out = batch.take(pa.array(row))
-            at = out.schema.get_field_index("key")
-            yield out.set_column(at, "key", pa.array(keys.reshape(-1)[keep.reshape(-1)].view(np.int64)))
+            keys = _keys(batch["_sign"], np.asarray(batch["key"]).view(np.uint64))
+            other = np.arange(keys.shape[1])[None, :] // WIDTH != np.asarray(batch["number"])[:, None] // WIDTH
+            out = batch.take(pa.array(np.nonzero(other)[0]))
+            key = pa.array(keys[other].view(np.int64))
+            out = out.set_column(out.schema.get_field_index("key"), "key", key)
+            none = pa.array(np.full(out.num_rows, -1, dtype=np.int32))
+            yield out.set_column(out.schema.get_field_index("number"), "number", none)
 
     return rows.mapInArrow(run, rows.schema)
 
@@ -189,34 +195,93 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, text_col: str, n: int, percen
     return both.select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long")
 
 
+def _group_pairs(label: np.ndarray, size: np.ndarray, signs: np.ndarray, number: int, percent: int) -> np.ndarray:
+    """Compatible pairs of different components in one group; number: the group's key, -1 for any."""
+    names, inverse, count = np.unique(label, return_inverse=True, return_counts=True)
+    if len(names) < 2:
+        return np.zeros((0, 2), dtype=np.int64)
+    small = inverse != np.argmax(count)
+    order = np.argsort(~small, kind="stable")  # members outside the largest component come first
+    label, size, signs = label[order], size[order], signs[order]
+    few, found = int(small.sum()), []
+    for x in range(0, few, 64):
+        for y in range(x, len(label), 4096):
+            i, j = slice(x, min(x + 64, few)), slice(y, y + 4096)
+            ok = label[i, None] != label[None, j]
+            ok &= 100 * np.minimum(size[i, None], size[None, j]) >= percent * np.maximum(size[i, None], size[None, j])
+            p, q = np.nonzero(ok)
+            p, q = p + x, q + y
+            p, q = p[p < q], q[p < q]
+            same = signs[p] == signs[q]
+            near = (~same).sum(axis=1) <= FAR * CHUNKS * WIDTH
+            if number >= 0:
+                near[near] = _first_key(same[near]) == number
+            found.append(np.stack([order[p[near]], order[q[near]]], axis=1))
+    return np.concatenate(found)
+
+
 def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Compatible pairs of different components inside the groups of a key."""
-    buckets = max(1, -(-rows.count() // 100_000))
+    """Members (key, node, label) of groups that are in a compatible pair of different components there."""
+    buckets = max(1, -(-rows.count() // 20_000))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("key", kind="stable")
-        key, node, label, size = (rows[c].to_numpy() for c in ("key", "node", "label", "_n"))
+        key, node, label, size, number = (rows[c].to_numpy() for c in ("key", "node", "label", "_n", "number"))
         signs = np.frombuffer(b"".join(rows["_sign"]), dtype=np.uint16).reshape(len(rows), -1)
         edges = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
-        found = []
+        found = [np.zeros(0, dtype=np.int64)]
         for low, high in zip(edges[:-1], edges[1:]):
-            for x in range(low, high, TOGETHER):
-                for y in range(x, high, TOGETHER):
-                    i, j = slice(x, min(x + TOGETHER, high)), slice(y, min(y + TOGETHER, high))
-                    apart = label[i, None] != label[None, j]
-                    apart &= 100 * np.minimum(size[i, None], size[None, j]) >= percent * np.maximum(size[i, None], size[None, j])
-                    p, q = np.nonzero(apart)
-                    if not len(p):
-                        continue
-                    p, q = p + x, q + y
-                    ok = (signs[p] != signs[q]).sum(axis=1) <= FAR * CHUNKS * WIDTH
-                    found.append(np.stack([node[p[ok]], node[q[ok]]], axis=1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
-        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+            g = slice(low, high)
+            found.append(low + np.unique(_group_pairs(label[g], size[g], signs[g], int(number[low]), percent)))
+        at = np.concatenate(found)
+        return pd.DataFrame({"key": key[at], "node": node[at], "label": label[at]})
 
     bucket = F.pmod(F.xxhash64("key"), F.lit(buckets))
-    return rows.withColumn("_bucket", bucket).groupBy("_bucket").applyInPandas(run, "a long, b long").distinct()
+    rows = rows.withColumn("_bucket", bucket)
+    return rows.groupBy("_bucket").applyInPandas(run, "key long, node long, label long")
+
+
+def _links_across(members: DataFrame, texts: DataFrame, text_col: str, n: int, percent: int) -> DataFrame:
+    """Confirmed links between members of a group that lie in different components.
+
+    Each member outside the group's largest component is compared with all others at once, on full sets of
+    shingles, inside the task; only links leave it."""
+    buckets = max(1, -(-members.count() // 4_000))
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        node, label, key = (table[c].to_numpy() for c in ("node", "label", "key"))
+        _, once, which = np.unique(node, return_index=True, return_inverse=True)
+        cache, sets = tx.cache(), []
+        texts = table[text_col].take(pa.array(once)).combine_chunks()
+        for low, high in tx.slices(texts):
+            found = tx.split(texts[low:high])
+            sets += tx.shingle_sets(found, found.hashes(cache, lower=True), n)
+        sizes = np.array([len(s) for s in sets])
+        names, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+        numbers = np.split(numbers, np.cumsum(sizes)[:-1])
+        mark = np.zeros(len(names), dtype=np.int32)
+        order = np.argsort(key, kind="stable")
+        edges = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0, True])
+        links = []
+        for low, high in zip(edges[:-1], edges[1:]):
+            group = order[low:high]
+            kinds, inverse, count = np.unique(label[group], return_inverse=True, return_counts=True)
+            own = which[group]
+            flat, size = np.concatenate([numbers[w] for w in own]), sizes[own]
+            start = np.cumsum(size) - size
+            for x in np.flatnonzero(inverse != np.argmax(count)):
+                mark[numbers[own[x]]] = 1
+                common = np.add.reduceat(mark[flat], start)
+                mark[numbers[own[x]]] = 0
+                linked = 100 * common >= percent * (size + size[x] - common)
+                for y in np.flatnonzero(linked & (inverse != inverse[x])):
+                    links.append(sorted((int(node[group[x]]), int(node[group[y]]))))
+        links = sorted({tuple(x) for x in links})
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    rows = members.join(texts, "node").withColumn("_bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    return rows.groupBy("_bucket").applyInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -249,8 +314,8 @@ def near_duplicates(
     )
 
     index = _index(reps)
-    groups = index.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("hub"))
-    shared = stored(index.join(groups.where("members > 1"), "key"), "shared_keys")
+    groups = index.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = stored(index.join(groups.select("key"), "key"), "shared_keys")
 
     linked = shared.select("node").distinct()
     needed = linked.join(reps, "node").select("node", "_print", F.col("first"))
@@ -258,25 +323,31 @@ def near_duplicates(
     same = (source["_print"] == needed["_print"]) & source["_id"].eqNullSafe(needed["first"])
     texts = stored(source.join(needed, same).select("node", text_col), "candidate_texts")
 
-    star = shared.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = stored(_confirmed(_near(star, reps, percent), texts, text_col, shingle, percent), "links")
-    labels = components(links)
+    links = labels = None
+    here = shared.withColumn("label", F.col("node"))
+    for turn in range(ROUNDS):
+        order = F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("label"))
+        hubs = _mixed(here).groupBy("key").agg(F.min(order).alias("hub"))
+        star = here.join(hubs, "key").where(F.col("hub.label") != F.col("label"))
+        star = star.select(F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b")).distinct()
+        more = stored(_confirmed(_near(star, reps, percent), texts, text_col, shingle, percent), "links")
+        links = more if links is None else links.unionByName(more)
+        labels = components(links)
+        here = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
-    here = shared.select("key", "node").join(labels, "node", "left")
-    here = here.withColumn("label", F.coalesce("label", "node"))
     apart = _mixed(here).join(reps.select("node", "_n", "_sign"), "node")
-    apart = stored(apart.select("key", "node", "label", "_n", "_sign", "members"), "apart")
+    apart = stored(apart.select("key", "number", "node", "label", "_n", "_sign", "members"), "apart")
     large = _split_again(apart.where(F.col("members") > TOGETHER).drop("members"))
-    again = _mixed(large.select("key", "node", "label")).drop("members", "label")
-    again = again.join(apart.select("node", "label", "_n", "_sign").dropDuplicates(["node"]), "node")
-    rest = apart.where(F.col("members") <= TOGETHER).drop("members").unionByName(again)
-    pairs = stored(_across(stored(rest, "apart_again"), percent), "across")
-    more = stored(_confirmed(pairs, texts, text_col, shingle, percent), "links")
+    rest = apart.where(F.col("members") <= TOGETHER).drop("members").unionByName(_mixed(large).drop("members"))
+    rest = stored(rest, "apart_again")
+    members = stored(_across(rest, percent), "members_across")
+    more = stored(_links_across(members, texts, text_col, shingle, percent), "links")
     labels = components(links.unionByName(more))
 
     classes = reps.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = classes.groupBy("label").agg(F.min("first").alias("component_id"))
-    classes = classes.join(least, "label").select("_print", "component_id")
+    classes = stored(classes.join(least, "label").select("_print", "component_id"), "classes")
+    forget(reps, shared, texts, apart, rest, members, links, more, labels)
     full = read.where("_n > 0").join(classes, "_print")
     empty = read.where("_n = 0").withColumn("component_id", F.col("_id"))
     out = full.select(*keep, "_id", F.col("_n").alias("n_shingles"), "component_id").unionByName(
