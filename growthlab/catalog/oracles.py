@@ -337,6 +337,23 @@ add(
     ),
 )
 
+
+
+def _kept(low: float) -> str:
+    """The later column of a strong pair goes unless the earlier one has gone already."""
+    strong = lambda a, b: f"(abs(corr({a}, {b})) > {low} AND abs(corr({a}, {b})) < 1)"
+    qty, price, disc, tax = _LINE
+    flags = f"""SELECT {strong(qty, price)} AS no_price, {strong(qty, disc)} OR (NOT {strong(qty, price)} AND {strong(price, disc)}) AS no_disc,
+        {strong(qty, tax)} AS a, {strong(price, tax)} AS b, {strong(disc, tax)} AS c FROM lineitem"""
+    gone = {qty: "false", price: "no_price", disc: "no_disc", tax: "a OR (NOT no_price AND b) OR (NOT no_disc AND c)"}
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {r(f'(SELECT avg({c}) FROM lineitem)', 'mean')} FROM ({flags}) WHERE NOT ({gone[c]})" for c in _LINE
+    )
+
+
+add("corr_kept_columns", _kept(0.6))
+add("corr_kept_published", _kept(0.9))
+
 # ---------------------------------------------------------------- marketing marts
 
 _LABEL = """CASE WHEN lower(coalesce(platform, '')) = 'app' THEN coalesce(channel, 'unknown')
@@ -1022,6 +1039,25 @@ add(
     + " FROM features WINDOW p AS (PARTITION BY platform)",
     **SERIES,
 )
+_RECENT_ROWS = "BETWEEN 336 PRECEDING AND 1 PRECEDING"
+
+
+def _causal_factor(col: str) -> str:
+    ratio = f"avg({col}) OVER (PARTITION BY platform, how ORDER BY rn RANGE {_RECENT_ROWS}) / nullif(avg({col}) OVER (PARTITION BY platform ORDER BY rn ROWS {_RECENT_ROWS}), 0)"
+    return f"CASE WHEN ({ratio}) IS NULL THEN 1.0 ELSE {_clip(ratio, '0.3', '3.0')} END"
+
+
+CAUSAL = dict(
+    SERIES,
+    factor=f"SELECT platform, hour AS f_hour, {_causal_factor('sr')} AS f_s, {_causal_factor('total')} AS f_v FROM series",
+    rolled=SERIES["rolled"].replace("f.how = s.how", "f.f_hour = s.hour"),
+    features="SELECT platform, hour, records_analyzed, " + ", ".join(f"coalesce({c}, 1) AS {c}" for c in FEATURES) + " FROM open_features",
+)
+add(
+    "anomaly_features_causal",
+    f"SELECT platform, {ts_text('hour')} AS hour, {', '.join(r(c, c) for c in FEATURES)} FROM features",
+    **CAUSAL,
+)
 add(
     "stream_bucket_counts",
     """SELECT platform, strftime(b, '%Y-%m-%d %H:%M:%S') AS bucket, count(CASE WHEN event_type <> 'error' THEN 1 END) AS approved, count(*) AS total
@@ -1114,6 +1150,13 @@ add(
     flag, count(*) AS users FROM labelled GROUP BY 1, 2""",
     **LABELLED,
 )
+_LOGIT = "CASE window_number WHEN 0 THEN -3 + 0.002 * sum_amt_total WHEN 1 THEN -2 + 0.1 * cnt_txn_total WHEN 2 THEN 0.5 + 0.0001 * balance END"
+add(
+    "vip_fixed_window_scores",
+    f"""SELECT user_id, w AS "window", {r('p', 'probability_positive_class', 9)}, CAST(w IS NOT NULL AND p >= 0.8 AS INTEGER) AS potential_vip_ind
+    FROM (SELECT user_id, CASE WHEN window_number < 3 THEN window_number END AS w, coalesce(1 / (1 + exp(-({_LOGIT}))), 0) AS p FROM labelled)""",
+    **LABELLED,
+)
 add(
     "score_threshold_sweep",
     f"""SELECT 'length' AS model, {r('t / 50.0', 'threshold')}, {r(div('tp + (n - f - (p - tp))', 'n'), 'accuracy')},
@@ -1121,15 +1164,15 @@ add(
     {r(f"coalesce({div('2 * tp', '2 * tp + (f - tp) + (p - tp)')}, 0)", 'f1')} FROM (
     SELECT t, count(CASE WHEN prob >= t / 50.0 THEN 1 END) AS f, count(CASE WHEN prob >= t / 50.0 AND quality = 1 THEN 1 END) AS tp,
     count(CASE WHEN quality = 1 THEN 1 END) AS p, count(*) AS n FROM range(0, 51) AS g(t),
-    (SELECT least(n_chars, 5000) / 5000.0 AS prob, quality FROM labels JOIN documents USING (doc_id)) GROUP BY 1)""",
+    (SELECT n_chars / (n_chars + 1500.0) AS prob, quality FROM labels JOIN documents USING (doc_id)) GROUP BY 1)""",
 )
 SCORED = dict(
     LABELLED,
-    scored="""SELECT *, round(least(sum_amt_total / 2500, 1.0), 9) AS prob FROM labelled""",
+    scored="""SELECT *, round(sum_amt_total / (sum_amt_total + 150.0), 9) AS prob FROM labelled""",
     fresh="""SELECT s.user_id, s.signup_date, s.window_number AS window_class, s.sum_amt_total, s.max_day / 2 AS redeem, s.prob, p.enp AS metric,
         CASE WHEN p.enp < 15 THEN 0 WHEN p.enp < 75 THEN 1 WHEN p.enp < 125 THEN 2 WHEN p.enp >= 125 THEN 3 END AS band
         FROM scored s LEFT JOIN user_profile p ON p.user_id = s.user_id
-        WHERE (s.sum_amt_total >= 1100 OR s.prob >= 0.6) AND s.user_id NOT IN (SELECT user_id FROM redeem_grades WHERE grade = 4)""",
+        WHERE (s.sum_amt_total >= 1500 OR s.prob >= 0.96) AND s.user_id NOT IN (SELECT user_id FROM redeem_grades WHERE grade = 4)""",
     mentioned=f"""SELECT *, CASE WHEN band IS NOT NULL AND row_number() OVER (PARTITION BY band ORDER BY {_draw('user_id')}, user_id)
         <= count(*) OVER (PARTITION BY band) // 2 THEN 1 ELSE 0 END AS vip_mentioned FROM fresh""",
 )
@@ -1154,14 +1197,14 @@ add(
     "random_half",
     f"""SELECT user_id, CAST(c = 1 AND row_number() OVER (PARTITION BY c ORDER BY {_draw('user_id')}, user_id)
     <= count(*) OVER (PARTITION BY c) // 2 AS INTEGER) AS chosen
-    FROM (SELECT user_id, CASE WHEN prob >= 0.5 THEN 1 ELSE 0 END AS c FROM scored)""",
+    FROM (SELECT user_id, CASE WHEN prob >= 0.92 THEN 1 ELSE 0 END AS c FROM scored)""",
     **SCORED,
 )
 add(
     "vip_v1_marks",
     f"""SELECT user_id, prob AS probability_positive_class, CAST(c = 1 AND row_number() OVER (PARTITION BY c ORDER BY {_draw('user_id')}, user_id)
     <= count(*) OVER (PARTITION BY c) // 2 AS INTEGER) AS potential_vip_ind
-    FROM (SELECT user_id, prob, CASE WHEN prob >= 0.6 THEN 1 ELSE 0 END AS c FROM scored)""",
+    FROM (SELECT user_id, prob, CASE WHEN prob >= 0.9 THEN 1 ELSE 0 END AS c FROM scored)""",
     **SCORED,
 )
 _LEVELS = [
@@ -1200,6 +1243,18 @@ _BAND = """CASE WHEN amount >= 0 AND amount < 50 THEN '0-50' WHEN amount >= 50 A
 _RATE = div("count(CASE WHEN status = 1 THEN 1 END)", "count(CASE WHEN status IN (1, 6) THEN 1 END)") + " * 100"
 
 
+_ALERT = f"""CASE WHEN {div('chargebacks', 'transactions')} * 100 < 1 THEN 'good' WHEN {div('chargebacks', 'transactions')} * 100 <= 2 THEN 'concerning'
+    WHEN chargebacks > 0 THEN 'critical' END"""
+
+
+def _paid_and_back(key: str, expr: str, payments: str) -> str:
+    return f"""SELECT coalesce(p.provider, b.provider) AS provider, coalesce(p.{key}, b.{key}) AS {key}, coalesce(transactions, 0) AS transactions,
+    coalesce(volume, 0) AS volume, coalesce(b.n, 0) AS chargebacks, coalesce(b.value, 0) AS chargeback_value
+    FROM (SELECT provider, {expr} AS {key}, count(*) AS transactions, sum(amount) AS volume FROM purchase_transaction {payments} GROUP BY 1, 2) p
+    FULL JOIN (SELECT provider, {expr} AS {key}, count(*) AS n, sum(amount) AS value FROM chargebacks GROUP BY 1, 2) b
+    ON b.provider IS NOT DISTINCT FROM p.provider AND b.{key} IS NOT DISTINCT FROM p.{key}"""
+
+
 def _kpis(keys: str) -> str:
     return f"""SELECT {keys}, count(*) AS transactions, count(CASE WHEN status IN (1, 6) THEN 1 END) AS attempts,
         count(CASE WHEN status = 1 THEN 1 END) AS successes, count(CASE WHEN status = 6 THEN 1 END) AS failures,
@@ -1217,12 +1272,17 @@ add(
     "chargeback_ratio",
     f"""SELECT provider, band, transactions, {r('volume', 'volume')}, chargebacks, {r('chargeback_value', 'chargeback_value')},
     {r(div('chargebacks', 'transactions') + ' * 100', 'chargeback_ratio')},
-    CASE WHEN {div('chargebacks', 'transactions')} * 100 < 1 THEN 'good' WHEN {div('chargebacks', 'transactions')} * 100 <= 2 THEN 'concerning' ELSE 'critical' END AS alert,
-    {r(div('chargeback_value', 'volume') + ' * 100', 'value_share')}
-    FROM (SELECT p.*, coalesce(b.n, 0) AS chargebacks, coalesce(b.value, 0) AS chargeback_value
-    FROM (SELECT provider, {_BAND} AS band, count(*) AS transactions, sum(amount) AS volume FROM purchase_transaction GROUP BY 1, 2) p
-    LEFT JOIN (SELECT provider, {_BAND} AS band, count(*) AS n, sum(amount) AS value FROM chargebacks GROUP BY 1, 2) b
-    ON b.provider = p.provider AND b.band = p.band)""",
+    {_ALERT} AS alert,
+    {r(div('chargeback_value', 'volume') + ' * 100', 'value_share')},
+    CAST(coalesce(({_ALERT}) = 'critical', false) AS INTEGER) AS investigation
+    FROM ({_paid_and_back('band', _BAND, '')})""",
+)
+add(
+    "chargeback_periods",
+    f"""SELECT provider, period, transactions, chargebacks, {r('chargeback_value', 'chargeback_value')},
+    {r(div('chargebacks', 'transactions') + ' * 100', 'chargeback_ratio')}, {_ALERT} AS alert,
+    CAST(coalesce(({_ALERT}) = 'critical', false) AS INTEGER) AS investigation
+    FROM ({_paid_and_back('period', "CAST(date_trunc('month', day) AS DATE)", "WHERE day < DATE '1995-05-01'")})""",
 )
 add(
     "grade_distribution",
@@ -1230,14 +1290,23 @@ add(
     FROM (SELECT segment, grade, users, users / CAST(sum(users) OVER (PARTITION BY segment) AS DOUBLE) * 100 AS share
     FROM (SELECT segment, coalesce(grade, 1) AS grade, count(*) AS users FROM redeem_grades GROUP BY 1, 2))""",
 )
-add(
-    "kpi_period_change",
-    f"""SELECT period, attempts, {r('success_rate', 'success_rate')}, {r('revenue', 'revenue')}, low_sample, {r('rate_change', 'rate_change')},
-    {r(div('revenue - rev_before', 'rev_before') + ' * 100', 'revenue_change_pct')},
-    CASE WHEN rate_change < -5 THEN 'PERFORMANCE INVESTIGATION NEEDED' END AS investigation
-    FROM (SELECT *, success_rate - lag(success_rate) OVER (ORDER BY period) AS rate_change, lag(revenue) OVER (ORDER BY period) AS rev_before
-    FROM ({_kpis('period')} FROM (SELECT *, CAST(date_trunc('week', day) AS DATE) AS period FROM purchase_transaction) GROUP BY 1))""",
-)
+def _rates(unit: str, rows: str = "") -> str:
+    periods = f"SELECT *, CAST(date_trunc('{unit}', day) AS DATE) AS period FROM purchase_transaction {rows}"
+    return f"{_kpis('period')} FROM ({periods}) GROUP BY 1"
+
+
+def _period_change(step: str) -> str:
+    """Against the period exactly one step earlier."""
+    return f"""SELECT c.period, c.attempts, {r('c.success_rate', 'success_rate')}, {r('c.revenue', 'revenue')}, c.low_sample,
+    {r('c.success_rate - b.success_rate', 'rate_change')}, {r(div('c.revenue - b.revenue', 'b.revenue') + ' * 100', 'revenue_change_pct')},
+    CASE WHEN c.success_rate - b.success_rate < -5 THEN 'PERFORMANCE INVESTIGATION NEEDED' END AS investigation
+    FROM period_rates c LEFT JOIN period_rates b ON b.period = CAST(c.period - INTERVAL {step} AS DATE)"""
+
+
+# one month is taken out, so that a period without a predecessor occurs
+_GAP = "WHERE date_trunc('month', day) <> DATE '1995-03-01'"
+add("kpi_period_change", _period_change("7 DAY"), period_rates=_rates("week"))
+add("kpi_month_change", _period_change("1 MONTH"), period_rates=_rates("month", _GAP))
 
 
 def _drill(dim: str, expr: str) -> str:

@@ -505,9 +505,19 @@ def corr_prune(spark, folder):
 def corr_kept_columns(spark, folder):
     lines = staging.table(spark, folder, "lineitem")
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    kept = M.prune_correlated(lines, cols, low=0.6)
-    means = lines.agg(*[F.avg(c).alias(c) for c in kept])
-    return means.unpivot([], kept, "feature", "mean")
+    return _kept_means(lines, cols, 0.6)
+
+
+@query
+def corr_kept_published(spark, folder):
+    lines = staging.table(spark, folder, "lineitem")
+    return _kept_means(lines, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], 0.9)
+
+
+def _kept_means(lines, cols, low):
+    kept = M.prune_correlated(lines, cols, low=low)
+    means = lines.agg(*[F.avg(c).cast("double").alias(c) for c in kept])
+    return rounded(means.unpivot([], kept, "feature", "mean"), "mean")
 
 
 # ---------------------------------------------------------------- marketing marts
@@ -818,6 +828,17 @@ def anomaly_features_latest(spark, folder):
     )
 
 
+@query
+def anomaly_features_causal(spark, folder):
+    """Features for scoring history: factors and fills look at earlier buckets only."""
+    series = TS.complete_rows(staging.payment_series(spark, folder))
+    out = TS.rolling_features(series, causal=True)
+    return rounded(
+        out.select("platform", as_text(F.col("hour")).alias("hour"), *TS.FEATURES),
+        *TS.FEATURES,
+    )
+
+
 @query
 def scaled_features(spark, folder):
     series = TS.complete_rows(staging.payment_series(spark, folder))
@@ -830,7 +851,7 @@ def scaled_features(spark, folder):
 @query
 def anomaly_scores(spark, folder):
     series = staging.payment_series(spark, folder)
-    detector = AN.fit(series, trees=40)
+    detector = AN.fit(series)
     scored = AN.score_history(series, detector)
     return scored.select(
         "platform", as_text(F.col("hour")).alias("hour"), "anomaly_score", "is_anomaly", "confidence"
@@ -840,7 +861,7 @@ def anomaly_scores(spark, folder):
 @query
 def anomaly_records(spark, folder):
     series = staging.payment_series(spark, folder)
-    return AN.latest_records(series, AN.fit(series, trees=40))
+    return AN.latest_records(series, AN.fit(series))
 
 
 @query
@@ -872,7 +893,7 @@ def stream_latest_scores(spark, folder):
         flat.write.mode("overwrite").parquet(f"{where}/out/batch={batch}")
 
     payments.score_batches(
-        counts, f"{where}/history", AN.fit(history, trees=20), sink, f"{where}/state"
+        counts, f"{where}/history", AN.fit(history), sink, f"{where}/state"
     ).awaitTermination()
     return spark.read.parquet(f"{where}/out")
 
@@ -977,22 +998,39 @@ def vip_window_scores(spark, folder):
     """Five window models; window 5 has none and scores 0."""
     rows = durable(_labelled(spark, folder))
     models = M.fit_per_window(
-        rows, list(range(5)), lambda part: M.fit_logistic(part, _FEATURES, iterations=50)
+        rows, list(range(5)), lambda part: M.fit_logistic(part, _FEATURES)
     )
     where = fresh_folder(spark, "models")
     M.save_models(models, where)
-    out = M.score_by_window(rows, M.load_models(where, list(models)), M.THRESHOLD_SAME_DAY)
+    loaded = M.load_models(where, list(models))
+    table = {w: M.logistic_terms(model, _FEATURES) for w, model in loaded.items()}
+    out = M.score_by_terms(rows, table, M.THRESHOLD_SAME_DAY)
     return out.select("user_id", "window", "probability_positive_class", "potential_vip_ind")
 
 
+@query
+def vip_fixed_window_scores(spark, folder):
+    """The scoring expression with given terms; windows 3 to 5 have no model."""
+    table = {
+        0: (-3.0, {"sum_amt_total": 0.002}),
+        1: (-2.0, {"cnt_txn_total": 0.1}),
+        2: (0.5, {"balance": 0.0001}),
+    }
+    out = M.score_by_terms(_labelled(spark, folder), table, M.THRESHOLD_SAME_DAY)
+    return rounded(
+        out.select("user_id", "window", "probability_positive_class", "potential_vip_ind"),
+        "probability_positive_class", digits=9,
+    )
+
+
 @query
 def model_threshold_sweep(spark, folder):
     rows = durable(X.stratified_split(_labelled(spark, folder), "flag", "user_id", SEED))
     fit_rows, test = rows.where(F.col("part") != "test"), rows.where(F.col("part") == "test")
     boosted = M.fit_boosted(
-        fit_rows, _FEATURES, validation=F.col("part") == "val", iterations=10, rate=0.1, depth=3
+        fit_rows, _FEATURES, validation=F.col("part") == "val"
     )
-    logistic = M.fit_logistic(fit_rows.where(F.col("part") == "train"), _FEATURES, iterations=50)
+    logistic = M.fit_logistic(fit_rows.where(F.col("part") == "train"), _FEATURES)
     scored = None
     for name, model in (("boosted", boosted), ("logistic", logistic)):
         part = M.score(model, test, "prob").withColumn("model", F.lit(name))
@@ -1006,7 +1044,7 @@ def oot_predictions(spark, folder):
     rows = durable(
         M.time_split(_labelled(spark, folder), "signup_date", "1995-01-01", "1995-05-01")
     )
-    model = M.fit_logistic(rows.where(F.col("set_type") == "model_set"), _FEATURES, iterations=50)
+    model = M.fit_logistic(rows.where(F.col("set_type") == "model_set"), _FEATURES)
     labels = M.predict_labels(model, rows.where(F.col("set_type") == "oot_set"))
     return M.outcome_counts(labels, "predicted_label", "flag")
 
@@ -1014,23 +1052,23 @@ def oot_predictions(spark, folder):
 @query
 def vip_v1_marks(spark, folder):
     scored, _ = _scored(spark, folder)
-    return V.mark_v1(scored.select("user_id", "probability_positive_class"), SEED, 0.6)
+    return V.mark_v1(scored.select("user_id", "probability_positive_class"), SEED, M.THRESHOLD_V1)
 
 
 @query
 def feature_importance(spark, folder):
-    model = M.fit_boosted(durable(_labelled(spark, folder)), _FEATURES, iterations=10, rate=0.1, depth=3)
+    model = M.fit_boosted(durable(_labelled(spark, folder)), _FEATURES)
     return M.importance_table(spark, model, _FEATURES)
 
 
 @query
 def score_threshold_sweep(spark, folder):
-    """The sweep on the labels table: agreement of toxicity-free text with quality."""
+    """The sweep on the labels table: how well a text's length, as a score below 1, tells its quality."""
     docs = staging.table(spark, folder, "documents").select("doc_id", "n_chars")
     labels = staging.table(spark, folder, "labels")
     scored = labels.join(docs, "doc_id").select(
         F.lit("length").alias("model"),
-        (F.least(F.col("n_chars"), F.lit(5000)) / 5000).alias("prob"),
+        (F.col("n_chars") / (F.col("n_chars") + 1500.0)).alias("prob"),
         "quality",
     )
     out = M.threshold_sweep(scored, "prob", "quality", ["model"])
@@ -1040,13 +1078,13 @@ def score_threshold_sweep(spark, folder):
 def _scored(spark, folder):
     """Users with a deterministic score, shaped like the routed scorer's output."""
     rows = durable(_labelled(spark, folder))
-    prob = F.round(F.least(F.col("sum_amt_total") / 2500, F.lit(1.0)), 9)
+    prob = F.round(F.col("sum_amt_total") / (F.col("sum_amt_total") + 150.0), 9)
     scored = rows.select(
         "user_id",
         "signup_date",
         F.col("window_number").alias("window"),
         prob.alias("probability_positive_class"),
-        (prob >= 0.6).cast("int").alias("potential_vip_ind"),
+        (prob >= M.THRESHOLD_V2).cast("int").alias("potential_vip_ind"),
     )
     amounts = rows.select(
         "user_id",
@@ -1062,7 +1100,7 @@ def _published(spark, folder):
     scored, amounts = _scored(spark, folder)
     existing = staging.redeem_grades(spark, folder).where(F.col("grade") == 4)
     values = staging.user_profile(spark, folder)
-    fresh = V.new_customers(scored, amounts, existing, values, SEED, override=1100)
+    fresh = V.new_customers(scored, amounts, existing, values, SEED)
     return V.output_rows(fresh, f"{AS_OF} 10:20:30")
 
 
@@ -1092,7 +1130,7 @@ def random_half(spark, folder):
     scored, _ = _scored(spark, folder)
     out = X.random_half(
         scored.select("user_id", "probability_positive_class"),
-        "user_id", F.col("probability_positive_class") >= 0.5, SEED, "chosen",
+        "user_id", F.col("probability_positive_class") >= M.THRESHOLD_OOT, SEED, "chosen",
     )
     return out.select("user_id", "chosen")
 
@@ -1139,6 +1177,16 @@ def chargeback_ratio(spark, folder):
     )
 
 
+@query
+def chargeback_periods(spark, folder):
+    """Per provider and month; payments end before the chargebacks do, so some months have only those."""
+    month = F.trunc("day", "month")
+    pay = staging.purchase_transaction(spark, folder).where("day < DATE '1995-05-01'").withColumn("period", month)
+    back = staging.chargebacks(spark, folder).withColumn("period", month)
+    out = K.chargeback_ratio(pay, back, ["provider", "period"]).drop("volume", "value_share")
+    return rounded(out, "chargeback_value", "chargeback_ratio")
+
+
 @query
 def grade_distribution(spark, folder):
     out = K.grade_distribution(staging.redeem_grades(spark, folder), ["segment"])
@@ -1153,6 +1201,14 @@ def kpi_period_change(spark, folder):
     )
 
 
+@query
+def kpi_month_change(spark, folder):
+    """Month against month with March taken out: April has no month before it."""
+    pay = staging.purchase_transaction(spark, folder).where("trunc(day, 'month') <> DATE '1995-03-01'")
+    out = K.period_change(pay, "month")
+    return rounded(out, "success_rate", "revenue", "rate_change", "revenue_change_pct")
+
+
 @query
 def kpi_drilldown(spark, folder):
     pay = staging.purchase_transaction(spark, folder).withColumn("band", K.amount_band(F.col("amount")))

@@ -11,6 +11,7 @@ from growthlab.functions import sums as A
 from growthlab.operators import joins as J
 from growthlab.operators import ordered as O
 
+# Published levels, days and bands.
 VIP_LEVELS = [1000, 3000, 5000, 8000]
 EXCEED_LEVELS = [100, 200, 500, 1000, 1500, 2000, 3000, 4000, 5000]
 REVENUE_DAYS = [0, 3, 7, 10, 14, 21, 28, 35, 42, 49, 56, 63, 70, 77, 84, 91, 98]
@@ -54,7 +55,7 @@ def first_purchase_cumsum(
     )
     elapsed = S.whole_hours(F.col("first_purchase_time"), F.col("purchase_time"))
     daily = (
-        J.skew_join(instants, first, "user_id", sizes=facts)
+        instants.join(first, "user_id")
         .where(elapsed < max_hours)
         .groupBy(
             "user_id",

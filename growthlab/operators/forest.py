@@ -1,6 +1,6 @@
 """Isolation forest (Liu, Ting, Zhou 2008) per platform.
 
-Each tree is grown in its own task on a few hundred rows picked by hash, so training parallelism
+Each tree is grown in its own task on a few hundred rows picked by hash from all rows, so training parallelism
 is platforms x trees. A platform's forest is one row of bounded arrays; scoring pairs it with
 slices of that platform's rows, so no task holds a whole platform.
 """
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import sys
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -23,9 +24,9 @@ from growthlab.functions import scalars as S
 # executors need not have this package installed: ship its few functions with the task
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: rows per tree, a parameter of the published algorithm
 SAMPLE = 256
 TREES = 100
-POOL = 4096
 EULER = 0.5772156649015329
 
 TREE_SCHEMA = (
@@ -88,12 +89,6 @@ def path_lengths(points: np.ndarray, tree: dict) -> np.ndarray:
         at = np.where(inner, step, at)
 
 
-def _pool(df: DataFrame, key: str, seed: object) -> DataFrame:
-    """Up to POOL random rows per platform, drawn from its calendar buckets."""
-    order = W.partitionBy("platform").orderBy(S.draw(seed, F.col(key)), key)
-    return df.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= POOL).drop("_r")
-
-
 def fit_forest(
     df: DataFrame,
     features: list[str],
@@ -102,8 +97,11 @@ def fit_forest(
     trees: int = TREES,
     sample: int = SAMPLE,
 ) -> DataFrame:
-    """One row per platform: its trees as an array of node arrays, and the rows per tree."""
-    pool = _pool(df.select("platform", key, *features), key, seed).withColumn(
+    """One row per platform: its trees as an array of node arrays, and the rows per tree.
+
+    Each tree draws its rows from all rows of its platform; the rank filter is applied before the shuffle
+    as well, so at most `sample` rows per tree and task travel."""
+    pool = df.select("platform", key, *features).withColumn(
         "tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
     )
     per_tree = W.partitionBy("platform", "tree").orderBy(S.draw(seed, F.col("tree"), F.col(key)))
@@ -112,7 +110,8 @@ def fit_forest(
     def build(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         platform, tree = keys
         points = rows.sort_values("_r")[features].to_numpy(dtype=float)
-        grown = grow(points, np.random.default_rng([tree, len(points)]))
+        start = [zlib.crc32(f"{seed}-{platform}".encode()), int(tree), len(points)]
+        grown = grow(points, np.random.default_rng(start))
         return pd.DataFrame([{"platform": platform, "tree": tree, **grown}])
 
     grown = picked.groupBy("platform", "tree").applyInPandas(build, TREE_SCHEMA)

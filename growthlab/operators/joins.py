@@ -1,56 +1,10 @@
-"""Join shapes: skew-safe, null-safe, fan-out, look-ups, id sets."""
+"""Join shapes: null-safe, fan-out, look-ups, id sets. Skewed keys are left to adaptive execution."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthlab.session import durable
-
-
-def hot_keys(rows: DataFrame, on: str, least: int, most: int = 1000) -> DataFrame:
-    """Keys with more than `least` rows, at most `most` of them, checkpointed.
-
-    Keys outside the `most` largest own under 1/most of the rows each, so leaving them unsalted
-    is safe, and the list is small enough to broadcast whatever the table's size."""
-    largest = (
-        rows.groupBy(on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.desc("_n"))
-        .limit(most)
-        .where(F.col("_n") > least)
-        .select(on)
-    )
-    return durable(largest)
-
-
-def skew_join(
-    facts: DataFrame,
-    dims: DataFrame,
-    on: str,
-    how: str = "inner",
-    sizes: DataFrame | None = None,
-    least: int = 1_000_000,
-    fan: int = 64,
-) -> DataFrame:
-    """Join many distinct fact rows per key with one row per key, splitting the hot keys.
-
-    Hot keys are spread over `fan` salts by the hash of the whole fact row and their single dim
-    row is copied to each salt; other keys keep salt 0. Without a hot key this is a plain join.
-    `sizes` may be a cheaper frame to count keys on, such as the facts before a roll-up."""
-    hot = hot_keys(facts if sizes is None else sizes, on, least)
-    if hot.isEmpty():
-        return facts.join(dims, on, how)
-    marked = F.broadcast(hot.withColumn("_fan", F.lit(fan)))
-    spread = F.pmod(F.xxhash64(*facts.columns), F.col("_fan"))
-    left = facts.join(marked, on, "left").withColumn(
-        "_salt", F.coalesce(spread, F.lit(0)).cast("int")
-    )
-    right = dims.join(marked, on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_fan"), F.lit(1)) - 1))
-    )
-    return left.drop("_fan").join(right.drop("_fan"), [on, "_salt"], how).drop("_salt")
-
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Equi-join in which NULL matches NULL; key columns are merged from both sides."""

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from growthlab.functions import scalars as S
+from growthlab.operators import joins as J
 
 # Amount bands, alert levels.
 AMOUNT_EDGES = [0, 50, 100, 200, 350, float("inf")]
@@ -40,7 +41,10 @@ def payment_kpis(payments: DataFrame, by: list[str]) -> DataFrame:
 
 
 def chargeback_ratio(payments: DataFrame, chargebacks: DataFrame, by: list[str]) -> DataFrame:
-    """Chargebacks per transaction and segment with their value and alert band."""
+    """Chargebacks per transaction and segment with their value, alert band and investigation flag.
+
+    Segments that only one side has, and NULL segments, stay: without transactions the ratio is NULL and
+    the alert "critical"."""
     paid = payments.groupBy(*by).agg(
         F.count(F.lit(1)).alias("transactions"), F.sum("amount").alias("volume")
     )
@@ -49,15 +53,16 @@ def chargeback_ratio(payments: DataFrame, chargebacks: DataFrame, by: list[str])
     )
     ratio = S.safe_div(F.col("chargebacks"), F.col("transactions")) * 100
     return (
-        paid.join(back, by, "left")
-        .fillna(0, ["chargebacks", "chargeback_value"])
+        J.null_safe_join(paid, back, by, "full")
+        .fillna(0, ["transactions", "volume", "chargebacks", "chargeback_value"])
         .withColumn("chargeback_ratio", ratio)
         .withColumn(
             "alert",
             F.when(F.col("chargeback_ratio") < 1, "good")
             .when(F.col("chargeback_ratio") <= 2, "concerning")
-            .when(F.col("chargeback_ratio") > 2, "critical"),
+            .when((F.col("chargeback_ratio") > 2) | (F.col("chargebacks") > 0), "critical"),
         )
+        .withColumn("investigation", F.coalesce(F.col("alert") == "critical", F.lit(False)).cast("int"))
         .withColumn("value_share", S.safe_div(F.col("chargeback_value"), F.col("volume")) * 100)
     )
 
@@ -78,15 +83,19 @@ def grade_distribution(tokens: DataFrame, by: list[str] | None = None) -> DataFr
 def period_change(
     payments: DataFrame, unit: str = "week", drop_points: float = 5.0, by: list[str] | None = None
 ) -> DataFrame:
-    """Success rate per period against the period before, with sample and investigation flags."""
+    """Success rate per period against the period right before it (NULL where that one has no payments),
+    with sample and investigation flags."""
     by = by or []
     rates = payment_kpis(
         payments.withColumn("period", F.to_date(F.date_trunc(unit, "day"))), by + ["period"]
     ).select(*by, "period", "attempts", "success_rate", "revenue", "low_sample")
     # one row per calendar period
     order = W.partitionBy(*by).orderBy("period")
-    change = F.col("success_rate") - F.lag("success_rate").over(order)
-    revenue_before = F.lag("revenue").over(order)
+    step = {"week": "7 days", "month": "1 month", "day": "1 day"}[unit]
+    adjacent = F.lag("period").over(order) == F.to_date(F.col("period") - F.expr(f"INTERVAL {step}"))
+    before = lambda c: F.when(adjacent, F.lag(c).over(order))
+    change = F.col("success_rate") - before("success_rate")
+    revenue_before = before("revenue")
     return (
         rates.withColumn("rate_change", change)
         .withColumn(

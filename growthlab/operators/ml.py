@@ -7,7 +7,7 @@ from itertools import combinations
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark import inheritable_thread_target
@@ -105,8 +105,9 @@ def time_split(df: DataFrame, day: str, start: str, oot_start: str) -> DataFrame
 # ---------------------------------------------------------------- training
 
 
-def _with_weights(df: DataFrame, label: str) -> DataFrame:
-    weights = class_weights(df, label).select(label, "weight")
+def _with_weights(df: DataFrame, label: str, counted: DataFrame | None = None) -> DataFrame:
+    """Balanced class weights from the `counted` rows, the training part where there is a validation part."""
+    weights = class_weights(df if counted is None else counted, label).select(label, "weight")
     return df.join(F.broadcast(weights), label)
 
 
@@ -122,7 +123,7 @@ def _plain_names(df: DataFrame) -> DataFrame:
 def _assembler(df: DataFrame, features: list[str]) -> VectorAssembler:
     require_columns(df, features)
     return VectorAssembler(
-        inputCols=[_plain(c) for c in features], outputCol="_features", handleInvalid="keep"
+        inputCols=[_plain(c) for c in features], outputCol="_features", handleInvalid="error"
     )
 
 
@@ -144,16 +145,39 @@ def fit_boosted(
     rate: float = 0.01,
     depth: int = 5,
 ) -> PipelineModel:
-    """Gradient-boosted trees; with a validation flag the rounds stop when it no longer improves."""
+    """Gradient-boosted trees. With a validation flag all rounds are trained on the other rows, and the model
+    is cut at the round of least validation loss; class weights come from the training rows alone."""
     learner = GBTClassifier(
         featuresCol="_features", labelCol=label, weightCol="weight", maxIter=iterations,
         stepSize=rate, maxDepth=depth, seed=42,
     )
-    rows = _with_weights(df, label)
-    if validation is not None:
-        rows = rows.withColumn("_is_val", validation)
-        learner = learner.setValidationIndicatorCol("_is_val")
-    return Pipeline(stages=[_assembler(df, features), learner]).fit(_plain_names(rows))
+    train = df if validation is None else df.where(~validation)
+    assembler = _assembler(df, features)
+    fitted = Pipeline(stages=[assembler, learner]).fit(_plain_names(_with_weights(train, label)))
+    if validation is None:
+        return fitted
+    held = assembler.transform(_plain_names(_with_weights(df.where(validation), label, train)))
+    losses = validation_losses(fitted, held)
+    best = _first_rounds(df.sparkSession, fitted.stages[-1], 1 + losses.index(min(losses)))
+    return PipelineModel(stages=[fitted.stages[0], best])
+
+
+def validation_losses(model: PipelineModel, held: DataFrame) -> list[float]:
+    """Log-loss after each round on assembled rows."""
+    return model.stages[-1].evaluateEachIteration(held)
+
+
+def _first_rounds(spark: SparkSession, model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The same model with its first trees only."""
+    jvm, gateway, java = spark._jvm, spark.sparkContext._gateway, model._java_obj
+    kind = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees, weights = gateway.new_array(kind, rounds), gateway.new_array(jvm.double, rounds)
+    for k, (tree, weight) in enumerate(zip(java.trees()[:rounds], java.treeWeights()[:rounds])):
+        trees[k], weights[k] = tree, weight
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights)
+    for name in ("featuresCol", "labelCol", "weightCol"):
+        cut.set(cut.getParam(name), java.getOrDefault(java.getParam(name)))
+    return GBTClassificationModel(cut)
 
 
 def fit_per_window(
@@ -214,6 +238,34 @@ def score_by_window(
     return out.withColumn("potential_vip_ind", hit.cast("int"))
 
 
+def logistic_terms(model: PipelineModel, features: list[str]) -> tuple[float, dict[str, float]]:
+    """Intercept and weight per feature of a fitted logistic model."""
+    fitted = model.stages[-1]
+    return float(fitted.intercept), dict(zip(features, map(float, fitted.coefficients.toArray())))
+
+
+def score_by_terms(
+    df: DataFrame,
+    table: dict[int, tuple[float, dict[str, float]]],
+    threshold: float = THRESHOLD_V2,
+    window: str = "window_number",
+) -> DataFrame:
+    """score_by_window for logistic models as one expression over one read of the rows: a window's intercept
+    and weights give the probability; rows of other windows get probability 0, flag 0."""
+    known, logit = F.lit(None).cast("int"), F.lit(None).cast("double")
+    for w, (intercept, weights) in table.items():
+        total = F.lit(intercept)
+        for name, weight in weights.items():
+            total = total + F.lit(weight) * F.col(name).cast("double")
+        known = F.when(F.col(window) == w, F.lit(w)).otherwise(known)
+        logit = F.when(F.col(window) == w, total).otherwise(logit)
+    scored = df.withColumn("window", known).withColumn(
+        "probability_positive_class", F.coalesce(1 / (1 + F.exp(-logit)), F.lit(0.0))
+    )
+    hit = F.col("window").isNotNull() & (F.col("probability_positive_class") >= threshold)
+    return scored.withColumn("potential_vip_ind", hit.cast("int"))
+
+
 def save_models(models: dict, folder: str) -> None:
     for key, model in models.items():
         model.write().overwrite().save(f"{folder}/{key}")

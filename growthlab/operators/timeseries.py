@@ -121,7 +121,8 @@ def rolling_features(
 ) -> DataFrame:
     """The twelve features and their context for every row of (platform, hour, approved, total).
 
-    causal=True builds the hour factors from earlier rows only, for scoring history."""
+    causal=True builds the hour factors from the `season` rows before each row and fills what has no
+    baseline yet with 1, for scoring history."""
     base = with_rate(series)
     platform = W.partitionBy("platform")
     how = W.partitionBy("platform", "hour_of_week")
@@ -135,7 +136,7 @@ def rolling_features(
     rate, total = F.col("success_rate"), F.col("total").cast("double")
     numbered = base.withColumn("_rn", F.row_number().over(order))
     if causal:
-        by_hour = how.orderBy("hour").rowsBetween(W.unboundedPreceding, -1)
+        by_hour = how.orderBy("_rn").rangeBetween(-spans.season, -1)
         overall = order.rowsBetween(-spans.season, -1)
         recent = F.lit(True)
     else:
@@ -206,7 +207,7 @@ def rolling_features(
     )
     keep = [c for c in featured.columns if not c.startswith("_")]
     out = featured.select(*keep)
-    return clean_features(out) if clean else out
+    return clean_features(out, causal=causal) if clean else out
 
 
 def _momentum(now: Column, before: Column) -> Column:
@@ -223,15 +224,16 @@ def _momentum(now: Column, before: Column) -> Column:
 _OPEN = FEATURES[:4]
 
 
-def clean_features(df: DataFrame, cols: list[str] = FEATURES) -> DataFrame:
-    """NULL becomes the platform's median where that is positive, else 1; infinities become 1.
+def clean_features(df: DataFrame, cols: list[str] = FEATURES, causal: bool = False) -> DataFrame:
+    """NULL becomes the platform's median where that is positive, else 1 (always 1 if causal: a median looks
+    ahead); infinities become 1.
 
     The exact median runs over one platform's calendar buckets, not over payments."""
     platform = W.partitionBy("platform")
 
     def fixed(c: str) -> Column:
-        if c not in _OPEN:
-            return S.finite_or(F.col(c), 1.0)
+        if causal or c not in _OPEN:
+            return S.finite_or(F.coalesce(F.col(c), F.lit(1.0)), 1.0)
         m = F.percentile(c, F.lit(0.5)).over(platform)
         return S.finite_or(F.coalesce(F.col(c), F.when(m > 0, m), F.lit(1.0)), 1.0)
 

@@ -101,10 +101,13 @@ def decide(scored: DataFrame, cuts: DataFrame) -> DataFrame:
     )
 
 
-def score_history(series: DataFrame, detector: Detector, spans: TS.Spans = TS.Spans()) -> DataFrame:
-    """Anomaly decision for every complete bucket."""
+def score_history(
+    series: DataFrame, detector: Detector, spans: TS.Spans = TS.Spans(), causal: bool = True
+) -> DataFrame:
+    """Anomaly decision for every complete bucket, from features that look at earlier buckets only;
+    causal=False gives the published look, whose factors and medians cover the whole series."""
     rows = TS.complete_rows(series).where(F.col("records_analyzed") >= spans.least_rows)
-    scaled = scale(TS.rolling_features(rows, spans), detector.scaler)
+    scaled = scale(TS.rolling_features(rows, spans, causal=causal), detector.scaler)
     return decide(score(scaled, detector.forest), detector.cuts)
 
 

@@ -321,7 +321,7 @@ def chargebacks(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("transaction_id"), F.col("o_orderpriority").alias("provider")
     )
-    return J.skew_join(lines, orders, "transaction_id").drop("line")
+    return lines.join(orders, "transaction_id").drop("line")
 
 
 def redeem_grades(spark: SparkSession, folder: str) -> DataFrame:

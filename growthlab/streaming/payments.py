@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from growthlab.operators import timeseries as TS
-from growthlab.operators.ordered import top_per_group
 from growthlab.plans import anomaly
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     """An event table as a stream, one file or a folder of files; the schema is taken from what is
     already there. The last letter is written as a pattern because only patterns may name a file."""
+    path = path.rstrip("/")
     schema = spark.read.parquet(path).schema
     return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
@@ -55,11 +55,6 @@ def write_counts(counts: DataFrame, table: str, state: str) -> StreamingQuery:
     )
 
 
-def recent_history(history: DataFrame, rows: int) -> DataFrame:
-    """The last rows per platform, which is all the rolling features look at."""
-    return top_per_group(history, ["platform"], [F.desc("hour")], rows, "_back").drop("_back")
-
-
 def score_batches(
     counts: DataFrame,
     history_path: str,
@@ -67,10 +62,9 @@ def score_batches(
     sink: Callable[[DataFrame, int], None],
     state: str,
     spans: TS.Spans = TS.Spans(),
-    keep_rows: int = 673,
 ) -> StreamingQuery:
-    """Each trigger: store the finished buckets, then score the newest complete one per platform
-    from its last `keep_rows` buckets (seven days of quarter hours and one).
+    """Each trigger: store the finished buckets, then score the newest complete one per platform from
+    the whole stored series, one row per platform and bucket of the calendar, as the batch does.
 
     The store is keyed by batch id, so a replayed batch overwrites itself."""
 
@@ -78,8 +72,7 @@ def score_batches(
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{history_path}/batch={batch_id}")
         history = spark.read.parquet(history_path).drop("batch")
-        recent = recent_history(history, keep_rows)
-        sink(anomaly.latest_records(recent, detector, spans), batch_id)
+        sink(anomaly.latest_records(history, detector, spans), batch_id)
 
     return (
         counts.writeStream.outputMode("append")

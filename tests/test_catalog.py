@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from growthlab.catalog.oracles import all_oracles
+from growthlab.catalog.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -16,7 +18,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="shared tables not mounted")
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")

@@ -193,3 +193,30 @@ def test_new_customers(spark):
     assert V.experiment_rows(published, "2024-06-07").count() == 0
     numbered = V.same_day_rows(published, spark.createDataFrame([(6,)], "con_current int"))
     assert {r["con_current"] for r in numbered.collect()} == {7}
+
+
+def test_boosted_rounds_keep_improving(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"user_id": range(1500), "a": rng.normal(size=1500), "b": rng.normal(size=1500)})
+    pdf["flag"] = (rng.random(1500) < 1 / (1 + np.exp(-2 * pdf["a"] + pdf["b"]))).astype(int)
+    df = spark.createDataFrame(pdf).repartition(1).cache()
+    model = M.fit_boosted(df, ["a", "b"], validation=F.col("user_id") % 5 == 0, iterations=130, rate=0.01, depth=3)
+    assert model.stages[-1].getNumTrees > 100
+    held = model.stages[0].transform(df.where("user_id % 5 = 0").withColumn("weight", F.lit(1.0)))
+    losses = M.validation_losses(model, held)
+    assert losses[-1] < losses[60] < losses[0]
+    scored = M.score(model, df)
+    assert scored.columns == ["user_id", "a", "b", "flag", "probability_positive_class"]
+
+
+def test_terms_score_like_the_models(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"a": rng.normal(size=300), "window_number": rng.integers(0, 3, 300)})
+    pdf["flag"] = (pdf["a"] + rng.normal(size=300) > 0).astype(int)
+    df = spark.createDataFrame(pdf)
+    models = {w: M.fit_logistic(df.where(f"window_number = {w}"), ["a"]) for w in (0, 1)}
+    one = M.score_by_window(df, models, 0.5).toPandas().sort_values(["a"])
+    two = M.score_by_terms(df, {w: M.logistic_terms(m, ["a"]) for w, m in models.items()}, 0.5).toPandas().sort_values(["a"])
+    np.testing.assert_allclose(one["probability_positive_class"], two["probability_positive_class"], atol=1e-12)
+    assert (one["potential_vip_ind"].to_numpy() == two["potential_vip_ind"].to_numpy()).all()
+    assert one["window"].fillna(-1).tolist() == two["window"].fillna(-1).tolist()

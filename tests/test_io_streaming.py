@@ -115,7 +115,8 @@ def test_stream_reads_a_single_file(spark, tmp_path):
 
 
 def test_stream_scores_equal_batch(spark, tmp_path):
-    events = spark.createDataFrame(event_frame())
+    # nine weeks of hours: longer than every window of the features
+    events = spark.createDataFrame(event_frame(20_000, 65))
     events.write.parquet(str(tmp_path / "in" / "events.parquet"))
     args = (F.col("platform"), F.col("ok"), "1 hour")
     batch = payments.bucket_counts(events, *args)
@@ -129,8 +130,8 @@ def test_stream_scores_equal_batch(spark, tmp_path):
     ).awaitTermination()
     limit = events.agg(F.max("ts") - F.expr("INTERVAL 2 HOURS")).collect()[0][0]
     want = {
-        r["platform"]: r["anomaly_score"]
+        r["platform"]: [r["anomaly_score"], *r["rolling_feature_values"].values()]
         for r in AN.latest_records(batch.where(F.col("hour") <= F.lit(limit)), detector, spans).collect()
     }
-    got = {r["platform"]: r["anomaly_score"] for r in seen[-1]}
+    got = {r["platform"]: [r["anomaly_score"], *r["rolling_feature_values"].values()] for r in seen[-1]}
     assert got == {k: pytest.approx(v) for k, v in want.items()} and len(got) == 2

@@ -60,21 +60,6 @@ def test_draw_rank_keeps_null_strata(spark):
     assert sorted(O.draw_rank(df, ["s"], "id", 1).select("_rank").toPandas()["_rank"]) == [0, 0, 1]
 
 
-def test_skew_join_equals_plain_join(skewed, spark):
-    pdf, df = skewed
-    dims = spark.createDataFrame([(k, f"d{k}") for k in range(0, 45, 2)], "k long, d string")
-    assert [r[0] for r in J.hot_keys(df, "k", 200).collect()] == [0]
-    assert J.hot_keys(df, "k", 5000).isEmpty()
-    for how in ("inner", "left"):
-        got = J.skew_join(df, dims, "k", how, least=200, fan=8).toPandas()
-        want = df.join(dims, "k", how).toPandas()
-        cols = ["k", "id", "d"]
-        pd.testing.assert_frame_equal(
-            got[cols].sort_values("id").reset_index(drop=True),
-            want[cols].sort_values("id").reset_index(drop=True),
-        )
-
-
 def test_null_safe_full_join(spark):
     a = spark.createDataFrame([("x", None, 1), (None, None, 2)], "p string, q string, a int")
     b = spark.createDataFrame([("x", None, 10), ("y", "z", 20)], "p string, q string, b int")

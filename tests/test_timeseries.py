@@ -113,7 +113,12 @@ def test_detector_flags_about_the_contaminated_share(series, tmp_path, spark):
     short = spark.createDataFrame(make_series(50, 3, "PAYSAFE_CARD"))
     both = df.unionByName(short)
     detector = AN.fit(both, trees=25)
-    history = AN.score_history(both, detector).toPandas()
+    early = AN.score_history(both, detector).select("platform", "hour", "is_anomaly", *TS.FEATURES).toPandas()
+    part = both.where(F.col("hour") < F.lit(pdf["hour"].max() - pd.Timedelta(days=1)))
+    before = AN.score_history(part, detector).select("platform", "hour", *TS.FEATURES).toPandas()
+    same = before.merge(early, on=["platform", "hour"], suffixes=("", "_all"))
+    assert len(same) == len(before) and np.allclose(same[TS.FEATURES], same[[f"{c}_all" for c in TS.FEATURES]])
+    history = AN.score_history(both, detector, causal=False).toPandas()
     for platform, part in history.groupby("platform"):
         rate = TS.CONTAMINATION[platform]
         assert len(part) == (pdf["platform"] == platform).sum() - 1
