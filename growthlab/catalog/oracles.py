@@ -139,7 +139,11 @@ KPI = dict(
         {r('max(purchase_amount)', 'max_purchase_amt_horly')}, {r('max(redeem_amount)', 'max_redeem_amt_hourly')},
         {r('sum(redeem_amount)', 'sum_redeem_amt')}, CAST(sum(redeem_transactions) AS BIGINT) AS sum_redeem_txn,
         {r('sum(purchase_amount)', 'sum_amt_total')}, CAST(sum(total_transactions) AS BIGINT) AS cnt_txn_total,
-        {r('max(eod_sc_balance)', 'max_eod_sc_balance')}
+        {r('max(eod_sc_balance)', 'max_eod_sc_balance')}, CAST(sum(purchase_sc_coin) AS BIGINT) AS sum_sc_coin_total,
+        CAST(sum(did_sc_spin) AS BIGINT) AS sum_spin_sc, CAST(sum(did_cc_spin) AS BIGINT) AS sum_spin_cc,
+        {r('sum(bonus_wheel)', 'sum_bonus_wheel')}, {r('sum(bonus_plinko)', 'sum_bonus_plinko')},
+        {r('sum(offer_purchases_amount)', 'sum_offer_amt')}, {half_up('sum(bonus_amount)')} AS sum_bonus_amt,
+        {r('sum(daily_mission_reward)', 'sum_daily_mission')}, {r('sum(leaderboard_reward)', 'sum_leaderboard_reward')}
         FROM anchor_hours WHERE date_sub('hour', a_first, hour) BETWEEN 0 AND 96 AND a_first > TIMESTAMP '2023-11-01' AND a_first < TIMESTAMP '2024-08-20'
         GROUP BY ALL""",
 )
@@ -1087,7 +1091,7 @@ add(
     {r('coalesce(rtp_ratio, 0)', 'rtp_ratio')}, {r('coalesce(b.bet, 0)', 'avg_bet_amt')},
     {r('sign(ggr_amt) * ln(1 + abs(ggr_amt))', 'ggr_amt_log')}, {r('ln(sum_amt_total + 1e-10)', 'ln_sum_amt_total')},
     {r('ln(total_bet_amt + 1e-10)', 'ln_total_bet_amt')}, {r('ln(coalesce(b.win, 0) + 1e-10)', 'ln_max_win_amt')},
-    {r('ln(1e-10)', 'ln_sum_bonus_amt')}, {r('coalesce(b.low, 0)', 'min_bet_amount')},
+    {r('ln(sum_bonus_amt + 1e-10)', 'ln_sum_bonus_amt')}, {r('coalesce(b.low, 0)', 'min_bet_amount')},
     CAST(avg_spin_amt IS NULL AS INTEGER) AS avg_spin_amt_is_missing, CAST(b.bet IS NULL AS INTEGER) AS avg_bet_amt_is_missing,
     CAST(lower(signup_email_domain) = 'gmail.com' AS INTEGER) AS domain_gmail, CAST(lower(signup_email_domain) = 'yahoo.com' AS INTEGER) AS domain_yahoo,
     CAST(lower(signup_email_domain) NOT IN ('gmail.com', 'yahoo.com', 'icloud.com') AS INTEGER) AS domain_other,

@@ -119,11 +119,13 @@ def json_config_scan(spark, folder):
     """Payment series written as request documents and read back, with the configured rates."""
     where = fresh_folder(spark, "requests")
     series = staging.payment_series(spark, folder)
-    docs = series.groupBy(F.col("platform").alias("platform_provider")).agg(
+    # one document per platform and day: at most a day's buckets in one array
+    day = F.to_date("hour")
+    docs = series.groupBy(F.col("platform").alias("platform_provider"), day.alias("day")).agg(
         F.array_sort(
             F.collect_list(F.struct("approved", "total", "hour"))
         ).alias("instances")
-    )
+    ).drop("day")
     docs.write.json(f"{where}/series")
     config = spark.createDataFrame(
         [(list(TS.CONTAMINATION), TS.CONTAMINATION, AN.MODEL_TYPE)],
@@ -369,7 +371,8 @@ def kpi_first_96h(spark, folder):
     text = {c: as_text(F.col(c)) for c in ("signup_date", "first_purchase_date")}
     return rounded(
         out.withColumns(text), "max_purchase_amt_horly", "max_redeem_amt_hourly",
-        "sum_redeem_amt", "sum_amt_total", "max_eod_sc_balance"
+        "sum_redeem_amt", "sum_amt_total", "max_eod_sc_balance", "sum_bonus_wheel", "sum_bonus_plinko",
+        "sum_offer_amt", "sum_daily_mission", "sum_leaderboard_reward",
     )
 
 

@@ -101,7 +101,16 @@ VIEWS: dict[str, str] = {
         coalesce(sum(CASE WHEN event_type = 'signup' THEN value END), 0) AS redeem_amount,
         count(CASE WHEN event_type = 'signup' THEN 1 END) AS redeem_transactions,
         count(CASE WHEN event_type = 'purchase' THEN 1 END) AS total_transactions,
-        max(value) AS eod_sc_balance FROM events GROUP BY 1, 2""",
+        max(value) AS eod_sc_balance,
+        coalesce(sum(CASE WHEN event_type = 'purchase' THEN CAST(floor(value) AS BIGINT) END), 0) AS purchase_sc_coin,
+        max(CAST(event_type = 'click' AS BIGINT)) AS did_sc_spin, max(CAST(event_type = 'error' AS BIGINT)) AS did_cc_spin,
+        coalesce(sum(CASE WHEN event_type = 'signup' AND floor(value) % 3 = 0 THEN value END), 0) AS bonus_wheel,
+        coalesce(sum(CASE WHEN event_type = 'signup' AND floor(value) % 3 = 1 THEN value END), 0) AS bonus_plinko,
+        coalesce(sum(CASE WHEN event_type = 'purchase' AND floor(value) % 3 = 0 THEN value END), 0) AS offer_purchases_amount,
+        coalesce(sum(CASE WHEN event_type = 'view' AND floor(value) % 3 = 0 THEN value END), 0) AS bonus_amount,
+        coalesce(sum(CASE WHEN event_type = 'view' AND floor(value) % 3 = 1 THEN value END), 0) AS daily_mission_reward,
+        coalesce(sum(CASE WHEN event_type = 'view' AND floor(value) % 3 = 2 THEN value END), 0) AS leaderboard_reward
+        FROM events GROUP BY 1, 2""",
     "event_users": """SELECT user_id AS h_user_id, min(ts) AS signup_date,
         min(CASE WHEN event_type = 'purchase' THEN ts END) AS first_purchase_date,
         min(CASE WHEN event_type = 'click' THEN ts END) AS first_bet_date,

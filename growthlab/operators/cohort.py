@@ -127,7 +127,16 @@ def kpi_first_hours(kpi: DataFrame, start: str, end: str, hours: int = 96) -> Da
             F.sum("redeem_transactions").alias("sum_redeem_txn"),
             F.sum("purchase_amount").alias("sum_amt_total"),
             F.sum("total_transactions").alias("cnt_txn_total"),
+            F.sum("purchase_sc_coin").alias("sum_sc_coin_total"),
+            F.sum("did_sc_spin").alias("sum_spin_sc"),
+            F.sum("did_cc_spin").alias("sum_spin_cc"),
             F.max("eod_sc_balance").alias("max_eod_sc_balance"),
+            F.sum("bonus_wheel").alias("sum_bonus_wheel"),
+            F.sum("bonus_plinko").alias("sum_bonus_plinko"),
+            F.sum("offer_purchases_amount").alias("sum_offer_amt"),
+            S.half_up(F.sum("bonus_amount")).alias("sum_bonus_amt"),
+            F.sum("daily_mission_reward").alias("sum_daily_mission"),
+            F.sum("leaderboard_reward").alias("sum_leaderboard_reward"),
         )
     )
 

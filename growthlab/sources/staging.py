@@ -187,8 +187,11 @@ def event_hours(spark: SparkSession, folder: str) -> DataFrame:
     """(user, hour) roll-up of behaviour events."""
     kind, value = F.col("event_type"), F.col("value")
 
-    def total(name: str) -> Column:
-        return F.coalesce(F.sum(F.when(kind == name, value)), F.lit(0.0))
+    def total(name: str, only: Column | None = None) -> Column:
+        wanted = kind == name if only is None else (kind == name) & only
+        return F.coalesce(F.sum(F.when(wanted, value)), F.lit(0.0))
+
+    third = F.floor(value) % 3
 
     return (
         table(spark, folder, "events")
@@ -206,6 +209,15 @@ def event_hours(spark: SparkSession, folder: str) -> DataFrame:
             F.count_if(kind == "signup").alias("redeem_transactions"),
             F.count_if(kind == "purchase").alias("total_transactions"),
             F.max("value").alias("eod_sc_balance"),
+            F.coalesce(F.sum(F.when(kind == "purchase", F.floor(value))), F.lit(0)).alias("purchase_sc_coin"),
+            F.max((kind == "click").cast("long")).alias("did_sc_spin"),
+            F.max((kind == "error").cast("long")).alias("did_cc_spin"),
+            total("signup", third == 0).alias("bonus_wheel"),
+            total("signup", third == 1).alias("bonus_plinko"),
+            total("purchase", third == 0).alias("offer_purchases_amount"),
+            total("view", third == 0).alias("bonus_amount"),
+            total("view", third == 1).alias("daily_mission_reward"),
+            total("view", third == 2).alias("leaderboard_reward"),
         )
     )
 

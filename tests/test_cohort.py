@@ -115,10 +115,13 @@ def test_kpi_window_includes_part_hour_before(spark):
         "channel string, email string, first_geo_region string, m double, n int"
     )
     money = ["sc_total_bet_amount", "sc_total_win_amount", "cc_total_win_amount", "purchase_amount",
-             "redeem_amount", "eod_sc_balance"]
-    counts = ["sc_total_bet_transactions", "redeem_transactions", "total_transactions"]
+             "redeem_amount", "eod_sc_balance", "bonus_wheel", "bonus_plinko", "offer_purchases_amount",
+             "bonus_amount", "daily_mission_reward", "leaderboard_reward"]
+    counts = ["sc_total_bet_transactions", "redeem_transactions", "total_transactions", "purchase_sc_coin",
+              "did_sc_spin", "did_cc_spin"]
     df = spark.createDataFrame(rows, schema)
     df = df.withColumns({c: F.col("m") for c in money} | {c: F.col("n") for c in counts})
     row = H.kpi_first_hours(df, "2023-01-01", "2025-01-01").collect()[0]
     # hour 9 is over an hour before the purchase, hour 10 only half an hour
     assert row["logins_first_96h"] == 2 and row["total_bet_amt"] == 4.0 and row["avg_spin_amt"] == 2.0
+    assert row["sum_sc_coin_total"] == 2 and row["sum_spin_cc"] == 2 and row["sum_bonus_amt"] == 4.0
