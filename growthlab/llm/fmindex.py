@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 _U = np.uint64
+_BELOW = (_U(1) << np.arange(64, dtype=np.uint64)) - _U(1)
 
 
 class Wavelet:
@@ -24,21 +25,22 @@ class Wavelet:
             packed = np.packbits(bits.astype(np.uint8), bitorder="little")
             packed = np.concatenate([packed, np.zeros(16 - len(packed) % 8, dtype=np.uint8)]).view(np.uint64)
             self.words.append(packed)
-            self.counts.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int64)])[:-1])
+            self.counts.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int32)])[:-1])
             order = bits == 0
             self.zeros.append(int(order.sum()))
             symbols = np.concatenate([symbols[order], symbols[~order]])
 
     def follow(self, at: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """Where positions end up below all levels on their symbols' paths."""
-        at = at.astype(np.int64)
+        at = at.astype(np.int32)
         for depth, (words, counts, zeros) in enumerate(zip(self.words, self.counts, self.zeros)):
             word = at >> 6
-            mask = (_U(1) << (at & 63).astype(np.uint64)) - _U(1)
-            ones = counts[word] + np.bitwise_count(words[word] & mask)
-            one = (symbols >> (self.levels - 1 - depth)) & 1
-            at = np.where(one == 1, zeros + ones, at - ones)
-        return at
+            mask = _BELOW.take(at & 63)
+            ones = counts.take(word)
+            ones += np.bitwise_count(words.take(word) & mask)
+            one = (symbols >> (self.levels - 1 - depth)) & 1 == 1
+            at = np.where(one, zeros + ones, at - ones).astype(np.int32, copy=False)
+        return at.astype(np.int64)
 
 
 def _ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,8 +109,9 @@ class FMIndex:
 
     def back(self, low: np.ndarray, high: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Intervals after one symbol is prepended: one step of backward search."""
+        both = self.wavelet.follow(np.concatenate([low, high]), np.concatenate([symbols, symbols]))
         base = self.base[symbols]
-        return base + self.wavelet.follow(low, symbols), base + self.wavelet.follow(high, symbols)
+        return base + both[: len(low)], base + both[len(low) :]
 
     def matches(self, symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """For sequences symbols[start:end], streamed from right to left: at each position the first row

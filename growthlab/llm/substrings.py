@@ -5,7 +5,8 @@ occurrences of a window meet in one shard whatever text surrounds them, and no t
 other shards. Neighbouring windows with the same anchor travel together as one segment. Only segments
 whose anchor occurs twice or more are sent. A shard indexes its segments' words, streams them through the
 index by backward search and keeps the windows whose earliest occurrence they are; every other window of
-a sent segment is repeated. Equal segments are combined before the shuffle; anchors with more than
+a sent segment is repeated. Equal texts (by a 64-bit hash) are indexed once, for their smallest id; the
+others repeat it from end to end. Equal segments are combined before the shuffle; anchors with more than
 `HOT` occurrences are dealt out window by window instead, so no shard gathers one anchor's contexts."""
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from growthlab.llm import words as tx
@@ -27,7 +28,7 @@ from growthlab.llm.storage import forget, ready, stored, without
 GRAM = 6
 HOT = 10_000
 #: segments in a shard, about 25 words each
-SHARD = 40_000
+SHARD = 10_000
 _U = np.uint64
 
 
@@ -66,8 +67,6 @@ def anchors(words: tx.Words, hashes: np.ndarray, length: int) -> tuple[np.ndarra
 
 
 def _segments(rows: DataFrame, text_col: str, length: int) -> DataFrame:
-    id_type = rows.schema["_id"].dataType.simpleString()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = tx.cache()
         for batch in batches:
@@ -75,54 +74,53 @@ def _segments(rows: DataFrame, text_col: str, length: int) -> DataFrame:
                 part = batch.slice(low, high - low)
                 found = tx.split(part[text_col])
                 doc, start, count, anchor = anchors(found, found.hashes(cache), length)
-                ids = part.select(["_id", "_twin"]).take(pa.array(doc, type=pa.int64()))
+                print_ = part["_print"].take(pa.array(doc, type=pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*ids.columns, pa.array(anchor), pa.array(start, pa.int32()), pa.array(count, pa.int32())],
-                    names=["_id", "_twin", "anchor", "start", "windows"],
+                    [print_, pa.array(anchor), pa.array(start, pa.int32()), pa.array(count, pa.int32())],
+                    names=["_print", "anchor", "start", "windows"],
                 )
 
-    schema = f"_id {id_type}, _twin long, anchor long, start int, windows int"
-    return rows.select("_id", "_twin", text_col).mapInArrow(run, schema)
+    return rows.select("_print", text_col).mapInArrow(run, "_print long, anchor long, start int, windows int")
 
 
 def _cut_out(joined: DataFrame, text_col: str, length: int, shards: int) -> DataFrame:
     """The segments' words, each distinct one of a batch once with its earliest place in the batch."""
     id_type = joined.schema["_id"].dataType.simpleString()
 
-    def cut(part: pa.Table) -> pd.DataFrame:
-        found = tx.split(part[text_col])
-        data, start, end = found.data.tobytes(), found.start, found.end
-        out = []
-        for row, (base, marks) in enumerate(zip(found.first, part["marks"].to_pylist())):
-            for mark in sorted(marks, key=lambda m: m["start"]):
-                at, many, hot = mark["start"], mark["windows"], mark["hot"]
-                # a hot anchor's windows go one by one, each to a shard of its own choice
-                for first, count in [(at + k, 1) for k in range(many)] if hot else [(at, many)]:
-                    span = range(base + first, base + first + count + length - 1)
-                    piece = b" ".join([data[start[w] : end[w]] for w in span])
-                    out.append((row, first, (zlib.crc32(piece) if hot else mark["anchor"]) % shards, piece))
-        return pd.DataFrame(out, columns=["row", "start", "shard", "text"]).drop_duplicates("text")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [("_id", "ascending"), ("_twin", "ascending")]
-            batch = batch.take(pc.sort_indices(batch.select(["_id", "_twin"]), keys, null_placement="at_end"))
-            for low, high in tx.slices(batch[text_col]):
-                part = batch.slice(low, high - low)
-                table = cut(part)
-                ids = part.select(["_id", "_twin"]).take(pa.array(table["row"].to_numpy(dtype=np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *ids.columns,
-                        pa.array(table["shard"].to_numpy(dtype=np.int64)),
-                        pa.array(table["start"].to_numpy(dtype=np.int32)),
-                        pa.array(table["text"].tolist(), type=pa.binary()).cast(pa.string()),
-                    ],
-                    names=["_id", "_twin", "shard", "start", "segment"],
-                )
-
-    schema = f"_id {id_type}, _twin long, shard long, start int, segment string"
-    return joined.mapInArrow(run, schema)
+            keys = [("_id", "ascending"), ("_print", "ascending")]
+            batch = batch.take(pc.sort_indices(batch.select(["_id", "_print"]), keys, null_placement="at_end"))
+            marks = batch["marks"]
+            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(marks).to_numpy(zero_copy_only=False))
+            flat = marks.flatten()
+            start, many, anchor, hot = (np.asarray(flat.field(c)) for c in ("start", "windows", "anchor", "hot"))
+            first: dict[bytes, tuple[int, int, int]] = {}
+            row, words = -1, []
+            texts = batch[text_col].cast(pa.binary())
+            order = np.lexsort((start, owner))
+            for o, at, n, a, h in zip(*(x[order].tolist() for x in (owner, start, many, anchor, hot))):
+                if o != row:
+                    row, words = o, texts[o].as_py().split()  # bytes split at the same six spaces
+                if not h:
+                    first.setdefault(b" ".join(words[at : at + n + length - 1]), (o, at, a % shards))
+                else:  # a hot anchor's windows go one by one, each to a shard of its own choice
+                    for k in range(at, at + n):
+                        piece = b" ".join(words[k : k + length])
+                        first.setdefault(piece, (o, k, zlib.crc32(piece) % shards))
+            place = np.array(list(first.values()), dtype=np.int64).reshape(-1, 3)
+            ids = batch.select(["_id", "_print"]).take(pa.array(place[:, 0]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *ids.columns,
+                    pa.array(place[:, 2]),
+                    pa.array(place[:, 1].astype(np.int32)),
+                    pa.array(list(first), type=pa.binary()).cast(pa.string()),
+                ],
+                names=["_id", "_print", "shard", "start", "segment"],
+            )
+
+    return joined.mapInArrow(run, f"_id {id_type}, _print long, shard long, start int, segment string")
 
 
 def _symbols(segments: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,11 +139,11 @@ def _symbols(segments: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def first_windows(table: pa.Table, length: int) -> pa.Table:
-    """Of one shard's segments: the windows that are the earliest of their kind (_id, _twin, at)."""
-    ids = table.select(["_id", "_twin"]).to_pandas(types_mapper=pd.ArrowDtype)
-    order = ids.drop_duplicates().sort_values(["_id", "_twin"], na_position="last", ignore_index=True)
+    """Of one shard's segments: the windows that are the earliest of their kind (_id, _print, at)."""
+    ids = table.select(["_id", "_print"]).to_pandas(types_mapper=pd.ArrowDtype)
+    order = ids.drop_duplicates().sort_values(["_id", "_print"], na_position="last", ignore_index=True)
     order["rank"] = np.arange(len(order))
-    rank = ids.merge(order, on=["_id", "_twin"], how="left")["rank"].to_numpy(dtype=np.int64)
+    rank = ids.merge(order, on=["_id", "_print"], how="left")["rank"].to_numpy(dtype=np.int64)
     symbols, begin, end = _symbols(table["segment"])
     index = FMIndex(symbols, length)
     row = index.matches(symbols, begin, end)
@@ -159,7 +157,7 @@ def first_windows(table: pa.Table, length: int) -> pa.Table:
     # the same place may come from several segments
     _, once = np.unique(when[at], return_index=True)
     at = at[once]
-    out = table.select(["_id", "_twin"]).take(pa.array(owner[at]))
+    out = table.select(["_id", "_print"]).take(pa.array(owner[at]))
     return out.append_column("at", pa.array(place[at].astype(np.int32)))
 
 
@@ -175,54 +173,50 @@ def remove_repeats(
 
     A word goes if a window of `length` words that covers it also starts earlier: in a smaller id, or
     earlier in the same document. Windows are judged on the input. NULL and empty texts become empty; texts
-    shorter than a window keep all words. NULL ids come last. Rows with equal id and text count as one
-    document and all come back; rows with equal id and other texts are ordered by a hash of the text.
+    shorter than a window keep all words. NULL ids come last, and count as one id. Rows with equal id and text
+    count as one document and all come back; rows with equal id and other texts are ordered by a hash of the text.
     Input columns named like a result are replaced."""
     spark = ready(docs.sparkSession)
-    rows = without(docs, "n_words", "n_removed", "_id", "_twin")
+    rows = without(docs, "n_words", "n_removed", "_id", "_print", "marks", "firsts", "copy")
     names = rows.columns
-    rows = rows.withColumn("_id", F.col(id_col))
-    print_ = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    several = (
-        rows.select("_id", print_.alias("_p")).groupBy("_id").agg(F.min("_p").alias("x"), F.max("_p").alias("y"))
-    )
-    several = several.where("x <> y").select(F.col("_id").alias("_again"), F.lit(True).alias("_many"))
-    several = stored(several, "repeated_ids")
-    twin = F.lit(0)
-    if not several.isEmpty():
-        rows = rows.join(several, F.col("_id").eqNullSafe(F.col("_again")), "left")
-        twin = F.when(F.col("_many"), print_).otherwise(twin)
-    rows = rows.withColumn("_twin", twin.cast("long")).drop("_again", "_many")
+    id_type = rows.schema[id_col].dataType.simpleString()
+    rows = rows.withColumn("_id", F.col(id_col)).withColumn("_print", F.xxhash64(F.coalesce(text_col, F.lit(""))))
 
+    # equal texts have equal segments: distinct (text, place) pairs tell whether an anchor comes again
     segments = _segments(rows, text_col, length)
-    often = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    marks = segments.join(often, "anchor").select(
-        "_id", "_twin", F.struct("start", "windows", "anchor", (F.col("times") > hot).alias("hot")).alias("mark")
-    )
-    marks = stored(marks.groupBy("_id", "_twin").agg(F.collect_set("mark").alias("marks")), "marked_documents")
+    several = "min_p <> max_p OR min_s <> max_s"
+    often = segments.groupBy("anchor").agg(
+        F.min("_print").alias("min_p"), F.max("_print").alias("max_p"),
+        F.min("start").alias("min_s"), F.max("start").alias("max_s"), F.count(F.lit(1)).alias("times"),
+    ).where(several).select("anchor", (F.col("times") > hot).alias("hot"))
+    marks = segments.join(often, "anchor").select("_print", F.struct("start", "windows", "anchor", "hot").alias("mark"))
+    marks = marks.groupBy("_print").agg(F.collect_set("mark").alias("marks"))
+    texts = rows.select("_id", "_print").distinct()
+    owner = texts.groupBy("_print").agg(F.min(F.struct(F.col("_id").isNull().alias("n"), "_id"))["_id"].alias("_own"))
+    marks = stored(marks.join(owner, "_print").select(F.col("_own").alias("_id"), "_print", "marks"), "marked_texts")
     many = marks.agg(F.coalesce(F.sum(F.size("marks")), F.lit(0))).first()[0]
     shards = max(1, -(-many // shard))
 
-    left, right = rows.select("_id", "_twin", text_col).alias("l"), marks.alias("r")
-    same = F.col("l._id").eqNullSafe(F.col("r._id")) & (F.col("l._twin") == F.col("r._twin"))
-    pieces = _cut_out(left.join(right, same).select("l._id", "l._twin", text_col, "marks"), text_col, length, shards)
-    id_type = rows.schema["_id"].dataType.simpleString()
-    first = pieces.groupBy("shard").applyInArrow(
-        lambda table: first_windows(table, length), f"_id {id_type}, _twin long, at int"
-    )
-    first = first.groupBy("_id", "_twin").agg(F.collect_list("at").alias("firsts"))
+    def same(left: str, right: str) -> Column:
+        return F.col(f"{left}._id").eqNullSafe(F.col(f"{right}._id")) & (F.col(f"{left}._print") == F.col(f"{right}._print"))
 
-    verdict = marks.alias("m").join(
-        first.alias("f"),
-        F.col("m._id").eqNullSafe(F.col("f._id")) & (F.col("m._twin") == F.col("f._twin")),
-        "left",
+    source = rows.select("_id", "_print", text_col).alias("l").join(marks.alias("r"), same("l", "r"))
+    pieces = _cut_out(source.select("l._id", "l._print", text_col, "marks"), text_col, length, shards)
+    first = pieces.groupBy("shard").applyInArrow(
+        lambda table: first_windows(table, length), f"_id {id_type}, _print long, at int"
     )
+    first = first.groupBy("_id", "_print").agg(F.collect_list("at").alias("firsts"))
     spans = F.transform("marks", lambda m: F.struct(m["start"].alias("start"), m["windows"].alias("windows")))
-    verdict = stored(verdict.select("m._id", "m._twin", spans.alias("marks"), "firsts"), "window_verdicts")
+    found = marks.select("_id", "_print", spans.alias("marks")).alias("m").join(first.alias("f"), same("m", "f"), "left")
+    found = stored(found.select("m._id", "m._print", "marks", "firsts"), "first_windows")
     forget(marks)
-    verdict = verdict.alias("v")
-    same = F.col("d._id").eqNullSafe(F.col("v._id")) & (F.col("d._twin") == F.col("v._twin"))
-    joined = rows.alias("d").join(verdict, same, "left").select("d.*", "marks", "firsts").drop("_id", "_twin")
+    copies = texts.join(owner, "_print").where(~F.col("_id").eqNullSafe(F.col("_own")))
+    empty = {c: F.lit(None).cast(t) for c, t in found.dtypes if c in ("marks", "firsts")}
+    verdict = found.withColumn("copy", F.lit(False)).unionByName(
+        copies.select("_id", "_print").withColumns(empty).withColumn("copy", F.lit(True))
+    )
+    joined = rows.alias("d").join(verdict.alias("v"), same("d", "v"), "left")
+    joined = joined.select("d.*", "marks", "firsts", "copy").drop("_id", "_print")
     return _kept(joined, names, text_col, length)
 
 
@@ -240,9 +234,12 @@ def _kept(joined: DataFrame, names: list[str], text_col: str, length: int) -> Da
                             repeated[base + m["start"] : base + m["start"] + m["windows"]] = 1
                         repeated[base + np.array(firsts or [], dtype=np.int64)] = 0
                 # a window covers the words from its start on; windows never leave their document
-                ahead = np.concatenate([[0], np.cumsum(repeated[:-1])])
+                ahead = np.concatenate([[0], np.cumsum(repeated[:-1], dtype=np.int64)])
                 back = np.maximum(np.arange(len(found.start)) - length + 1, 0)
                 gone = (ahead[1:] - ahead[back]) > 0
+                words_in = np.diff(found.first)
+                copy = pc.fill_null(part["copy"], False).to_numpy(zero_copy_only=False) & (words_in >= length)
+                gone |= np.repeat(copy, words_in)
                 data = np.where(tx._GAP[found.data], np.uint8(0x20), found.data)
                 # a kept word takes the one byte behind it along, unless its document ends there
                 stop = np.minimum(found.end + 1, found.offsets[1:][found.doc()])[~gone]
@@ -253,7 +250,6 @@ def _kept(joined: DataFrame, names: list[str], text_col: str, length: int) -> Da
                 texts = []
                 for a, b in zip(found.offsets[:-1], found.offsets[1:]):
                     texts.append(data[a:b][keep[a:b]].tobytes().strip(b" ").decode())
-                words_in = np.diff(found.first)
                 total = np.concatenate([[0], np.cumsum(gone)])
                 removed = total[found.first[1:]] - total[found.first[:-1]]
                 out = {c: part[c] for c in names}
