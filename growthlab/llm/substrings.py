@@ -68,8 +68,11 @@ def anchors(words: tx.Words, hashes: np.ndarray, length: int) -> tuple[np.ndarra
 
 def _segments(rows: DataFrame, text_col: str, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = tx.cache()
+        cache, seen = tx.cache(), set()
         for batch in batches:
+            prints = batch["_print"].to_pylist()
+            fresh = [p not in seen and not seen.add(p) for p in prints]  # a task sends a text's segments once
+            batch = batch.filter(pa.array(fresh, type=pa.bool_()))
             for low, high in tx.slices(batch[text_col]):
                 part = batch.slice(low, high - low)
                 found = tx.split(part[text_col])
