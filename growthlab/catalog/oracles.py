@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from growthlab.sources.views import HIDDEN, SELECTED
 from growthlab.catalog.views import AGES, LONG_AGES, with_views
 
 FIRST, LAST = "1995-01-05", "1995-07-01"
@@ -80,6 +81,27 @@ add(
     CAST(sum(total) AS BIGINT) AS total, {ts_text('max(hour)')} AS last_hour
     FROM payment_series GROUP BY platform""",
 )
+add("sql_file_scan", "SELECT o_orderpriority, count(*) AS orders FROM orders WHERE o_totalprice > 150000 GROUP BY 1")
+
+
+def _view_columns() -> str:
+    """Each view's columns under their published names, largest value of the column behind them."""
+    parts = []
+    for view in [*SELECTED, *HIDDEN]:
+        if view in SELECTED:
+            _, columns, renames = SELECTED[view]
+            hidden = []
+        else:
+            columns, renames, hidden = ["user_id", "channel_type"], {}, HIDDEN[view][1]
+        web = " WHERE c_custkey % 2 <> 0" if view == "marketing_cohort_metrics_web" else ""
+        for c in dict.fromkeys(columns):
+            value = "CASE WHEN c_custkey % 2 = 0 THEN 'App' ELSE 'Search' END" if c == "channel_type" else f"'{c}-' || c_custkey % 5"
+            if c not in hidden:
+                parts.append(f"""SELECT '{view}' AS "view", '{renames.get(c, c)}' AS "column", count(*) AS rows, max({value}) AS top FROM customer{web}""")
+    return " UNION ALL ".join(parts)
+
+
+add("curated_view_columns", _view_columns())
 add(
     "sink_roundtrip",
     """SELECT sink, segment, count(*) AS rows, CAST(sum(grade) AS BIGINT) AS grades FROM (
@@ -1188,6 +1210,13 @@ add(
     '{AS_OF} 10:20:00' AS updated_at FROM mentioned""",
     **SCORED,
 )
+add(
+    "vip_same_day",
+    """SELECT m.user_id, m.window_class, CAST((SELECT max(n_nationkey) + 1 FROM nation) AS BIGINT) AS con_current
+    FROM mentioned m JOIN user_profile p ON p.user_id = m.user_id
+    WHERE m.window_class = 0 AND CAST(p.first_purchase_date AS DATE) = m.signup_date""",
+    **SCORED,
+)
 add(
     "experiment_refresh",
     """SELECT 1090 AS experiment_id, user_id, 'B' AS experiment_group, '1995-06-10 00:00:00' AS created_at FROM mentioned WHERE vip_mentioned = 1""",

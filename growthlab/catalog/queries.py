@@ -24,7 +24,7 @@ from growthlab.plans import cohort_roas as CR
 from growthlab.plans import marketing_report as MR
 from growthlab.plans import projection as PJ
 from growthlab.plans import vip as V
-from growthlab.session import durable, fresh_folder, tune
+from growthlab.session import durable, fresh_folder, plain_planning, tune
 from growthlab.sources import readers, sinks, staging, views
 from growthlab.streaming import payments
 
@@ -108,6 +108,42 @@ def scan_project_filter(spark, folder):
     )
 
 
+@query
+def sql_file_scan(spark, folder):
+    """A statement kept in a text file, with a named parameter."""
+    where = fresh_folder(spark, "statement")
+    staging.table(spark, folder, "orders").createOrReplaceTempView("growthlab_orders")
+    text = """SELECT o_orderpriority, count(*) AS orders FROM growthlab_orders
+              WHERE o_totalprice > :low GROUP BY o_orderpriority;"""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(where)
+    return readers.sql_file(spark, where, {"low": 150000})
+
+
+@query
+def curated_view_columns(spark, folder):
+    """Every curated view over customers' rows: its columns, rows, and the source column each shows."""
+    customers = staging.table(spark, folder, "customer").select(F.col("c_custkey").alias("_k"))
+    out = None
+    for name in [*views.SELECTED, *views.HIDDEN]:
+        columns = views.SELECTED[name][1] if name in views.SELECTED else views.HIDDEN[name][1]
+        columns = dict.fromkeys([*columns, "user_id", "channel_type"])
+        tag = F.concat(F.lit("-"), (F.col("_k") % 5).cast("string"))
+        source = customers.select(
+            *[
+                F.when(F.col("_k") % 2 == 0, "App").otherwise("Search").alias(c)
+                if c == "channel_type" else F.concat(F.lit(c), tag).alias(c)
+                for c in columns
+            ]
+        )
+        view = views.curated(name, source)
+        wide = view.agg(F.count(F.lit(1)).alias("_rows"), *[F.max(c).alias(c) for c in view.columns])
+        long = wide.unpivot("_rows", view.columns, "column", "top").select(
+            F.lit(name).alias("view"), "column", F.col("_rows").alias("rows"), "top"
+        )
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
 @query
 def user_value_scan(spark, folder):
     out = readers.user_values(staging.user_profile(spark, folder), "1995-03-01")
@@ -1052,6 +1088,40 @@ def oot_predictions(spark, folder):
     return M.outcome_counts(labels, "predicted_label", "flag")
 
 
+@query
+def vip_end_to_end(spark, folder):
+    """The published chain: 45 ordered features of the first 96 hours, one model per window trained on
+    spending after them, override, known users out, halves per value band."""
+    main = staging.main_kpi(spark, folder)
+    after = F.col("hour") > F.col("first_purchase_date") + F.expr("INTERVAL 96 HOURS")
+    later = main.where(after).groupBy(F.col("h_user_id").alias("user_id")).agg(F.sum("purchase_amount").alias("later"))
+    spent = F.coalesce("later", F.lit(0.0))
+    raw = durable(_vip_dataset(spark, folder))
+    with plain_planning(spark):
+        rows = durable(V.prepare(raw))
+        rows = durable(rows.join(later, "user_id", "left").withColumn("flag", (spent > 100).cast("int")).drop("later"))
+    models = M.fit_per_window(rows, list(range(5)), lambda part: M.fit_logistic(part, V.MODEL_FEATURES))
+    terms = {w: M.logistic_terms(model, V.MODEL_FEATURES) for w, model in models.items()}
+    scored = M.score_by_terms(rows, terms, M.THRESHOLD_V2).select(
+        "user_id", "firebase_user_id", "signup_date", "first_purchase_date", "email", "full_name", "window",
+        "probability_positive_class", "potential_vip_ind",
+    )
+    known = staging.redeem_grades(spark, folder).where(F.col("grade") == 4)
+    amounts = raw.withColumn("total_purchase_amount", F.col("sum_amt_total"))
+    fresh = V.new_customers(scored, amounts, known, staging.user_profile(spark, folder), SEED)
+    return V.output_rows(fresh, f"{AS_OF} 10:20:30")
+
+
+@query
+def vip_same_day(spark, folder):
+    """The same-day variant over the published rows: first window, purchase on the signup day, numbered run."""
+    fresh = _published(spark, folder)
+    first = staging.user_profile(spark, folder).select("user_id", "first_purchase_date")
+    history = staging.table(spark, folder, "nation").select(F.col("n_nationkey").alias("con_current"))
+    out = V.same_day_rows(fresh.drop("first_purchase_date").join(first, "user_id"), history)
+    return out.select("user_id", "window_class", F.col("con_current").cast("bigint").alias("con_current"))
+
+
 @query
 def vip_v1_marks(spark, folder):
     scored, _ = _scored(spark, folder)

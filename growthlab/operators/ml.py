@@ -256,7 +256,7 @@ def score_by_terms(
     for w, (intercept, weights) in table.items():
         total = F.lit(intercept)
         for name, weight in weights.items():
-            total = total + F.lit(weight) * F.col(name).cast("double")
+            total = total + F.lit(weight) * F.col(f"`{name}`").cast("double")
         known = F.when(F.col(window) == w, F.lit(w)).otherwise(known)
         logit = F.when(F.col(window) == w, total).otherwise(logit)
     scored = df.withColumn("window", known).withColumn(

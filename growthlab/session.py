@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +47,15 @@ def durable(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later stages read fixed rows even after executors are lost."""
     shared_root(df.sparkSession)
     return df.checkpoint()
+
+
+@contextmanager
+def plain_planning(spark: SparkSession) -> Iterator[None]:
+    """Plan without constraint propagation, which takes minutes over dozens of columns derived from each other."""
+    key = "spark.sql.constraintPropagation.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
