@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
