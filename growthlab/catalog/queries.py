@@ -1035,7 +1035,8 @@ def time_split(spark, folder):
 @query
 def vip_window_scores(spark, folder):
     """Five window models; window 5 has none and scores 0."""
-    rows = durable(_labelled(spark, folder))
+    # partitions sized by their bytes: each of the hundreds of training steps is a job over them
+    rows = durable(_labelled(spark, folder).hint("rebalance"))
     models = M.fit_per_window(
         rows, list(range(5)), lambda part: M.fit_logistic(part, _FEATURES)
     )
@@ -1064,7 +1065,7 @@ def vip_fixed_window_scores(spark, folder):
 
 @query
 def model_threshold_sweep(spark, folder):
-    rows = durable(X.stratified_split(_labelled(spark, folder), "flag", "user_id", SEED))
+    rows = durable(X.stratified_split(_labelled(spark, folder), "flag", "user_id", SEED).hint("rebalance"))
     fit_rows, test = rows.where(F.col("part") != "test"), rows.where(F.col("part") == "test")
     boosted = M.fit_boosted(
         fit_rows, _FEATURES, validation=F.col("part") == "val"
@@ -1130,7 +1131,7 @@ def vip_v1_marks(spark, folder):
 
 @query
 def feature_importance(spark, folder):
-    model = M.fit_boosted(durable(_labelled(spark, folder)), _FEATURES)
+    model = M.fit_boosted(durable(_labelled(spark, folder).hint("rebalance")), _FEATURES)
     return M.importance_table(spark, model, _FEATURES)
 
 

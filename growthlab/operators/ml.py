@@ -185,7 +185,7 @@ def fit_per_window(
     windows: list[int],
     fit: Callable[[DataFrame], PipelineModel],
     window: str = "window_number",
-    parallel: int = 4,
+    parallel: int = 8,
 ) -> dict[int, PipelineModel]:
     """One model per window; the fits are submitted side by side, as cross-validation does."""
 
