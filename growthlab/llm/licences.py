@@ -1,7 +1,8 @@
 """Licence scans by sentence rules.
 
-A text's lines and sentences are normalised and looked up in a table of known licence sentences. What is
-left of a text is a sequence of sentence identifiers, with a gap wherever other text stands between. Rules
+A text's lines and sentences are normalised and looked up in a table of known licence sentences; a sentence
+that is wrapped over several lines of a paragraph is joined, without the comment marks in front of its
+lines. What is left of a text is a sequence of sentence identifiers, with a gap wherever other text stands between. Rules
 name a licence by a sequence of identifiers; they are tried in their order, longest notices first, and the
 sentences that a rule takes are not seen by later rules."""
 
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +44,9 @@ SENTENCES: dict[str, str] = {
     "rights": r"all rights reserved",
 }
 
+#: Sentences that end with their line, whatever stands in the next one.
+LINES = frozenset({"spdx", "copyright"})
+
 #: Licence, the sentences of its notice in order ("?" behind one that may be missing), in rule order.
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Apache-2.0", ("apache-header", "apache-use?", "apache-copy", "apache-warranty?")),
@@ -60,20 +65,37 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("proprietary", ("copyright?", "rights")),
 )
 
-_END = re.compile(r"(?<=[.!?;])[ \t]+(?=[A-Z\"'(<])|[\r\n]+")
+_LINE = re.compile(r"[^\r\n]+")
+_CUT = re.compile(r"(?<=[.!?;])[ \t]+(?=[A-Z\"'(<])")
+#: comment marks in front of a line and behind it, and the number of a list item
+_HEAD = re.compile(r"[ \t*#/;|!<>%-]*")
+_TAIL = re.compile(r"[ \t]+[*#/|>-]*[ \t]*$")
+_ITEM = re.compile(r"\(?(?:\d{1,2}|[A-Za-z])[.)][ \t]+(?=\S)")
 _EDGE = " \t*#/;|-.,:!>\"'"
 
 
+class Piece(NamedTuple):
+    """A line, or the part of a line that lies in one sentence: its place, and its text without marks."""
+
+    start: int
+    end: int
+    body: str
+
+
 def normalise(sentence: str) -> str:
     """Lower case, single spaces, no comment marks or closing punctuation, no quotes."""
-    plain = " ".join(sentence.lower().replace('"', "").replace("'", "").split())
-    return plain.strip(_EDGE)
+    return _plain(sentence).strip(_EDGE)
+
+
+def _plain(sentence: str) -> str:
+    return " ".join(sentence.lower().replace('"', "").replace("'", "").split())
 
 
 class Scanner:
     """Known sentences and rules, compiled."""
 
     def __init__(self, sentences: dict[str, str], rules: Sequence[tuple[str, tuple[str, ...]]]) -> None:
+        self.each = [re.compile(s) for s in sentences.values()]
         self.names = list(sentences)
         self.known = re.compile("|".join(f"({s})" for s in sentences.values()))
         groups, at = [], 1
@@ -94,17 +116,73 @@ class Scanner:
             return None
         return self.names[next(k for k, g in enumerate(self.groups) if found.group(g) is not None)]
 
+    def _known(self, run: list[Piece]) -> Iterator[tuple[str | None, int, int]]:
+        """The known sentences of a run and the other pieces (None), with their places.
+
+        A sentence is the fewest pieces that are one. Where its wording is open at the end it goes on to the end
+        of the run, of a closed line, or to the next known sentence."""
+        joined, lows, highs, at = [], [], [], 0
+        for piece in run:
+            plain = _plain(piece.body)
+            lows.append(at + len(plain) - len(plain.lstrip(_EDGE)))
+            highs.append(max(lows[-1], at + len(plain.rstrip(_EDGE))))
+            joined.append(plain)
+            at += len(plain) + 1
+        text, first = " ".join(joined), {}
+
+        def begins(i: int) -> tuple[int, int] | None:
+            """Number of the known sentence that starts with piece i, and its last piece."""
+            if i not in first:
+                first[i] = None
+                if self.known.match(text, lows[i]):  # else no join of pieces from here on is known
+                    first[i] = least([k for k, s in enumerate(self.each) if s.match(text, lows[i])], i)
+            return first[i]
+
+        def least(those: list[int], i: int) -> tuple[int, int] | None:
+            for j in range(i, len(run)):
+                if j > i and starts(j, self.known.fullmatch(text, lows[j], highs[j])):
+                    return None
+                for k in those:
+                    if (j > i or run[i].end - run[i].start >= 8) and self.each[k].fullmatch(text, lows[i], highs[j]):
+                        return k, j
+                those = [k for k in those if self.names[k] not in LINES]
+                if not those:
+                    return None
+            return None
+
+        def starts(j: int, found: re.Match | None) -> bool:
+            """Whether the piece that was found starts a sentence, and is not the middle of one ("copyright holders")."""
+            if not found:
+                return False
+            name = self.names[next(k for k, g in enumerate(self.groups) if found.group(g) is not None)]
+            return name not in LINES or not run[j].body[:1].islower()
+
+        i = 0
+        while i < len(run):
+            found, j = begins(i), i
+            if found:
+                k, j = found
+                while j + 1 < len(run) and self.names[k] not in LINES and run[j].body[-1:] not in ".!?:":
+                    after = begins(j + 1)
+                    if after and (self.names[after[0]] not in LINES or not run[j + 1].body[:1].islower()):
+                        break
+                    if not self.each[k].fullmatch(text, lows[i], highs[j + 1]):
+                        break
+                    j += 1
+            yield self.names[found[0]] if found else None, run[i].start, run[j].end
+            i = j + 1
+
     def scan(self, text: str) -> tuple[list[dict], list[dict]]:
         """Known sentences (identifier, start, end) and licences (licence, start, end) in text order."""
         hits, sequence = [], []
-        for piece, start in _sentences(text):
-            name = self.identify(normalise(piece)) if len(piece) >= 8 else None
-            if name:
-                hits.append({"sentence": name, "start": start, "end": start + len(piece)})
-                sequence.append(self.code[name])
-            elif piece.strip(_EDGE) and (not sequence or sequence[-1] != " "):
-                sequence.append(" ")  # other text parts two notices
-                hits.append(None)
+        for run in _runs(text):
+            for name, start, end in self._known(run):
+                if name:
+                    hits.append({"sentence": name, "start": start, "end": end})
+                    sequence.append(self.code[name])
+                elif not sequence or sequence[-1] != " ":
+                    sequence.append(" ")  # other text parts two notices
+                    hits.append(None)
         line, licences = "".join(sequence), []
         for licence, rule in self.rules:
             for m in rule.finditer(line):
@@ -114,14 +192,37 @@ class Scanner:
         return [h for h in hits if h], licences
 
 
-def _sentences(text: str) -> Iterator[tuple[str, int]]:
-    at = 0
-    for m in _END.finditer(text):
-        if m.start() > at:
-            yield text[at : m.start()], at
-        at = m.end()
-    if at < len(text):
-        yield text[at:], at
+def _runs(text: str) -> Iterator[list[Piece]]:
+    """Pieces between which only a line break stands, and no end of a sentence or paragraph."""
+    run, below = [], 0  # below: where the line before ends
+    for m in _LINE.finditer(text):
+        low, high = m.span()
+        blank = text[below:low].replace("\r\n", "\n")
+        below = high
+        head = _HEAD.match(text, low, high).end()
+        tail = _TAIL.search(text, head, high)
+        last = tail.start() if tail else high
+        closed = not run or len(blank) > 1 or run[-1].body[-1:] in ".!?;:"
+        item = _ITEM.match(text, head, last) if closed else None
+        if item:
+            head = item.end()
+        if run and (len(blank) > 1 or item or not text[head:last].strip(_EDGE) or _ends(run[-1].body, text[head : head + 1])):
+            yield run
+            run = []
+        if not text[head:last].strip(_EDGE):
+            continue
+        start, at = low, head
+        for cut in _CUT.finditer(text, head, last):
+            run.append(Piece(start, cut.start(), text[at : cut.start()]))
+            yield run
+            run, start, at = [], cut.end(), cut.end()
+        run.append(Piece(start, high, text[at:last]))
+    if run:
+        yield run
+
+
+def _ends(body: str, following: str) -> bool:
+    return body[-1:] in ".!?;" and (following.isupper() or following in "\"'(<")
 
 
 _HITS = "array<struct<sentence: string, start: int, end: int>>"

@@ -47,3 +47,74 @@ def test_known_lines_are_all_found(spark):
     }
     want = {(d.doc_id, name) for d in docs.collect() for line, name in lines.items() if line in (d.text or "")}
     assert want and found == want
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 X Y
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above
+   copyright notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+
+
+def test_wrapped_sentences_are_joined():
+    two = BSD[: BSD.index("3. ")]
+    for text, name, first, last in (
+        (MIT, "MIT", "Permission is", "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
+        (BSD, "BSD-3-Clause", "Redistribution and", "written permission."),
+        (two, "BSD-2-Clause", "Redistribution and", "with the distribution."),
+        (GPL, "GPL", "This program is free", "FITNESS FOR A PARTICULAR PURPOSE."),
+    ):
+        for mark in ("", " * ", "# ", "// ", "-- "):
+            for end in ("\n", "\r\n"):
+                wrapped = end.join((mark + x).rstrip() for x in ("Zz yy.\n\n" + text + "\nXx.").split("\n"))
+                got = licences.Scanner(licences.SENTENCES, licences.RULES).scan(wrapped)[1]
+                assert [x["licence"] for x in got] == [name], (mark, name)
+                place = wrapped[got[0]["start"] : got[0]["end"]]
+                assert place.removeprefix(mark).startswith(first) and place.endswith(last)
+
+
+def test_lines_stay_known_beside_joined_sentences():
+    scan = licences.Scanner(licences.SENTENCES, licences.RULES).scan
+    text = "SPDX-License-Identifier: MIT\nimport x\nCopyright (c) 2020 X\nAll rights reserved\nb c"
+    hits, found = scan(text)
+    assert [text[x["start"] : x["end"]] for x in hits] == [text.split("\n")[k] for k in (0, 2, 3)]
+    assert [x["licence"] for x in found] == ["SPDX", "proprietary"]
+    assert names("Released under the\n\nMIT License.") == []  # a blank line ends a paragraph
+    assert names("# Released under the\n# MIT License.") == ["MIT"]
+    assert names("no licence here\n" * 20_000 + "Released under\nthe MIT License.") == ["MIT"]
+    assert names("Licensed under CC BY 4.0 not\n" * 2_000) == []
