@@ -12,7 +12,8 @@ No group of a shared key is expanded into pairs. For a few rounds its members ar
 (another one each round) and confirmed links merge them into components, so a large group of copies soon
 is one component. Then members outside a group's largest component are compared with the rest, signature
 against signature and then set against set inside the task; only confirmed links leave it. Each pair is
-compared in one of the keys it shares. Very large groups are first split by keys of a second chunk.
+compared in one of the keys it shares. Very large groups are dealt into blocks: a task compares a block of
+members outside the largest component with a block of all members, under the group's own key.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ CHUNKS, WIDTH = 10, 5
 FAR = 0.54
 #: rounds of links to one member of each group
 ROUNDS = 3
-#: members of a group that one task compares; larger groups are split again
+#: members of a group that one task compares; larger groups are dealt into pairs of blocks
 TOGETHER = 20_000
 _U = np.uint64
 
@@ -127,22 +128,25 @@ def _index(reps: DataFrame) -> DataFrame:
     return reps.select("node", "_sign").mapInArrow(run, "key long, number int, node long")
 
 
-def _split_again(rows: DataFrame) -> DataFrame:
-    """Keys of a second chunk inside a large group, whose members already agree on one chunk."""
+def _deal(rows: DataFrame) -> DataFrame:
+    """Large groups as pairs of blocks: members outside the largest component (side 0) and all members (side 1).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = _keys(batch["_sign"], np.asarray(batch["key"]).view(np.uint64))
-            other = np.arange(keys.shape[1])[None, :] // WIDTH != np.asarray(batch["number"])[:, None] // WIDTH
-            out = batch.take(pa.array(np.nonzero(other)[0]))
-            key = pa.array(keys[other].view(np.int64))
-            out = out.set_column(out.schema.get_field_index("key"), "key", key)
-            none = pa.array(np.full(out.num_rows, -1, dtype=np.int32))
-            yield out.set_column(out.schema.get_field_index("number"), "number", none)
-
-    return rows.mapInArrow(run, rows.schema)
+    Every pair of different components meets in some pair of blocks, and each has TOGETHER members or so. Rows keep the
+    number of their key."""
+    half = F.lit(max(1, TOGETHER // 2))
+    parts = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("part"))
+    groups = parts.groupBy("key").agg(F.sum("part").alias("all"), F.max(F.struct("part", "label")).alias("most"))
+    blocks = lambda n: F.ceil(n / half).cast("long")
+    groups = groups.select(
+        "key", F.col("most.label").alias("_most"), blocks(F.col("all") - F.col("most.part")).alias("_few"), blocks(F.col("all")).alias("_all")
+    )
+    dealt = rows.drop("side").join(groups, "key").where("_few > 0")
+    block = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n))
+    other = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    few = dealt.where(F.col("label") != F.col("_most")).withColumn("_i", block("_few", 0)).withColumn("_j", other("_all"))
+    every = dealt.withColumn("_j", block("_all", 1)).withColumn("_i", other("_few"))
+    both = few.withColumn("side", F.lit(0)).unionByName(every.withColumn("side", F.lit(1)))
+    return both.withColumn("key", F.xxhash64("key", "_i", "_j")).select(rows.columns)
 
 
 def _compatible(signs_a: np.ndarray, signs_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int):
@@ -195,29 +199,32 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, text_col: str, n: int, percen
     return both.select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long")
 
 
-def _group_pairs(label: np.ndarray, size: np.ndarray, signs: np.ndarray, number: int, percent: int) -> np.ndarray:
-    """Compatible pairs of different components in one group; number: the group's key, -1 for any."""
+def _group_hits(
+    label: np.ndarray, size: np.ndarray, signs: np.ndarray, number: int, side: np.ndarray, percent: int
+) -> np.ndarray:
+    """Which members of one group are in a compatible pair of different components whose first shared key is `number`.
+
+    side: -1 in a whole group; in a pair of blocks, members of side 0 are compared with those of side 1."""
+    hit = np.zeros(len(label), dtype=bool)
     names, inverse, count = np.unique(label, return_inverse=True, return_counts=True)
     if len(names) < 2:
-        return np.zeros((0, 2), dtype=np.int64)
-    small = inverse != np.argmax(count)
-    order = np.argsort(~small, kind="stable")  # members outside the largest component come first
-    label, size, signs = label[order], size[order], signs[order]
-    few, found = int(small.sum()), []
-    for x in range(0, few, 64):
-        for y in range(x, len(label), 4096):
-            i, j = slice(x, min(x + 64, few)), slice(y, y + 4096)
+        return hit
+    if side[0] < 0:
+        few, others = np.flatnonzero(inverse != np.argmax(count)), np.arange(len(label))
+    else:
+        few, others = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    for x in range(0, len(few), 64):
+        for y in range(0, len(others), 4096):
+            i, j = few[x : x + 64], others[y : y + 4096]
             ok = label[i, None] != label[None, j]
             ok &= 100 * np.minimum(size[i, None], size[None, j]) >= percent * np.maximum(size[i, None], size[None, j])
             p, q = np.nonzero(ok)
-            p, q = p + x, q + y
-            p, q = p[p < q], q[p < q]
+            p, q = i[p], j[q]
             same = signs[p] == signs[q]
             near = (~same).sum(axis=1) <= FAR * CHUNKS * WIDTH
-            if number >= 0:
-                near[near] = _first_key(same[near]) == number
-            found.append(np.stack([order[p[near]], order[q[near]]], axis=1))
-    return np.concatenate(found)
+            near[near] = _first_key(same[near]) == number
+            hit[p[near]] = hit[q[near]] = True
+    return hit
 
 
 def _across(rows: DataFrame, percent: int) -> DataFrame:
@@ -226,15 +233,16 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("key", kind="stable")
-        key, node, label, size, number = (rows[c].to_numpy() for c in ("key", "node", "label", "_n", "number"))
+        columns = ("key", "node", "label", "_n", "number", "side")
+        key, node, label, size, number, side = (rows[c].to_numpy() for c in columns)
         signs = np.frombuffer(b"".join(rows["_sign"]), dtype=np.uint16).reshape(len(rows), -1)
         edges = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
         found = [np.zeros(0, dtype=np.int64)]
         for low, high in zip(edges[:-1], edges[1:]):
             g = slice(low, high)
-            found.append(low + np.unique(_group_pairs(label[g], size[g], signs[g], int(number[low]), percent)))
+            found.append(low + np.flatnonzero(_group_hits(label[g], size[g], signs[g], int(number[low]), side[g], percent)))
         at = np.concatenate(found)
-        return pd.DataFrame({"key": key[at], "node": node[at], "label": label[at]})
+        return pd.DataFrame({"key": key[at], "node": node[at], "label": label[at]}).drop_duplicates()
 
     bucket = F.pmod(F.xxhash64("key"), F.lit(buckets))
     rows = rows.withColumn("_bucket", bucket)
@@ -336,9 +344,10 @@ def near_duplicates(
         here = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
     apart = _mixed(here).join(reps.select("node", "_n", "_sign"), "node")
-    apart = stored(apart.select("key", "number", "node", "label", "_n", "_sign", "members"), "apart")
-    large = _split_again(apart.where(F.col("members") > TOGETHER).drop("members"))
-    rest = apart.where(F.col("members") <= TOGETHER).drop("members").unionByName(_mixed(large).drop("members"))
+    apart = apart.withColumn("side", F.lit(-1)).select("key", "number", "node", "label", "_n", "_sign", "members", "side")
+    apart = stored(apart, "apart")
+    large = _deal(apart.where(F.col("members") > TOGETHER).drop("members"))
+    rest = apart.where(F.col("members") <= TOGETHER).drop("members").unionByName(large)
     rest = stored(rest, "apart_again")
     members = stored(_across(rest, percent), "members_across")
     more = stored(_links_across(members, texts, text_col, shingle, percent), "links")

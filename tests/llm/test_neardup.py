@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from growthlab.llm import graph, neardup
@@ -43,3 +44,25 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     found = {r.node: r.label for r in graph.components(edges).collect()}
     assert found == {**{k: 0 for k in range(61)}, 100: 100, 101: 100}
+
+
+def test_pairs_in_one_key_of_a_large_group(spark, monkeypatch):
+    """A pair that shares one chunk only is met in a group that is dealt into blocks."""
+    monkeypatch.setattr(neardup, "TOGETHER", 10)
+    rng = np.random.default_rng(5)
+    signs = rng.integers(0, 1 << 16, (60, neardup.CHUNKS * neardup.WIDTH), dtype=np.uint16)
+    signs[:, : neardup.WIDTH] = signs[0, : neardup.WIDTH]  # one group: the first chunk
+    for k in range(0, 60, 2):  # two symbols wrong in each other chunk: 18 of 50
+        signs[k + 1, neardup.WIDTH :] = signs[k, neardup.WIDTH :]
+        for c in range(1, neardup.CHUNKS):
+            signs[k + 1, c * neardup.WIDTH : c * neardup.WIDTH + 2] ^= 1
+    rows = [(77, 0, k, 0 if k < 30 and k % 2 else k, 100, signs[k].tobytes(), -1) for k in range(60)]
+    apart = spark.createDataFrame(rows, "key long, number int, node long, label long, _n long, _sign binary, side int")
+    dealt = neardup._deal(apart)
+    assert max(r["count"] for r in dealt.groupBy("key").count().collect()) <= 30  # of 60, and of 105 in two sides
+    met = {}
+    for r in neardup._across(dealt, 80).collect():
+        met.setdefault(r.key, set()).add(r.node)
+    for k in range(0, 60, 2):
+        if rows[k][3] != rows[k + 1][3]:
+            assert any({k, k + 1} <= m for m in met.values())
