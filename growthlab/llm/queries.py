@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -16,6 +17,7 @@ from growthlab.llm import (
     pii,
     preferences,
     quality,
+    repair,
     sql,
     substrings,
     tiling,
@@ -111,6 +113,27 @@ def op10_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return made.withColumns({c: preferences.span_text(c) for c in ("chosen_train", "rejected_train")})
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut short, repeated or given another role, by crc32 of conv_id:turn."""
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = turns.select("conv_id", "turn", known("role").alias("role"), known("text").alias("text"))
+    rows = rows.withColumn("fate", F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn"))) % 20).where("fate <> 0")
+    fate = F.col("fate")
+    text = F.when(fate == 1, "").when(fate == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(fate == 4, "user").otherwise(F.col("role"))
+    times = F.when(fate == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("copy"))
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    report = repair.repair_report(damaged(turns))
+    ids = turns.select("conv_id").distinct().withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    empty = {**dict.fromkeys(counts, 0), "audit": "", "repaired_sha256": hashlib.sha256().hexdigest()}
+    return ids.join(report, "conv", "left").fillna(empty).select("conv_id", *counts, "audit", "repaired_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_leaks": op1_benchmark_leaks,
     "op2_private_data": op2_private_data,
@@ -122,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_preference_pairs": op10_preference_pairs,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {**sql.ALL, "op3_source_mix": sql.source_mix(WEIGHTS, WEB, FORUM)}

@@ -125,8 +125,94 @@ SELECT pair_id,
 FROM spans LEFT JOIN (SELECT pair_id, max(conv_id) AS other FROM t WHERE odd = 1 GROUP BY 1) USING (pair_id)
 GROUP BY pair_id"""
 
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of an ASCII text: eight shifts for each of its characters."""
+    shift = "lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    one = f"lambda a, ch: list_reduce(list_prepend(xor(a, ch), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), {shift})"
+    codes = f"list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), {one}), 4294967295::BIGINT)"
+
+
+def _way(letter: str, cost: str, rest: str, line: str = "''") -> str:
+    return f"{{c: {cost} + {rest}.c, e: '{letter}' || {rest}.e, t: {line} || {rest}.t}}"
+
+
+def _repair() -> str:
+    """Costs, edits and texts of the best repair of the rest, row by row from the last, for four states."""
+    said = {2: "'user:'", 3: "'assistant:'"}
+    spoken = (2, 2, 3, 2)
+    kept = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+    best = []
+    for s in range(4):
+        to = spoken[s]
+        options = [f"CASE WHEN NOT gone THEN {_way('R', '2 + extra', f'f{to}', f'{said[to]} || text || chr(10)')} END"]
+        for initial, then in kept[s].items():
+            keep = _way("K", "extra", f"f{then}", "role || ':' || text || chr(10)")
+            options.append(f"CASE WHEN NOT gone AND left(role, 1) = '{initial}' THEN {keep} END")
+        options.append(_way("D", "3", f"f{s}"))
+        best.append(f"list_min(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL)) AS g{s}")
+    added = []
+    for s in range(4):
+        to, ways, rest = spoken[s], [f"g{s}"], ""
+        ways.append(_way("I", "2", f"g{to}", f"{said[to]} || chr(10)"))
+        more = spoken[to]
+        ways.append(
+            f"{{c: 4 + g{more}.c, e: 'II' || g{more}.e, t: {said[to]} || chr(10) || {said[more]} || chr(10) || g{more}.t}}"
+        )
+        added.append(f"list_min([{', '.join(ways)}]) AS f{s}")
+    none = "{c: %d, e: '%s', t: %s}"
+    ends = ", ".join(
+        none % x + f" AS f{s}"
+        for s, x in enumerate(
+            [(0, "", "''"), (4, "II", "'user:' || chr(10) || 'assistant:' || chr(10)"), (2, "I", "'assistant:' || chr(10)"), (0, "", "''")]
+        )
+    )
+    return rf"""
+WITH RECURSIVE d AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fate
+    FROM conversations),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+           CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN fate = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM d WHERE fate <> 0),
+r AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+           lead(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS next_role,
+           count(*) OVER (PARTITION BY conv_id) AS n,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS copied,
+           right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last
+    FROM damaged),
+m AS (
+    SELECT *, CASE WHEN last = '' THEN 'blank' WHEN copied THEN 'duplicate'
+                   WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault FROM r),
+k AS (SELECT *, fault IN ('blank', 'duplicate') AS gone, (fault = 'truncated')::INT AS extra FROM m),
+walk AS (
+    SELECT conv_id, n + 1 AS i, {ends} FROM k WHERE i = n
+    UNION ALL
+    SELECT conv_id, i, {", ".join(added)} FROM (
+        SELECT k.conv_id, k.i, {", ".join(best)}
+        FROM walk w JOIN k ON k.conv_id IS NOT DISTINCT FROM w.conv_id AND k.i = w.i - 1)),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (next_role IS NOT NULL AND left(role, 1) || left(next_role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM k GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(f0.c, 0)::BIGINT AS cost,
+       coalesce(f0.e, '') AS audit, sha256(coalesce(left(f0.t, length(f0.t) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN (SELECT * FROM walk WHERE i = 1) w ON w.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 ALL: dict[str, str] = {
     "op4_near_duplicates": _NEAR,
     "op8_substring_dedup": _SUBSTRINGS,
     "op10_preference_pairs": _PREFERENCES,
+    "op11_conversation_repair": _repair(),
 }

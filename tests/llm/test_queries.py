@@ -9,7 +9,7 @@ from growthlab.llm import pii, queries
 from tests.llm import plain
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = ("documents", "benchmark", "labels", "conversations")
+TABLES = ("documents", "benchmark", "labels", "conversations", "pages")
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
