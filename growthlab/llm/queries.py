@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthlab.llm import (
+    archives,
     ctw,
     licences,
     mixing,
@@ -23,6 +24,8 @@ from growthlab.llm import (
     tiling,
     tokens,
 )
+from growthlab.llm.storage import forget_folders, stored
+from growthlab.session import fresh_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -134,6 +137,25 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return ids.join(report, "conv", "left").fillna(empty).select("conv_id", *counts, "audit", "repaired_sha256")
 
 
+def op12_warc_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages written as legacy archives of both versions, converted to WARC and read back."""
+    legacy = archives.write_arc(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    warc = fresh_folder(spark, "warc")
+    archives.convert(spark, legacy, warc, rank_head="X-Page-Id")
+    forget_folders(spark, legacy)
+    records = archives.read_warc(spark, warc, payloads=False).where("type <> 'warcinfo'")
+    records = records.withColumn("page_id", F.try_element_at("http", F.lit("x-page-id")).cast("long"))
+    first = records.where("type = 'response'")
+    later = records.where("type = 'revisit'").select("page_id", "declared_digest", "type", F.col("refers_to").alias("record_id"))
+    sizes = first.select("record_id", "payload_bytes", F.col("page_id").alias("refers_to"))
+    later = later.join(sizes, "record_id").select("page_id", "payload_bytes", "declared_digest", "type", "refers_to")
+    kept = first.select("page_id", "payload_bytes", "payload_digest", "type", F.lit(None).cast("long").alias("refers_to"))
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    out = stored(kept.toDF(*names).unionByName(later.toDF(*names)), "page_records")
+    forget_folders(spark, warc)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_leaks": op1_benchmark_leaks,
     "op2_private_data": op2_private_data,
@@ -146,6 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_preference_pairs": op10_preference_pairs,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_warc_records": op12_warc_records,
 }
 
 ORACLE_SQL: dict[str, str] = {**sql.ALL, "op3_source_mix": sql.source_mix(WEIGHTS, WEB, FORUM)}

@@ -210,9 +210,25 @@ LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN (SELECT * FROM walk WHERE i = 1) w ON w.conv_id IS NOT DISTINCT FROM o.conv_id"""
 
 
+_SYMBOLS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+_BASE32 = " || ".join(
+    f"{_SYMBOLS}[(('0x' || hex[{5 * k + 1} : {5 * k + 5}])::BIGINT >> {shift} & 31) + 1]"
+    for k in range(8)
+    for shift in (15, 10, 5, 0)
+)
+_PAGES = f"""
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+q AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS least FROM p)
+SELECT page_id, strlen(html) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> least THEN least END AS refers_to
+FROM q"""
+
 ALL: dict[str, str] = {
     "op4_near_duplicates": _NEAR,
     "op8_substring_dedup": _SUBSTRINGS,
     "op10_preference_pairs": _PREFERENCES,
     "op11_conversation_repair": _repair(),
+    "op12_warc_records": _PAGES,
 }

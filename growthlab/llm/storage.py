@@ -26,10 +26,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def forget(*frames: DataFrame) -> None:
     """Delete stored frames that nothing lazy depends on any more."""
     for df in frames:
-        spark = df.sparkSession
-        for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        forget_folders(df.sparkSession, *{f.rpartition("/")[0] for f in df.inputFiles()})
+
+
+def forget_folders(spark: SparkSession, *folders: str) -> None:
+    for name in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:
