@@ -84,7 +84,7 @@ def _unpacked(content: pa.Buffer) -> Iterator[bytes]:
     """An archive's bytes in pieces, out of their gzip members if they are packed; a broken member ends them."""
     raw = pa.BufferReader(content)
     if content.size < 2 or content[:2].to_pybytes() != b"\x1f\x8b":
-        while piece := raw.read(1 << 20):
+        while piece := raw.read(1 << 16):
             yield piece
         return
     member, piece = zlib.decompressobj(31), b""

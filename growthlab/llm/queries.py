@@ -23,6 +23,7 @@ from growthlab.llm import (
     substrings,
     tiling,
     tokens,
+    trie,
 )
 from growthlab.llm.storage import forget_folders, stored
 from growthlab.session import fresh_folder
@@ -156,6 +157,22 @@ def op12_warc_records(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
+def with_shared_heads(paths: DataFrame) -> DataFrame:
+    """Each conversation's first h turns replaced by those of the conversation that opens its twenty; h is crc32 of
+    its number modulo 4."""
+    h = (F.crc32(F.col("conv_id").cast("string")) % 4).cast("int")
+    heads = paths.where("conv_id % 20 = 0").select(F.col("conv_id").alias("opening"), F.slice("turns", 1, 3).alias("head"))
+    rows = paths.withColumns({"opening": F.expr("conv_id - conv_id % 20"), "h": h}).join(heads, "opening", "left")
+    head = F.when(F.col("head").isNotNull(), F.slice("head", F.lit(1), F.col("h"))).otherwise(F.slice("turns", 1, 0))
+    rest = F.slice("turns", F.col("h") + 1, F.size("turns") + 1)
+    return rows.select("conv_id", F.concat(head, rest).alias("turns"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    paths = trie.paths_of(_table(spark, folder, "conversations"), "conv_id", "turn", "role", "text")
+    return trie.prefix_trie(with_shared_heads(paths))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_leaks": op1_benchmark_leaks,
     "op2_private_data": op2_private_data,
@@ -169,6 +186,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_preference_pairs": op10_preference_pairs,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_warc_records": op12_warc_records,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {**sql.ALL, "op3_source_mix": sql.source_mix(WEIGHTS, WEB, FORUM)}

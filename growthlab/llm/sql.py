@@ -225,10 +225,40 @@ SELECT page_id, strlen(html) AS payload_bytes, {_BASE32} AS payload_digest,
        CASE WHEN page_id <> least THEN least END AS refers_to
 FROM q"""
 
+_TRIE = rf"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+x AS (SELECT conv_id, turn, md5(length(role) || ':' || role || text) AS k, len({_WORDS}) AS w FROM t),
+own AS (
+    SELECT conv_id, list({{k: k, w: w}} ORDER BY turn NULLS FIRST, k, w) AS turns,
+           {_crc32("conv_id::VARCHAR")} % 4 AS h FROM x GROUP BY conv_id),
+built AS (
+    SELECT o.conv_id, list_concat(coalesce(b.turns, [])[1 : o.h], o.turns[o.h + 1 :]) AS turns
+    FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+pre AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM built),
+p AS (
+    SELECT conv_id, d, d = len(turns) AS ends, array_to_string([y.k FOR y IN turns[1 : d]], '') AS key,
+           CASE WHEN d > 0 THEN turns[d].w ELSE 0 END AS w FROM pre),
+nodes AS (
+    SELECT d, key, min(conv_id) AS conv_id, count(*) AS n, any_value(w) AS w,
+           coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ends
+    FROM p GROUP BY d, key),
+kids AS (SELECT d - 1 AS d, left(key, 32 * (d - 1)) AS key, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY ALL),
+grown AS (SELECT nodes.*, coalesce(kids, 0) AS kids FROM nodes LEFT JOIN kids USING (d, key)),
+up AS (SELECT unnest(range(0, d + 1)) AS e, key, kids, (n - 1) * w AS saved FROM grown),
+sub AS (
+    SELECT e AS d, left(key, 32 * e) AS key, count(*) FILTER (kids = 0) AS leaves, sum(saved)::BIGINT AS saved
+    FROM up GROUP BY ALL)
+SELECT g.conv_id, g.d AS depth, parent.conv_id AS parent_conv_id, g.n AS n_convs, g.kids AS n_children,
+       leaves AS n_leaves, saved AS saved_tokens, sha256(g.ends) AS ends_sha256
+FROM grown g JOIN sub USING (d, key)
+LEFT JOIN grown parent ON parent.d = g.d - 1 AND parent.key = left(g.key, 32 * (g.d - 1))"""
+
 ALL: dict[str, str] = {
     "op4_near_duplicates": _NEAR,
     "op8_substring_dedup": _SUBSTRINGS,
     "op10_preference_pairs": _PREFERENCES,
     "op11_conversation_repair": _repair(),
     "op12_warc_records": _PAGES,
+    "op13_prefix_trie": _TRIE,
 }
