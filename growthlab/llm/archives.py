@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlab.llm.storage import fresh_folder, ready
+from growthlab.llm.storage import forget, ready, stored
+from growthlab.session import fresh_folder
 
 #: fields of a record line by ARC version (fixed values of the format)
 FIELDS = {
@@ -33,6 +34,8 @@ FIELDS = {
 #: address, IP, date, what stands between, declared length
 _LINE = re.compile(rb"(\S.*?) (\S+) (\d{4,17}) (\S.*) (\d+)")
 _HEAD_END = re.compile(rb"\r\n\r\n|\n\n")
+#: archives are written once and read once or twice: packing costs more than it saves later
+_FAST = {"zlib.compress.level": "BEST_SPEED"}
 #: longest record or header line
 LONGEST_LINE = 1 << 20
 HTTP = "application/http; msgtype=response"
@@ -216,7 +219,7 @@ def write_arc(
     head = F.when(id_.isNotNull(), F.concat(F.lit(f"{id_head}: "), id_, F.lit("\r\n"))).otherwise("")
     path = fresh_folder(spark, "arc")
     text = arc_text(pages, F.col(url_col), F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")), head, date)
-    text.write.option("compression", "gzip").option("lineSep", "\n").text(path)
+    text.write.options(compression="gzip", **_FAST).option("lineSep", "\n").text(path)
     return path
 
 
@@ -358,7 +361,8 @@ def convert(
     A record that the archive cuts short is kept and marked WARC-Truncated; bytes that belong to no record are
     skipped, and so are empty files. Times that are none become the archive's. An archive may have up to 2 GB, a
     record lives in one task as bytes."""
-    again = _revisits(arc_index(spark, path, rank_head), min_bytes)
+    # written, so that its size is known: where few records are revisits, the blocks need no shuffle
+    again = stored(_revisits(arc_index(spark, path, rank_head), min_bytes), "revisits")
     rows = _parts(spark, path).join(again, "id", "left")
     revisit = F.col("to_id").isNotNull()
     crlf = F.lit("\r\n")
@@ -391,7 +395,8 @@ def convert(
         F.col("block").cast("string"),  # bytes as they are
     )
     # two line ends close a WARC record
-    rows.select(record).write.option("compression", compression).option("lineSep", "\r\n\r\n").text(out)
+    rows.select(record).write.options(compression=compression, **_FAST).option("lineSep", "\r\n\r\n").text(out)
+    forget(again)
 
 
 _WARC = pa.schema(
