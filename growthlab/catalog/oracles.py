@@ -1055,6 +1055,27 @@ add(
     WHERE hour = (SELECT max(hour) FROM features g WHERE g.platform = f.platform)""",
     **SERIES,
 )
+add(
+    "stream_newest_features",
+    f"""SELECT platform, {ts_text('hour')} AS hour, records_analyzed, {_FEATURE_COLS} FROM features f
+    WHERE hour = (SELECT max(hour) FROM features g WHERE g.platform = f.platform) AND records_analyzed >= 96""",
+    finished="""SELECT * FROM payment_series WHERE hour + INTERVAL 1 HOUR <=
+        (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 1 HOUR""",
+    **{**SERIES, "series_top": SERIES["series_top"].replace("payment_series", "finished")},
+)
+add(
+    "anomaly_status",
+    f"""SELECT platform, CASE WHEN n = 0 THEN 'no data after excluding the newest hour' WHEN n < 96 THEN 'insufficient data'
+        WHEN platform = 'UNKNOWN' THEN 'platform not available' ELSE 'ok' END AS status, n AS records_analyzed,
+        {ts_text('newest')} AS max_hour_excluded,
+        CASE WHEN n >= 96 AND platform <> 'UNKNOWN' THEN {ts_text('before')} END AS prediction_timestamp
+        FROM (SELECT platform, count(*) - 1 AS n, max(hour) AS newest, max(hour) FILTER (hour < top) AS before
+        FROM (SELECT *, max(hour) OVER (PARTITION BY platform) AS top FROM buckets) GROUP BY platform)""",
+    newest_hour="SELECT date_trunc('hour', max(ts)) AS h FROM events WHERE user_id % 5 > 1",
+    buckets="""SELECT DISTINCT CASE WHEN user_id % 5 = 0 THEN 'WEB_NUVEI' WHEN user_id % 5 = 1 THEN 'NUVEI_CARD'
+        WHEN date_trunc('hour', ts) = h THEN 'LAST_HOUR' WHEN date_trunc('hour', ts) >= h - INTERVAL 1 DAY THEN 'LAST_DAY'
+        ELSE 'UNKNOWN' END AS platform, date_trunc('hour', ts) AS hour FROM events, newest_hour""",
+)
 add(
     "scaled_features",
     f"SELECT platform, {ts_text('hour')} AS hour, "

@@ -26,7 +26,7 @@ from growthlab.plans import projection as PJ
 from growthlab.plans import vip as V
 from growthlab.session import durable, fresh_folder, plain_planning, tune
 from growthlab.sources import readers, sinks, staging, views
-from growthlab.streaming import payments
+from growthlab.streaming import history, payments
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -903,6 +903,29 @@ def anomaly_records(spark, folder):
     return AN.latest_records(series, AN.fit(series))
 
 
+@query
+def anomaly_status(spark, folder):
+    """What becomes of every platform asked for: users 0 and 1 modulo 5 pay on known ones, the last day and the last hour of
+    the others are platforms of their own with too few buckets, and for one platform there is no model."""
+    events = staging.table(spark, folder, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    hour = F.date_trunc("hour", "ts")
+    newest = events.where("user_id % 5 > 1").agg(F.max(hour)).scalar()
+    platform = (
+        F.when(F.col("user_id") % 5 == 0, "WEB_NUVEI").when(F.col("user_id") % 5 == 1, "NUVEI_CARD")
+        .when(hour == newest, "LAST_HOUR").when(hour >= newest - F.expr("INTERVAL 1 DAY"), "LAST_DAY").otherwise("UNKNOWN")
+    )
+    counts = events.groupBy(platform.alias("platform"), hour.alias("hour")).agg(
+        F.count_if(F.col("event_type") != "error").alias("approved"), F.count(F.lit(1)).alias("total")
+    )
+    series = durable(counts)
+    detector = AN.fit(series.where(F.col("platform") != "UNKNOWN"), trees=10)
+    out = AN.latest_records(series, detector)
+    return out.select(
+        "platform", "status", "records_analyzed", as_text(F.col("max_hour_excluded")).alias("max_hour_excluded"),
+        as_text(F.col("prediction_timestamp")).alias("prediction_timestamp"),
+    )
+
+
 @query
 def stream_bucket_counts(spark, folder):
     """Streaming quarter-hour counts, run to completion and read back."""
@@ -916,12 +939,30 @@ def stream_bucket_counts(spark, folder):
     return table.select("platform", as_text(F.col("hour")).alias("bucket"), "approved", "total")
 
 
+@query
+def stream_newest_features(spark, folder):
+    """Features of the newest complete bucket per platform, from a stream's bounded histories."""
+    where = fresh_folder(spark, "features")
+    counts = payments.bucket_counts(
+        payments.read_events(spark, f"{folder}/events.parquet"),
+        staging.platform_of(F.col("user_id")), F.col("event_type") != "error", "1 hour",
+    )
+    payments.write_counts(counts, f"{where}/buckets", f"{where}/state/counts").awaitTermination()
+    fresh = spark.readStream.schema(counts.schema).parquet(f"{where}/buckets")
+    payments.write_counts(history.newest_features(fresh), f"{where}/out", f"{where}/state/features").awaitTermination()
+    out = spark.read.parquet(f"{where}/out").where("hour IS NOT NULL")
+    return rounded(
+        out.select("platform", as_text(F.col("hour")).alias("hour"), "records_analyzed", *TS.FEATURES),
+        *TS.FEATURES, digits=7,
+    )
+
+
 @query
 def stream_latest_scores(spark, folder):
     """The streaming front end to end: finished buckets, scores of the newest one per platform."""
     where = fresh_folder(spark, "scores")
     args = (staging.platform_of(F.col("user_id")), F.col("event_type") != "error", "1 hour")
-    history = payments.bucket_counts(staging.table(spark, folder, "events"), *args)
+    past = payments.bucket_counts(staging.table(spark, folder, "events"), *args)
     counts = payments.bucket_counts(payments.read_events(spark, f"{folder}/events.parquet"), *args)
 
     def sink(records: DataFrame, batch: int) -> None:
@@ -932,7 +973,7 @@ def stream_latest_scores(spark, folder):
         flat.write.mode("overwrite").parquet(f"{where}/out/batch={batch}")
 
     payments.score_batches(
-        counts, f"{where}/history", AN.fit(history), sink, f"{where}/state"
+        counts, f"{where}/buckets", AN.fit(past), sink, f"{where}/state"
     ).awaitTermination()
     return spark.read.parquet(f"{where}/out")
 

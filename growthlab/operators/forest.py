@@ -1,7 +1,7 @@
 """Isolation forest (Liu, Ting, Zhou 2008) per platform.
 
 Each tree is grown in its own task on a few hundred rows picked by hash from all rows, so training parallelism
-is platforms x trees. A platform's forest is one row of bounded arrays; scoring pairs it with
+is platforms x trees. A platform's forest is one row of bounded arrays; scoring walks them in an expression over
 slices of that platform's rows, so no task holds a whole platform.
 """
 
@@ -14,12 +14,11 @@ import zlib
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from growthlab.functions import scalars as S
+from growthlab.operators.trees import leaf
 
 # executors need not have this package installed: ship its few functions with the task
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -99,12 +98,19 @@ def fit_forest(
 ) -> DataFrame:
     """One row per platform: its trees as an array of node arrays, and the rows per tree.
 
-    Each tree draws its rows from all rows of its platform; the rank filter is applied before the shuffle
-    as well, so at most `sample` rows per tree and task travel."""
-    pool = df.select("platform", key, *features).withColumn(
-        "tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
+    Each tree takes the `sample` rows of its platform whose hashes are smallest. A row is only copied for the trees
+    for which its hash is below a limit that leaves room for ten standard deviations more than `sample` rows, so about
+    `sample` rows per tree are shuffled however many there are."""
+    known = df.where(F.col(key).isNotNull()).select("platform", key, *features)
+    limits = known.groupBy("platform").agg(
+        F.least(F.lit(1.0), F.lit(sample + 10 * math.sqrt(sample) + 20) / F.count("*")).alias("_share")
     )
-    per_tree = W.partitionBy("platform", "tree").orderBy(S.draw(seed, F.col("tree"), F.col(key)))
+    # 53 bits of a 64-bit hash, as a number in [0, 1)
+    draw = lambda t: F.shiftrightunsigned(F.xxhash64(F.lit(str(seed)), t, F.col(key)), 11) / float(1 << 53)
+    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
+    drawn = F.filter(F.transform(numbers, lambda t: F.struct(t.alias("tree"), draw(t).alias("d"))), lambda x: x["d"] < F.col("_share"))
+    pool = known.join(limits, "platform").select("platform", key, *features, F.inline(drawn))
+    per_tree = W.partitionBy("platform", "tree").orderBy("d", key)
     picked = pool.withColumn("_r", F.row_number().over(per_tree)).where(F.col("_r") <= sample)
 
     def build(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -124,32 +130,28 @@ def fit_forest(
     return packed.join(sizes, "platform")
 
 
+def _path_norm(n: Column) -> Column:
+    """path_norm of a count column; 1 where that is zero."""
+    deep = 2 * (F.ln(n - 1) + EULER) - 2 * (n - 1) / n
+    return F.when(n <= 2, F.lit(1.0)).otherwise(deep)
+
+
 def raw_scores(
     df: DataFrame, forest: DataFrame, features: list[str], slice_col: str = "_slice"
 ) -> DataFrame:
-    """score_samples per row: minus the anomaly score, lower is stranger.
+    """score_samples per row: minus the anomaly score, lower is stranger; NULL without a forest.
 
-    Rows are grouped by (platform, slice); the caller's slices bound a group's size."""
+    The rows of a (platform, slice) meet their platform's trees once, as an array, and each walks them in an expression;
+    the caller's slices bound such an array."""
     names = df.columns
-    schema = T.StructType(df.schema.fields + [T.StructField("score", T.DoubleType())])
-
-    def run(keys: tuple, rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-        if len(rows) == 0:
-            return pd.DataFrame(columns=names + ["score"])
-        if len(model) == 0:
-            return rows.assign(score=None)
-        points = rows[features].to_numpy(dtype=float)
-        trees = model["forest"].iloc[0]
-        total = np.zeros(len(points))
-        for tree in trees:
-            total += path_lengths(points, tree)
-        norm = path_norm(float(model["sample_rows"].iloc[0])) or 1.0
-        return rows.assign(score=-np.exp2(-total / len(trees) / norm))
-
-    slices = df.select(F.col("platform").alias("_p"), F.col(slice_col).alias("_s")).distinct()
-    spread = slices.join(forest.withColumnRenamed("platform", "_p"), "_p")
-    return (
-        df.groupBy("platform", slice_col)
-        .cogroup(spread.groupBy("_p", "_s"))
-        .applyInPandas(run, schema)
-    )
+    groups = df.groupBy("platform", slice_col).agg(F.collect_list(F.struct(*names)).alias("_rows"))
+    met = groups.join(forest, "platform", "left").withColumn("_n", F.col("sample_rows").cast("double"))
+    limit = F.greatest(F.ceil(F.log2(F.greatest("_n", F.lit(2.0)))), F.lit(1)).cast("int")
+
+    def scored(row: Column) -> Column:
+        x = F.array(*[row[c].cast("double") for c in features])
+        depth = F.aggregate("forest", F.lit(0.0), lambda acc, t: acc + F.get(t["depth"], leaf(t, x, limit)))
+        score = -F.pow(F.lit(2.0), -depth / F.size("forest") / _path_norm(F.col("_n")))
+        return F.struct(*[row[c].alias(c) for c in names], score.alias("score"))
+
+    return met.select(F.inline(F.transform("_rows", scored)))

@@ -120,6 +120,17 @@ def latest_records(
     rows = TS.complete_rows(series)
     enough = rows.where(F.col("records_analyzed") >= spans.least_rows)
     newest = TS.latest(TS.rolling_features(enough, spans))
+    asked = series.groupBy("platform").agg(F.max("hour").alias("max_hour_excluded"))
+    kept = rows.groupBy("platform").agg(F.count(F.lit(1)).alias("records_analyzed"))
+    asked = asked.join(kept, "platform", "left").fillna(0, ["records_analyzed"])
+    return records(asked, newest, detector, spans)
+
+
+def records(
+    asked: DataFrame, newest: DataFrame, detector: Detector, spans: TS.Spans = TS.Spans()
+) -> DataFrame:
+    """The published record of every asked platform (platform, max_hour_excluded, records_analyzed), from the
+    features of its newest complete bucket where it has enough of them."""
     decided = decide(
         score(scale(newest, detector.scaler), detector.forest), detector.cuts
     )
@@ -132,7 +143,7 @@ def latest_records(
             "rolling_7day_periods_available"
         ),
     )
-    records = decided.select(
+    found = decided.select(
         "platform",
         "is_anomaly",
         "anomaly_score",
@@ -144,21 +155,10 @@ def latest_records(
         F.lit(MODEL_TYPE).alias("model_type"),
         F.lit(len(TS.FEATURES)).alias("features_count"),
     )
-    asked = series.groupBy("platform").agg(
-        F.max("hour").alias("max_hour_excluded"),
-        F.count(F.lit(1)).alias("_all"),
-    )
-    kept = rows.groupBy("platform").agg(F.count(F.lit(1)).alias("records_analyzed"))
     status = (
         F.when(F.col("records_analyzed") == 0, "no data after excluding the newest hour")
         .when(F.col("records_analyzed") < spans.least_rows, "insufficient data")
         .when(F.col("anomaly_score").isNull(), "platform not available")
         .otherwise("ok")
     )
-    return (
-        asked.join(kept, "platform", "left")
-        .fillna(0, ["records_analyzed"])
-        .join(records, "platform", "left")
-        .withColumn("status", status)
-        .drop("_all")
-    )
+    return asked.join(found, "platform", "left").withColumn("status", status)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from growthlab.operators import timeseries as TS
 from growthlab.plans import anomaly
+from growthlab.streaming import history
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -57,27 +58,32 @@ def write_counts(counts: DataFrame, table: str, state: str) -> StreamingQuery:
 
 def score_batches(
     counts: DataFrame,
-    history_path: str,
+    table: str,
     detector: anomaly.Detector,
     sink: Callable[[DataFrame, int], None],
     state: str,
     spans: TS.Spans = TS.Spans(),
 ) -> StreamingQuery:
-    """Each trigger: store the finished buckets, then score the newest complete one per platform from
-    the whole stored series, one row per platform and bucket of the calendar, as the batch does.
-
-    The store is keyed by batch id, so a replayed batch overwrites itself."""
+    """Append the finished buckets to `table`, take what is new there into the platforms' bounded histories, and score
+    the newest complete bucket of every platform that got one. The table is read as a stream, so a trigger reads only
+    its own buckets; a call after new events goes on where the last one ended."""
+    write_counts(counts, table, f"{state}/counts").awaitTermination()
+    fresh = counts.sparkSession.readStream.schema(counts.schema).parquet(table)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{history_path}/batch={batch_id}")
-        history = spark.read.parquet(history_path).drop("batch")
-        sink(anomaly.latest_records(history, detector, spans), batch_id)
+        rows = batch.persist()
+        asked = rows.select("platform", "max_hour_excluded", "records_analyzed")
+        newest = rows.where(F.col("hour").isNotNull()).drop("max_hour_excluded", "records_analyzed")
+        try:
+            sink(anomaly.records(asked, newest, detector, spans), batch_id)
+        finally:
+            rows.unpersist()
 
     return (
-        counts.writeStream.outputMode("append")
+        history.newest_features(fresh, spans)
+        .writeStream.outputMode("append")
         .foreachBatch(run)
-        .option("checkpointLocation", state)
+        .option("checkpointLocation", f"{state}/scores")
         .trigger(availableNow=True)
         .start()
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from growthlab.operators import timeseries as TS
 from growthlab.plans import anomaly as AN
 from growthlab.sources import readers, sinks, views
-from growthlab.streaming import payments
+from growthlab.streaming import history, payments
 
 
 def test_sql_file_and_lists(spark, tmp_path):
@@ -125,7 +125,7 @@ def test_stream_scores_equal_batch(spark, tmp_path):
     stream = payments.read_events(spark, str(tmp_path / "in" / "events.parquet"))
     seen = []
     payments.score_batches(
-        payments.bucket_counts(stream, *args), str(tmp_path / "hist"), detector,
+        payments.bucket_counts(stream, *args), str(tmp_path / "buckets"), detector,
         lambda df, i: seen.append(df.collect()), str(tmp_path / "state"), spans,
     ).awaitTermination()
     limit = events.agg(F.max("ts") - F.expr("INTERVAL 2 HOURS")).collect()[0][0]
@@ -135,3 +135,51 @@ def test_stream_scores_equal_batch(spark, tmp_path):
     }
     got = {r["platform"]: [r["anomaly_score"], *r["rolling_feature_values"].values()] for r in seen[-1]}
     assert got == {k: pytest.approx(v) for k, v in want.items()} and len(got) == 2
+
+
+def test_history_equals_batch_at_every_bucket(spark):
+    """Ten weeks, a gap and empty buckets: the state stays bounded and its features equal the batch's."""
+    rng = np.random.default_rng(3)
+    hours = [h for h in pd.date_range("2024-01-01", periods=1700, freq="h") if not 600 <= (h - pd.Timestamp("2024-01-01")).total_seconds() / 3600 < 640]
+    total = rng.poisson(6, len(hours))
+    rows = pd.DataFrame({"platform": "p", "hour": hours, "approved": rng.binomial(total, 0.7), "total": total})
+    # hour factors look at a series' last rows, so it is evaluated at three ends
+    for end in (97, 400, len(rows)):
+        state, spans = None, TS.Spans()
+        for low in range(0, end, 50):
+            past = history.History.of(spans, state)
+            for r in rows.iloc[low : min(low + 50, end)].itertuples():
+                past.add(int(r.hour.value // 1000), r.approved, r.total)
+            state = past.stored()
+            assert len(state[0]) <= spans.season + 1 and len(state[3]) <= 168 * spans.same_hour
+        got = past.record()
+        batch = TS.rolling_features(TS.complete_rows(spark.createDataFrame(rows.iloc[:end])))
+        want = TS.latest(batch).first()
+        assert got["hour"] == want["hour"] and got["records_analyzed"] == want["records_analyzed"] == end - 1
+        assert [got[c] for c in TS.FEATURES] == pytest.approx([want[c] for c in TS.FEATURES], abs=1e-9)
+        assert got["hour_of_week"] == want["hour_of_week"] and got["success_factor"] == pytest.approx(want["success_factor"])
+    with pytest.raises(ValueError):
+        past.add(0, 1, 1)
+
+
+def test_triggers_go_on_where_the_last_ended(spark, tmp_path):
+    frame = event_frame(6000, 14)
+    args = (F.col("platform"), F.col("ok"), "1 hour")
+    detector = AN.fit(payments.bucket_counts(spark.createDataFrame(frame), *args).where("platform = 'NUVEI_CARD'"), trees=5)
+    got = []
+    for k, day in enumerate(["2024-01-01", "2024-01-03", "2024-01-09", "2024-01-15"][1:]):
+        part = frame[(frame["ts"] < day) & (frame["ts"] >= (["2024-01-01", "2024-01-03", "2024-01-09"][k]))]
+        spark.createDataFrame(part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in.parquet"))
+        stream = payments.read_events(spark, str(tmp_path / "in.parquet"))
+        payments.score_batches(
+            payments.bucket_counts(stream, *args), str(tmp_path / "buckets"), detector,
+            lambda df, i: got.append({r["platform"]: r for r in df.collect()}), str(tmp_path / "state"),
+        ).awaitTermination()
+    read = spark.read.parquet(str(tmp_path / "buckets"))
+    want = {r["platform"]: r for r in AN.latest_records(read, detector).collect()}
+    assert [g["NUVEI_CARD"]["status"] for g in got] == ["insufficient data", "ok", "ok"]
+    assert [g["WEB_NUVEI"]["status"] for g in got][1:] == ["platform not available"] * 2
+    last = got[-1]["NUVEI_CARD"]
+    assert last["anomaly_score"] == pytest.approx(want["NUVEI_CARD"]["anomaly_score"])
+    assert last["records_analyzed"] == want["NUVEI_CARD"]["records_analyzed"]
+    assert last["prediction_timestamp"] == want["NUVEI_CARD"]["prediction_timestamp"]
