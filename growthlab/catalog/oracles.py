@@ -1204,6 +1204,33 @@ add(
     FROM (SELECT user_id, CASE WHEN window_number < 3 THEN window_number END AS w, coalesce(1 / (1 + exp(-({_LOGIT}))), 0) AS p FROM labelled)""",
     **LABELLED,
 )
+_TREES = """CASE window_number
+        WHEN 0 THEN 0.125 + CASE WHEN active_days < 4 THEN -1.25 WHEN max_day < 300 THEN 0.5 ELSE 2.0 END + CASE WHEN balance < 2500 THEN 0.25 ELSE -0.5 END
+        WHEN 1 THEN -1.5 + 0.0001 * balance + 0.05 * cnt_txn_total + 0.002 * max_day + 0.03 * active_days WHEN 4 THEN 3.5 END"""
+add(
+    "ensemble_window_scores",
+    f"""SELECT user_id, CASE WHEN window_number IN (0, 1, 4) THEN window_number END AS "window", {r('coalesce(p, 0)', 'probability_positive_class', 9)},
+    CAST(coalesce(p >= 0.8, FALSE) AS INTEGER) AS potential_vip_ind FROM (SELECT *, 1 / (1 + exp(-CAST({_TREES} AS DOUBLE))) AS p FROM labelled)""",
+    **LABELLED,
+)
+_LINEAR = {"balance": 0.0001, "cnt_txn_total": 0.05, "max_day": 0.002, "active_days": 0.03}
+
+
+def _swapped_loss(feature: str | None) -> str:
+    logit = " + ".join(f"{w} * {'b' if c == feature else 'a'}.{c}" for c, w in _LINEAR.items())
+    p = f"least(greatest(1 / (1 + exp(-(-1.5 + {logit}))), 1e-15), 1 - 1e-15)"
+    return f"avg(-(a.flag * ln({p}) + (1 - a.flag) * ln(1 - {p})))"
+
+
+add(
+    "permutation_importance",
+    f"""SELECT feature, {r('loss', 'loss', 9)}, {r('loss - base', 'loss_increase', 9)} FROM losses, unnest([
+    {', '.join(f"{{'feature': '{c}', 'loss': {c}}}" for c in _LINEAR)}]) AS u(s), LATERAL (SELECT s.feature AS feature, s.loss AS loss)""",
+    **LABELLED,
+    ranked="""SELECT *, row_number() OVER (ORDER BY md5('42-rows-' || user_id), user_id) AS k,
+        row_number() OVER (ORDER BY md5('42-values-' || user_id), user_id) AS v FROM labelled""",
+    losses=f"SELECT {_swapped_loss(None)} AS base, {', '.join(f'{_swapped_loss(c)} AS {c}' for c in _LINEAR)} FROM ranked a JOIN ranked b ON a.k = b.v",
+)
 add(
     "score_threshold_sweep",
     f"""SELECT 'length' AS model, {r('t / 50.0', 'threshold')}, {r(div('tp + (n - f - (p - tp))', 'n'), 'accuracy')},

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthlab.functions import scalars as S
 from growthlab.functions import sums as A
 from growthlab.functions.channels import channel_group, peer_class
+from growthlab.operators import boosting as B
 from growthlab.operators import cleaning as C
 from growthlab.operators import cohort as H
 from growthlab.operators import experiment as X
@@ -18,6 +21,7 @@ from growthlab.operators import kpi as K
 from growthlab.operators import ml as M
 from growthlab.operators import ordered as O
 from growthlab.operators import timeseries as TS
+from growthlab.operators import trees as T
 from growthlab.operators import triangle as R
 from growthlab.plans import anomaly as AN
 from growthlab.plans import cohort_roas as CR
@@ -41,8 +45,8 @@ SEED = 42
 
 
 def query(fn: Query) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return fn(tune(spark), folder)
+    def run(spark: SparkSession, folder: str, **settings) -> DataFrame:
+        return fn(tune(spark), folder, **settings)
 
     _REGISTRY[fn.__name__] = run
     return fn
@@ -1082,8 +1086,8 @@ def vip_window_scores(spark, folder):
         rows, list(range(5)), lambda part: M.fit_logistic(part, _FEATURES)
     )
     where = fresh_folder(spark, "models")
-    M.save_models(models, where)
-    loaded = M.load_models(where, list(models))
+    M.save_models(spark, models, where)
+    loaded = M.load_models(spark, where, list(models))
     table = {w: M.logistic_terms(model, _FEATURES) for w, model in loaded.items()}
     out = M.score_by_terms(rows, table, M.THRESHOLD_SAME_DAY)
     return out.select("user_id", "window", "probability_positive_class", "potential_vip_ind")
@@ -1105,17 +1109,20 @@ def vip_fixed_window_scores(spark, folder):
 
 
 @query
-def model_threshold_sweep(spark, folder):
+def model_threshold_sweep(spark, folder, rounds=500):
+    """Newton boosting, gradient boosting and a logistic model, compared on the test rows."""
     rows = durable(X.stratified_split(_labelled(spark, folder), "flag", "user_id", SEED).hint("rebalance"))
     fit_rows, test = rows.where(F.col("part") != "test"), rows.where(F.col("part") == "test")
-    boosted = M.fit_boosted(
-        fit_rows, _FEATURES, validation=F.col("part") == "val"
-    )
-    logistic = M.fit_logistic(fit_rows.where(F.col("part") == "train"), _FEATURES)
-    scored = None
-    for name, model in (("boosted", boosted), ("logistic", logistic)):
-        part = M.score(model, test, "prob").withColumn("model", F.lit(name))
-        scored = part if scored is None else scored.unionByName(part)
+    held = F.col("part") == "val"
+    fits = {
+        "newton": lambda: B.fit_newton(fit_rows, _FEATURES, validation=held, rounds=rounds),
+        "boosted": lambda: M.fit_boosted(fit_rows, _FEATURES, validation=held, iterations=rounds),
+        "logistic": lambda: M.fit_logistic(fit_rows.where(~held), _FEATURES),
+    }
+    with ThreadPool(len(fits)) as pool:  # side by side: each is a chain of small jobs
+        models = pool.map(inheritable_thread_target(spark)(lambda name: fits[name]()), fits)
+    scores = F.array(*[F.struct(F.lit(n).alias("model"), F.expr(M.probability(m)).alias("prob")) for n, m in zip(fits, models)])
+    scored = test.select("flag", F.inline(scores))
     return M.threshold_sweep(scored, "prob", "flag", ["model"])
 
 
@@ -1171,9 +1178,44 @@ def vip_v1_marks(spark, folder):
 
 
 @query
-def feature_importance(spark, folder):
-    model = M.fit_boosted(durable(_labelled(spark, folder).hint("rebalance")), _FEATURES)
-    return M.importance_table(spark, model, _FEATURES)
+def feature_importance(spark, folder, rounds=500):
+    model = M.fit_boosted(durable(_labelled(spark, folder).hint("rebalance")), _FEATURES, iterations=rounds)
+    return model.importance(spark)
+
+
+#: a fixed linear score, and two fixed ensembles
+LINEAR = (-1.5, {"balance": 0.0001, "cnt_txn_total": 0.05, "max_day": 0.002, "active_days": 0.03})
+FIXED_TREES = {
+    0: T.Ensemble(_FEATURES, [
+        {"feature": [3, -1, 2, -1, -1], "cut": [4.0, 0.0, 300.0, 0.0, 0.0], "left": [1, -1, 3, -1, -1],
+         "right": [2, -1, 4, -1, -1], "value": [0.0, -1.25, 0.0, 0.5, 2.0]},
+        {"feature": [0, -1, -1], "cut": [2500.0, 0.0, 0.0], "left": [1, -1, -1], "right": [2, -1, -1], "value": [0.0, 0.25, -0.5]},
+    ], base=0.125),
+    4: T.Ensemble(_FEATURES, [{"feature": [-1], "cut": [0.0], "left": [-1], "right": [-1], "value": [3.5]}]),
+}
+
+
+@query
+def ensemble_window_scores(spark, folder):
+    """Fixed trees for windows 0 and 4 and a fixed linear model for window 1, in one read; the others have no model."""
+    rows = _labelled(spark, folder)
+    scores = {w: m.probability(T.vector(m.features)) for w, m in FIXED_TREES.items()} | {1: M.linear_probability(*LINEAR)}
+    out = M.score_by_sql(rows, scores, M.THRESHOLD_SAME_DAY)
+    return rounded(
+        out.select("user_id", "window", "probability_positive_class", "potential_vip_ind"),
+        "probability_positive_class", digits=9,
+    )
+
+
+@query
+def permutation_importance(spark, folder):
+    """Loss increase of the fixed linear score when one feature's values are dealt anew among all customers."""
+    rows = durable(_labelled(spark, folder))
+    intercept, weights = LINEAR
+    terms = " + ".join(f"{w!r}D * get(%s, {k})" for k, w in enumerate(weights.values()))
+    chance = lambda x: f"1 / (1 + exp(-({intercept!r}D + {terms.replace('%s', x)})))"
+    out = M.permutation_importance(rows, "user_id", list(weights), "flag", chance, SEED)
+    return rounded(out, "loss", "loss_increase", digits=9)
 
 
 @query

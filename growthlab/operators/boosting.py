@@ -53,8 +53,9 @@ def best_splits(
     left_g, left_h = grads.cumsum(axis=2)[:, :, :-1], hessians.cumsum(axis=2)[:, :, :-1]
     all_g, all_h = grads[:, :1].sum(axis=2, keepdims=True), hessians[:, :1].sum(axis=2, keepdims=True)
     right_g, right_h = all_g - left_g, all_h - left_h
-    gain = left_g**2 / (left_h + l2) + right_g**2 / (right_h + l2) - all_g**2 / (all_h + l2)
-    gain = np.where((left_h >= least) & (right_h >= least), gain, 0.0)
+    with np.errstate(divide="ignore", invalid="ignore"):  # empty sides without a penalty
+        gain = left_g**2 / (left_h + l2) + right_g**2 / (right_h + l2) - all_g**2 / (all_h + l2)
+    gain = np.where((left_h >= least) & (right_h >= least), np.nan_to_num(gain), 0.0)
     flat = gain.reshape(len(gain), -1)
     at = flat.argmax(axis=1)
     rows = np.arange(len(gain))
@@ -63,17 +64,20 @@ def best_splits(
     return flat[rows, at], feature, cut + 1, sums
 
 
-def _histogram(rows: DataFrame, node: Column, shape: tuple[int, int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of gradient and Hessian of the training rows per (node, feature, bin)."""
-    cells = rows.where("_train").select(node.alias("n"), "_g", "_h", F.posexplode("_bins").alias("f", "b"))
-    sums = cells.groupBy("n", "f", "b").agg(F.sum("_g").alias("g"), F.sum("_h").alias("h")).toPandas()
+def _histogram(rows: DataFrame, shape: tuple[int, int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of gradient and Hessian per (node, feature, bin) of rows (n, g, h, bins)."""
+    cells = rows.selectExpr("n", "g", "h", "posexplode(bins) AS (f, b)")
+    sums = cells.groupBy("n", "f", "b").agg(F.sum("g"), F.sum("h")).collect()
     grads, hessians = np.zeros(shape), np.zeros(shape)
-    if len(sums):
-        at = tuple(sums[c].to_numpy(dtype=int) for c in ("n", "f", "b"))
-        grads[at], hessians[at] = sums["g"].to_numpy(float), sums["h"].to_numpy(float)
+    for n, f, b, g, h in sums:
+        grads[n, f, b], hessians[n, f, b] = g, h
     return grads, hessians
 
 
+_X = "transform(_bins, b -> CAST(b AS DOUBLE))"
+_LOSS = "greatest(_margin, 0D) + ln(1 + exp(-abs(_margin))) - _y * _margin"
+
+
 def fit_newton(
     df: DataFrame,
     features: list[str],
@@ -97,68 +101,88 @@ def fit_newton(
     rows = df.where(F.col(label).isNotNull()).withColumns({"_train": ~held, "_y": F.col(label).cast("double")})
     cuts = quantile_cuts(rows.where("_train"), features, bins)
     n_bins = max(map(len, cuts)) + 1
-    binned = rows.select("_train", "_y", _binned(rows, features, cuts).alias("_bins"), F.lit(0.0).alias("_margin"))
-    base = durable(binned)
+    base = durable(rows.select("_train", "_y", _binned(rows, features, cuts).alias("_bins"), F.lit(0.0).alias("_margin")))
     if positive_weight is None:
         seen = base.where("_train").agg(F.sum("_y"), F.count("*")).first()
         positive_weight = (seen[1] - (seen[0] or 0.0)) / seen[0] if seen[0] else 1.0
-    weight = F.when(F.col("_y") > 0, F.lit(float(positive_weight))).otherwise(1.0)
-    p = 1 / (1 + F.exp(-F.col("_margin")))
+    weight = f"if(_y > 0, {float(positive_weight)!r}D, 1D)"
 
-    grown: list[dict[str, list]] = []  # over bins; cuts are put in at the end
+    grown: list[dict[str, list]] = []  # cuts are bin numbers until the end
     losses: list[float] = []
     gains = dict.fromkeys(features, 0.0)
     written = 0  # trees whose values the rows of `base` already hold
-    x = F.transform("_bins", lambda b: b.cast("double"))
     for number in range(rounds + 1):
-        if number - written >= WRITTEN:
-            done = T.Ensemble(features, grown[written:])
-            base, written = durable(base.withColumn("_margin", F.col("_margin") + done.margin(x))), number
         fresh = T.Ensemble(features, grown[written:])
-        now = base.withColumn("_margin", F.col("_margin") + fresh.margin(x)) if fresh.trees else base
-        now = now.withColumns({"_g": weight * (p - F.col("_y")), "_h": weight * p * (1 - p)})
+        now = base
+        if fresh.trees:
+            now = base.selectExpr("_train", "_y", "_bins", f"_margin + {fresh.margin(_X)} AS _margin")
+        if len(fresh.trees) == WRITTEN:
+            now = base = durable(now)
+            written = number
+        p = now.selectExpr("_train", "_bins", f"{weight} AS w", "_y", "1 / (1 + exp(-_margin)) AS p", f"{_LOSS} AS loss")
+        sums = p.selectExpr("_train", "_bins", "if(_train, w * (p - _y), loss) AS g", "if(_train, w * p * (1 - p), 1D) AS h")
+        # the first histogram also takes the validation rows, as one cell of a node of their own
+        cells = sums.selectExpr("if(_train, 0, 1) AS n", "g", "h", "if(_train, _bins, array(0)) AS bins")
+        grads, hessians = _histogram(cells, (2, len(features), n_bins))
         if validation is not None and number:
-            soft = F.greatest(F.col("_margin"), F.lit(0.0)) + F.log1p(F.exp(-F.abs("_margin")))
-            losses.append(now.where("NOT _train").agg(F.avg(soft - F.col("_y") * F.col("_margin"))).first()[0] or 0.0)
+            losses.append(float(grads[1, 0, 0] / hessians[1, 0, 0]) if hessians[1, 0, 0] else 0.0)
             if number - 1 - losses.index(min(losses)) >= patience:
                 break
         if number < rounds:
-            grown.append(_grow(now, x, (len(features), n_bins), depth, l2, least_hessian, rate, features, gains))
+            grow = _Growing(sums.where("_train").drop("_train"), features, n_bins, l2, least_hessian, rate, gains)
+            grown.append(grow.tree(depth, grads[:1], hessians[:1]))
     kept = grown[: losses.index(min(losses)) + 1] if losses else grown
     for tree in kept:
         tree["cut"] = [cuts[f][int(b) - 1] if f >= 0 else 0.0 for f, b in zip(tree["feature"], tree["cut"])]
     return T.Ensemble(features, kept, losses=losses, gains=gains)
 
 
-def _grow(
-    rows: DataFrame, x: Column, shape: tuple[int, int], depth: int, l2: float, least: float, rate: float,
-    features: list[str], gains: dict[str, float],
-) -> dict[str, list]:
-    """One tree, a level at a time; its cuts are bin numbers."""
-    tree: dict[str, list] = {"feature": [-1], "cut": [0.0], "left": [-1], "right": [-1], "value": [0.0]}
-    open_nodes = [0]
-    for level in range(depth):
-        as_column = T.Ensemble(features, [tree]).trees_column()
-        node = T.leaf(F.get(as_column, F.lit(0)), x, level)
-        place = F.array_position(F.array(*[F.lit(n) for n in open_nodes]), node) - 1
-        waiting = rows.withColumn("_node", place).where("_node >= 0")
-        grads, hessians = _histogram(waiting, F.col("_node"), (len(open_nodes), *shape))
-        found = best_splits(grads, hessians, l2, least)
+class _Growing:
+    """One tree, a level at a time, from rows (_bins, g, h); its cuts are bin numbers."""
+
+    def __init__(
+        self, rows: DataFrame, features: list[str], n_bins: int, l2: float, least: float, rate: float, gains: dict[str, float]
+    ) -> None:
+        self.rows, self.features, self.n_bins = rows, features, n_bins
+        self.l2, self.least, self.rate, self.gains = l2, least, rate, gains
+        self.nodes: dict[str, list] = {"feature": [], "cut": [], "left": [], "right": [], "value": []}
+
+    def add(self, g: float, h: float) -> int:
+        value = self.rate * leaf_value(float(g), float(h), self.l2)
+        for name, x in (("feature", -1), ("cut", 0.0), ("left", -1), ("right", -1), ("value", value)):
+            self.nodes[name].append(x)
+        return len(self.nodes["value"]) - 1
+
+    def tree(self, depth: int, grads: np.ndarray, hessians: np.ndarray) -> dict[str, list]:
+        """`grads` and `hessians`: the root's histogram."""
+        leaves = [self.add(grads[0, 0].sum(), hessians[0, 0].sum())]
+        for level in range(depth):
+            if level:
+                grads, hessians = self.histogram(leaves, level)
+            leaves = self.split(leaves, grads, hessians)
+            if not leaves:
+                break
+        return self.nodes
+
+    def histogram(self, leaves: list[int], level: int) -> tuple[np.ndarray, np.ndarray]:
+        trees = T.Ensemble(self.features, [self.nodes]).constant()
+        at = f"get(transform(array({_X}), v -> {T.leaf(f'get({trees}, 0)', 'v', level)}), 0)"
+        place = f"CAST(array_position(array({', '.join(map(str, leaves))}), {at}) - 1 AS INT)"
+        cells = self.rows.selectExpr(f"{place} AS n", "g", "h", "_bins AS bins").where("n >= 0")
+        return _histogram(cells, (len(leaves), len(self.features), self.n_bins))
+
+    def split(self, leaves: list[int], grads: np.ndarray, hessians: np.ndarray) -> list[int]:
+        """Split the leaves that gain by it; the new leaves."""
+        gains, features, cuts, left = best_splits(grads, hessians, self.l2, self.least)
         whole = np.stack([grads[:, 0].sum(axis=1), hessians[:, 0].sum(axis=1)], axis=1)
-        children = []
-        for k, at in enumerate(open_nodes):
-            gain, feature, cut, left = (part[k] for part in found)
-            tree["value"][at] = rate * leaf_value(*whole[k], l2)
-            if gain <= 1e-12:
+        fresh = []
+        for k, at in enumerate(leaves):
+            if gains[k] <= 1e-12:
                 continue
-            gains[features[int(feature)]] += float(gain)
-            for side, sums in (("left", left), ("right", whole[k] - left)):
-                tree[side][at] = len(tree["feature"])
-                children.append(len(tree["feature"]))
-                for name, value in (("feature", -1), ("cut", 0.0), ("left", -1), ("right", -1), ("value", rate * leaf_value(*map(float, sums), l2))):
-                    tree[name].append(value)
-            tree["feature"][at], tree["cut"][at], tree["value"][at] = int(feature), float(cut), 0.0
-        open_nodes = children
-        if not open_nodes:
-            break
-    return {k: [v.item() if isinstance(v, np.generic) else v for v in values] for k, values in tree.items()}
+            feature = int(features[k])
+            self.gains[self.features[feature]] += float(gains[k])
+            sides = [self.add(*left[k]), self.add(*(whole[k] - left[k]))]
+            for name, x in (("feature", feature), ("cut", float(cuts[k])), ("left", sides[0]), ("right", sides[1]), ("value", 0.0)):
+                self.nodes[name][at] = x
+            fresh += sides
+        return fresh

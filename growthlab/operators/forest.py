@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from growthlab.operators.trees import leaf
+from growthlab.operators.trees import total
 
 # executors need not have this package installed: ship its few functions with the task
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -146,12 +146,10 @@ def raw_scores(
     names = df.columns
     groups = df.groupBy("platform", slice_col).agg(F.collect_list(F.struct(*names)).alias("_rows"))
     met = groups.join(forest, "platform", "left").withColumn("_n", F.col("sample_rows").cast("double"))
-    limit = F.greatest(F.ceil(F.log2(F.greatest("_n", F.lit(2.0)))), F.lit(1)).cast("int")
-
-    def scored(row: Column) -> Column:
-        x = F.array(*[row[c].cast("double") for c in features])
-        depth = F.aggregate("forest", F.lit(0.0), lambda acc, t: acc + F.get(t["depth"], leaf(t, x, limit)))
-        score = -F.pow(F.lit(2.0), -depth / F.size("forest") / _path_norm(F.col("_n")))
-        return F.struct(*[row[c].alias(c) for c in names], score.alias("score"))
-
-    return met.select(F.inline(F.transform("_rows", scored)))
+    met = met.withColumn("_norm", _path_norm(F.col("_n"))).withColumn(
+        "_limit", F.greatest(F.ceil(F.log2(F.greatest("_n", F.lit(2.0)))), F.lit(1)).cast("int")
+    )
+    x = f"array({', '.join(f'CAST(r.`{c}` AS DOUBLE)' for c in features)})"
+    score = f"-power(2D, -{total('forest', x, '_limit', 'depth')} / size(forest) / _norm)"
+    fields = ", ".join(f"'{c}', r.`{c}`" for c in names)
+    return met.select(F.expr(f"inline(transform(_rows, r -> named_struct({fields}, 'score', {score})))"))

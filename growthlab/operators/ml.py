@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from itertools import combinations
+from collections.abc import Callable, Iterator
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from growthlab.functions import scalars as S
+from growthlab.operators import trees as T
 from growthlab.operators.cleaning import require_columns
 from growthlab.operators.experiment import class_weights
-from growthlab.operators.ordered import exact_quantiles
+from growthlab.operators.ordered import draw_rank, exact_quantiles
+from growthlab.session import fresh_folder
+
+Model = PipelineModel | T.Ensemble
 
 # Decision thresholds of the published scorers.
 THRESHOLD_V1 = 0.90
@@ -32,26 +36,49 @@ SWEEP = 50
 # ---------------------------------------------------------------- feature selection
 
 
+def moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(i, j, n, sx, sy, sxx, syy, sxy) for every column pair i < j over the rows in which both are present, of values less
+    their column's mean. One pass for the means and one for the pairs: a task multiplies its rows as matrices,
+    block by block, and what is shuffled is one row per pair and task."""
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{k}") for k, c in enumerate(cols)])
+    means = [m or 0.0 for m in numbers.agg(*[F.avg(F.when(~F.isnan(c), F.col(c))) for c in numbers.columns]).first()]
+    first, second = np.triu_indices(len(cols), 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, len(cols), len(cols)))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - means
+            there = ~np.isnan(x)
+            x, there = np.where(there, x, 0.0), there.astype(float)
+            parts = (there.T @ there, x.T @ there, there.T @ x, (x * x).T @ there, there.T @ (x * x), x.T @ x)
+            sums += np.stack(parts)
+        columns = [pa.array(first), pa.array(second), *[pa.array(s[first, second]) for s in sums]]
+        yield pa.RecordBatch.from_arrays(columns, ["i", "j", *_MOMENTS])
+
+    fields = "i long, j long, " + ", ".join(f"{m} double" for m in _MOMENTS)
+    parts = numbers.mapInArrow(run, fields)
+    return parts.groupBy("i", "j").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
+
+
+_MOMENTS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+
+
 def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every column pair in one pass, one row per pair."""
-    pairs = list(combinations(range(len(cols)), 2))
-    wide = df.agg(*[F.corr(cols[i], cols[j]).alias(f"r{i}_{j}") for i, j in pairs])
-    return wide.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(cols[i]).alias("a"),
-                        F.lit(cols[j]).alias("b"),
-                        F.lit(i).alias("_i"),
-                        F.lit(j).alias("_j"),
-                        F.col(f"r{i}_{j}").alias("r"),
-                    )
-                    for i, j in pairs
-                ]
-            )
-        )
-    )
+    """Pearson correlation of every column pair over its complete rows, one row per pair; NULL where a column is constant
+    there or fewer than two rows are complete."""
+    table = moments(df, cols)
+    n = F.col("n")
+    xx, yy = (F.col(f"s{a}{a}") - F.col(f"s{a}") ** 2 / n for a in "xy")
+    xy = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    # what rounding leaves of a constant column is no spread
+    spread = lambda own, square: own > square * 1e-13
+    known = (n >= 2) & spread(xx, F.col("sxx")) & spread(yy, F.col("syy"))
+    r = F.when(known, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), xy / F.sqrt(xx) / F.sqrt(yy))))
+    names = F.array(*[F.lit(c) for c in cols])
+    return table.select(
+        F.get(names, F.col("i").cast("int")).alias("a"), F.get(names, F.col("j").cast("int")).alias("b"),
+        F.col("i").alias("_i"), F.col("j").alias("_j"), r.alias("r"),
+    )
 
 
 def prune_correlated(df: DataFrame, cols: list[str], low: float = 0.9) -> list[str]:
@@ -144,40 +171,23 @@ def fit_boosted(
     iterations: int = 500,
     rate: float = 0.01,
     depth: int = 5,
-) -> PipelineModel:
+) -> T.Ensemble:
     """Gradient-boosted trees. With a validation flag all rounds are trained on the other rows, and the model
     is cut at the round of least validation loss; class weights come from the training rows alone."""
+    spark = df.sparkSession
     learner = GBTClassifier(
         featuresCol="_features", labelCol=label, weightCol="weight", maxIter=iterations,
         stepSize=rate, maxDepth=depth, seed=42,
     )
     train = df if validation is None else df.where(~validation)
     assembler = _assembler(df, features)
-    fitted = Pipeline(stages=[assembler, learner]).fit(_plain_names(_with_weights(train, label)))
+    fitted = learner.fit(assembler.transform(_plain_names(_with_weights(train, label))))
+    flat = T.of_gbt(spark, fitted, features, fresh_folder(spark, "boosted"))
     if validation is None:
-        return fitted
+        return flat
     held = assembler.transform(_plain_names(_with_weights(df.where(validation), label, train)))
-    losses = validation_losses(fitted, held)
-    best = _first_rounds(df.sparkSession, fitted.stages[-1], 1 + losses.index(min(losses)))
-    return PipelineModel(stages=[fitted.stages[0], best])
-
-
-def validation_losses(model: PipelineModel, held: DataFrame) -> list[float]:
-    """Log-loss after each round on assembled rows."""
-    return model.stages[-1].evaluateEachIteration(held)
-
-
-def _first_rounds(spark: SparkSession, model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
-    """The same model with its first trees only."""
-    jvm, gateway, java = spark._jvm, spark.sparkContext._gateway, model._java_obj
-    kind = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
-    trees, weights = gateway.new_array(kind, rounds), gateway.new_array(jvm.double, rounds)
-    for k, (tree, weight) in enumerate(zip(java.trees()[:rounds], java.treeWeights()[:rounds])):
-        trees[k], weights[k] = tree, weight
-    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights)
-    for name in ("featuresCol", "labelCol", "weightCol"):
-        cut.set(cut.getParam(name), java.getOrDefault(java.getParam(name)))
-    return GBTClassificationModel(cut)
+    flat.losses = fitted.evaluateEachIteration(held)
+    return flat.first(1 + flat.losses.index(min(flat.losses)))
 
 
 def fit_per_window(
@@ -197,14 +207,25 @@ def fit_per_window(
     return dict(zip(windows, models))
 
 
-def score(model: PipelineModel, df: DataFrame, out: str = "probability_positive_class") -> DataFrame:
-    scored = model.transform(_plain_names(df)).withColumn(out, vector_to_array("probability")[1])
-    dotted = {_plain(c): c for c in df.columns if "." in c}
-    return scored.withColumnsRenamed(dotted).drop("_features", "rawPrediction", "probability", "prediction")
+def score(model: Model, df: DataFrame, out: str = "probability_positive_class") -> DataFrame:
+    return df.withColumn(out, F.expr(probability(model)))
+
+
+def probability(model: Model) -> str:
+    """SQL of a model's probability over the columns of its features."""
+    if isinstance(model, T.Ensemble):
+        return model.probability(T.vector(model.features))
+    names = [c.replace("_dot_", ".") for c in model.stages[0].getInputCols()]
+    return linear_probability(*logistic_terms(model, names))
+
+
+def linear_probability(intercept: float, weights: dict[str, float]) -> str:
+    terms = [T.number(intercept), *[f"{T.number(w)} * CAST(`{c}` AS DOUBLE)" for c, w in weights.items()]]
+    return f"1 / (1 + exp(-({' + '.join(terms)})))"
 
 
 def predict_labels(
-    model: PipelineModel, df: DataFrame, threshold: float = THRESHOLD_OOT, out: str = "predicted_label"
+    model: Model, df: DataFrame, threshold: float = THRESHOLD_OOT, out: str = "predicted_label"
 ) -> DataFrame:
     """Probability and the 0/1 label at a threshold, for rows the model has not seen."""
     scored = score(model, df)
@@ -213,29 +234,24 @@ def predict_labels(
 
 def score_by_window(
     df: DataFrame,
-    models: dict[int, PipelineModel],
+    models: dict[int, Model],
     threshold: float = THRESHOLD_V2,
     window: str = "window_number",
 ) -> DataFrame:
-    """Each row goes to the model of its window; rows without one get probability 0, flag 0.
-
-    The frame is read once per window: pass a stored or checkpointed one, ideally partitioned by
-    the window so that each branch reads its own part."""
-    known = list(models)
-    parts = [
-        score(models[w], df.where(F.col(window) == w)).withColumn("window", F.lit(w))
-        for w in known
-    ]
-    rest = (
-        df.where(~F.coalesce(F.col(window).isin(known), F.lit(False)))
-        .withColumn("probability_positive_class", F.lit(0.0))
-        .withColumn("window", F.lit(None).cast("int"))
-    )
-    out = rest
-    for part in parts:
-        out = out.unionByName(part)
+    """Each row by the model of its window, as one expression over one read of the rows, whatever the kinds of the models;
+    rows without a model get probability 0, flag 0."""
+    return score_by_sql(df, {w: probability(m) for w, m in models.items()}, threshold, window)
+
+
+def score_by_sql(df: DataFrame, scores: dict[int, str], threshold: float, window: str = "window_number") -> DataFrame:
+    """score_by_window for models given by the SQL of their probability."""
+    known, prob = F.lit(None).cast("int"), F.lit(None).cast("double")
+    for w, sql in scores.items():
+        known = F.when(F.col(window) == w, F.lit(w)).otherwise(known)
+        prob = F.when(F.col(window) == w, F.expr(sql)).otherwise(prob)
+    scored = df.withColumn("window", known).withColumn("probability_positive_class", F.coalesce(prob, F.lit(0.0)))
     hit = F.col("window").isNotNull() & (F.col("probability_positive_class") >= threshold)
-    return out.withColumn("potential_vip_ind", hit.cast("int"))
+    return scored.withColumn("potential_vip_ind", hit.cast("int"))
 
 
 def logistic_terms(model: PipelineModel, features: list[str]) -> tuple[float, dict[str, float]]:
@@ -250,38 +266,46 @@ def score_by_terms(
     threshold: float = THRESHOLD_V2,
     window: str = "window_number",
 ) -> DataFrame:
-    """score_by_window for logistic models as one expression over one read of the rows: a window's intercept
-    and weights give the probability; rows of other windows get probability 0, flag 0."""
-    known, logit = F.lit(None).cast("int"), F.lit(None).cast("double")
-    for w, (intercept, weights) in table.items():
-        total = F.lit(intercept)
-        for name, weight in weights.items():
-            total = total + F.lit(weight) * F.col(f"`{name}`").cast("double")
-        known = F.when(F.col(window) == w, F.lit(w)).otherwise(known)
-        logit = F.when(F.col(window) == w, total).otherwise(logit)
-    scored = df.withColumn("window", known).withColumn(
-        "probability_positive_class", F.coalesce(1 / (1 + F.exp(-logit)), F.lit(0.0))
-    )
-    hit = F.col("window").isNotNull() & (F.col("probability_positive_class") >= threshold)
-    return scored.withColumn("potential_vip_ind", hit.cast("int"))
+    """score_by_window for logistic models given by a window's intercept and weights."""
+    return score_by_sql(df, {w: linear_probability(*terms) for w, terms in table.items()}, threshold, window)
 
 
-def save_models(models: dict, folder: str) -> None:
+def save_models(spark: SparkSession, models: dict[object, Model], folder: str) -> None:
+    """Ensembles as one table, other models each in Spark's own form."""
+    T.save(spark, {k: m for k, m in models.items() if isinstance(m, T.Ensemble)}, f"{folder}/ensembles")
     for key, model in models.items():
-        model.write().overwrite().save(f"{folder}/{key}")
+        if not isinstance(model, T.Ensemble):
+            model.write().overwrite().save(f"{folder}/{key}")
 
 
-def load_models(folder: str, keys: list) -> dict:
-    return {k: PipelineModel.load(f"{folder}/{k}") for k in keys}
+def load_models(spark: SparkSession, folder: str, keys: list) -> dict[object, Model]:
+    trees = T.load(spark, f"{folder}/ensembles")
+    return {k: trees[str(k)] if str(k) in trees else PipelineModel.load(f"{folder}/{k}") for k in keys}
 
 
-def importance_table(spark: SparkSession, model: PipelineModel, features: list[str]) -> DataFrame:
-    """(feature, importance) of a boosted model, in percent."""
-    values = model.stages[-1].featureImportances.toArray()
-    rows = [(f, float(v) * 100) for f, v in zip(features, values)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
-        F.desc("importance"), "feature"
-    )
+def permutation_importance(
+    df: DataFrame, key: str, features: list[str], label: str, chance: Callable[[str], str], seed: object = 42
+) -> DataFrame:
+    """(feature, loss, loss_increase): mean log-loss with one feature's values dealt anew among the rows, and by how much
+    it exceeds the loss of the rows as they are.
+
+    `chance` gives the SQL of the probability for the SQL of a feature array. The k-th row in one random order gets the value
+    of the k-th in another (md5 of seed and key, which must tell rows apart), so two rankings and one join serve all
+    features, and every feature is scored in one pass."""
+    rows = df.select(F.col(key).alias("_key"), F.col(label).cast("double").alias("_y"), F.expr(T.vector(features)).alias("_x"))
+    rank = lambda frame, tag: draw_rank(frame, [], "_key", f"{seed}-{tag}").drop("_size")
+    other = rank(rows.select("_key", F.col("_x").alias("_other")), "values").select("_rank", "_other")
+    paired = rank(rows, "rows").join(other, "_rank")
+    p = f"least(greatest({chance('v')}, 1e-15D), 1 - 1e-15D)"
+    loss = f"-(_y * ln({p}) + (1 - _y) * ln(1 - {p}))"
+    swapped = "transform(_x, (v, i) -> if(i = j, get(_other, j), v))"
+    # place -1 swaps nothing
+    each = f"transform(sequence(-1, {len(features) - 1}), j -> struct(j, get(transform(array({swapped}), v -> {loss}), 0) AS loss))"
+    table = paired.selectExpr(f"inline({each}) AS (j, loss)").groupBy("j").agg(F.avg("loss").alias("loss"))
+    base = F.max(F.when(F.col("j") == -1, F.col("loss"))).over(W.partitionBy())  # a row per feature
+    name = F.get(F.array(*[F.lit(c) for c in features]), F.col("j"))
+    out = table.select("j", name.alias("feature"), "loss", (F.col("loss") - base).alias("loss_increase"))
+    return out.where("j >= 0").drop("j")
 
 
 # ---------------------------------------------------------------- evaluation

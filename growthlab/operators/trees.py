@@ -10,36 +10,36 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TREE = "struct<feature: array<int>, cut: array<double>, left: array<int>, right: array<int>, value: array<double>>"
 
 
-def vector(df_columns: list[str]) -> Column:
-    """Features in model order as one array."""
-    return F.array(*[F.col(f"`{c}`").cast("double") for c in df_columns])
+def number(x: float) -> str:
+    """SQL of a double, infinities included (a logistic model of one class has such an intercept)."""
+    return f"{float(x)!r}D" if math.isfinite(x) else f"CAST('{float(x)}' AS DOUBLE)"
 
 
-def leaf(tree: Column, x: Column, depth: int | Column) -> Column:
-    """The leaf where x ends, after at most `depth` steps."""
+def vector(columns: list[str]) -> str:
+    """Features in model order as one array."""
+    return f"array({', '.join(f'CAST(`{c}` AS DOUBLE)' for c in columns)})"
 
-    def step(at: Column, _: Column) -> Column:
-        f = F.get(tree["feature"], at)
-        value = F.get(x, f)
-        left = value.isNull() | F.isnan(value) | (value < F.get(tree["cut"], at))
-        return F.when(f < 0, at).when(left, F.get(tree["left"], at)).otherwise(F.get(tree["right"], at))
 
-    if isinstance(depth, int):
-        if not depth:
-            return F.lit(0)
-        depth = F.lit(depth)
-    return F.aggregate(F.sequence(F.lit(1), depth), F.lit(0), step)
+def leaf(tree: str, x: str, depth: int | str) -> str:
+    """SQL of the leaf where x ends, after at most `depth` steps."""
+    if depth == 0:
+        return "0"
+    here = f"get({x}, get({tree}.feature, at))"
+    left = f"{here} IS NULL OR isnan({here}) OR {here} < get({tree}.cut, at)"
+    step = f"CASE WHEN get({tree}.feature, at) < 0 THEN at WHEN {left} THEN get({tree}.left, at) ELSE get({tree}.right, at) END"
+    return f"aggregate(sequence(1, {depth}), 0, (at, _step) -> {step})"
 
 
-def total(trees: Column, x: Column, depth: int) -> Column:
-    """Sum of the leaf values of all trees."""
-    return F.aggregate(trees, F.lit(0.0), lambda acc, t: acc + F.get(t["value"], leaf(t, x, depth)))
+def total(trees: str, x: str, depth: int | str, value: str = "value") -> str:
+    """SQL of the sum of all trees' leaf values; x is made once a row."""
+    walked = f"aggregate({trees}, 0D, (acc, t) -> acc + get(t.{value}, {leaf('t', 'v', depth)}))"
+    return f"get(transform(array({x}), v -> {walked}), 0)"
 
 
 @dataclass
@@ -57,15 +57,15 @@ class Ensemble:
     def depth(self) -> int:
         return max((_depth(t) for t in self.trees), default=0)
 
-    def trees_column(self) -> Column:
-        """The trees as one constant, folded once when the plan is optimised."""
-        return F.from_json(F.lit(json.dumps(self.trees)), f"array<{TREE}>")
+    def constant(self) -> str:
+        """SQL of the trees as one constant, folded once when the plan is optimised."""
+        return f"from_json('{json.dumps(self.trees)}', 'array<{TREE}>')"
 
-    def margin(self, x: Column) -> Column:
-        return F.lit(self.base) + total(self.trees_column(), x, self.depth) if self.trees else F.lit(self.base)
+    def margin(self, x: str) -> str:
+        return f"({number(self.base)} + {total(self.constant(), x, self.depth)})" if self.trees else number(self.base)
 
-    def probability(self, x: Column) -> Column:
-        return 1 / (1 + F.exp(-self.margin(x)))
+    def probability(self, x: str) -> str:
+        return f"1 / (1 + exp(-{self.margin(x)}))"
 
     def first(self, rounds: int) -> Ensemble:
         return Ensemble(self.features, self.trees[:rounds], self.base, self.losses[:rounds], self.gains)
@@ -87,24 +87,6 @@ def _depth(tree: dict[str, list]) -> int:
     return deepest
 
 
-def score(df: DataFrame, model: Ensemble, out: str = "probability_positive_class") -> DataFrame:
-    return df.withColumn(out, model.probability(vector(model.features)))
-
-
-def score_by_window(
-    df: DataFrame, models: dict[int, Ensemble], threshold: float, window: str = "window_number"
-) -> DataFrame:
-    """Each row by its window's ensemble, as one expression over one read of the rows; rows of other windows get
-    probability 0, flag 0."""
-    known, prob = F.lit(None).cast("int"), F.lit(None).cast("double")
-    for w, model in models.items():
-        known = F.when(F.col(window) == w, F.lit(w)).otherwise(known)
-        prob = F.when(F.col(window) == w, model.probability(vector(model.features))).otherwise(prob)
-    scored = df.withColumn("window", known).withColumn("probability_positive_class", F.coalesce(prob, F.lit(0.0)))
-    hit = F.col("window").isNotNull() & (F.col("probability_positive_class") >= threshold)
-    return scored.withColumn("potential_vip_ind", hit.cast("int"))
-
-
 # ---------------------------------------------------------------- models stored as tables
 
 
@@ -130,9 +112,10 @@ def of_gbt(spark: SparkSession, model: GBTClassificationModel, features: list[st
     twice, and its rows go left up to and with the threshold."""
     model.write().overwrite().save(folder)
     data = spark.read.parquet(f"{folder}/data")
-    weights = {r.treeID: r.weights for r in spark.read.parquet(f"{folder}/treesMetadata").collect()}
+    weights = model.treeWeights
     node = F.struct(
-        F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("value"), F.col("nodeData.gain").alias("gain"),
+        F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("value"),
+        (F.col("nodeData.gain") * F.col("nodeData.rawCount")).alias("gain"),
         F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
         F.col("nodeData.split.featureIndex").alias("feature"),
         F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("cut"),
@@ -150,6 +133,6 @@ def of_gbt(spark: SparkSession, model: GBTClassificationModel, features: list[st
             for k, v in zip(tree, values):
                 tree[k].append(v)
             if inner:
-                gains[features[n.feature]] += n.gain * weights[number]
+                gains[features[n.feature]] += n.gain
         trees.append(tree)
     return Ensemble(features, trees, gains=gains)

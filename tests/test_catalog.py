@@ -68,8 +68,16 @@ def test_query_matches_sql(spark, duck, name):
                 assert x == y, (c, g, w)
 
 
-# the last two train 500 boosting rounds for minutes; test_experiment covers their learner
-SLOW = {"anomaly_records", "stream_latest_scores", "model_threshold_sweep", "feature_importance"}
+# these train 500 boosting rounds for minutes
+SLOW = {"model_threshold_sweep", "feature_importance"}
+
+
+def test_slow_queries_with_few_rounds(spark):
+    sweep = QUERIES["model_threshold_sweep"](spark, FOLDER, rounds=4).toPandas()
+    assert set(sweep["model"]) == {"newton", "boosted", "logistic"} and len(sweep) == 3 * 51
+    assert sweep.groupby("model")["f1"].max().min() > 0.5
+    table = QUERIES["feature_importance"](spark, FOLDER, rounds=3).toPandas()
+    assert table["importance"].sum() == pytest.approx(100) and len(table) == 4
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))

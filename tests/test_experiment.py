@@ -3,6 +3,7 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from growthlab.operators import experiment as X
@@ -126,8 +127,10 @@ def test_models_route_save_and_load(spark, tmp_path):
     models[2] = M.fit_boosted(
         df.where("window_number = 2"), ["a", "b"], validation=F.col("user_id") % 5 == 0, iterations=5, rate=0.3, depth=3
     )
-    M.save_models(models, str(tmp_path / "m"))
-    loaded = M.load_models(str(tmp_path / "m"), [0, 1, 2])
+    M.save_models(spark, models, str(tmp_path / "m"))
+    loaded = M.load_models(spark, str(tmp_path / "m"), [0, 1, 2])
+    assert loaded[2] == models[2]
+    assert [M.logistic_terms(loaded[w], ["a", "b"]) for w in (0, 1)] == [M.logistic_terms(models[w], ["a", "b"]) for w in (0, 1)]
     out = M.score_by_window(df, loaded, 0.5).toPandas()
     assert len(out) == 600
     none = out[out["window_number"] == 3]
@@ -135,7 +138,7 @@ def test_models_route_save_and_load(spark, tmp_path):
     assert (none["potential_vip_ind"] == 0).all()
     rest = out[out["window_number"] < 3]
     assert (rest["potential_vip_ind"] == rest["flag"]).mean() > 0.85
-    table = M.importance_table(spark, loaded[2], ["a", "b"]).collect()
+    table = loaded[2].importance(spark).collect()
     assert table[0]["feature"] == "a" and sum(r["importance"] for r in table) == pytest.approx(100)
     with pytest.raises(ValueError):
         M.fit_logistic(df, ["missing"])
@@ -201,22 +204,27 @@ def test_boosted_rounds_keep_improving(spark):
     pdf["flag"] = (rng.random(1500) < 1 / (1 + np.exp(-2 * pdf["a"] + pdf["b"]))).astype(int)
     df = spark.createDataFrame(pdf).repartition(1).cache()
     model = M.fit_boosted(df, ["a", "b"], validation=F.col("user_id") % 5 == 0, iterations=130, rate=0.01, depth=3)
-    assert model.stages[-1].getNumTrees > 100
-    held = model.stages[0].transform(df.where("user_id % 5 = 0").withColumn("weight", F.lit(1.0)))
-    losses = M.validation_losses(model, held)
-    assert losses[-1] < losses[60] < losses[0]
+    assert len(model.trees) > 100
+    assert model.losses[-1] < model.losses[60] < model.losses[0]
     scored = M.score(model, df)
     assert scored.columns == ["user_id", "a", "b", "flag", "probability_positive_class"]
 
 
 def test_terms_score_like_the_models(spark):
     rng = np.random.default_rng(4)
-    pdf = pd.DataFrame({"a": rng.normal(size=300), "window_number": rng.integers(0, 3, 300)})
+    pdf = pd.DataFrame({"a": rng.normal(size=300), "x.com": rng.normal(size=300), "window_number": rng.integers(0, 3, 300)})
     pdf["flag"] = (pdf["a"] + rng.normal(size=300) > 0).astype(int)
     df = spark.createDataFrame(pdf)
-    models = {w: M.fit_logistic(df.where(f"window_number = {w}"), ["a"]) for w in (0, 1)}
-    one = M.score_by_window(df, models, 0.5).toPandas().sort_values(["a"])
-    two = M.score_by_terms(df, {w: M.logistic_terms(m, ["a"]) for w, m in models.items()}, 0.5).toPandas().sort_values(["a"])
-    np.testing.assert_allclose(one["probability_positive_class"], two["probability_positive_class"], atol=1e-12)
-    assert (one["potential_vip_ind"].to_numpy() == two["potential_vip_ind"].to_numpy()).all()
-    assert one["window"].fillna(-1).tolist() == two["window"].fillna(-1).tolist()
+    names = ["a", "x.com"]
+    models = {w: M.fit_logistic(df.where(f"window_number = {w}"), names) for w in (0, 1)}
+    out = M.score_by_window(df, models, 0.5).toPandas()
+    two = M.score_by_terms(df, {w: M.logistic_terms(m, names) for w, m in models.items()}, 0.5).toPandas()
+    for w, model in models.items():
+        part = df.where(f"window_number = {w}")
+        own = model.transform(part.withColumnRenamed("x.com", "x_dot_com")).select("a", vector_to_array("probability")[1].alias("p"))
+        own = own.toPandas().sort_values("a")["p"]
+        for got in (out, two):
+            mine = got[got["window"] == w].sort_values("a")
+            np.testing.assert_allclose(mine["probability_positive_class"], own, atol=1e-12)
+            assert (mine["potential_vip_ind"] == (mine["probability_positive_class"] >= 0.5)).all()
+    assert out[out["window_number"] == 2]["window"].isna().all()
