@@ -1076,6 +1076,58 @@ add(
         WHEN date_trunc('hour', ts) = h THEN 'LAST_HOUR' WHEN date_trunc('hour', ts) >= h - INTERVAL 1 DAY THEN 'LAST_DAY'
         ELSE 'UNKNOWN' END AS platform, date_trunc('hour', ts) AS hour FROM events, newest_hour""",
 )
+def _span(length: int) -> str:
+    return f"RANGE BETWEEN {length * 900 - 1} PRECEDING AND CURRENT ROW"
+
+
+def _enough(least: int, value: str, frame: str) -> str:
+    return f"CASE WHEN count(*) OVER {frame} >= {least} THEN {value} OVER {frame} END"
+
+
+BY_TIME = dict(
+    SERIES,
+    series_top="SELECT *, max(hour) OVER (PARTITION BY platform) AS max_hour FROM quarters",
+    series=SERIES["series"].replace("SELECT platform, hour,", "SELECT platform, hour, CAST(epoch(hour) AS BIGINT) AS s,"),
+    factor=SERIES["factor"].replace("row_number() OVER (PARTITION BY platform ORDER BY hour DESC) AS back", "max(s) OVER (PARTITION BY platform) AS top").replace(
+        "back <= 336", "s > top - 336 * 900"),
+    rolled=f"""SELECT s.*, coalesce(f_s, 1.0) AS f_s, coalesce(f_v, 1.0) AS f_v,
+        {_enough(84, 'avg(sr)', 'w168')} AS r7_s, {_enough(84, 'avg(total)', 'w168')} AS r7_v,
+        {_enough(2, 'avg(sr)', 'wh')} AS rh_s, {_enough(2, 'avg(total)', 'wh')} AS rh_v,
+        CAST(sum(total) OVER w4 AS DOUBLE) AS tot4, CAST(sum(approved) OVER w4 AS DOUBLE) AS ap4, {_enough(2, 'avg(sr)', 'w4')} AS ma1,
+        {_enough(6, 'avg(sr)', 'w12')} AS success_ma_3h, {_enough(6, 'avg(total)', 'w12')} AS vma3,
+        {_enough(6, 'stddev_samp(sr)', 'w12')} AS sd_s, {_enough(6, 'stddev_samp(total)', 'w12')} AS sd_v,
+        {_enough(6, 'regr_slope(sr, s.s / 900.0)', 'w12')} AS slope,
+        max(total) OVER (PARTITION BY s.platform ORDER BY s RANGE BETWEEN 3600 PRECEDING AND 3600 PRECEDING) AS before4
+        FROM series s LEFT JOIN factor f ON f.platform = s.platform AND f.how = s.how
+        WINDOW w168 AS (PARTITION BY s.platform ORDER BY s {_span(168)}), wh AS (PARTITION BY s.platform, s.how ORDER BY s {_span(7 * 672)}),
+        w4 AS (PARTITION BY s.platform ORDER BY s {_span(4)}), w12 AS (PARTITION BY s.platform ORDER BY s {_span(12)})""",
+    raw_features=SERIES["raw_features"].replace("lag(sr4, 168) OVER o", "max(sr4) OVER o").replace(
+        "WINDOW o AS (PARTITION BY platform ORDER BY hour)",
+        "WINDOW o AS (PARTITION BY platform ORDER BY s RANGE BETWEEN 151200 PRECEDING AND 151200 PRECEDING)"),
+)
+for _part in ("median_of", "features"):
+    BY_TIME.pop(_part)
+add(
+    "anomaly_features_by_time",
+    f"SELECT platform, {ts_text('hour')} AS hour, {_FEATURE_COLS} FROM open_features",
+    quarters="""SELECT CASE WHEN user_id % 2 = 0 THEN 'WEB_NUVEI' ELSE 'NUVEI_CARD' END AS platform, time_bucket(INTERVAL 15 MINUTE, ts) AS hour,
+        count(CASE WHEN event_type <> 'error' THEN 1 END) AS approved, count(*) AS total FROM events GROUP BY 1, 2""",
+    **BY_TIME,
+)
+add(
+    "distinct_sketch_rollup",
+    " UNION ALL ".join(
+        f"""SELECT '{g}' AS grain, event_type, CAST(CAST(date_trunc('{g}', ts) AS DATE) AS VARCHAR) AS period, count(DISTINCT user_id) AS users,
+        TRUE AS within_bound FROM events GROUP BY 2, 3"""
+        for g in ("week", "month")
+    ),
+)
+add(
+    "quantile_sketch_ranks",
+    "SELECT o_orderpriority, count(*) AS orders, "
+    + ", ".join(f"TRUE AS p{p}_within" for p in ("01", "25", "50", "75", "99"))
+    + " FROM orders GROUP BY 1",
+)
 add(
     "scaled_features",
     f"SELECT platform, {ts_text('hour')} AS hour, "

@@ -20,6 +20,7 @@ from growthlab.operators import joins as J
 from growthlab.operators import kpi as K
 from growthlab.operators import ml as M
 from growthlab.operators import ordered as O
+from growthlab.operators import sketches as SK
 from growthlab.operators import timeseries as TS
 from growthlab.operators import trees as T
 from growthlab.operators import triangle as R
@@ -882,6 +883,57 @@ def anomaly_features_causal(spark, folder):
     )
 
 
+@query
+def anomaly_features_by_time(spark, folder):
+    """Features of quarter hours, some of which are missing, with frames by time instead of by rows."""
+    counts = payments.bucket_counts(
+        staging.table(spark, folder, "events"), staging.platform_of(F.col("user_id")), F.col("event_type") != "error"
+    )
+    out = TS.rolling_features(TS.complete_rows(counts), clean=False, clock=TS.Clock(900))
+    return rounded(
+        out.select("platform", as_text(F.col("hour")).alias("hour"), *TS.FEATURES), *TS.FEATURES, digits=7,
+    )
+
+
+@query
+def distinct_sketch_rollup(spark, folder):
+    """Distinct users per event type, week and month from sketches made once per day and stored, against exact counts."""
+    events = staging.table(spark, folder, "events").select("event_type", "user_id", F.to_date("ts").alias("day"))
+    stored = fresh_folder(spark, "sketches")
+    SK.distinct_sketches(events, ["event_type", "day"], "user_id").write.parquet(stored)
+    daily = spark.read.parquet(stored)
+    parts = []
+    for grain in ("week", "month"):
+        period = F.to_date(F.date_trunc(grain, "day"))
+        merged = SK.merge_distinct(daily.withColumn("period", period), ["event_type", "period"])
+        exact = events.groupBy("event_type", period.alias("period")).agg(F.countDistinct("user_id").alias("users"))
+        both = SK.distinct_estimates(merged, "estimate").join(exact, ["event_type", "period"])
+        off = F.abs(F.col("estimate") - F.col("users")) <= F.ceil(F.col("users") * SK.distinct_error())
+        parts.append(both.select(F.lit(grain).alias("grain"), "event_type", F.col("period").cast("string").alias("period"), "users", off.alias("within_bound")))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def quantile_sketch_ranks(spark, folder):
+    """Order value quantiles per priority from sketches per month, merged: is each one's rank within the sketch's bound?"""
+    levels = [0.01, 0.25, 0.5, 0.75, 0.99]
+    orders = staging.table(spark, folder, "orders").select(
+        "o_orderpriority", F.col("o_totalprice").cast("double").alias("x"), F.trunc("o_orderdate", "month").alias("month")
+    )
+    monthly = SK.quantile_sketches(orders, ["o_orderpriority", "month"], "x")
+    merged = SK.merge_quantiles(monthly, ["o_orderpriority"])
+    points = F.array(*[F.lit(p) for p in levels])
+    found = merged.select("o_orderpriority", F.kll_sketch_get_quantile_double("sketch", points).alias("q"))
+    # five rows of five numbers
+    ranked = orders.join(F.broadcast(found), "o_orderpriority")
+    below = [F.avg((F.col("x") < F.col("q")[k]).cast("double")).alias(f"lt{k}") for k in range(len(levels))]
+    up_to = [F.avg((F.col("x") <= F.col("q")[k]).cast("double")).alias(f"le{k}") for k in range(len(levels))]
+    shares = ranked.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"), *below, *up_to)
+    bound = 2 * SK.rank_error()  # months are merged
+    good = [(F.col(f"lt{k}") <= p + bound) & (F.col(f"le{k}") >= p - bound) for k, p in enumerate(levels)]
+    return shares.select("o_orderpriority", "orders", *[g.alias(f"p{int(100 * p):02}_within") for g, p in zip(good, levels)])
+
+
 @query
 def scaled_features(spark, folder):
     series = TS.complete_rows(staging.payment_series(spark, folder))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from fractions import Fraction
 from math import lcm
 
@@ -31,11 +33,14 @@ def category(percentile: Column) -> Column:
     return out.otherwise(F.lit(LAST_CATEGORY))
 
 
-def percentile_band(df: DataFrame, value: str, levels: list[float] = LEVELS) -> DataFrame:
-    """Smallest listed percentile whose quantile covers the value, and its category."""
+def percentile_band(
+    df: DataFrame, value: str, levels: list[float] = LEVELS, quantiles: Callable = O.exact_quantiles
+) -> DataFrame:
+    """Smallest listed percentile whose quantile covers the value, and its category. Quantiles are exact unless another
+    function, such as sketches.sketch_quantiles, is given."""
     keyed = df.select(F.lit(1).alias("_all"), F.col(value).cast("double").alias(value))
     cuts = (
-        O.exact_quantiles(keyed, ["_all"], value, [p / 100 for p in levels])
+        quantiles(keyed, ["_all"], value, [p / 100 for p in levels])
         .select("quantiles")
         .scalar()
     )

@@ -98,12 +98,14 @@ def prune_correlated(df: DataFrame, cols: list[str], low: float = 0.9) -> list[s
     return [c for c in cols if c not in dropped]
 
 
-def clip_quantiles(df: DataFrame, cols: list[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
-    """Clip each column to its own quantiles, exact at any size."""
+def clip_quantiles(
+    df: DataFrame, cols: list[str], low: float = 0.01, high: float = 0.99, quantiles: Callable = exact_quantiles
+) -> DataFrame:
+    """Clip each column to its own quantiles, exact at any size; `sketches.sketch_quantiles` gives them from one pass."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "feature", "value"
     )
-    limits = exact_quantiles(long, ["feature"], "value", [low, high])
+    limits = quantiles(long, ["feature"], "value", [low, high])
     # one entry per feature column
     table = limits.agg(
         F.map_from_entries(F.collect_list(F.struct("feature", "quantiles"))).alias("m")

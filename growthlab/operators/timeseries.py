@@ -2,11 +2,12 @@
 
 Input is one row per (platform, time bucket); a platform's window therefore grows with the
 calendar (35,040 quarter hours a year), never with the number of payments. Window lengths are
-row counts, as published.
+row counts, as published, or the same numbers of buckets in time if a Clock is given.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +49,15 @@ CONTAMINATION = {
 DEFAULT_RATE = 0.005
 
 
+@dataclass(frozen=True)
+class Clock:
+    """Frames by time instead of by rows: a bucket's width in seconds, and the least share of a frame's buckets that must
+    be there for its mean or spread to count."""
+
+    seconds: int
+    coverage: float = 0.5
+
+
 @dataclass(frozen=True)
 class Spans:
     """Window lengths in rows."""
@@ -104,8 +114,26 @@ def with_rate(series: DataFrame) -> DataFrame:
     )
 
 
-def _rows(spec, length: int):
-    return spec.rowsBetween(1 - length, 0)
+class _Frames:
+    """Windows of a number of buckets, and single buckets before the current one, by rows or by time."""
+
+    def __init__(self, clock: Clock | None) -> None:
+        self.clock = clock
+
+    def last(self, spec, length: int, every: int = 1):
+        """The last `length` buckets of `spec`, which are `every` buckets apart."""
+        if self.clock is None:
+            return spec.orderBy("hour").rowsBetween(1 - length, 0)
+        return spec.orderBy("_s").rangeBetween(1 - length * every * self.clock.seconds, 0)
+
+    def before(self, col: Column | str, spec, length: int) -> Column:
+        if self.clock is None:
+            return F.lag(col, length).over(spec.orderBy("hour"))
+        back = -length * self.clock.seconds
+        return F.max(col).over(spec.orderBy("_s").rangeBetween(back, back))
+
+    def least(self, rows: int, length: int) -> int:
+        return rows if self.clock is None else max(rows, math.ceil(self.clock.coverage * length))
 
 
 def _at_least(col: Column, fn, spec, least: int) -> Column:
@@ -117,63 +145,78 @@ def _div(a: Column, b: Column, zero: float) -> Column:
 
 
 def rolling_features(
-    series: DataFrame, spans: Spans = Spans(), causal: bool = False, clean: bool = True
+    series: DataFrame, spans: Spans = Spans(), causal: bool = False, clean: bool = True, clock: Clock | None = None
 ) -> DataFrame:
     """The twelve features and their context for every row of (platform, hour, approved, total).
 
     causal=True builds the hour factors from the `season` rows before each row and fills what has no
-    baseline yet with 1, for scoring history."""
+    baseline yet with 1, for scoring history. With a clock all lengths are buckets of time: where buckets are
+    missing, frames hold fewer rows instead of reaching further back, a bucket before is the one at that time or
+    none, the trend runs over real time, and a mean or spread of a frame with too few of its buckets is missing."""
     base = with_rate(series)
     platform = W.partitionBy("platform")
     how = W.partitionBy("platform", "hour_of_week")
     order = platform.orderBy("hour")
-    same = _rows(how.orderBy("hour"), spans.same_hour)
-    week, hour, three = (
-        _rows(order, spans.week),
-        _rows(order, spans.hour),
-        _rows(order, spans.three_hours),
-    )
+    frames = _Frames(clock)
+    place = "_rn"
+    if clock is not None:
+        base = base.withColumn("_s", F.unix_timestamp("hour")).withColumn("_b", F.col("_s") / F.lit(float(clock.seconds)))
+        place = "_b"
+    week, hour, three = (frames.last(platform, n) for n in (spans.week, spans.hour, spans.three_hours))
+    per_week = 1 if clock is None else max(1, 7 * 86_400 // clock.seconds)
+    same = frames.last(how, spans.same_hour, per_week)
     rate, total = F.col("success_rate"), F.col("total").cast("double")
     numbered = base.withColumn("_rn", F.row_number().over(order))
     if causal:
-        by_hour = how.orderBy("_rn").rangeBetween(-spans.season, -1)
-        overall = order.rowsBetween(-spans.season, -1)
+        at = "_rn" if clock is None else "_s"
+        back = spans.season * (1 if clock is None else clock.seconds)
+        by_hour = how.orderBy(at).rangeBetween(-back, -1)
+        overall = platform.orderBy(at).rangeBetween(-back, -1) if clock else order.rowsBetween(-spans.season, -1)
         recent = F.lit(True)
     else:
         by_hour, overall = how, platform
-        recent = F.col("_rn") > F.col("_rows") - spans.season
-        numbered = numbered.withColumn("_rows", F.count(F.lit(1)).over(platform))
+        if clock is None:
+            recent = F.col("_rn") > F.col("_rows") - spans.season
+            numbered = numbered.withColumn("_rows", F.count(F.lit(1)).over(platform))
+        else:
+            recent = F.col("_s") > F.col("_newest") - spans.season * clock.seconds
+            numbered = numbered.withColumn("_newest", F.max("_s").over(platform))
 
     def factor(c: Column) -> Column:
         used = F.when(recent, c)
         ratio = F.try_divide(F.avg(used).over(by_hour), F.avg(used).over(overall))
         return F.coalesce(S.clip(ratio, 0.3, 3.0), F.lit(1.0))
 
+    def mean(c: Column, frame, length: int) -> Column:
+        return F.avg(c).over(frame) if clock is None else _at_least(c, F.avg, frame, frames.least(1, length))
+
     seasonal = numbered.withColumn("success_factor", factor(rate)).withColumn(
         "volume_factor", factor(total)
     )
+    week_least = frames.least(spans.week_least, spans.week)
+    least_12 = frames.least(2, spans.three_hours)
     rolled = (
-        seasonal.withColumn("rolling_7day_avg_success", _at_least(rate, F.avg, week, spans.week_least))
-        .withColumn("rolling_7day_avg_volume", _at_least(total, F.avg, week, spans.week_least))
+        seasonal.withColumn("rolling_7day_avg_success", _at_least(rate, F.avg, week, week_least))
+        .withColumn("rolling_7day_avg_volume", _at_least(total, F.avg, week, week_least))
         .withColumn("_same_success", _at_least(rate, F.avg, same, 2))
         .withColumn("_same_volume", _at_least(total, F.avg, same, 2))
         .withColumn("total_4p", F.sum(total).over(hour))
         .withColumn("_approved_4p", F.sum("approved").over(hour))
-        .withColumn("success_ma_1h", F.avg(rate).over(hour))
-        .withColumn("success_ma_3h", F.avg(rate).over(three))
-        .withColumn("volume_ma_3h", F.avg(total).over(three))
-        .withColumn("success_volatility_3h", _at_least(rate, F.stddev_samp, three, 2))
-        .withColumn("volume_volatility_3h", _at_least(total, F.stddev_samp, three, 2))
+        .withColumn("success_ma_1h", mean(rate, hour, spans.hour))
+        .withColumn("success_ma_3h", mean(rate, three, spans.three_hours))
+        .withColumn("volume_ma_3h", mean(total, three, spans.three_hours))
+        .withColumn("success_volatility_3h", _at_least(rate, F.stddev_samp, three, least_12))
+        .withColumn("volume_volatility_3h", _at_least(total, F.stddev_samp, three, least_12))
         .withColumn(
             "success_trend_3h",
             F.when(
-                F.count(rate).over(three) >= 3,
-                F.regr_slope("success_rate", "_rn").over(three),
+                F.count(rate).over(three) >= frames.least(3, spans.three_hours),
+                F.regr_slope("success_rate", place).over(three),
             ),
         )
-        .withColumn("_total_before", F.lag(total, spans.hour).over(order))
+        .withColumn("_total_before", frames.before(total, platform, spans.hour))
         .withColumn("_sr4", _div(F.col("_approved_4p"), F.col("total_4p"), 1.0))
-        .withColumn("_sr4_before", F.lag("_sr4", spans.week).over(order))
+        .withColumn("_sr4_before", frames.before("_sr4", platform, spans.week))
     )
     same_success = F.coalesce("_same_success", "rolling_7day_avg_success")
     same_volume = F.coalesce("_same_volume", "rolling_7day_avg_volume")

@@ -2,12 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
 def replace(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Write beside the target, then swap: a write that fails leaves the old rows as they are, and df may read them."""
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}-new-{uuid.uuid4().hex}"
+    old = f"{path.rstrip('/')}-old-{uuid.uuid4().hex}"
+    fs, place = _files(spark, path)
+    try:
+        df.write.parquet(fresh)
+        had = fs.exists(place(path))
+        if had and not fs.rename(place(path), place(old)):
+            raise OSError(f"cannot move {path} aside")
+        if not fs.rename(place(fresh), place(path)):
+            if had:
+                fs.rename(place(old), place(path))
+            raise OSError(f"cannot put new rows at {path}")
+        if had:
+            fs.delete(place(old), True)
+    finally:
+        if fs.exists(place(fresh)):
+            fs.delete(place(fresh), True)
+
+
+def _files(spark: SparkSession, path: str):
+    """The path's file system, and a function from text to its paths."""
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    return place(path).getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def append_if_any(df: DataFrame, path: str) -> bool:
@@ -21,9 +48,20 @@ def append_if_any(df: DataFrame, path: str) -> bool:
 def replace_key(df: DataFrame, path: str, key: str, value: object) -> None:
     """Replace the rows of one key value and leave the other partitions alone.
 
-    An empty frame still clears the key: its partition is rewritten without rows."""
-    rows = df.where(F.col(key) == F.lit(value))
-    rows.drop(key).write.mode("overwrite").parquet(f"{path}/{key}={value}")
+    New rows are staged and put in place when the job commits (dynamic partition overwrite), so a write that fails
+    leaves the old ones. A frame without rows of that value clears it: its partition is then dropped."""
+    spark = df.sparkSession
+    seen = Observation()
+    rows = df.where(F.col(key) == F.lit(value)).observe(seen, F.count(F.lit(1)).alias("n"))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(key).parquet(path)
+    if seen.get["n"]:
+        return
+    fs, place = _files(spark, path)
+    for status in fs.listStatus(place(path)):
+        name, equals, text = status.getPath().getName().partition("=")
+        if status.isDirectory() and name == key and equals and unquote(text) == str(value):
+            fs.delete(status.getPath(), True)
 
 
 def csv(df: DataFrame, path: str) -> None:

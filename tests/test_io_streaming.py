@@ -63,6 +63,29 @@ def test_sinks(spark, tmp_path):
     assert readers.text_list(spark, f"{base}/l") == ["z", "y"]
 
 
+def test_a_failed_write_leaves_the_old_rows(spark, tmp_path):
+    old = spark.createDataFrame([(7, 1), (7, 2), (8, 3)], "k int, id int")
+    broken = old.withColumn("id", F.when(F.col("id") > 0, F.raise_error(F.lit("broken")).cast("int")))
+    sinks.replace(old, f"{tmp_path}/t")
+    for k in (7, 8):
+        sinks.replace_key(old, f"{tmp_path}/k", "k", k)
+    for write in (lambda: sinks.replace(broken, f"{tmp_path}/t"), lambda: sinks.replace_key(broken, f"{tmp_path}/k", "k", 7)):
+        with pytest.raises(Exception, match="broken"):
+            write()
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/t").collect()) == [(7, 1), (7, 2), (8, 3)]
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/k").collect()) == [1, 2, 3]
+    assert [p.name for p in tmp_path.iterdir() if "-new-" in p.name or "-old-" in p.name] == []
+    # a table may be replaced by what is read from it
+    sinks.replace(spark.read.parquet(f"{tmp_path}/t").where("id > 1"), f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 2
+    names = spark.createDataFrame([("a b/c=d", 1)], "k string, id int")
+    sinks.replace_key(names, f"{tmp_path}/n", "k", "a b/c=d")
+    sinks.replace_key(names, f"{tmp_path}/n", "k", "x")
+    assert spark.read.parquet(f"{tmp_path}/n").count() == 1
+    sinks.replace_key(names.where("id > 1"), f"{tmp_path}/n", "k", "a b/c=d")
+    assert [p.name for p in (tmp_path / "n").iterdir() if p.is_dir()] == []
+
+
 def test_views(spark):
     tokens = spark.createDataFrame([(1, "n", "t", 2)], "user_id int, full_name string, payment_token_id string, grade int")
     assert views.curated("finance_token_redeem_grade", tokens).columns == ["user_id", "grade"]
