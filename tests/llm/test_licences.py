@@ -1,3 +1,10 @@
+import itertools
+import random
+import re
+import time
+
+import pytest
+
 from growthlab.llm import licences
 
 APACHE = (
@@ -12,7 +19,9 @@ def names(text):
 
 def test_rules_take_sequences_in_order():
     assert names(APACHE) == ["Apache-2.0"]
-    assert names("Foo. Licensed under the Apache License, Version 2.0. Bar bar.\nAll rights reserved.") == ["Apache-2.0", "proprietary"]
+    far = "Bar bar baz. " * 40
+    assert names(f"Foo. Licensed under the Apache License, Version 2.0. {far}\nAll rights reserved.") == ["Apache-2.0", "proprietary"]
+    assert names("Foo. Licensed under the Apache License, Version 2.0. Bar bar.\nAll rights reserved.") == ["Apache-2.0"]
     bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted.\n"
     source = "Redistributions of source code must retain the above copyright notice, x.\n"
     binary = "Redistributions in binary form must reproduce the above copyright notice, x.\n"
@@ -45,8 +54,14 @@ def test_known_lines_are_all_found(spark):
         "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "All rights reserved.": "proprietary",
         "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
     }
-    want = {(d.doc_id, name) for d in docs.collect() for line, name in lines.items() if line in (d.text or "")}
-    assert want and found == want
+    want, near = set(), set()
+    for d in docs.collect():
+        places = [(m.start(), m.end(), name) for line, name in lines.items() for m in re.finditer(re.escape(line), d.text or "")]
+        for low, high, name in places:
+            others = [(a, b) for a, b, n in places if n != "proprietary"]
+            weak = name == "proprietary" and any(a - high <= licences.NEAR and low - b <= licences.NEAR for a, b in others)
+            (near if weak else want).add((d.doc_id, name))
+    assert want and found == want | (found & near) and not (near - want) & found
 
 
 MIT = """MIT License
@@ -97,7 +112,7 @@ def test_wrapped_sentences_are_joined():
         (MIT, "MIT", "Permission is", "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
         (BSD, "BSD-3-Clause", "Redistribution and", "written permission."),
         (two, "BSD-2-Clause", "Redistribution and", "with the distribution."),
-        (GPL, "GPL", "This program is free", "FITNESS FOR A PARTICULAR PURPOSE."),
+        (GPL, "GPL-3.0-or-later", "This program is free", "FITNESS FOR A PARTICULAR PURPOSE."),
     ):
         for mark in ("", " * ", "# ", "// ", "-- "):
             for end in ("\n", "\r\n"):
@@ -113,8 +128,88 @@ def test_lines_stay_known_beside_joined_sentences():
     text = "SPDX-License-Identifier: MIT\nimport x\nCopyright (c) 2020 X\nAll rights reserved\nb c"
     hits, found = scan(text)
     assert [text[x["start"] : x["end"]] for x in hits] == [text.split("\n")[k] for k in (0, 2, 3)]
-    assert [x["licence"] for x in found] == ["SPDX", "proprietary"]
+    assert [x["licence"] for x in found] == ["MIT"]
     assert names("Released under the\n\nMIT License.") == []  # a blank line ends a paragraph
     assert names("# Released under the\n# MIT License.") == ["MIT"]
     assert names("no licence here\n" * 20_000 + "Released under\nthe MIT License.") == ["MIT"]
     assert names("Licensed under CC BY 4.0 not\n" * 2_000) == []
+
+
+def gnu(title, version, later, mark=";", name="program"):
+    either = f"either version {version} of the License, or\n(at your option) any later version." if later else f"version {version} of the License."
+    return (
+        f"This {name} is free software{mark} you can redistribute it and/or\nmodify it under the terms of the {title}\n"
+        f"as published by the Free Software Foundation; {either}\n\nThis {name} is distributed in the hope that it will be useful,\n"
+        f"but WITHOUT ANY WARRANTY.\n"
+    )
+
+
+@pytest.mark.parametrize("text, name", [
+    (gnu("GNU General Public License", 2, True), "GPL-2.0-or-later"),
+    (gnu("GNU General Public License", 2, False), "GPL-2.0-only"),
+    (gnu("GNU General Public License", 3, True, ":"), "GPL-3.0-or-later"),
+    (gnu("GNU Lesser General Public License", "2.1", True, name="library"), "LGPL-2.1-or-later"),
+    (gnu("GNU Library General Public License", 2, True, name="library"), "LGPL-2.0-or-later"),
+    (gnu("GNU Affero General Public License", 3, True, ":"), "AGPL-3.0-or-later"),
+    (gnu("GNU General Public License", 9, True), "GPL"),
+    ("This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License version 2 as\npublished by the Free Software Foundation.", "GPL-2.0-only"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH\nREGARD TO THIS SOFTWARE.", "ISC"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this file, x.", "MPL-2.0"),
+    ("This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 which is available at\nhttps://x", "EPL-2.0"),
+    ("All rights reserved. This program and the accompanying materials\nare made available under the terms of the Eclipse Public License v1.0\nwhich accompanies this distribution.", "EPL-1.0"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+    ("To the extent possible under law, Jane Doe has waived all copyright and\nrelated or neighboring rights to This Thing.", "CC0-1.0"),
+    ("This software is provided 'as-is', without any express or implied\nwarranty.", "Zlib"),
+    ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+    ("# SPDX-License-Identifier: mit", "MIT"),
+    ("Copyright (c) 2020 X. All rights reserved.\n\n" + BSD, "BSD-3-Clause"),
+    ("Copyright (c) 2020 X.\nAll rights reserved.", "proprietary"),
+])
+def test_standard_notices(text, name):
+    for mark in ("", "# ", " * "):
+        lines = "\n".join((mark + x).rstrip() for x in text.split("\n"))
+        assert names(f"Zz yy.\n\n{lines}\n\nXx.") == [name], mark
+
+
+def test_expressions_name_their_licences():
+    assert names("// SPDX-License-Identifier: (MIT OR apache-2.0) AND GPL-2.0-only WITH Linux-syscall-note") == ["Apache-2.0", "GPL-2.0-only", "MIT"]
+    assert names("SPDX-License-Identifier: LicenseRef-x") == ["LicenseRef-x"]
+
+
+def test_rule_matching_against_brute_force():
+    kinds = {k: k for k in "abcde"}
+    rules = (("X", ("a", "b?", "c")), ("Y", ("a", "b")), ("Z", ("d?", "e")), ("X", ("c",)))
+    scanner, draw = licences.Scanner(kinds, rules), random.Random(4)
+    for _ in range(500):
+        line = [draw.choice([*"abcde", None]) for _ in range(draw.randrange(12))]
+        left, want = list(line), []
+        for licence, names_ in rules:
+            forms = {tuple(n[0] for n, keep in zip(names_, mask) if keep or not n.endswith("?")) for mask in itertools.product((0, 1), repeat=len(names_))}
+            at = 0
+            while at < len(left):
+                fits = [f for f in sorted(forms, key=len, reverse=True) if tuple(left[at : at + len(f)]) == f]
+                if fits:
+                    want.append((licence, at, at + len(fits[0]) - 1))
+                    left[at : at + len(fits[0])] = ["taken"] * len(fits[0])
+                    at += len(fits[0])
+                else:
+                    at += 1
+        assert sorted(scanner.take(line)) == sorted(want)
+
+
+@pytest.mark.parametrize("body", [
+    "\n".join(f"Neither the name of\nCopyright 2020 X{k}" for k in range(2500)) + "\nmay be used to endorse or promote products x",
+    "Neither the name of\n" * 5000 + "may be used to endorse or promote products x",
+    "Neither the name of " * 8000 + "x",
+    "this program is free software; you can redistribute it and/or\nmodify it " * 2500,
+    "permission is hereby granted, free of charge, to any person obtaining a copy\nx\n" * 2500,
+    "a\n" * 30_000,
+    "to the extent possible under law,\n" * 4000,
+])
+def test_hostile_texts_take_little_time(body):
+    scanner = licences.Scanner(licences.SENTENCES, licences.RULES)
+    scanner.scan("warm up")
+    began = time.perf_counter()
+    scanner.scan(body)
+    assert time.perf_counter() - began < 2.5
