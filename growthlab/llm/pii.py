@@ -1,7 +1,7 @@
 """Personal data: base patterns, and identifiers found by bootstrapped contexts.
 
 Base finds are the seeds. The words around them are lexical patterns (two words before; one before and one
-after). Every identifier-like token of the corpus is an instance. Spark scores the bipartite graph of
+after; backing off, one word with the shape of the identifier, its digits, letters and punctuation). Every identifier-like token of the corpus is an instance. Spark scores the bipartite graph of
 patterns and instances in rounds: a pattern's confidence in a kind is the share of its instances that are
 believed to be of that kind, an instance's confidence is the chance that not all of its patterns err.
 Instances that confident patterns agree on become spans, wherever the token occurs. Edges are distinct
@@ -9,6 +9,7 @@ Instances that confident patterns agree on become spans, wherever the token occu
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -32,6 +33,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK = re.compile(r"[0-9@]")
 _SPACES = " \t\n\x0b\x0c\r"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_NAME = re.compile(r"[A-Za-z_-]+[=:]")
 _NUMBER = re.compile(r"[0-9().+-]+")
 _OPEN, _CLOSE = "([{<\"'", ".,;:!?)]}>\"'"
 
@@ -84,8 +86,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _identifiers(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """Tokens with a digit or an at sign outside the taken spans, trimmed of punctuation; number tokens
-    one space apart are one."""
+    """Tokens with a digit or an at sign outside the taken spans, without a name in front (`host=`) and trimmed of
+    punctuation (a bracket that closes inside stays); number tokens one space apart are one."""
     at, k = 0, 0
     while got := _MARK.search(text, at):
         start = got.start()
@@ -106,7 +108,9 @@ def _identifiers(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int,
             end = more.end()
         end = min(end, ceiling)
         at = max(end, got.end())
-        while start < end and text[start] in _OPEN:
+        named = _NAME.match(text, start, end)
+        start = named.end() if named and named.end() < end else start
+        while start < end and text[start] in _OPEN and not (text[start] == "(" and text.find(")", start, end - 1) > 0):
             start += 1
         while start < end and text[end - 1] in _CLOSE:
             end -= 1
@@ -114,13 +118,44 @@ def _identifiers(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int,
             yield start, end
 
 
+def _word_before(text: str, at: int) -> tuple[str, int]:
+    """The whole word that ends before `at` (spaces between are passed), and its start; at the text's edge "^"."""
+    while at > 0 and text[at - 1] in _SPACES:
+        at -= 1
+    end = at
+    while at > 0 and text[at - 1] not in _SPACES:
+        at -= 1
+    return (_context_word(text[at:end]) if at < end else "^"), at
+
+
+def _context_word(word: str) -> str:
+    """Lower case, digits as 0; of the punctuation around it only a mark that introduces something stays. A word of more
+    than 64 characters stands as its digest."""
+    core = word.lower().strip(_OPEN + _CLOSE)
+    core = re.sub("[0-9]+", "0", core)
+    core = core if len(core) <= 64 else hashlib.md5(core.encode()).hexdigest()
+    return core + word[-1] if word[-1] in ":=#" and not core.endswith(word[-1]) else core
+
+
+def _shape(literal: str) -> str:
+    """Runs of digits as 0, of letters as a, of anything else that is not punctuation as w; at most 32 characters."""
+    return re.sub(r"[^\x00-\x7f]+", "w", re.sub("[a-z]+", "a", re.sub("[0-9]+", "0", literal)))[:32]
+
+
 def _around(text: str, start: int, end: int) -> list[str]:
-    """Patterns of the words around a span; only a bounded stretch beside it is looked at."""
-    plain = lambda w: re.sub("[0-9]+", "0", w.lower().strip(_OPEN + _CLOSE))
-    left = [plain(w) for w in _WORD.findall(text[max(0, start - 100) : start])[-2:]]
-    right = [plain(w) for w in _WORD.findall(text[end : end + 50])[:1]]
-    left, right = ["^", "^", *left][-2:], [*right, "$"][:1]
-    return [f"{left[0]} {left[1]} _", f"{left[1]} _ {right[0]}"]
+    """Lexical patterns of a span, from the most particular: two words before; the word before and the one after; and,
+    backing off, one word before or after, or the second word before, with the span's shape. Words are whole."""
+    one, at = _word_before(text, start)
+    two, _ = _word_before(text, at)
+    after = _WORD.search(text, end) if end < len(text) else None
+    if after and after.start() == end:  # what the span's own token goes on with
+        after = _WORD.search(text, after.end())
+    right = _context_word(after.group()) if after else "$"
+    shape = _shape(_literal(text, start, end))
+    found = [f"{two} {one} _", f"{one} _ {right}", f"{one} _ :{shape}", f"_ {right} :{shape}", f"{two} * _ :{shape}"]
+    # the edges of a text alone say nothing
+    edges = ("^ ^ _", "^ _ $", f"^ _ :{shape}", f"_ $ :{shape}", f"^ * _ :{shape}")
+    return [x for x, edge in zip(found, edges) if x != edge]
 
 
 def _literal(text: str, start: int, end: int) -> str:
@@ -222,7 +257,10 @@ def find_private(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS)
     extra = _places(scan, discovered(scan, rounds), "_row")
     none = F.array().cast(f"array<{_SPAN}>")
     spans = F.array_sort(F.concat("base", F.coalesce("extra", none)))
-    return scan.join(extra, "_row", "left").select(*names, F.array_sort("base").alias("base"), spans.alias("spans"))
+    found = scan.join(extra, "_row", "left").select(*names, F.array_sort("base").alias("base"), spans.alias("spans"))
+    out = stored(found, "private_spans")
+    forget(scan)
+    return out
 
 
 def _places(scan: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -236,10 +274,10 @@ def redact_private(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS
     """The documents, all columns, with every span of their texts (overlapping ones as one) replaced by its
     kind in brackets; see find_private. NULL texts stay NULL.
 
-    Only places of discovered identifiers are joined to the texts, by a hash of the text."""
+    Only places of discovered identifiers are joined to the texts, by a 128-bit digest of the text."""
     ready(docs.sparkSession)
     names = docs.columns
-    rows = without(docs, "_print", "extra").withColumn("_print", F.xxhash64(text_col))
+    rows = without(docs, "_print", "extra").withColumn("_print", F.md5(text_col))
     scan = stored(_scan(rows.select("_print", text_col), text_col), "pii_scan")
     extra = stored(_places(scan, discovered(scan, rounds), "_print"), "pii_places")
     forget(scan)

@@ -80,6 +80,32 @@ def private(text):
     return out
 
 
+def discovered(seeds, others, allowed, rounds, support, trust, sure):
+    """literal -> kind, from lists of (pattern, literal, kind) of seeds and (pattern, literal) of other tokens."""
+    seeds, others = set(seeds), {e for e in others if e[0] in {p for p, *_ in seeds}}
+    count = Counter((p, k) for p, _, k in seeds)
+    size = Counter(p for p, _ in {(p, x) for p, x, _ in seeds} | others)
+    strong = {e: n for e, n in count.items() if n >= support}
+    belief = {}
+    for _ in range(rounds):
+        rate = {}
+        for (p, k), n in strong.items():
+            mass = n + sum(belief.get((x, k), 0.0) for q, x in others if q == p)
+            if mass / (size[p] + 1) >= trust:
+                rate[p, k] = mass / (size[p] + 1)
+        doubt = defaultdict(lambda: 1.0)
+        for p, x in others:
+            for k in range(4):
+                if (p, k) in rate:
+                    doubt[x, k] *= 1 - min(rate[p, k], 0.999)
+        belief = {(x, k): 1 - d for (x, k), d in doubt.items() if allowed(x, k)}
+    best = {}
+    for (x, k), b in sorted(belief.items(), key=lambda e: (e[1], -e[0][1])):
+        if b >= sure:
+            best[x] = k
+    return best
+
+
 def held_out(i):
     return zlib.crc32(str(i).encode()) % 7 == 2
 
