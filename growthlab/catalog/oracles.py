@@ -644,13 +644,14 @@ add(
     ),
     **TRI,
 )
-add(
-    "triangle_exposure",
-    f"""SELECT r.su_week, r.grp AS "group", r.platform, r.traffic_type, CAST((r.i + 1) * 7 AS INTEGER) AS age,
-    {r('r.g', 'original_value')}, {r('e.n', 'users_count')}
-    FROM rate r JOIN exposed e ON e.su_week = r.su_week AND e.grp = r.grp AND e.i = r.i WHERE NOT coalesce(e.n > 2, false)""",
-    **TRI,
-)
+for _name, _users in (("triangle_exposure", 2), ("triangle_exposure_published", 50)):
+    add(
+        _name,
+        f"""SELECT r.su_week, r.grp AS "group", r.platform, r.traffic_type, CAST((r.i + 1) * 7 AS INTEGER) AS age,
+        {r('r.g', 'original_value')}, {r('e.n', 'users_count')}
+        FROM rate r JOIN exposed e ON e.su_week = r.su_week AND e.grp = r.grp AND e.i = r.i WHERE NOT coalesce(e.n > {_users}, false)""",
+        **TRI,
+    )
 
 
 def _bounds(source: str, value: str, k: float = 1.0, least: int = 4) -> str:
@@ -853,13 +854,14 @@ add(
     row_number() OVER (ORDER BY su_week) - 1 AS n, users FROM (SELECT CAST(date_trunc('week', signup_date) AS DATE) AS su_week,
     count(*) AS users FROM user_profile GROUP BY 1))""",
 )
-add(
-    "dedupe_freq_topn",
-    """SELECT l.grp AS "group", count(*) AS rows, count(DISTINCT su_week) AS weeks, CAST(sum(total_users) AS BIGINT) AS users
-    FROM large l WHERE grp IN (SELECT grp FROM large GROUP BY 1 ORDER BY count(*) DESC, grp LIMIT 5) GROUP BY 1""",
-    tri_named=f"SELECT *, {_group_case('channel_type_con')} AS grp FROM triangle WHERE channel_type_con IS NOT NULL",
-    large="SELECT * FROM tri_named WHERE total_users > (SELECT avg(total_users) FROM tri_named)",
-)
+for _name, _groups in (("dedupe_freq_topn", 5), ("dedupe_freq_published", 21)):
+    add(
+        _name,
+        f"""SELECT l.grp AS "group", count(*) AS rows, count(DISTINCT su_week) AS weeks, CAST(sum(total_users) AS BIGINT) AS users
+        FROM large l WHERE grp IN (SELECT grp FROM large GROUP BY 1 ORDER BY count(*) DESC, grp LIMIT {_groups}) GROUP BY 1""",
+        tri_named=f"SELECT *, {_group_case('channel_type_con')} AS grp FROM triangle WHERE channel_type_con IS NOT NULL",
+        large="SELECT * FROM tri_named WHERE total_users > (SELECT avg(total_users) FROM tri_named)",
+    )
 _CUT = f"CAST(date_trunc('week', DATE '{PROJECTION_DAY}') AS DATE) - 14"
 _PUBLISHED = AGES[:-1]
 PROD = dict(
@@ -879,15 +881,15 @@ PROD.update(
     bucket="""SELECT su_week AS w, min(su_week) OVER (PARTITION BY n // 4) AS month_group FROM (SELECT su_week,
         row_number() OVER (ORDER BY su_week) - 1 AS n FROM (SELECT DISTINCT su_week FROM complete))""",
 )
-add(
-    "projection_prod",
+_PROD_ROWS = (
     f"""SELECT grp AS channel_group, su_week, month_group, platform, traffic_type, {r('total_costs', 'total_costs')}, """
     + ", ".join(f"CAST(round_even({_target(i)}, 0) AS BIGINT) AS target_{AGES[i]}d" for i in range(8))
     + ", "
     + ", ".join(f"CAST(round_even(v{i}, 0) AS BIGINT) AS prediction_{a}d" for i, a in enumerate(_PUBLISHED))
-    + f", '{PROJECTION_DAY} 00:00' AS updated_at FROM complete JOIN bucket ON w = su_week",
-    **PROD,
+    + f", '{PROJECTION_DAY} 00:00' AS updated_at FROM complete JOIN bucket ON w = su_week"
 )
+add("projection_prod", _PROD_ROWS, **PROD)
+add("projection_prod_published", _PROD_ROWS, **{**PROD, "open_rate": PROD["open_rate"].replace("e.n > 2", "e.n > 50")})
 _WIDE_KEYS = _CORE + ["ironsource_int_app", "unityads_int_app"]
 _RUN_WEEKS = f"date_diff('day', su_week, DATE '{PROJECTION_DAY}') // 7"
 _RUN_KEEP = f"CASE WHEN {_RUN_WEEKS} < 3 THEN 2 WHEN {_RUN_WEEKS} < 4 THEN 3 ELSE {_RUN_WEEKS} END - 1"
@@ -1415,7 +1417,7 @@ add(
     f"""SELECT provider, period, transactions, chargebacks, {r('chargeback_value', 'chargeback_value')},
     {r(div('chargebacks', 'transactions') + ' * 100', 'chargeback_ratio')}, {_ALERT} AS alert,
     CAST(coalesce(({_ALERT}) = 'critical', false) AS INTEGER) AS investigation
-    FROM ({_paid_and_back('period', "CAST(date_trunc('month', day) AS DATE)", "WHERE day < DATE '1995-05-01'")})""",
+    FROM ({_paid_and_back('period', "CAST(date_trunc('month', day) AS DATE)", "")})""",
 )
 add(
     "grade_distribution",
@@ -1437,9 +1439,8 @@ def _period_change(step: str) -> str:
 
 
 # one month is taken out, so that a period without a predecessor occurs
-_GAP = "WHERE date_trunc('month', day) <> DATE '1995-03-01'"
 add("kpi_period_change", _period_change("7 DAY"), period_rates=_rates("week"))
-add("kpi_month_change", _period_change("1 MONTH"), period_rates=_rates("month", _GAP))
+add("kpi_month_change", _period_change("1 MONTH"), period_rates=_rates("month"))
 
 
 def _drill(dim: str, expr: str) -> str:

@@ -121,7 +121,9 @@ def sql_file_scan(spark, folder):
     text = """SELECT o_orderpriority, count(*) AS orders FROM growthlab_orders
               WHERE o_totalprice > :low GROUP BY o_orderpriority;"""
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(where)
-    return readers.sql_file(spark, where, {"low": 150000})
+    out = readers.sql_file(spark, where, {"low": 150000})
+    spark.catalog.dropTempView("growthlab_orders")  # the plan has its tables by now
+    return out
 
 
 @query
@@ -381,9 +383,19 @@ def null_sum_variants(spark, folder):
 
 @query
 def dedupe_freq_topn(spark, folder):
+    return _frequent(spark, folder, 5)
+
+
+@query
+def dedupe_freq_published(spark, folder):
+    """The published 21 most frequent groups."""
+    return _frequent(spark, folder, 21)
+
+
+def _frequent(spark, folder, groups):
     tri = durable(PJ.classify(staging.cohort_triangle(spark, folder), PJ.CORE_CHANNELS))
     large = R.above_mean_rows(tri)
-    kept = J.keep_ids(large, R.frequent_groups(large, 5), "group")
+    kept = J.keep_ids(large, R.frequent_groups(large, groups), "group")
     return kept.groupBy("group").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct("su_week").alias("weeks"),
@@ -579,12 +591,7 @@ def _report_inputs(spark, folder):
 def _summary(spark, folder):
     profile, days, touches, costs = _report_inputs(spark, folder)
     spend = MR.daily_costs(costs, AS_OF)
-    summary = MR.combined_daily_summary(
-        MR.signup_conversion(profile, touches, AS_OF),
-        MR.day0_roas(profile, days, touches, AS_OF),
-        spend,
-    )
-    return summary, spend
+    return MR.with_costs(MR.funnel(profile, days, touches, AS_OF), spend), spend
 
 
 @query
@@ -601,7 +608,11 @@ def day0_roas_fanout(spark, folder):
 
 @query
 def combined_daily_summary(spark, folder):
-    summary, _ = _summary(spark, folder)
+    """The two sides counted apart and joined, as published; the reports take both from one aggregate."""
+    profile, days, touches, costs = _report_inputs(spark, folder)
+    summary = MR.combined_daily_summary(
+        MR.signup_conversion(profile, touches, AS_OF), MR.day0_roas(profile, days, touches, AS_OF), MR.daily_costs(costs, AS_OF)
+    )
     return rounded(summary, "d0_total_amount", "total_cost", "roas_d0")
 
 
@@ -727,10 +738,20 @@ def triangle_dedupe(spark, folder):
 
 @query
 def triangle_exposure(spark, folder):
+    return _omitted(spark, folder, EXPOSED)
+
+
+@query
+def triangle_exposure_published(spark, folder):
+    """The published exposure of 50 users."""
+    return _omitted(spark, folder, PJ.PROD.exposure_users)
+
+
+def _omitted(spark, folder, users):
     cohorts = _cohorts(spark, folder)
     exposed = R.exposure(R.mask_relative(cohorts, "users_cum"))
     rates = _rates(spark, folder, cohorts).drop("users_cum")
-    cells = R.omitted_cells(rates, exposed, staging.AGES, EXPOSED)
+    cells = R.omitted_cells(rates, exposed, staging.AGES, users)
     return rounded(cells, "original_value", "users_count")
 
 
@@ -818,6 +839,13 @@ def breakeven_targets(spark, folder):
 _PROD = PJ.Variant(**{**PJ.PROD.__dict__, "exposure_users": EXPOSED})
 
 
+@query
+def projection_prod_published(spark, folder):
+    """With the published exposure of 50 users, below which a cell is open."""
+    out = PJ.project(staging.cohort_triangle(spark, folder), PJ.PROD, PROJECTION_DAY)
+    return rounded(out, "total_costs")
+
+
 @query
 def projection_prod(spark, folder):
     out = PJ.project(staging.cohort_triangle(spark, folder), _PROD, PROJECTION_DAY)
@@ -1388,9 +1416,9 @@ def chargeback_ratio(spark, folder):
 
 @query
 def chargeback_periods(spark, folder):
-    """Per provider and month; payments end before the chargebacks do, so some months have only those."""
+    """Per provider and month; a month may have chargebacks only."""
     month = F.trunc("day", "month")
-    pay = staging.purchase_transaction(spark, folder).where("day < DATE '1995-05-01'").withColumn("period", month)
+    pay = staging.purchase_transaction(spark, folder).withColumn("period", month)
     back = staging.chargebacks(spark, folder).withColumn("period", month)
     out = K.chargeback_ratio(pay, back, ["provider", "period"]).drop("volume", "value_share")
     return rounded(out, "chargeback_value", "chargeback_ratio")
@@ -1412,9 +1440,7 @@ def kpi_period_change(spark, folder):
 
 @query
 def kpi_month_change(spark, folder):
-    """Month against month with March taken out: April has no month before it."""
-    pay = staging.purchase_transaction(spark, folder).where("trunc(day, 'month') <> DATE '1995-03-01'")
-    out = K.period_change(pay, "month")
+    out = K.period_change(staging.purchase_transaction(spark, folder), "month")
     return rounded(out, "success_rate", "revenue", "rate_change", "revenue_change_pct")
 
 

@@ -355,6 +355,7 @@ def exceedance(series_at_day: DataFrame, levels: list[int] = EXCEED_LEVELS) -> D
     )
 
 
+# Edges and labels of the published gain bins.
 GAIN_EDGES = [0, 10, 200, 400, 500, 1000, 1500, float("inf")]
 GAIN_LABELS = ["0-10", "11-200", "201-400", "401-500", "501-1000", "1001-1500", "1500+"]
 

@@ -94,9 +94,38 @@ def daily_costs(costs: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def funnel(profile: DataFrame, purchase_days: DataFrame, touches: DataFrame, as_of: str) -> DataFrame:
+    """signup_conversion and day0_roas side by side from one pass over the signups: a signup meets at most one row of
+    the (user, day) roll-up, so one aggregate counts both sides."""
+    day0 = purchase_days.select("user_id", F.col("purchase_date").alias("su_date"), "purchases", "amount")
+    n = F.coalesce(F.col("purchases"), F.lit(0))
+    converted = F.count_if(F.col("su_date") == F.to_date("first_purchase_date"))
+    return (
+        _recent_signups(profile, touches, as_of)
+        .join(day0, ["user_id", "su_date"], "left")
+        .groupBy(*CHANNEL_KEYS)
+        .agg(
+            F.count("user_id").alias("total_signups"),
+            converted.alias("day0_conversions"),
+            F.sum(F.greatest(n, F.lit(1))).alias("total_users"),
+            F.sum(n).alias("paid_users"),
+            F.sum(n).alias("d0_purchase_count"),
+            F.sum("amount").alias("d0_total_amount"),
+        )
+        .withColumn(
+            "conversion_rate",
+            S.half_up(S.safe_div(F.col("day0_conversions"), F.col("total_signups")) * 100, 2),
+        )
+    )
+
+
 def combined_daily_summary(signups: DataFrame, roas: DataFrame, costs: DataFrame) -> DataFrame:
     """Both sides of the funnel on the same keys (NULL channels meet), with channel cost."""
-    both = J.null_safe_join(signups, roas, CHANNEL_KEYS, "full")
+    return with_costs(J.null_safe_join(signups, roas, CHANNEL_KEYS, "full"), costs)
+
+
+def with_costs(both: DataFrame, costs: DataFrame) -> DataFrame:
+    """The funnel with its channel's cost of the day and the return on it."""
     spend = costs.groupBy(F.col("day").alias("su_date"), "platform", "channel_agg").agg(
         F.sum("cost").alias("_cost")
     )
@@ -263,13 +292,7 @@ def daily_marketing_report(
     """The whole report. The summary and the spend have one row per day and channel and feed every
     part, so they are checkpointed once and the facts are read once."""
     spend = durable(daily_costs(costs, as_of))
-    summary = durable(
-        combined_daily_summary(
-            signup_conversion(profile, touches, as_of),
-            day0_roas(profile, purchase_days, touches, as_of),
-            spend,
-        )
-    )
+    summary = durable(with_costs(funnel(profile, purchase_days, touches, as_of), spend))
     parts = (
         overall_platform_report(summary, spend, as_of)
         .unionByName(top_channels_yesterday(summary, as_of))
