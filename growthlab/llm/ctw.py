@@ -309,7 +309,7 @@ def _block_scores(
         pieces.append((s.n_grams, s.n_tokens, *[(codes.astype(np.int32), names) for codes, names in coded]))
     known = [_aligned(kind, [p[2 + kind][1] for p in pieces], answers, shards) for kind in (GRAMS, WORDS)]
     look = lambda kind, names: known[kind][1][np.searchsorted(known[kind][0], names)]
-    columns: dict[str, list] = {c: [] for c in ("n_tokens", "n_known", "base_score", "score")}
+    columns: dict[str, list] = {c: [] for c in ("n_tokens", "n_known", "base_score", "score", "n_bytes")}
     for n_grams, n_tokens, grams, tokens in pieces:
         per_byte = look(GRAMS, grams[1])[grams[0]]
         count = look(WORDS, tokens[1])[tokens[0]]
@@ -321,6 +321,7 @@ def _block_scores(
             ("score", per_byte, n_grams),
         ):
             columns[name].append(np.add.reduceat(values, np.cumsum(sizes) - sizes))
+        columns["n_bytes"].append(np.asarray(n_grams))
     out = table.drop_columns([text_col, "_block"])
     for name, parts in columns.items():
         kind = pa.int64() if name.startswith("n_") else pa.float64()
@@ -336,7 +337,8 @@ def score_texts(
     depth: int = DEPTH,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The documents' columns but the text, and held_out, n_tokens, n_known, train_tokens, base_score, score.
+    """The documents' columns but the text, and held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes,
+    bits_per_byte: the bytes that are coded (words, a space between them, the end mark) and their code length.
 
     A text is its words in lower case (A-Z) and an end. score: log10 probability of these words, one space
     between, byte by byte, and of the end mark. base_score: the same words and end under word counts with
@@ -348,7 +350,7 @@ def score_texts(
     ready(docs.sparkSession)
     top = 2
     rows = docs.withColumn("_held", F.coalesce(held_out, F.lit(False)))
-    rows = without(rows, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "_block")
+    rows = without(rows, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte", "_block")
     size = rows.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
     shards = max(1, blocks // 2)
@@ -371,10 +373,12 @@ def score_texts(
     fields = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c not in (text_col, "_block"))
     scored = rows.groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(
         lambda t, a: _block_scores(t, a, text_col, depth, shards, n, v),
-        f"{fields}, n_tokens long, n_known long, base_score double, score double",
+        f"{fields}, n_tokens long, n_known long, base_score double, score double, n_bytes long",
     )
-    names = [c for c in scored.columns if c != "_held" and c not in ("n_tokens", "n_known", "base_score", "score")]
+    made = ("n_tokens", "n_known", "base_score", "score", "n_bytes")
+    names = [c for c in scored.columns if c != "_held" and c not in made]
+    bits = -F.col("score") * math.log2(10) / F.col("n_bytes")
     return scored.select(
         *names, F.col("_held").alias("held_out"), "n_tokens", "n_known",
-        F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score",
+        F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score", "n_bytes", bits.alias("bits_per_byte"),
     )

@@ -21,6 +21,8 @@ def test_scores_against_the_recursion(spark):
         for r in out:
             got = (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score)
             assert np.allclose(np.array(got, dtype=float), np.array(want[r.doc_id], dtype=float), atol=1e-8)
+            coded = " ".join(plain.words(dict(docs)[r.doc_id], lower=True)).encode()
+            assert r.n_bytes == len(coded) + 1 and np.isclose(r.bits_per_byte, -r.score / np.log10(2) / r.n_bytes)
 
 
 def test_probabilities_of_next_bytes_add_up():
