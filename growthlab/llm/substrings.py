@@ -5,7 +5,7 @@ occurrences of a window meet in one shard whatever text surrounds them, and no t
 other shards. Neighbouring windows with the same anchor travel together as one segment. Only segments
 whose anchor occurs twice or more are sent. A shard indexes its segments' words, streams them through the
 index by backward search and keeps the windows whose earliest occurrence they are; every other window of
-a sent segment is repeated. Equal texts (by a 64-bit hash) are indexed once, for their smallest id; the
+a sent segment is repeated. Equal texts (by a 126-bit hash) are indexed once, for their smallest id; the
 others repeat it from end to end. Equal segments are combined before the shuffle; anchors with more than
 `HOT` occurrences are dealt out window by window instead, so no shard gathers one anchor's contexts."""
 
@@ -32,6 +32,15 @@ SHARD = 10_000
 _U = np.uint64
 
 
+#: a text's identity: two hashes of 63 bits as one number
+PRINT = "decimal(38,0)"
+
+
+def _fingerprint(text: Column) -> Column:
+    half = lambda *x: F.shiftrightunsigned(F.xxhash64(*x), 1).cast(PRINT)
+    return (half(text) * F.lit(1 << 62).cast("decimal(19,0)") * 2 + half(F.lit(1), text)).cast(PRINT)
+
+
 def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     """Position of the smallest value in each run of `width` values, the leftmost of equals."""
     at = np.arange(len(values))
@@ -83,7 +92,7 @@ def _segments(rows: DataFrame, text_col: str, length: int) -> DataFrame:
                     names=["_print", "anchor", "start", "windows"],
                 )
 
-    return rows.select("_print", text_col).mapInArrow(run, "_print long, anchor long, start int, windows int")
+    return rows.select("_print", text_col).mapInArrow(run, f"_print {PRINT}, anchor long, start int, windows int")
 
 
 def _cut_out(joined: DataFrame, text_col: str, length: int, shards: int) -> DataFrame:
@@ -123,7 +132,7 @@ def _cut_out(joined: DataFrame, text_col: str, length: int, shards: int) -> Data
                 names=["_id", "_print", "shard", "start", "segment"],
             )
 
-    return joined.mapInArrow(run, f"_id {id_type}, _print long, shard long, start int, segment string")
+    return joined.mapInArrow(run, f"_id {id_type}, _print {PRINT}, shard long, start int, segment string")
 
 
 def _symbols(segments: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -183,7 +192,7 @@ def remove_repeats(
     rows = without(docs, "n_words", "n_removed", "_id", "_print", "marks", "firsts", "copy")
     names = rows.columns
     id_type = rows.schema[id_col].dataType.simpleString()
-    rows = rows.withColumn("_id", F.col(id_col)).withColumn("_print", F.xxhash64(F.coalesce(text_col, F.lit(""))))
+    rows = rows.withColumn("_id", F.col(id_col)).withColumn("_print", _fingerprint(F.coalesce(text_col, F.lit(""))))
 
     # equal texts have equal segments: distinct (text, place) pairs tell whether an anchor comes again
     segments = _segments(rows, text_col, length)
@@ -206,7 +215,7 @@ def remove_repeats(
     source = rows.select("_id", "_print", text_col).alias("l").join(marks.alias("r"), same("l", "r"))
     pieces = _cut_out(source.select("l._id", "l._print", text_col, "marks"), text_col, length, shards)
     first = pieces.groupBy("shard").applyInArrow(
-        lambda table: first_windows(table, length), f"_id {id_type}, _print long, at int"
+        lambda table: first_windows(table, length), f"_id {id_type}, _print {PRINT}, at int"
     )
     first = first.groupBy("_id", "_print").agg(F.collect_list("at").alias("firsts"))
     spans = F.transform("marks", lambda m: F.struct(m["start"].alias("start"), m["windows"].alias("windows")))
