@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -60,6 +61,21 @@ def test_pipeline(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
 
 
+def test_pipeline_with_clashing_columns_and_a_long_text(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    long = " ".join(f"{w} {k}" for k in range(60_000) for w in ("the", "and", "of"))
+    docs = docs.unionByName(spark.createDataFrame([(900_000, long, "en", "src1", len(long))], docs.schema))
+    names = ["kept", "score", "_row", "marks", "extra", "_good", "n_words", "base", "_print", "component_id"]
+    docs = docs.withColumns({n: F.lit(k) for k, n in enumerate(names)})
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, FOLDER)
+        assert docs.columns == columns, name
+        first = docs.select(names).distinct().collect()
+        assert [tuple(r) for r in first] == [tuple(range(len(names)))], name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() > 0
+
+
 def test_pipeline_on_empty_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
