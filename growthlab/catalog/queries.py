@@ -1173,6 +1173,27 @@ def vip_window_scores(spark, folder):
     return out.select("user_id", "window", "probability_positive_class", "potential_vip_ind")
 
 
+@query
+def logistic_optimum(spark, folder):
+    """A fitted, saved and loaded logistic model, term by term: is the gradient of the weighted loss zero there (of standardised
+    features, as a mean), and did the term come back as it was?"""
+    names = ["balance", "cnt_txn_total", "active_days"]
+    rows = durable(_labelled(spark, folder).hint("rebalance"))
+    where = fresh_folder(spark, "logistic")
+    model = M.fit_logistic(rows, names)
+    M.save_models(spark, {"m": model}, where)
+    fitted, loaded = (M.logistic_terms(m, names) for m in (model, M.load_models(spark, where, ["m"])["m"]))
+    weighted = rows.join(F.broadcast(X.class_weights(rows, "flag").select("flag", "weight")), "flag")
+    off = F.col("weight") * (F.expr(M.linear_probability(*fitted)) - F.col("flag"))
+    scale = rows.agg(*[F.stddev_pop(c).alias(c) for c in names], *[F.avg(c).alias(f"{c}_mean") for c in names])
+    z = {"intercept": F.lit(1.0)} | {c: (F.col(c) - F.col(f"{c}_mean")) / F.col(f"{c}_sd") for c in names}
+    scale = F.broadcast(scale.withColumnsRenamed({c: f"{c}_sd" for c in names}))  # one row
+    gradient = weighted.join(scale).agg(*[(F.sum(off * x) / F.sum("weight")).alias(t) for t, x in z.items()])
+    same = {"intercept": fitted[0] == loaded[0]} | {c: fitted[1][c] == loaded[1][c] for c in names}
+    terms = [F.struct(F.lit(t).alias("term"), (F.abs(t) < 1e-4).alias("at_optimum"), F.lit(same[t]).alias("same_after_load")) for t in z]
+    return gradient.select(F.inline(F.array(*terms)))
+
+
 @query
 def vip_fixed_window_scores(spark, folder):
     """The scoring expression with given terms; windows 3 to 5 have no model."""
