@@ -102,6 +102,18 @@ def _view_columns() -> str:
 
 
 add("curated_view_columns", _view_columns())
+add(
+    "curated_view_metrics",
+    " UNION ALL ".join(
+        f"SELECT '{view}' AS view, {key} AS channel, count(*) AS rows, count(DISTINCT {ids}) AS ids, {r(amount, 'amount', 2)} FROM {table} GROUP BY {key}"
+        for view, table, key, ids, amount in (
+            ("marketing_user_billing", "orders", "o_orderpriority", "o_custkey", "sum(o_totalprice)"),
+            ("marketing_touches", "events", "event_type", "user_id", "0.0"),
+            ("marketing_costs", "lineitem", "l_returnflag", "l_suppkey", "sum(l_extendedprice)"),
+            ("finance_daily_screenshot_metrics", "customer", "c_mktsegment", "c_custkey", "sum(c_acctbal)"),
+        )
+    ),
+)
 add(
     "sink_roundtrip",
     """SELECT sink, segment, count(*) AS rows, CAST(sum(grade) AS BIGINT) AS grades FROM (

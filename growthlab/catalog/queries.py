@@ -151,6 +151,41 @@ def curated_view_columns(spark, folder):
     return out
 
 
+#: source columns of four views as columns of the given tables; the rest of a source's columns is the last one named
+VIEW_SOURCES = {
+    "marketing_user_billing": ("orders", {"date": "o_orderdate", "user_id": "o_custkey", "cpa_cost": "o_totalprice",
+                                          "channel": "o_orderpriority", "*": "o_orderstatus"}),
+    "marketing_touches": ("events", {"user_id": "user_id", "transaction_timestamp": "ts", "channel": "event_type", "*": "props"}),
+    "marketing_costs": ("lineitem", {"day": "l_shipdate", "cost": "l_extendedprice", "channel": "l_returnflag",
+                                     "country_code": "l_suppkey", "*": "l_linestatus"}),
+    "finance_daily_screenshot_metrics": ("customer", {"user_id": "c_custkey", "bsc_coins": "c_acctbal", "platform": "c_mktsegment",
+                                                      "*": "c_name"}),
+}
+
+
+@query
+def curated_view_metrics(spark, folder):
+    """Reports over four curated views, by the names that the views show: rows, distinct ids and amounts per channel."""
+    shown = {
+        "marketing_user_billing": ("channel_source", "user_id", "cpa_cost"),
+        "marketing_touches": ("channel_source", "user_id", None),
+        "marketing_costs": ("channel_source", "country_code", "cost"),
+        "finance_daily_screenshot_metrics": ("platform", "user_id", "bsc_balance_sc_coins"),
+    }
+    out = None
+    for name, (table, columns) in VIEW_SOURCES.items():
+        wanted = views.SELECTED[name][1]
+        rows = staging.table(spark, folder, table)
+        source = rows.select(*[F.col(columns.get(c, columns["*"])).alias(c) for c in wanted], F.lit("x").alias("hidden"))
+        key, user, amount = shown[name]
+        part = views.curated(name, source).groupBy(F.col(key).alias("channel")).agg(
+            F.count(F.lit(1)).alias("rows"), F.countDistinct(user).alias("ids"),
+            (F.sum(amount) if amount else F.lit(0.0)).alias("amount"),
+        ).withColumn("view", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return rounded(out, "amount", digits=2)
+
+
 @query
 def user_value_scan(spark, folder):
     out = readers.user_values(staging.user_profile(spark, folder), "1995-03-01")
