@@ -28,11 +28,13 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach: spark.checkpoint.dir; where that is unset, one beside the tables
-    of the warehouse, which is shared as well."""
+    of the warehouse. On a cluster one of the two must be set: the default warehouse is the driver's own folder."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
+            if not sc.master.startswith("local") and sc.getConf().get("spark.sql.warehouse.dir") is None:
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/growthlab-checkpoints"
         sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
