@@ -1077,6 +1077,13 @@ add(
         (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 1 HOUR""",
     **{**SERIES, "series_top": SERIES["series_top"].replace("payment_series", "finished")},
 )
+_NORM_256 = "(2 * (ln(255) + 0.5772156649015329) - 2 * 255 / 256.0)"
+_DEPTHS = "(CASE WHEN total < 5 THEN 2.0 WHEN approved < 8 THEN 3.5 ELSE 1.0 END) + (CASE WHEN approved < 3 THEN 1.5 ELSE 4.0 END)"
+_FIXED = f"CASE platform WHEN 'NUVEI_CARD' THEN -pow(2, -0.5) ELSE -pow(2, -({_DEPTHS}) / 2 / {_NORM_256}) END"
+add(
+    "forest_fixed_scores",
+    f"SELECT platform, {ts_text('hour')} AS hour, approved, total, {r(_FIXED, 'score', 9)} FROM payment_series",
+)
 add(
     "anomaly_status",
     f"""SELECT platform, CASE WHEN n = 0 THEN 'no data after excluding the newest hour' WHEN n < 96 THEN 'insufficient data'

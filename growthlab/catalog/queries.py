@@ -16,6 +16,7 @@ from growthlab.operators import boosting as B
 from growthlab.operators import cleaning as C
 from growthlab.operators import cohort as H
 from growthlab.operators import experiment as X
+from growthlab.operators import forest as IF
 from growthlab.operators import joins as J
 from growthlab.operators import kpi as K
 from growthlab.operators import ml as M
@@ -1006,6 +1007,28 @@ def scaled_features(spark, folder):
     return rounded(out.withColumn("hour", as_text(F.col("hour"))), *cols, digits=7)
 
 
+#: fixed forests: nodes of (feature, cut, left, right, path length), and the rows each tree was grown on
+FIXED_FORESTS = {
+    "WEB_NUVEI": (256, [
+        [(1, 5.0, 1, 2, -1.0), (-1, 0.0, -1, -1, 2.0), (0, 8.0, 3, 4, -1.0), (-1, 0.0, -1, -1, 3.5), (-1, 0.0, -1, -1, 1.0)],
+        [(0, 3.0, 1, 2, -1.0), (-1, 0.0, -1, -1, 1.5), (-1, 0.0, -1, -1, 4.0)],
+    ]),
+    "NUVEI_CARD": (1, [[(-1, 0.0, -1, -1, 0.5)]]),
+}
+
+
+@query
+def forest_fixed_scores(spark, folder):
+    """Scores of every bucket by fixed forests, walked by the expression that also scores grown ones."""
+    names = ("feature", "cut", "left", "right", "depth")
+    rows = [(p, n, [dict(zip(names, map(list, zip(*tree)))) for tree in trees]) for p, (n, trees) in FIXED_FORESTS.items()]
+    fields = "feature: array<int>, cut: array<double>, left: array<int>, right: array<int>, depth: array<double>"
+    forest = spark.createDataFrame(rows, f"platform string, sample_rows long, forest array<struct<{fields}>>")
+    series = staging.payment_series(spark, folder).withColumn("_slice", F.date_format("hour", "yyyy-MM"))
+    out = IF.raw_scores(series, forest, ["approved", "total"]).drop("_slice")
+    return rounded(out.withColumn("hour", as_text(F.col("hour"))), "score", digits=9)
+
+
 @query
 def anomaly_scores(spark, folder):
     series = staging.payment_series(spark, folder)

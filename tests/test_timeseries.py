@@ -108,6 +108,23 @@ def test_tree_paths_isolate_outliers():
     assert flat["feature"] == [-1] and flat["depth"][0] == pytest.approx(IF.path_norm(10))
 
 
+def test_expression_scores_equal_array_walks(spark):
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"platform": ["a"] * 300 + ["b"] * 40, "hour": pd.date_range("2024-01-01", periods=340, freq="h"),
+                        "x": rng.normal(size=340), "y": rng.normal(size=340), "z": 1.0})
+    df = spark.createDataFrame(pdf)
+    names = ["x", "y", "z"]
+    forest = IF.fit_forest(df, names, trees=12, sample=64)
+    got = IF.raw_scores(df.withColumn("_slice", F.dayofweek("hour")), forest, names).toPandas().set_index("hour")["score"]
+    for r in forest.collect():
+        rows = pdf[pdf["platform"] == r.platform]
+        depth = np.mean([IF.path_lengths(rows[names].to_numpy(), t.asDict()) for t in r.forest], axis=0)
+        assert r.sample_rows == min(64, len(rows)) and len(r.forest) == 12
+        np.testing.assert_allclose(got[rows["hour"]], -np.exp2(-depth / IF.path_norm(r.sample_rows)), atol=1e-12)
+    lone = IF.raw_scores(df.withColumn("_slice", F.lit(1)), forest.where("platform = 'a'"), names)
+    assert lone.where("platform = 'b' AND score IS NOT NULL").count() == 0
+
+
 def test_detector_flags_about_the_contaminated_share(series, tmp_path, spark):
     pdf, df = series
     short = spark.createDataFrame(make_series(50, 3, "PAYSAFE_CARD"))
