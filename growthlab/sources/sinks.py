@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -50,18 +50,27 @@ def replace_key(df: DataFrame, path: str, key: str, value: object) -> None:
 
     New rows are staged and put in place when the job commits (dynamic partition overwrite), so a write that fails
     leaves the old ones. A frame without rows of that value clears it: its partition is then dropped."""
-    spark = df.sparkSession
-    seen = Observation()
-    rows = df.where(F.col(key) == F.lit(value)).observe(seen, F.count(F.lit(1)).alias("n"))
+    before = _partition_files(df.sparkSession, path, key, value)
+    rows = df.where(F.col(key) == F.lit(value))
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(key).parquet(path)
-    if seen.get["n"]:
-        return
+    after = _partition_files(df.sparkSession, path, key, value)
+    fs, place = _files(df.sparkSession, path)
+    for folder, names in before.items():
+        if after.get(folder) == names:  # written files have new names: nothing came
+            fs.delete(place(folder), True)
+
+
+def _partition_files(spark: SparkSession, path: str, key: str, value: object) -> dict[str, set[str]]:
+    """Files of the key value's partition by its folder."""
     fs, place = _files(spark, path)
-    for status in fs.listStatus(place(path)):
+    out = {}
+    for status in fs.listStatus(place(path)) if fs.exists(place(path)) else []:
         name, equals, text = status.getPath().getName().partition("=")
         if status.isDirectory() and name == key and equals and unquote(text) == str(value):
-            fs.delete(status.getPath(), True)
+            found = fs.listStatus(status.getPath())
+            out[status.getPath().toString()] = {f.getPath().getName() for f in found}
+    return out
 
 
 def csv(df: DataFrame, path: str) -> None:
