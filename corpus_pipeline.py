@@ -6,7 +6,8 @@ the drawn documents with their epoch). Stages are written as Parquet and read ag
 NULL and empty texts have under ten words, so the quality rules reject them; in the other stages a NULL text is an empty
 one that is no duplicate, leaks nothing, stays NULL and is never drawn. NULL ids are ids like others, last in order. Of rows
 with equal id and text near-duplicate removal keeps one, and of equal texts the one with the smallest id. Texts of any length are
-whole; an empty table stays empty. Further columns, whatever their names, pass through all stages but the last."""
+whole; an empty table stays empty. Further columns pass through all stages but the last, whatever their names but for
+`_stage_key` and `_pii_print`, `_pii_extra`, which stages make themselves."""
 
 from __future__ import annotations
 

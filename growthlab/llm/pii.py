@@ -277,11 +277,12 @@ def redact_private(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS
     Only places of discovered identifiers are joined to the texts, by a 128-bit digest of the text."""
     ready(docs.sparkSession)
     names = docs.columns
-    rows = without(docs, "_print", "extra").withColumn("_print", F.md5(text_col))
-    scan = stored(_scan(rows.select("_print", text_col), text_col), "pii_scan")
-    extra = stored(_places(scan, discovered(scan, rounds), "_print"), "pii_places")
+    rows = without(docs, "_pii_print", "_pii_extra").withColumn("_pii_print", F.md5(text_col))
+    scan = stored(_scan(rows.select("_pii_print", text_col), text_col), "pii_scan")
+    extra = _places(scan, discovered(scan, rounds), "_pii_print").withColumnRenamed("extra", "_pii_extra")
+    extra = stored(extra, "pii_places")
     forget(scan)
-    joined = rows.join(extra, "_print", "left").drop("_print")
+    joined = rows.join(extra, "_pii_print", "left").drop("_pii_print")
 
     def cover(text: str | None, marks: list[dict] | None) -> str | None:
         if not text:
@@ -296,11 +297,11 @@ def redact_private(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [cover(t, m) for t, m in zip(batch[text_col].to_pylist(), batch["extra"].to_pylist())]
+            texts = [cover(t, m) for t, m in zip(batch[text_col].to_pylist(), batch["_pii_extra"].to_pylist())]
             at = batch.schema.get_field_index(text_col)
-            yield batch.set_column(at, text_col, pa.array(texts, type=pa.string())).drop_columns(["extra"])
+            yield batch.set_column(at, text_col, pa.array(texts, type=pa.string())).drop_columns(["_pii_extra"])
 
-    plain = joined.drop("extra")
+    plain = joined.drop("_pii_extra")
     return joined.mapInArrow(run, plain.schema).select(*[c for c in names if c in plain.columns])
 
 
