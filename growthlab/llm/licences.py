@@ -97,6 +97,12 @@ SENTENCES: dict[str, str] = {
     "rights": r"all rights reserved",
 }
 
+#: Every sentence above has one of these in a word, so a text without any needs no look-up.
+HINTS = (
+    "licen", "copyright", "warrant", "redistribut", "permission", "rights", "applicable", "endorse", "hope",
+    "unencumbered", "cc0", "creative",
+)
+
 #: Sentences that end with their line, whatever stands in the next one.
 LINES = frozenset({"spdx", "copyright"})
 
@@ -178,7 +184,10 @@ def _plain(sentence: str) -> str:
 class Scanner:
     """Known sentences and rules, compiled."""
 
-    def __init__(self, sentences: dict[str, str], rules: Sequence[tuple[str, tuple[str, ...]]]) -> None:
+    def __init__(
+        self, sentences: dict[str, str], rules: Sequence[tuple[str, tuple[str, ...]]], hints: Sequence[str] = ()
+    ) -> None:
+        self.hints = re.compile("|".join(map(re.escape, hints)))  # none: every text is looked at
         self.each = [re.compile(s) for s in sentences.values()]
         self.names = list(sentences)
         self.known = re.compile("|".join(f"({s})" for s in sentences.values()))
@@ -264,6 +273,8 @@ class Scanner:
     def scan(self, text: str) -> tuple[list[dict], list[dict]]:
         """Known sentences (identifier, start, end) and licences (licence, start, end) in text order."""
         hits: list[dict | None] = []
+        if not self.hints.search(text.lower().replace('"', "").replace("'", "")):
+            return [], []
         for run in _runs(text):
             for name, start, end in self._known(run):
                 if name:
@@ -370,10 +381,11 @@ def scan_licences(
     rows = without(docs, "sentences", "licences")
     fields = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != text_col)
     hit = pa.list_(pa.struct([("sentence", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    hints = HINTS if sentences is SENTENCES else ()
     found = pa.list_(pa.struct([("licence", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(sentences, rules)
+        scanner = Scanner(sentences, rules, hints)
         for batch in batches:
             got = [scanner.scan(t or "") for t in batch[text_col].to_pylist()]
             out = batch.drop_columns([text_col])

@@ -14,7 +14,17 @@ APACHE = (
 
 
 def names(text):
-    return [x["licence"] for x in licences.Scanner(licences.SENTENCES, licences.RULES).scan(text)[1]]
+    hinted, every = (licences.Scanner(licences.SENTENCES, licences.RULES, h).scan(text) for h in (licences.HINTS, ()))
+    assert hinted == every
+    return [x["licence"] for x in every[1]]
+
+
+def test_every_sentence_has_a_hint():
+    for name, pattern in licences.SENTENCES.items():
+        for part in licences.NAMES.values() if name.startswith("named-") else [pattern]:
+            words = re.sub(r"\(([^()]|\([^()]*\))*\)\??", " ", part) if name != "epl-1.0" else part
+            found = [h for h in licences.HINTS if h in words or h in part]
+            assert found, name
 
 
 def test_rules_take_sequences_in_order():
