@@ -1,12 +1,14 @@
-"""Newton boosting of log-loss with an L2 penalty on leaf values.
+"""Boosting of log-loss: Newton steps with an L2 penalty on leaf values, and gradient boosting by variance.
 
-Features are cut into quantile bins once. A level of a tree is grown from one aggregate: gradient and Hessian sums per
-(node, feature, bin), combined map-side, so what is shuffled and what reaches the driver is bounded by nodes x features
-x bins, whatever the number of rows. The same aggregate at the root gives the validation loss of the round before."""
+Features are cut into quantile bins once, and rows of equal bins are counted as one cell. A level of a tree is grown from
+one small job: gradient and Hessian sums per (node, feature, bin), added up in each task over its blocks of cells, so what
+reaches the driver is bounded by nodes x features x bins a task, whatever the number of rows. The same job at the root gives the
+validation loss of the round before."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -14,11 +16,10 @@ from pyspark.sql import functions as F
 
 from growthlab.operators import trees as T
 from growthlab.operators.cleaning import require_columns
+from growthlab.operators.histograms import Cells
 from growthlab.session import durable
 
 BINS = 64
-#: rounds whose trees are applied anew in each pass before the margins are written
-WRITTEN = 10
 
 
 def quantile_cuts(df: DataFrame, features: list[str], bins: int = BINS) -> list[list[float]]:
@@ -28,6 +29,18 @@ def quantile_cuts(df: DataFrame, features: list[str], bins: int = BINS) -> list[
     return [sorted({x for x in cuts or [] if not math.isnan(x)}) for cuts in found.first()]
 
 
+def value_cuts(df: DataFrame, features: list[str], bins: int = BINS) -> list[list[float]]:
+    """Cuts between all values of the features that have at most `bins` of them, quantile cuts of the others."""
+    known = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in features}
+    about = df.agg(*[F.approx_count_distinct(x).alias(f"c{i}") for i, x in enumerate(known.values())]).first()
+    few = [c for c, n in zip(features, about) if n <= 2 * bins]  # the estimate is within 5 %, mostly
+    sets = df.agg(*[F.sort_array(F.collect_set(known[c])) for c in few]).first() if few else []
+    exact = {c: v for c, v in zip(few, sets) if len(v) <= bins}
+    between = {c: [math.nextafter((x + y) / 2, math.inf) for x, y in zip(v, v[1:])] for c, v in exact.items()}
+    many = [c for c in features if c not in exact]
+    return [{**between, **dict(zip(many, quantile_cuts(df, many, bins) if many else []))}[c] for c in features]
+
+
 def _binned(df: DataFrame, features: list[str], cuts: list[list[float]]) -> Column:
     """Number of cuts at or below each value; missing values have none."""
 
@@ -64,20 +77,6 @@ def best_splits(
     return flat[rows, at], feature, cut + 1, sums
 
 
-def _histogram(rows: DataFrame, shape: tuple[int, int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of gradient and Hessian per (node, feature, bin) of rows (n, g, h, bins)."""
-    cells = rows.selectExpr("n", "g", "h", "posexplode(bins) AS (f, b)")
-    sums = cells.groupBy("n", "f", "b").agg(F.sum("g"), F.sum("h")).collect()
-    grads, hessians = np.zeros(shape), np.zeros(shape)
-    for n, f, b, g, h in sums:
-        grads[n, f, b], hessians[n, f, b] = g, h
-    return grads, hessians
-
-
-_X = "transform(_bins, b -> CAST(b AS DOUBLE))"
-_LOSS = "greatest(_margin, 0D) + ln(1 + exp(-abs(_margin))) - _y * _margin"
-
-
 def fit_newton(
     df: DataFrame,
     features: list[str],
@@ -97,81 +96,143 @@ def fit_newton(
     loss (unweighted log-loss), and the model keeps the rounds up to the best one. Missing values go left; a leaf's
     value is -G / (H + l2) times the rate. Rows of a NULL label are left out."""
     require_columns(df, features)
-    held = F.coalesce(validation, F.lit(False)) if validation is not None else F.lit(False)
-    rows = df.where(F.col(label).isNotNull()).withColumns({"_train": ~held, "_y": F.col(label).cast("double")})
+    rows = _parted(df, label, validation)
     cuts = quantile_cuts(rows.where("_train"), features, bins)
-    n_bins = max(map(len, cuts)) + 1
-    base = durable(rows.select("_train", "_y", _binned(rows, features, cuts).alias("_bins"), F.lit(0.0).alias("_margin")))
+    cells = _cells(rows, features, cuts)
     if positive_weight is None:
-        seen = base.where("_train").agg(F.sum("_y"), F.count("*")).first()
+        seen = cells.where("_train").agg(F.sum(F.col("_y") * F.col("_n")), F.sum("_n")).first()
         positive_weight = (seen[1] - (seen[0] or 0.0)) / seen[0] if seen[0] else 1.0
-    weight = f"if(_y > 0, {float(positive_weight)!r}D, 1D)"
 
+    def slope(y: np.ndarray, margin: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        p = 1 / (1 + np.exp(-margin))
+        w = n * np.where(y > 0, positive_weight, 1.0)
+        return w * (p - y), w * p * (1 - p)
+
+    def loss(y: np.ndarray, margin: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return n * (np.logaddexp(0, margin) - y * margin), n
+
+    watch = None if validation is None else loss
+    return _boost(cells, features, cuts, lambda number: (slope, rate), watch, rounds, depth, l2, least_hessian, patience)
+
+
+def fit_gradient(
+    df: DataFrame,
+    features: list[str],
+    weights: dict[float, float],
+    label: str = "flag",
+    validation: Column | None = None,
+    rounds: int = 500,
+    rate: float = 0.01,
+    depth: int = 5,
+    bins: int = BINS,
+) -> T.Ensemble:
+    """Gradient boosting of log-loss as Spark's GBTClassifier does it, with rows weighted by label: regression trees that split
+    by variance, the first of labels -1 and 1 at full rate, the others of 4 (y - p); a margin is twice the sum of the trees.
+    Cuts are read off all training rows. With a validation flag the weighted loss after each round is kept and the model ends
+    at the least one, after all rounds are trained. Gains are those of the split, times the rows of its node."""
+    require_columns(df, features)
+    rows = _parted(df, label, validation)
+    cuts = value_cuts(rows.where("_train"), features, bins)
+    cells = _cells(rows, features, cuts)
+    negative, positive = weights.get(0, 1.0), weights.get(1, 1.0)
+
+    def first(y: np.ndarray, margin: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = n * np.where(y > 0, positive, negative)
+        return 2 * w * (1 - 2 * y), w
+
+    def slope(y: np.ndarray, margin: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = n * np.where(y > 0, positive, negative)
+        return 8 * w * (1 / (1 + np.exp(-margin)) - y), w
+
+    def loss(y: np.ndarray, margin: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = n * np.where(y > 0, positive, negative)
+        return 2 * w * (np.logaddexp(0, margin) - y * margin), w
+
+    watch = None if validation is None else loss
+    least = min(negative, positive) / 2  # a row on either side
+    step = lambda number: (slope, rate) if number else (first, 1.0)
+    return _boost(cells, features, cuts, step, watch, rounds, depth, 0.0, least, None, by_rows=True)
+
+
+def _parted(df: DataFrame, label: str, validation: Column | None) -> DataFrame:
+    held = F.coalesce(validation, F.lit(False)) if validation is not None else F.lit(False)
+    return df.where(F.col(label).isNotNull()).withColumns({"_train": ~held, "_y": F.col(label).cast("double")})
+
+
+def _cells(rows: DataFrame, features: list[str], cuts: list[list[float]]) -> DataFrame:
+    """Rows of equal bins, label and part as one, counted."""
+    binned = rows.select("_train", "_y", _binned(rows, features, cuts).alias("_bins"))
+    return durable(binned.groupBy("_train", "_y", "_bins").agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _boost(
+    frame: DataFrame,
+    features: list[str],
+    cuts: list[list[float]],
+    step: Callable[[int], tuple[Callable, float]],
+    loss: Callable | None,
+    rounds: int,
+    depth: int,
+    l2: float,
+    least: float,
+    patience: int | None,
+    by_rows: bool = False,
+) -> T.Ensemble:
+    """Trees grown round by round; step(round) gives gradients and rate, `loss` is that of the validation rows, if any."""
+    cells = Cells(frame, len(features), max(map(len, cuts)) + 1, depth)
     grown: list[dict[str, list]] = []  # cuts are bin numbers until the end
     losses: list[float] = []
     gains = dict.fromkeys(features, 0.0)
-    written = 0  # trees whose values the rows of `base` already hold
-    for number in range(rounds + 1):
-        fresh = T.Ensemble(features, grown[written:])
-        now = base
-        if fresh.trees:
-            now = base.selectExpr("_train", "_y", "_bins", f"_margin + {fresh.margin(_X)} AS _margin")
-        if len(fresh.trees) == WRITTEN:
-            now = base = durable(now)
-            written = number
-        p = now.selectExpr("_train", "_bins", f"{weight} AS w", "_y", "1 / (1 + exp(-_margin)) AS p", f"{_LOSS} AS loss")
-        sums = p.selectExpr("_train", "_bins", "if(_train, w * (p - _y), loss) AS g", "if(_train, w * p * (1 - p), 1D) AS h")
-        # the first histogram also takes the validation rows, as one cell of a node of their own
-        cells = sums.selectExpr("if(_train, 0, 1) AS n", "g", "h", "if(_train, _bins, array(0)) AS bins")
-        grads, hessians = _histogram(cells, (2, len(features), n_bins))
-        if validation is not None and number:
-            losses.append(float(grads[1, 0, 0] / hessians[1, 0, 0]) if hessians[1, 0, 0] else 0.0)
-            if number - 1 - losses.index(min(losses)) >= patience:
+    for number in range(rounds + (loss is not None)):
+        slope, rate = step(number)
+        grow = _Growing(cells, slope, features, l2, least, rate, gains, by_rows)
+        *root, (lost, weight) = cells.sums({k: [-1] for k in _NODE}, [0], 0, slope, loss)
+        if loss is not None and number:
+            losses.append(float(lost / weight) if weight else 0.0)
+            if patience is not None and number - 1 - losses.index(min(losses)) >= patience:
                 break
         if number < rounds:
-            grow = _Growing(sums.where("_train").drop("_train"), features, n_bins, l2, least_hessian, rate, gains)
-            grown.append(grow.tree(depth, grads[:1], hessians[:1]))
+            grown.append(grow.tree(depth, *root))
+            cells.move(grown[-1])
+    cells.close()
     kept = grown[: losses.index(min(losses)) + 1] if losses else grown
     for tree in kept:
         tree["cut"] = [cuts[f][int(b) - 1] if f >= 0 else 0.0 for f, b in zip(tree["feature"], tree["cut"])]
     return T.Ensemble(features, kept, losses=losses, gains=gains)
 
 
+_NODE = ("feature", "cut", "left", "right", "value")
+
+
 class _Growing:
-    """One tree, a level at a time, from rows (_bins, g, h); its cuts are bin numbers."""
+    """One tree, a level at a time, from cells and their gradients; its cuts are bin numbers."""
 
     def __init__(
-        self, rows: DataFrame, features: list[str], n_bins: int, l2: float, least: float, rate: float, gains: dict[str, float]
-    ) -> None:
-        self.rows, self.features, self.n_bins = rows, features, n_bins
-        self.l2, self.least, self.rate, self.gains = l2, least, rate, gains
-        self.nodes: dict[str, list] = {"feature": [], "cut": [], "left": [], "right": [], "value": []}
+        self, cells: Cells, slope: Callable, features: list[str], l2: float, least: float, rate: float, gains: dict[str, float],
+        by_rows: bool,
+    ) -> None:
+        self.cells, self.slope, self.features = cells, slope, features
+        self.l2, self.least, self.rate, self.gains, self.by_rows = l2, least, rate, gains, by_rows
+        self.nodes: dict[str, list] = {k: [] for k in _NODE}
 
     def add(self, g: float, h: float) -> int:
-        value = self.rate * leaf_value(float(g), float(h), self.l2)
-        for name, x in (("feature", -1), ("cut", 0.0), ("left", -1), ("right", -1), ("value", value)):
+        value = self.rate * leaf_value(float(g), float(h), self.l2) if h + self.l2 else 0.0
+        for name, x in zip(_NODE, (-1, 0.0, -1, -1, value)):
             self.nodes[name].append(x)
         return len(self.nodes["value"]) - 1
 
-    def tree(self, depth: int, grads: np.ndarray, hessians: np.ndarray) -> dict[str, list]:
-        """`grads` and `hessians`: the root's histogram."""
+    def tree(self, depth: int, grads: np.ndarray, hessians: np.ndarray, rows: np.ndarray) -> dict[str, list]:
+        """`grads`, `hessians` and `rows`: the root's sums."""
         leaves = [self.add(grads[0, 0].sum(), hessians[0, 0].sum())]
         for level in range(depth):
             if level:
-                grads, hessians = self.histogram(leaves, level)
-            leaves = self.split(leaves, grads, hessians)
+                grads, hessians, rows, _ = self.cells.sums(self.nodes, leaves, level, self.slope)
+            leaves = self.split(leaves, grads, hessians, rows)
             if not leaves:
                 break
         return self.nodes
 
-    def histogram(self, leaves: list[int], level: int) -> tuple[np.ndarray, np.ndarray]:
-        trees = T.Ensemble(self.features, [self.nodes]).constant()
-        at = f"get(transform(array({_X}), v -> {T.leaf(f'get({trees}, 0)', 'v', level)}), 0)"
-        place = f"CAST(array_position(array({', '.join(map(str, leaves))}), {at}) - 1 AS INT)"
-        cells = self.rows.selectExpr(f"{place} AS n", "g", "h", "_bins AS bins").where("n >= 0")
-        return _histogram(cells, (len(leaves), len(self.features), self.n_bins))
-
-    def split(self, leaves: list[int], grads: np.ndarray, hessians: np.ndarray) -> list[int]:
+    def split(self, leaves: list[int], grads: np.ndarray, hessians: np.ndarray, rows: np.ndarray) -> list[int]:
         """Split the leaves that gain by it; the new leaves."""
         gains, features, cuts, left = best_splits(grads, hessians, self.l2, self.least)
         whole = np.stack([grads[:, 0].sum(axis=1), hessians[:, 0].sum(axis=1)], axis=1)
@@ -180,7 +241,7 @@ class _Growing:
             if gains[k] <= 1e-12:
                 continue
             feature = int(features[k])
-            self.gains[self.features[feature]] += float(gains[k])
+            self.gains[self.features[feature]] += float(gains[k]) * (float(rows[k] / whole[k, 1]) / 4 if self.by_rows else 1.0)
             sides = [self.add(*left[k]), self.add(*(whole[k] - left[k]))]
             for name, x in (("feature", feature), ("cut", float(cuts[k])), ("left", sides[0]), ("right", sides[1]), ("value", 0.0)):
                 self.nodes[name][at] = x

@@ -100,6 +100,27 @@ def test_boosted_classifier_as_flat_trees(spark, noisy, tmp_path):
     json.loads(json.dumps(flat.trees))
 
 
+def test_rounds_cost_one_small_job_a_level(spark, noisy):
+    """Ten rounds of a table whose tasks hold a few blocks; plans of whole tables took seconds a round."""
+    import time
+
+    _, df = noisy
+    many = df.crossJoin(spark.range(100)).selectExpr("a + id / 1000 AS a", "b", "noise", "flag", "id % 5 = 0 AS held").cache()
+    assert many.count() == 90_000
+    for fit in (
+        lambda n: B.fit_newton(many, [*NAMES, "noise"], validation=F.col("held"), rounds=n, patience=n),
+        lambda n: M.fit_boosted(many, [*NAMES, "noise"], validation=F.col("held"), iterations=n),
+    ):
+        fit(2)
+        start = time.perf_counter()
+        few = fit(2)
+        base = time.perf_counter() - start
+        start = time.perf_counter()
+        more = fit(32)  # past the round from which margins are made anew
+        assert (time.perf_counter() - start - base) / 30 < 1.5
+        assert len(more.losses) == 32 and few.losses == pytest.approx(more.losses[:2]) and more.losses[-1] < more.losses[0]
+
+
 def test_windows_of_every_kind_in_one_read(noisy):
     pdf, df = noisy
     df = df.withColumn("window_number", (F.col("user_id") % 4).cast("int"))
