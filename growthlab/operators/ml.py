@@ -9,18 +9,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from growthlab.functions import scalars as S
+from growthlab.operators import boosting as B
 from growthlab.operators import trees as T
 from growthlab.operators.cleaning import require_columns
 from growthlab.operators.experiment import class_weights
 from growthlab.operators.ordered import draw_rank, exact_quantiles
-from growthlab.session import fresh_folder
 
 Model = PipelineModel | T.Ensemble
 
@@ -134,10 +134,9 @@ def time_split(df: DataFrame, day: str, start: str, oot_start: str) -> DataFrame
 # ---------------------------------------------------------------- training
 
 
-def _with_weights(df: DataFrame, label: str, counted: DataFrame | None = None) -> DataFrame:
-    """Balanced class weights from the `counted` rows, the training part where there is a validation part."""
-    weights = class_weights(df if counted is None else counted, label).select(label, "weight")
-    return df.join(F.broadcast(weights), label)
+def _with_weights(df: DataFrame, label: str) -> DataFrame:
+    """Balanced class weights."""
+    return df.join(F.broadcast(class_weights(df, label).select(label, "weight")), label)
 
 
 def _plain(name: str) -> str:
@@ -175,21 +174,12 @@ def fit_boosted(
     depth: int = 5,
 ) -> T.Ensemble:
     """Gradient-boosted trees. With a validation flag all rounds are trained on the other rows, and the model
-    is cut at the round of least validation loss; class weights come from the training rows alone."""
-    spark = df.sparkSession
-    learner = GBTClassifier(
-        featuresCol="_features", labelCol=label, weightCol="weight", maxIter=iterations,
-        stepSize=rate, maxDepth=depth, seed=42,
-    )
-    train = df if validation is None else df.where(~validation)
-    assembler = _assembler(df, features)
-    fitted = learner.fit(assembler.transform(_plain_names(_with_weights(train, label))))
-    flat = T.of_gbt(spark, fitted, features, fresh_folder(spark, "boosted"))
-    if validation is None:
-        return flat
-    held = assembler.transform(_plain_names(_with_weights(df.where(validation), label, train)))
-    flat.losses = fitted.evaluateEachIteration(held)
-    return flat.first(1 + flat.losses.index(min(flat.losses)))
+    is cut at the round of least validation loss; class weights come from the training rows alone. Rows of a NULL label are
+    left out; missing values go left."""
+    known = df.where(F.col(label).isNotNull())
+    train = known if validation is None else known.where(~F.coalesce(validation, F.lit(False)))
+    weights = {r[label]: r["weight"] for r in class_weights(train, label).collect()}  # one row per class
+    return B.fit_gradient(known, features, weights, label, validation, iterations, rate, depth)
 
 
 def fit_per_window(

@@ -100,6 +100,27 @@ def test_boosted_classifier_as_flat_trees(spark, noisy, tmp_path):
     json.loads(json.dumps(flat.trees))
 
 
+def test_gradient_boosting_is_that_of_spark(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"user_id": range(1200), "a": rng.integers(0, 12, 1200) / 2, "b": rng.integers(-4, 9, 1200), "c": (rng.random(1200) < 0.01) * 1.0})
+    chance = 1 / (1 + np.exp(2 - pdf["a"] + pdf["b"] / 3 - 4 * pdf["c"] + rng.normal(size=1200)))
+    pdf["flag"] = (chance > 0.5).astype(int)
+    df = spark.createDataFrame(pdf).repartition(3).cache()
+    names, held = ["a", "b", "c"], F.col("user_id") % 4 == 0
+    train = VectorAssembler(inputCols=names, outputCol="v").transform(M._with_weights(df.where(~held), "flag"))
+    spark_model = GBTClassifier(featuresCol="v", labelCol="flag", weightCol="weight", maxIter=30, stepSize=0.1, maxDepth=4, seed=1).fit(train)
+    mine = M.fit_boosted(df, names, validation=held, iterations=30, rate=0.1, depth=4)
+    all_rounds = B.fit_gradient(df.where(~held), names, {r.flag: r.weight for r in train.select("flag", "weight").distinct().collect()}, rounds=30, rate=0.1, depth=4)
+    both = M.score(all_rounds, spark_model.transform(train), "p").select("p", vector_to_array("probability")[1].alias("q")).toPandas()
+    np.testing.assert_allclose(both["p"], both["q"], atol=1e-9)
+    weighted = M._with_weights(df.where(~held), "flag").select("flag", "weight").distinct()
+    losses = spark_model.evaluateEachIteration(VectorAssembler(inputCols=names, outputCol="v").transform(df.where(held).join(weighted, "flag")))
+    np.testing.assert_allclose(mine.losses, losses, rtol=1e-9)
+    assert len(mine.trees) == 1 + int(np.argmin(losses))
+    want = spark_model.featureImportances.toArray()  # of trees as shares, so only the order is alike
+    assert sorted(names, key=all_rounds.gains.get) == [names[k] for k in np.argsort(want)]
+
+
 def test_rounds_cost_one_small_job_a_level(spark, noisy):
     """Ten rounds of a table whose tasks hold a few blocks; plans of whole tables took seconds a round."""
     import time
