@@ -85,3 +85,17 @@ def test_clean_rows_without_label_are_kept(spark):
         assert len(held) >= 10 and sum(held) >= 0.9 * len(held)
         poor = labels.where("quality = 0").count()
         assert sum(r.kept for r in out if r.quality == 0) <= most * poor
+
+
+def test_every_trusted_row_counts(spark):
+    """More trusted rows than any fixed number of them; good counts and the cut follow them all."""
+    docs = spark.range(24_000).selectExpr("id AS doc_id", "concat('word', id % 100, ' other', id % 7, ' plain text of ten words and some more ', id) AS text")
+    trusted = docs.select("doc_id").where("doc_id % 12 > 0")
+    few = trusted.distinct().withColumn("_good", F.lit(1))
+    counts = quality.bucket_counts(docs, few, "doc_id", "text")
+    grams = docs.select("doc_id", F.explode(quality._buckets(quality.words(F.col("text")))).alias("bucket"))
+    want = {r.bucket: (r.raw, r.good) for r in grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count_if(F.col("doc_id") % 12 > 0).alias("good")).collect()}
+    got = {r.bucket: (r.raw, r.good) for r in counts.where("raw > 0").collect()}
+    assert got == want
+    assert counts.select("goods").first().goods == grams.where("doc_id % 12 > 0").count()
+    assert quality.quality_rules(docs, trusted).count() == 24_000
