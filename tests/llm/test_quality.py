@@ -99,3 +99,11 @@ def test_every_trusted_row_counts(spark):
     assert got == want
     assert counts.select("goods").first().goods == grams.where("doc_id % 12 > 0").count()
     assert quality.quality_rules(docs, trusted).count() == 24_000
+
+
+def test_null_ids_and_long_repeats(spark):
+    rows = [(None, "a b c d e f g h i j k " * (k % 3 + 1)) for k in range(20)] + [(k, "p q r s p q r s t u v w x y z " + "p q r s " * k) for k in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = quality.quality_rules(docs, spark.createDataFrame([(1,), (2,), (None,)], "doc_id long")).collect()
+    got = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in out)
+    assert got == Counter((i, *measures(t)) for i, t in rows)
