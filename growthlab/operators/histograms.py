@@ -13,13 +13,15 @@ import pyarrow as pa
 from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.sql import DataFrame
 
+from growthlab.session import shared_root
+
 # executors need not have this package installed: ship its few functions with the task
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: cells of a block; cells from which on a table is dealt into more tasks; most cells of a task
 BLOCK, WORTH, MOST = 1 << 16, 20_000, 500_000
-#: trees between two margins made anew from the cells, which keeps lineage short
-ANEW = 25
+#: trees between two reliable checkpoints of the margins, which keep lineage short
+FIXED = 25
 #: partials up to which the driver adds them itself
 PARTIALS = 64
 
@@ -118,13 +120,14 @@ class Cells:
         tasks = max(min(-(-count // WORTH), cells.sparkSession.sparkContext.defaultParallelism), -(-count // MOST), 1)
         blocks = cells.repartition(tasks, "_bins", "_y", "_train").mapInArrow(packed(kind), "bins binary, y binary, n binary, train binary")
         self.base = blocks.rdd.map(unpacked(kind)).persist(StorageLevel.MEMORY_AND_DISK)
-        self.now, self.old, self.trees, self.tasks = self.base, None, [], tasks
+        self.now, self.old, self.moves, self.tasks = self.base, None, 0, tasks
+        shared_root(cells.sparkSession)
 
     def move(self, tree: dict[str, list]) -> None:
-        self.trees.append(tree)
-        anew = len(self.trees) % ANEW == 0
-        source, fresh = (self.base, self.trees) if anew else (self.now, [tree])
-        before, self.now = self.now, source.map(moved(list(fresh), self.depth)).persist(StorageLevel.MEMORY_AND_DISK)
+        self.moves += 1
+        before, self.now = self.now, self.now.map(moved([tree], self.depth)).persist(StorageLevel.MEMORY_AND_DISK)
+        if self.moves % FIXED == 0:
+            self.now.checkpoint()
         self.old = before if before is not self.base else None
 
     def sums(
